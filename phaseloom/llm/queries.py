@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phaseloom.llm import chat, exact_dedup, mixing, packing, sharding
+from phaseloom.llm import chat, exact_dedup, fingerprints, mixing, near_dedup, packing, sharding, token_store, toxicity, url_filter
+from phaseloom.llm.common import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,12 +43,49 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), mixing.PRODUCTION)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+#: The rules of op7.
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"), RULES)
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-store")
+    token_store.write_store(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path, end_id=1)
+    return token_store.read_store(spark, path)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_chat": op3_chat,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
+    "op6_fingerprints": op6_fingerprints,
+    "op7_url_filter": op7_url_filter,
+    "op8_near_dedup": op8_near_dedup,
+    "op9_token_store": op9_token_store,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {}
