@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from phaseloom.llm.common import delete, new_path, stored
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State is kept in RocksDB; a store is closed when its task has committed, so that open stores do not pile up on disk.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -44,13 +48,13 @@ def keyed_state(feed: DataFrame, feed_path: str, files_per_batch: int) -> DataFr
     A restart from the same checkpoint continues where it was.
     """
     spark = feed.sparkSession
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
     at = new_path(spark, "dedup-state")
     stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", files_per_batch).parquet(feed_path)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no", "locator")
     held = stream.groupBy("digest").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
-    spark.conf.set(key, ROCKSDB)
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
     try:
         query = (
             held.writeStream.outputMode("update")
@@ -66,7 +70,8 @@ def keyed_state(feed: DataFrame, feed_path: str, files_per_batch: int) -> DataFr
         state = state.select("key.digest", "value.*").toDF("digest", "first", "n")
         final = stored(state, "dedup-final")
     finally:
-        spark.conf.set(key, before) if before else spark.conf.unset(key)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     delete(spark, at)
     return final
 
