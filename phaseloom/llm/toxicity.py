@@ -29,7 +29,7 @@ MINED_VOTERS = 6
 class Weak:
     sample: int = 24_000  # about so many labelled rows at most, half of each class, are used to find words and to fit
     features: int = 1_024  # words and word beginnings found in them, at most
-    least_z: float = 2.6  # of a found feature's log odds
+    least_ratio: float = 8.0  # of a found feature's share of toxic rows to its share of others
     label_accuracy: float = 0.95  # of a given label, as one more voter on its own row
     rounds: int = 30
     correlated: float = 0.1  # excess correlation within a class above which two voters share weight
@@ -91,10 +91,17 @@ def _mine(sample_texts: DataFrame, weak: Weak) -> list[str]:
     whole = sums.where("feature = ''").first()
     if whole is None or not whole["t"] or not whole["c"]:
         return []
-    odds = F.log((F.col("t") + 0.5) / (whole["t"] + 1)) - F.log((F.col("c") + 0.5) / (whole["c"] + 1))
-    z = odds / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    found = sums.where("t >= 3 and length(feature) > 2").withColumn("z", z).where(F.col("z") >= weak.least_z)
-    return [r["feature"] for r in found.orderBy(F.desc("z"), "feature").limit(weak.features).collect()]
+    p = whole["t"] / (whole["t"] + whole["c"])
+    sums = sums.where("length(feature) > 2 and t + c > 2")
+    least_g = 2 * np.log(max(2, sums.count()))  # about one feature passes by chance
+    ratio = (F.col("t") / whole["t"]) / ((F.col("c") + 0.5) / whole["c"])
+    part = lambda k, q: F.when(F.col(k) > 0, F.col(k) * F.log(F.col(k) / (F.col("t") + F.col("c")) / q)).otherwise(0.0)
+    found = (
+        sums.where(ratio >= weak.least_ratio)
+        .withColumn("g", 2 * (part("t", p) + part("c", 1 - p)))
+        .where(F.col("g") >= float(least_g))
+    )
+    return [r["feature"] for r in found.orderBy(F.desc("g"), "feature").limit(weak.features).collect()]
 
 
 def _hits(docs: DataFrame, features: list[str]) -> DataFrame:
