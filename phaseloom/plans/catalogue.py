@@ -4,7 +4,555 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from phaseloom import legends
+from phaseloom.functions import variants as V
+from phaseloom.operators import blocks, filters, genotypes, haplotypes
+from phaseloom.plans import compare, discovery, index, model, remap
+from phaseloom.plans.model import VT, WINDOW, table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _text(array: str) -> Column:
+    return F.array_join(F.transform(array, lambda x: x.cast("string")), "-")
+
+
+#: The model of model.py as CTEs.
+BASE = f"""
+v AS (SELECT v, 'chr' || (1 + v % 2) AS contig, CAST(100 + (v // 2) * 10 AS INT) AS pos, CAST(1 + v % 4 AS INT) AS ref_len FROM range(200) t(v)),
+af AS (SELECT v, CAST(p AS INT) AS p, CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100 AS af FROM range(200) t(v), range(5) u(p)),
+samples AS (SELECT c_custkey AS s, n_regionkey AS p FROM customer JOIN nation ON c_nationkey = n_nationkey),
+entries AS (SELECT DISTINCT o_custkey AS s, l_linenumber % 2 AS strand, l_partkey % 200 AS v FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+carriers AS (SELECT e.s, x.p, e.strand, v.* FROM entries e JOIN samples x ON e.s = x.s JOIN af ON af.v = e.v AND af.p = x.p AND af.af >= {VT} JOIN v ON v.v = e.v),
+reach AS (SELECT *, max(pos + ref_len) OVER (PARTITION BY s, strand, contig ORDER BY pos, ref_len, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM carriers),
+runs AS (SELECT *, CAST(sum(CASE WHEN r IS NULL OR pos - r >= {WINDOW} THEN 1 ELSE 0 END) OVER (PARTITION BY s, strand, contig ORDER BY pos, ref_len, v ROWS UNBOUNDED PRECEDING) AS BIGINT) AS block FROM reach),
+parents AS (SELECT s, p, strand, contig, block, list(v ORDER BY pos, ref_len, v) AS parent FROM runs GROUP BY ALL HAVING count(*) > 1),
+ends AS (SELECT *, unnest(range(2, len(parent) + 1)) AS j FROM parents),
+frags AS (SELECT s, p, strand, contig, parent[i:j] AS h FROM (SELECT *, unnest(range(1, j)) AS i FROM ends)),
+haps AS (SELECT h, [count(*) FILTER (WHERE p = 0), count(*) FILTER (WHERE p = 1), count(*) FILTER (WHERE p = 2), count(*) FILTER (WHERE p = 3), count(*) FILTER (WHERE p = 4)] AS ac FROM frags GROUP BY h),
+sizes AS (SELECT p, 2 * count(*) AS an FROM samples GROUP BY p),
+stats AS (SELECT af.v, af.p, sizes.an, CAST(count(c.s) AS DOUBLE) / sizes.an AS laf FROM af JOIN sizes ON sizes.p = af.p LEFT JOIN carriers c ON c.v = af.v AND c.p = af.p WHERE af.af >= {VT} GROUP BY af.v, af.p, sizes.an),
+members AS (SELECT h, ac, unnest(h) AS v FROM haps),
+long AS (SELECT m.h, m.ac, g.p, m.ac[g.p + 1] AS eac, min(st.an) AS an, min(st.laf) AS laf, min(g.af) AS site FROM members m JOIN af g ON g.v = m.v LEFT JOIN stats st ON st.v = m.v AND st.p = g.p GROUP BY m.h, m.ac, g.p),
+long1 AS (SELECT *, CASE WHEN an > 0 THEN CAST(eac AS DOUBLE) / an END AS eaf FROM long),
+long2 AS (SELECT *, CASE WHEN laf > 0 THEN eaf / laf END AS fp FROM long1),
+long3 AS (SELECT *, site * fp AS est, row_number() OVER (PARTITION BY h ORDER BY eaf DESC NULLS LAST, p) AS k FROM long2),
+metrics AS (SELECT h, ac, p AS max_pop, eaf, eac, laf, fp, est FROM long3 WHERE k = 1),
+kept AS (SELECT * FROM metrics WHERE laf > 0 AND est >= 0),
+texts AS (SELECT *, '-' || array_to_string(h, '-') || '-' AS t FROM kept),
+final AS (SELECT a.* FROM texts a WHERE NOT EXISTS (SELECT 1 FROM texts b WHERE b.ac = a.ac AND len(b.h) > len(a.h) AND contains(b.t, a.t)))
+"""
+WITH = f"WITH {BASE}"
+METRIC_COLUMNS = "array_to_string(h, '-') AS haplotype, array_to_string(ac, '-') AS per_pop_ac, max_pop, eaf AS empirical_af, eac AS empirical_ac, laf AS min_variant_frequency, fp AS fraction_phased, est AS estimated_af"
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parents = blocks.parent_blocks(model.carriers(spark, sf_dir), WINDOW)
+    return haplotypes.containment_ac(blocks.subfragments(parents), len(model.POPS))
+
+
+def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return haplotypes.component_metrics(_counted(spark, sf_dir), model.stats(spark, sf_dir), model.sites(spark))
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    return df.select(
+        _text("haplotype").alias("haplotype"),
+        _text("per_pop_AC").alias("per_pop_ac"),
+        "max_pop",
+        F.col("max_empirical_AF").alias("empirical_af"),
+        F.col("max_empirical_AC").alias("empirical_ac"),
+        "min_variant_frequency",
+        "fraction_phased",
+        F.col("estimated_gnomad_AF").alias("estimated_af"),
+    )
+
+
+@query(f"{WITH} SELECT {METRIC_COLUMNS} FROM final")
+def hap_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks, fragments, counts, metrics, threshold and redundancy in one plan."""
+    found = discovery.from_carriers(model.carriers(spark, sf_dir), model.stats(spark, sf_dir), model.sites(spark), len(model.POPS), WINDOW, 0.0)
+    return _shown(found)
+
+
+@query(f"{WITH} SELECT {METRIC_COLUMNS} FROM metrics WHERE laf > 0 AND est >= 0.005")
+def hap_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(haplotypes.at_threshold(_metrics(spark, sf_dir), 0.005))
+
+
+@query(f"{WITH} SELECT {METRIC_COLUMNS} FROM metrics")
+def component_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(_metrics(spark, sf_dir))
+
+
+@query(f"{WITH} SELECT array_to_string(h, '-') AS haplotype, string_agg(p, ',' ORDER BY eaf DESC NULLS LAST, p) AS pops FROM long2 GROUP BY h")
+def max_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Populations of each haplotype by empirical AF, missing last."""
+    pops = F.array_join(F.transform("all_pop_freqs", lambda f: f["pop"].cast("string")), ",")
+    return _metrics(spark, sf_dir).select(_text("haplotype").alias("haplotype"), pops.alias("pops"))
+
+
+@query(
+    f"""WITH v AS (SELECT v, 'chr' || (1 + v % 2) AS contig, CAST(100 + (v // 2) * 10 + (v % 7) * 9 AS INT) AS pos, CAST(1 + v % 4 AS INT) AS ref_len FROM range(200) t(v)),
+r AS (SELECT *, max(pos + ref_len) OVER (PARTITION BY contig ORDER BY pos, ref_len, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM v)
+SELECT v AS row_idx, contig, pos AS position, CAST(sum(CASE WHEN r IS NULL OR pos - r >= 8 THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY pos, ref_len, v ROWS UNBOUNDED PRECEDING) AS BIGINT) AS locus_group FROM r"""
+)
+def locus_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spread = model.variants(spark).withColumn("position", (F.col("position") + (F.col("row_idx") % 7) * 9).cast("int"))
+    return blocks.locus_groups(spread, 8).select("row_idx", "contig", "position", "locus_group")
+
+
+@query(f"SELECT * FROM ({SQL['locus_groups']}) x WHERE (SELECT 1) = 1 QUALIFY count(*) OVER (PARTITION BY contig, locus_group) > 1")
+def multi_member_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.multi_member_groups(locus_groups(spark, sf_dir)).select("row_idx", "contig", "position", "locus_group")
+
+
+@query(f"{WITH} SELECT s, p AS pop, strand, contig, block, array_to_string(parent, '-') AS parent FROM parents")
+def parent_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = blocks.parent_blocks(model.carriers(spark, sf_dir), WINDOW)
+    return found.select("s", "pop", "strand", "contig", "block", _text("parent").alias("parent"))
+
+
+@query(f"{WITH} SELECT s, p AS pop, strand, contig, array_to_string(h, '-') AS haplotype FROM frags")
+def subfragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = blocks.subfragments(blocks.parent_blocks(model.carriers(spark, sf_dir), WINDOW))
+    return found.select("s", "pop", "strand", "contig", _text("haplotype").alias("haplotype"))
+
+
+@query(f"{WITH} SELECT array_to_string(h, '-') AS haplotype, array_to_string(ac, '-') AS per_pop_ac FROM haps")
+def containment_ac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted(spark, sf_dir).select(_text("haplotype").alias("haplotype"), _text("per_pop_AC").alias("per_pop_ac"))
+
+
+@query(
+    f"""{WITH}, t AS (SELECT *, '-' || array_to_string(h, '-') || '-' AS t FROM haps)
+SELECT array_to_string(a.h, '-') AS haplotype, array_to_string(a.ac, '-') AS per_pop_ac FROM t a WHERE NOT EXISTS (SELECT 1 FROM t b WHERE b.ac = a.ac AND len(b.h) > len(a.h) AND contains(b.t, a.t))"""
+)
+def containment_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = haplotypes.without_contained(_counted(spark, sf_dir))
+    return found.select(_text("haplotype").alias("haplotype"), _text("per_pop_AC").alias("per_pop_ac"))
+
+
+@query(
+    """WITH e AS (SELECT l_partkey % 200 AS v, o_custkey % 2 = 1 AS male, l_linenumber % 2 AS a, CAST(l_quantity AS INT) % 2 AS b0 FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+c AS (SELECT v, CASE WHEN v % 2 = 0 THEN 'chrX' ELSE 'chr1' END AS contig, a, CASE WHEN v % 2 = 0 AND male THEN NULL ELSE b0 END AS b FROM e)
+SELECT v AS row_idx, contig, CAST(coalesce(sum(a), 0) + coalesce(sum(b), 0) AS BIGINT) AS ac, count(a) + count(b) AS an, count(*) FILTER (WHERE a = 1 AND b = 1) AS homozygotes,
+  CAST(coalesce(sum(a), 0) + coalesce(sum(b), 0) AS DOUBLE) / (count(a) + count(b)) AS af FROM c GROUP BY v, contig"""
+)
+def haploid_call_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls of males on chrX count one allele."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 2 == 1, "XY").otherwise("XX").alias("karyotype"))
+    lines = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    row = F.col("l_partkey") % 200
+    call = F.struct((F.col("l_linenumber") % 2).cast("tinyint").alias("a"), (F.col("l_quantity").cast("int") % 2).cast("tinyint").alias("b"))
+    contig = F.when(row % 2 == 0, "chrX").otherwise("chr1")
+    calls = lines.select(row.alias("row_idx"), contig.alias("contig"), genotypes.haploid_adjusted(contig, F.lit(50_000_000), call, F.col("karyotype")).alias("gt"))
+    out = genotypes.call_stats(calls, ["row_idx", "contig"])
+    return out.select("row_idx", "contig", F.col("AC").cast("long").alias("ac"), F.col("AN").alias("an"), F.col("homozygote_count").alias("homozygotes"), F.col("AF").alias("af"))
+
+
+@query(f"{WITH} SELECT v AS row_idx, p AS pop, count(*) AS n FROM carriers GROUP BY v, p")
+def entry_af_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.carriers(spark, sf_dir).groupBy("row_idx", "pop").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _filter_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    none = F.array().cast("array<string>")
+    exomes = F.when(k % 5 == 0, F.lit(None)).when(k % 5 == 1, none).when(k % 5 == 2, F.array(F.lit("AC0"))).when(k % 5 == 3, F.array(F.lit("AS_VQSR"))).otherwise(F.array(F.lit("AC0"), F.lit("AS_VQSR")))
+    genomes = F.when(k % 3 == 0, F.lit(None)).when(k % 3 == 1, none).otherwise(F.array(F.lit("AS_VQSR")))
+    return table(spark, sf_dir, "part").select("p_partkey", exomes.alias("exomes"), genomes.alias("genomes"))
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey % 3 <> 2")
+def site_pass_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filter_sets(spark, sf_dir).where(filters.passes(F.col("genomes"))).select("p_partkey")
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey % 3 <> 2 AND p_partkey % 5 < 3")
+def two_callset_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filter_sets(spark, sf_dir).where(filters.passes_both(F.col("exomes"), F.col("genomes"))).select("p_partkey")
+
+
+@query("SELECT v AS row_idx FROM (SELECT v, max(CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100) AS m FROM range(200) t(v), range(5) u(p) GROUP BY v) WHERE m >= 0.45")
+def max_population_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    freqs = model.sites(spark).groupBy("row_idx").agg(F.collect_list(F.struct(F.col("af").alias("AF"))).alias("f"))
+    return freqs.where(filters.max_population_at(F.col("f"), 0.45)).select("row_idx")
+
+
+#: Haplotypes of three alleles in a row, in both dialects.
+ALLELES_SQL = "a AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in model.ALLELES.items()) + " FROM range(200) t(v))"
+
+
+def _triples(spark: SparkSession, n: int = 3) -> DataFrame:
+    rows = model.alleles(spark)
+    order = Window.orderBy("row_idx")  # 200 rows
+    vs = [F.lead(F.struct("contig", "position", "ref", "alt"), k).over(order) for k in range(n)]
+    return rows.select("row_idx", F.array_compact(F.array(*vs)).alias("vs"))
+
+
+TRIPLES = f"""WITH {ALLELES_SQL},
+t AS (SELECT x.row_idx, y.row_idx AS k, y.position AS pos, y.ref, y.alt FROM a x JOIN a y ON y.row_idx BETWEEN x.row_idx AND x.row_idx + 2)"""
+
+
+@query(
+    f"""{TRIPLES} SELECT row_idx, CAST(min(pos) - 1 - 25 AS BIGINT) AS start, CAST(max(pos + length(ref)) - 1 + 25 AS BIGINT) AS "end" FROM t GROUP BY row_idx"""
+)
+def haplo_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start, end = V.coordinates(F.col("vs"), WINDOW)
+    return _triples(spark).select("row_idx", start.alias("start"), end.alias("end"))
+
+
+@query(f"WITH {ALLELES_SQL} SELECT x.row_idx, CAST(y.position - x.position - length(x.ref) AS INT) AS distance FROM a x JOIN a y ON y.row_idx = x.row_idx + 1")
+def variant_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _triples(spark, 2).where("size(vs) = 2")
+    return pairs.select("row_idx", V.distance(F.element_at("vs", 1), F.element_at("vs", 2)).alias("distance"))
+
+
+KIND = "CASE WHEN length({0}.ref) > length({0}.alt) THEN 'deletion' WHEN length({0}.ref) < length({0}.alt) THEN 'insertion' WHEN length({0}.ref) = 1 THEN 'snp' ELSE 'mnv' END"
+PAIR_REASONS = f"""{TRIPLES},
+p AS (SELECT x.row_idx, {KIND.format("x")} AS ka, {KIND.format("y")} AS kb FROM t x JOIN t y ON x.row_idx = y.row_idx AND x.k < y.k WHERE y.pos < x.pos + length(x.ref)),
+r AS (SELECT row_idx, CASE WHEN ka = 'deletion' THEN CASE kb WHEN 'snp' THEN 'snp_in_deletion' WHEN 'deletion' THEN 'overlapping_deletions' WHEN 'insertion' THEN 'insertion_in_deletion' ELSE 'other_overlap' END
+  WHEN ka = 'insertion' THEN 'insertion_anchor_conflict' ELSE 'other_overlap' END AS reason FROM p)"""
+EXTENDS = "SELECT row_idx, 'end_extends_past_rightmost_variant' AS reason FROM t GROUP BY row_idx HAVING max(pos + length(ref)) > max_by(pos + length(ref), pos)"
+
+
+@query(
+    f"""{PAIR_REASONS}, f AS (SELECT * FROM r UNION {EXTENDS}), g AS (SELECT row_idx, string_agg(reason, ';' ORDER BY reason) AS s FROM (SELECT DISTINCT row_idx, reason FROM f) GROUP BY row_idx)
+SELECT a.row_idx, coalesce(g.s, 'PASS') AS haplotype_filter FROM a LEFT JOIN g ON g.row_idx = a.row_idx"""
+)
+def compat_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _triples(spark).select("row_idx", V.haplotype_filter(F.col("vs")).alias("haplotype_filter"))
+
+
+@query(f"{TRIPLES} SELECT row_idx, max(pos + length(ref)) > max_by(pos + length(ref), pos) AS extends FROM t GROUP BY row_idx")
+def end_extends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _triples(spark).select("row_idx", V.end_extends(F.col("vs")).alias("extends"))
+
+
+@query(
+    """WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 80)
+SELECT doc_id, substr(text, 10, 10) || 'T' || substr(text, 21, 9) || 'GG' || substr(text, 33, 17) || 'A' || substr(text, 50, 10) AS sequence FROM d"""
+)
+def haplo_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each long text as a reference: a substitution at 20, a deletion of one base at 30 and an insertion before 50, flanks of 10."""
+    docs = table(spark, sf_dir, "documents").where(F.length("text") >= 80)
+    at = lambda p, n: F.substring("text", p, n)
+    vs = F.array(
+        V.variant(F.lit("c"), F.lit(20), at(20, 1), F.lit("T")),
+        V.variant(F.lit("c"), F.lit(30), at(30, 3), F.lit("GG")),
+        V.variant(F.lit("c"), F.lit(50), F.lit(""), F.lit("A")),
+    )
+    return docs.select("doc_id", V.compose(vs, 10, F.col("text"), F.lit(1)).alias("sequence"))
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Haplotypes of the pipeline and single sites as index entries."""
+    found = discovery.from_carriers(model.carriers(spark, sf_dir), model.stats(spark, sf_dir), model.sites(spark), len(model.POPS), WINDOW, 0.0)
+    freqs = model.sites(spark).groupBy("row_idx").agg(F.array_sort(F.collect_list(F.struct("pop", "af"))).alias("f"))
+    site = model.variants(spark).join(freqs, "row_idx").select(
+        "row_idx",
+        "contig",
+        "position",
+        F.repeat(F.lit("A"), "ref_len").alias("ref"),
+        F.lit("C").alias("alt"),
+        F.transform("f", lambda x: F.struct(F.lit(None).cast("int").alias("AC"), x["af"].alias("AF"), F.lit(None).cast("int").alias("AN"), F.lit(None).cast("int").alias("homozygote_count"))).alias("pop_freqs"),
+    )
+    members = found.select("haplotype", F.posexplode("haplotype").alias("k", "row_idx")).join(site, "row_idx")
+    listed = members.groupBy("haplotype").agg(F.array_sort(F.collect_list(F.struct("k", F.struct("contig", "position", "ref", "alt").alias("v"), "pop_freqs"))).alias("m"))
+    full = found.join(listed, "haplotype").withColumn("variants", F.transform("m", lambda x: x["v"])).withColumn("gnomad_freqs", F.transform("m", lambda x: x["pop_freqs"]))
+    joint = legends.joint(model.POPS[:3], model.POPS)
+    ours = index.haplotype_entries(full, model.POPS, model.POPS, joint)
+    return ours.unionByName(index.single_entries(site, model.POPS, joint))
+
+
+ENTRIES = f"""{WITH}, names AS (SELECT v, contig, pos, contig || ':' || pos || ':' || repeat('A', ref_len) || ':C' AS name FROM v),
+hx AS (SELECT h, max_pop, eaf, unnest(h) AS v, generate_subscripts(h, 1) AS k FROM final),
+ent AS (SELECT 'HGDP_haplotype' AS source, first(n.contig) AS contig, min(n.pos) AS pos, string_agg(n.name, ',' ORDER BY hx.k) AS variants, count(*) AS n_variants, first(hx.max_pop) AS max_pop, first(hx.eaf) AS eaf FROM hx JOIN names n ON n.v = hx.v GROUP BY hx.h
+UNION ALL SELECT 'gnomAD_variant', n.contig, n.pos, n.name, 1, arg_max(af.p, af.af * 10 - af.p * 0.00001), max(af.af) FROM names n JOIN af ON af.v = n.v GROUP BY n.contig, n.pos, n.name)"""
+
+
+@query(f"""{ENTRIES} SELECT source, contig, variants, CAST(n_variants AS BIGINT) AS n_variants, CAST(max_pop AS INT) AS max_pop, eaf AS empirical_af FROM ent""")
+def sequences_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _entries(spark, sf_dir)
+    return out.select(
+        "source",
+        F.element_at("variants", 1)["contig"].alias("contig"),
+        V.render_all(F.col("variants")).alias("variants"),
+        F.size("variants").cast("long").alias("n_variants"),
+        "max_pop",
+        F.col("popmax_empirical_AF").alias("empirical_af"),
+    )
+
+
+@query(
+    f"""{ENTRIES} SELECT variants, 'DR-2.0-' || (row_number() OVER (PARTITION BY contig ORDER BY pos, source, variants) - 1) AS sequence_id FROM ent"""
+)
+def sequence_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phaseloom.sources.fasta import row_numbers
+
+    named = _entries(spark, sf_dir).select(
+        "source",
+        F.element_at("variants", 1)["contig"].alias("contig"),
+        F.array_min(F.transform("variants", lambda v: v["position"])).alias("first"),
+        V.render_all(F.col("variants")).alias("variants"),
+    )
+    numbered = row_numbers(named, ["first", "source", "variants"])
+    return numbered.select("variants", F.concat(F.lit("DR-2.0-"), F.col("idx").cast("string")).alias("sequence_id"))
+
+
+@query(
+    """SELECT v AS row_idx, """
+    + ", ".join(f"max(CASE WHEN p = {k} THEN CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100 END) AS af_{p}" for k, p in enumerate(model.POPS))
+    + " FROM range(200) t(v), range(5) u(p) GROUP BY v"
+)
+def per_pop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A positional array spread into a column for each population of the legend."""
+    freqs = model.sites(spark).groupBy("row_idx").agg(F.array_sort(F.collect_list(F.struct("pop", "af"))).alias("f"))
+    return freqs.select("row_idx", *[F.get("f", F.lit(k))["af"].alias(f"af_{p}") for k, p in enumerate(model.POPS)])
+
+
+@query("SELECT p_partkey, list_extract([p_size, NULL, p_size + 2], 1) AS x0, CAST(NULL AS INT) AS x1, p_size + 2 AS x2, p_size + 1 AS x3 FROM part")
+def joint_legend_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of the second legend (a, d, c) in the joint legend's order (a, b, c, d); b has no value."""
+    joint = legends.joint(["a", "b", "c"], ["a", "d", "c"])
+    places = legends.positions(joint, ["a", "d", "c"])
+    own = F.array("p_size", F.col("p_size") + 1, F.col("p_size") + 2)
+    moved = [F.get(own, F.lit(k)) if k >= 0 else F.lit(None).cast("int") for k in places]
+    return table(spark, sf_dir, "part").select("p_partkey", *[m.alias(f"x{i}") for i, m in enumerate(moved)])
+
+
+#: Sequences of two variants each, for hits made from events: A>T at 500 + 10 k, CC>G five bases on; window 10.
+@query(
+    """WITH s AS (SELECT k, 'S' || k AS id, 500 + 10 * k AS p1, 505 + 10 * k AS p2 FROM range(20) t(k)),
+h AS (SELECT event_id, user_id % 20 AS k, CAST(event_id % 22 AS INT) AS a, CAST(event_id % 22 + 1 + user_id % 4 AS INT) AS b FROM events),
+j AS (SELECT event_id, p1, p2, a, b, a < 11 AND 10 < b AS m1, a < 16 AND 15 < b AS m2 FROM h JOIN s ON s.k = h.k)
+SELECT event_id,
+  CAST(CASE WHEN a < 10 THEN p1 - 10 + a WHEN a < 11 THEN p1 WHEN a < 15 THEN p1 + 1 + a - 11 WHEN a < 16 THEN p2 ELSE p2 + 2 + a - 16 END AS BIGINT) AS ref_start,
+  CAST(CASE WHEN b - 1 < 10 THEN p1 - 10 + b WHEN b < 11 THEN p1 + 1 WHEN b < 15 THEN p1 + 1 + b - 11 WHEN b < 16 THEN p2 + 2 ELSE p2 + 2 + b - 16 END AS BIGINT) AS ref_end,
+  CASE WHEN m1 AND m2 THEN 'chr1:' || p1 || ':A:T,chr1:' || p2 || ':CC:G' WHEN m1 THEN 'chr1:' || p1 || ':A:T' WHEN m2 THEN 'chr1:' || p2 || ':CC:G' ELSE '' END AS variants_involved,
+  CAST(m1 AS INT) + CAST(m2 AS INT) AS n_variants_involved FROM j"""
+)
+def remap_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = 500 + 10 * F.col("id")
+    names = F.concat(F.lit("chr1:"), p.cast("string"), F.lit(":A:T,chr1:"), (p + 5).cast("string"), F.lit(":CC:G"))
+    seqs = spark.range(20).select(
+        F.concat(F.lit("S"), F.col("id").cast("string")).alias("sequence_id"),
+        names.alias("variants"),
+        F.lit(0.1).alias("popmax_empirical_AF"),
+        F.lit(1).cast("long").alias("popmax_empirical_AC"),
+        F.lit("a").alias("max_pop"),
+        F.lit("x").alias("source"),
+    )
+    at = (F.col("event_id") % 22).cast("int")
+    hits = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.concat(F.lit("S"), (F.col("user_id") % 20).cast("string")).alias("chromosome"),
+        at.alias("coordinate_start"),
+        (at + 1 + F.col("user_id") % 4).cast("int").alias("coordinate_end"),
+        F.lit("+").alias("strand"),
+        F.lit("ACG-T").alias("padded_target"),
+        F.lit("ACGT").alias("unpadded_target_sequence"),
+    )
+    out = remap.remap(hits, seqs, 10, [])
+    return out.select("event_id", F.col("coordinate_start").alias("ref_start"), F.col("coordinate_end").alias("ref_end"), "variants_involved", "n_variants_involved")
+
+
+@query("SELECT p_partkey, p_brand FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
+def semi_join_referenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    used = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_brand").join(used, "p_partkey", "left_semi")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def anti_join_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_name").join(orders, "c_custkey", "left_anti")
+
+
+@query("SELECT p_partkey, p_name, l.n FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_discount > 0.08 GROUP BY l_partkey) l ON l.l_partkey = p_partkey")
+def left_join_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "lineitem").where("l_discount > 0.08D").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_name").join(n, "p_partkey", "left")
+
+
+def _catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two catalogs: haplotypes at 0 and at 0.002, the latter without those of population 4; counts are those of the best population."""
+    rows = _metrics(spark, sf_dir).where("min_variant_frequency > 0").select("haplotype", F.col("max_empirical_AC").alias("n"), "max_pop", "estimated_gnomad_AF")
+    old = rows.where("max_pop <> 4 AND estimated_gnomad_AF >= 0").select("haplotype", "n")
+    new = rows.where("estimated_gnomad_AF >= 0.002D").select("haplotype", (F.col("n") + F.size("haplotype") % 3 - 1).alias("n"))
+    return old, new
+
+
+CATALOGS = f"""{WITH}, o AS (SELECT h, eac AS n FROM metrics WHERE laf > 0 AND max_pop <> 4 AND est >= 0),
+w AS (SELECT h, eac + len(h) % 3 - 1 AS n FROM metrics WHERE laf > 0 AND est >= 0.002),
+cmp AS (SELECT coalesce(o.h, w.h) AS h, o.n AS a, w.n AS b FROM o FULL JOIN w ON o.h = w.h)"""
+
+
+@query(
+    f"""{CATALOGS} SELECT array_to_string(h, '-') AS haplotype, CAST(a AS BIGINT) AS old_count, CAST(b AS BIGINT) AS new_count, CASE WHEN a IS NULL THEN 'new_only' WHEN b IS NULL THEN 'old_only' ELSE 'shared' END AS status FROM cmp"""
+)
+def catalog_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = _catalogs(spark, sf_dir)
+    out = compare.overlap(old, new, "haplotype", "n")
+    return out.select(_text("haplotype").alias("haplotype"), "old_count", "new_count", "status")
+
+
+@query(
+    f"""{CATALOGS}, x AS (SELECT count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS shared, count(*) FILTER (WHERE b IS NULL) AS old_only, count(*) FILTER (WHERE a IS NULL) AS new_only,
+count(*) FILTER (WHERE a = b) AS count_same, count(*) FILTER (WHERE b > a) AS new_higher, count(*) FILTER (WHERE b < a) AS new_lower FROM cmp)
+UNPIVOT x ON shared, old_only, new_only, count_same, new_higher, new_lower INTO NAME metric VALUE value"""
+)
+def ac_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = _catalogs(spark, sf_dir)
+    return compare.count_changes(compare.overlap(old, new, "haplotype", "n"))
+
+
+@query(
+    f"""{CATALOGS}, m AS (SELECT DISTINCT unnest(h) AS v FROM o), n AS (SELECT h, unnest(h) AS v FROM w WHERE h NOT IN (SELECT h FROM o)),
+g AS (SELECT n.h, count(m.v) AS k, count(*) AS c FROM n LEFT JOIN m ON m.v = n.v GROUP BY n.h)
+SELECT array_to_string(h, '-') AS haplotype, CASE WHEN k = c THEN 'all_in_old' WHEN k = 0 THEN 'novel' ELSE 'mixed' END AS composition, CAST(len(h) AS INT) AS length FROM g"""
+)
+def new_only_decomposition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = _catalogs(spark, sf_dir)
+    members = old.select(F.explode("haplotype").alias("member"))
+    out = compare.composition(new.join(old, "haplotype", "left_anti"), members)
+    return out.select(_text("haplotype").alias("haplotype"), "composition", "length")
+
+
+@query(
+    f"""{CATALOGS}, t AS (SELECT w.h, '-' || array_to_string(w.h, '-') || '-' AS t, o.h IS NOT NULL AS in_old FROM w LEFT JOIN o ON o.h = w.h),
+q AS (SELECT h, '-' || array_to_string(h, '-') || '-' AS t FROM o WHERE h NOT IN (SELECT h FROM w))
+SELECT array_to_string(q.h, '-') AS haplotype, coalesce(bool_or(t.in_old), false) AS in_both, coalesce(bool_or(NOT t.in_old), false) AS in_new_only FROM q LEFT JOIN t ON len(t.h) > len(q.h) AND contains(t.t, q.t) GROUP BY q.h"""
+)
+def old_only_enclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = _catalogs(spark, sf_dir)
+    out = compare.enclosed(old.join(new, "haplotype", "left_anti"), old, new)
+    return out.select(_text("haplotype").alias("haplotype"), "in_both", "in_new_only")
+
+
+@query(
+    """WITH f AS (SELECT v, p, CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100 AS a, CAST((v * 7 + p * 13 + v % 3) % 50 AS DOUBLE) / 100 AS b FROM range(200) t(v), range(5) u(p))
+SELECT v AS row_idx, CASE p WHEN 0 THEN 'africa' WHEN 1 THEN 'america' WHEN 2 THEN 'asia' WHEN 3 THEN 'europe' ELSE 'mideast' END AS pop, a AS old_af, b AS new_af FROM f WHERE abs(b - a) >= 0.001"""
+)
+def release_af_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    af = lambda k, more: ((F.col("id") * 7 + k * 13 + more) % 50).cast("double") / 100
+    release = lambda more: spark.range(200).select(F.col("id").alias("row_idx"), *[af(k, more).alias(f"af_{p}") for k, p in enumerate(model.POPS)])
+    return compare.frequency_changes(release(F.lit(0)), release(F.col("id") % 3), "row_idx", model.POPS)
+
+
+@query(
+    """SELECT CASE WHEN l_returnflag = 'N' AND l_linenumber > 5 THEN 'not in release' WHEN CAST(l_quantity AS INT) % 10 = 0 THEN 'AC is 0' WHEN l_linestatus = 'O' AND l_linenumber = 2 THEN 'filtered'
+  WHEN l_discount < 0.03 THEN 'below threshold' ELSE 'unexpected pass' END AS bucket, count(*) AS n FROM lineitem GROUP BY 1"""
+)
+def exclusion_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 2), F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    bucket = compare.exclusion_bucket(
+        ~((F.col("l_returnflag") == "N") & (F.col("l_linenumber") > 5)), F.col("l_quantity").cast("int") % 10, flags, F.col("l_discount"), 0.03
+    )
+    return table(spark, sf_dir, "lineitem").groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT count(*) FILTER (WHERE l_quantity < 10) AS low, count(*) FILTER (WHERE l_quantity >= 10 AND l_quantity < 30) AS middle, count(*) FILTER (WHERE l_quantity >= 30) AS high FROM lineitem")
+def an_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = F.col("l_quantity")
+    return table(spark, sf_dir, "lineitem").agg(F.count_if(q < 10).alias("low"), F.count_if((q >= 10) & (q < 30)).alias("middle"), F.count_if(q >= 30).alias("high"))
+
+
+@query(
+    """WITH s AS (SELECT l_returnflag, l_linestatus, list(l_quantity ORDER BY l_quantity) AS q FROM lineitem GROUP BY 1, 2)
+SELECT l_returnflag, l_linestatus, q[len(q) // 10 + 1] AS p10, q[len(q) // 2 + 1] AS p50, q[least(len(q) - 1, len(q) * 9 // 10) + 1] AS p90 FROM s"""
+)
+def nearest_rank_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.nearest_rank(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_quantity")
+
+
+@query("SELECT p AS pop, CAST(af // 0.1 AS INT) AS bin, count(*) AS n FROM (SELECT v, CAST(p AS INT) AS p, CAST((v * 7 + p * 13) % 50 AS INT) AS af FROM range(200) t(v), range(5) u(p)) GROUP BY 1, 2".replace("CAST(af // 0.1 AS INT)", "CAST(af // 10 + 1 AS INT)"))
+def histogram_af(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = model.sites(spark).withColumn("af", F.round(F.col("af") * 100))
+    return compare.histogram(whole, ["pop"], "af", 0, 50, 5).select("pop", F.col("bin").cast("int").alias("bin"), "n")
+
+
+@query("SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_returnflag NOT IN ('A') GROUP BY 1")
+def not_in_keeping_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = table(spark, sf_dir, "lineitem").where(filters.not_in(F.col("l_returnflag"), ["A"]))
+    return kept.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, 1 LIMIT 3")
+def most_common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.desc("n"), "o_orderpriority").limit(3)
+
+
+@query("SELECT o_custkey, max(o_totalprice) AS o_totalprice, count(*) AS n_rows FROM orders GROUP BY 1")
+def catalog_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.catalog(table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice")
+
+
+@query(
+    """WITH c AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_nationkey % 2 = 0 THEN 'XX' ELSE 'XY' END AS k FROM customer),
+r AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment, k ORDER BY md5('0:' || c_custkey), c_custkey) AS n FROM c) SELECT CAST(c_custkey AS VARCHAR) AS s, c_mktsegment AS pop, k AS sex_karyotype FROM r WHERE n <= 5"""
+)
+def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phaseloom.plans.extract import stratified_sample as sample
+
+    people = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("s"), F.col("c_mktsegment").alias("pop"), F.when(F.col("c_nationkey") % 2 == 0, "XX").otherwise("XY").alias("sex_karyotype")
+    )
+    segments = [r[0] for r in people.select("pop").distinct().collect()]  # five market segments
+    return sample(people, {(p, k): 5 for p in segments for k in ("XX", "XY")}).select("s", "pop", "sex_karyotype")
+
+
+@query("SELECT '>DR-2.0-' || doc_id || chr(10) || text AS record FROM documents")
+def fasta_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from phaseloom.sources.fasta import records
+
+    rows = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("DR-2.0-"), F.col("doc_id").cast("string")).alias("sequence_id"), F.col("text").alias("sequence"), F.col("doc_id").alias("start")
+    )
+    return records(rows)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'NA' ELSE c_mktsegment END AS af, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_nationkey END AS n FROM customer")
+def tsv_roundtrip_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written with NA for missing values and read again with types; the text column keeps NA."""
+    import uuid
+
+    from phaseloom.sources.tables import read_tsv, write_tsv
+
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("af"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_nationkey")).alias("n")
+    )
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/tsv-{uuid.uuid4().hex}"
+    write_tsv(rows, path, one_file=False)
+    return read_tsv(spark, path, "c_custkey long, af string, n int", keep_na=("af",))
+
+
+@query(
+    """WITH e AS (SELECT user_id, epoch_us(ts) // 1000000 AS t, event_id FROM events), g AS (SELECT *, lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) AS p FROM e),
+s AS (SELECT *, sum(CASE WHEN p IS NULL OR t - p >= 3600 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, count(*) AS n, min(t) AS first_s, max(t) AS last_s FROM s GROUP BY user_id, k"""
+)
+def session_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time-axis twin of parent blocks: events less than an hour apart."""
+    from phaseloom.streaming.sessions import sessions
+
+    out = sessions(table(spark, sf_dir, "events"), "1 hour")
+    return out.select("user_id", "n", F.unix_seconds("first_ts").alias("first_s"), F.unix_seconds("last_ts").alias("last_s"))
