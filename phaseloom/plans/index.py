@@ -89,7 +89,8 @@ def sequences(entries: DataFrame, reference: DataFrame, joint: list[str], window
     based = with_bases(placed.withColumn("_from", F.col("start") + 1).withColumn("_to", F.col("end")), reference, "_from", "_to", chunk)
     by_pop = F.map_from_entries(F.transform("all_pop_freqs", lambda f: F.struct(f["pop"], f)))
     rows = based.withColumn("sequence", compose(F.col("variants"), window, F.col("base"), F.col("base_start"))).withColumn("_by", by_pop)
-    cells = [af_text(F.transform("afs", lambda a, k=k: F.get(a, F.lit(k)))).alias(f"gnomAD_AF_{p}") for k, p in enumerate(joint)]
+    of = lambda k: F.transform("afs", lambda a: F.get(a, F.lit(k)))
+    cells = [af_text(of(k)).alias(f"gnomAD_AF_{p}") for k, p in enumerate(joint)]
     for k, p in enumerate(joint):
         f = F.try_element_at("_by", F.lit(k))
         cells += [
@@ -99,11 +100,12 @@ def sequences(entries: DataFrame, reference: DataFrame, joint: list[str], window
             f["estimated_gnomad_AF"].alias(f"estimated_gnomAD_haplotype_AF_{p}"),
         ]
     one = (F.col("source") == SINGLE) | (F.size("variants") < 2)
+    rows = rows.withColumn("_n", F.size("variants")).withColumn("_filter", F.when(one, "PASS").otherwise(haplotype_filter(F.col("variants"))))
     return rows.select(
         "sequence",
         F.length("sequence").cast("long").alias("sequence_length"),
         F.concat(F.lit(f"DR-{version}-"), F.col("idx").cast("string")).alias("sequence_id"),
-        F.size("variants").cast("long").alias("n_variants"),
+        F.col("_n").cast("long").alias("n_variants"),
         "contig",
         "start",
         "end",
@@ -115,7 +117,7 @@ def sequences(entries: DataFrame, reference: DataFrame, joint: list[str], window
         F.get(F.array(*[F.lit(p) for p in joint]), F.col("max_pop")).alias("max_pop"),
         F.col("_names").alias("variants"),
         *cells,
-        F.when(one, "PASS").otherwise(haplotype_filter(F.col("variants"))).alias("haplotype_filter"),
+        F.col("_filter").alias("haplotype_filter"),
     )
 
 

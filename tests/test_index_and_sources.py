@@ -1,0 +1,189 @@
+"""Index life cycle, exports, readers and extraction."""
+
+import gzip
+
+import pytest
+from pyspark.sql import functions as F
+
+from phaseloom import legends, session
+from phaseloom.plans import compare, extract, index
+from phaseloom.plans.discovery import discover
+from phaseloom.schemas import CALL_STATS, VARIANT
+from phaseloom.sources import fasta, tables, vcf
+
+POPS = ["afr", "eas"]
+SITE = f"contig string, position int, ref string, alt string, pop_freqs array<{CALL_STATS}>"
+
+
+def test_legends():
+    assert legends.joint(["a", "b"], ["b", "c"]) == ["a", "b", "c"]
+    assert legends.positions(["a", "c", "b"], ["b", "a"]) == [1, -1, 0]
+    assert legends.agreed({"chr1": ["a"], "chrY": None}) == ["a"]
+    with pytest.raises(ValueError, match="differ"):
+        legends.agreed({"chr1": ["a", "b"], "chr2": ["b", "a"]})
+    meta = [{"group": "raw"}, {"group": "adj"}, {"group": "adj", "pop": "eas"}, {"group": "adj", "pop": "afr", "sex": "XX"}, {"group": "adj", "pop": "afr"}]
+    assert legends.frequency_index(meta, "pop", POPS) == [4, 2]
+    with pytest.raises(ValueError, match="nfe"):
+        legends.frequency_index(meta, "pop", ["nfe"])
+
+
+def test_memory_is_checked():
+    with pytest.raises(ValueError, match="driver_gb"):
+        session.session(driver_gb=0)
+
+
+@pytest.fixture(scope="module")
+def reference(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("fa") / "r.fa"
+    seq = ("ACGTTGCA" * 40)[:300]
+    path.write_text(">chr1 one\n" + "\n".join(seq[k : k + 70] for k in range(0, 300, 70)) + "\n>chr2\nacgt\n")
+    return path, seq, fasta.read_fasta(spark, str(path), chunk=32)
+
+
+def test_fasta(spark, reference):
+    path, seq, ref = reference
+    assert ref.where("contig = 'chr2'").select("chunk", "seq").collect() == [(0, "ACGT")]
+    assert "".join(r["seq"] for r in ref.where("contig = 'chr1'").orderBy("chunk").collect()) == seq
+    assert fasta.index_of(path) == [("chr1", 300, 10, 70, 71), ("chr2", 4, 321, 4, 5)]
+    rows = spark.createDataFrame([(0, "chr1", 30, 70), (1, "chr1", 1, 5)], "row_id long, contig string, a int, b int")
+    out = {r["row_id"]: r for r in fasta.with_bases(rows, ref, "a", "b", 32).collect()}
+    assert seq[29:70] in out[0]["base"] and out[0]["base_start"] == 1
+    assert out[1]["base"] == seq[:32]
+
+
+def _entries(spark):
+    stats = lambda ac, af: (ac, af, 100, 0)
+    sites = spark.createDataFrame([("chr1", 100, "A", "T", [stats(5, 0.05), stats(7, 0.07)]), ("chr1", 140, "C", "G", [stats(4, 0.04), None])], SITE)
+    haps = spark.createDataFrame(
+        [([("chr1", 100, "A", "T"), ("chr1", 110, "AC", "A")], [[stats(5, 0.05), stats(7, 0.07)], [stats(4, 0.04), None]], 0, 0.03, 3, 0.6, 0.02, [(0, 3, 0.03, 0.6, 0.02)])],
+        f"variants array<{VARIANT}>, gnomad_freqs array<array<{CALL_STATS}>>, max_pop int, max_empirical_AF double, max_empirical_AC bigint, fraction_phased double, "
+        "estimated_gnomad_AF double, all_pop_freqs array<struct<pop:int,empirical_AC:bigint,empirical_AF:double,fraction_phased:double,estimated_gnomad_AF:double>>",
+    )
+    joint = legends.joint(["eas"], POPS)
+    return index.haplotype_entries(haps, ["eas"], POPS, joint).unionByName(index.single_entries(sites, POPS, joint))
+
+
+def test_index(spark, reference, tmp_path):
+    _, seq, ref = reference
+    ix = index.Index(spark, f"file://{tmp_path / 'ix'}")
+    with pytest.raises(RuntimeError, match="no index metadata"):
+        ix.meta()
+    ix.create("2.0", 5, {"chr1": ["eas"]}, {"chr1": POPS})
+    with pytest.raises(FileExistsError):
+        ix.create("2.0", 5, {"chr1": ["eas"]}, {"chr1": POPS})
+    ix.create("2.0", 5, {"chr1": ["eas"]}, {"chr1": POPS}, force=True)
+    assert ix.legend("joint_pops_legend") == ["eas", "afr"]
+    with pytest.raises(ValueError, match="no legend"):
+        ix.legend("window_size")
+    with pytest.raises(ValueError, match="no sequences"):
+        ix.finalize()
+    with pytest.raises(ValueError, match="window size 5"):
+        ix.append("chr1", _entries(spark), ref, 6)
+    with pytest.raises(ValueError, match="differ"):
+        ix.append("chr1", _entries(spark), ref, 5, haplotype_pops=["afr"])
+    broken = _entries(spark).withColumn("max_pop", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        ix.append("chr1", broken, ref, 5, chunk=32)
+    assert ix.count() == 0
+    assert ix.append("chr1", _entries(spark), ref, 5, ["eas"], POPS, chunk=32) == 3
+    with pytest.raises(ValueError, match="already"):
+        ix.append("chr1", _entries(spark), ref, 5, chunk=32)
+    rows = ix.sequences().orderBy("sequence_id").collect()
+    assert [(r["sequence_id"], r["source"]) for r in rows] == [("DR-2.0-0", index.HAPLOTYPE), ("DR-2.0-1", index.SINGLE), ("DR-2.0-2", index.SINGLE)]
+    hap = rows[0]
+    assert (hap["start"], hap["end"], hap["max_pop"], hap["variants"]) == (94, 116, "eas", "chr1:100:A:T,chr1:110:AC:A")
+    assert hap["sequence"] == seq[94:99] + "T" + seq[100:109] + "A" + seq[111:116]
+    assert (hap["gnomAD_AF_afr"], hap["gnomAD_AF_eas"]) == ("0.05000,0.04000", "0.07000,NA")
+    assert hap["empirical_AC_afr"] is None and hap["empirical_AC_eas"] == 3 and hap["haplotype_filter"] == "PASS"
+    assert rows[2]["gnomAD_AF_eas"] == "NA" and rows[1]["max_pop"] == "eas" and rows[1]["popmax_empirical_AC"] == 7
+    ix.finalize()
+    ix.finalize()
+    files = ix.export_fasta(["chr1"], str(tmp_path / "out"))
+    assert files[0].read_text().splitlines()[:2] == [">DR-2.0-0", hap["sequence"]]
+    with pytest.warns(UserWarning, match="chr9"):
+        assert ix.export_fasta(["chr9"], str(tmp_path / "out"))[0].read_text() == ""
+    with pytest.raises(ValueError, match="no contigs"):
+        ix.export_fasta([], str(tmp_path / "out"))
+    assert index.find_index(str(tmp_path)) == str(tmp_path / "ix")
+
+
+def test_vcf_to_haplotypes(spark, tmp_path):
+    path = tmp_path / "a.vcf.gz"
+    head = "##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts0\ts1\n"
+    body = "chr1\t100\t.\tA\tT\t.\t.\t.\tGT\t1|1\t0|1\nchr1\t110\t.\tA\tT\t.\t.\t.\tGT:X\t1|0:3\t.|1:4\nchr1\t120\t.\tA\tT,C\t.\t.\t.\tGT\t0|0\t0|0\nchrX\t5\t.\tA\tT\t.\t.\t.\tGT\t1\t.\n"
+    path.write_bytes(gzip.compress((head + body).encode()))
+    rows, samples = vcf.read_vcf(spark, str(path), 2)
+    gt = {(r["contig"], r["position"]): [tuple(c) for c in r["gt"]] for r in rows.collect()}
+    assert gt == {("chr1", 100): [(1, 1), (0, 1)], ("chr1", 110): [(1, 0), (None, 1)], ("chrX", 5): [(1, None), (None, None)]}
+    people = samples.withColumn("pop", F.lit("afr")).withColumn("sex_karyotype", F.lit("XX"))
+    sites = spark.createDataFrame([("chr1", p, "A", "T", [(1, 0.5, 4, 0)]) for p in (100, 110)], SITE)
+    found = discover(rows, people, sites, ["afr"], 25, 0.1, 0.0).collect()
+    assert [(list(r["haplotype"]), list(r["per_pop_AC"])) for r in found] == [([0, 1], [2])]
+
+
+def test_tsv(spark, tmp_path):
+    df = spark.createDataFrame([(1, "0.04000,NA", None), (2, None, 3)], "k long, af string, n int")
+    tables.write_tsv(df, str(tmp_path / "t"))
+    out = tables.read_tsv(spark, str(tmp_path / "t"), "k long, af string, n int", keep_na=("af",)).orderBy("k").collect()
+    assert [tuple(r) for r in out] == [(1, "0.04000,NA", None), (2, "NA", 3)]
+    tables.write_tsv(df.limit(0), str(tmp_path / "e"))
+    assert tables.read_tsv(spark, str(tmp_path / "e"), "k long, af string, n int").count() == 0
+    (tmp_path / "pairs.tsv").write_text("contig\thaplotype_table\tsites_table\nchr1\th\ts\nchrY\t\ty\n")
+    assert tables.read_table_pairs(spark, str(tmp_path / "pairs.tsv")) == [("chr1", "h", "s"), ("chrY", None, "y")]
+    with pytest.raises(ValueError, match="missing columns"):
+        tables.checked(df, ["x"])
+
+
+def test_interval(spark):
+    df = spark.createDataFrame([("chr1", 5), ("chr1", 9), ("chr2", 5)], "contig string, position int")
+    assert df.where(tables.in_interval("chr1")).count() == 2
+    assert df.where(tables.in_interval("chr1:6-9")).count() == 1
+    with pytest.raises(ValueError, match="not an interval"):
+        tables.in_interval("chr1:x")
+
+
+def test_extract(spark):
+    meta = [{"group": "adj"}, {"group": "adj", "pop": "eas"}, {"group": "adj", "pop": "afr"}]
+    row = lambda p, f, af: ("chr1", p, "A", "T", f, [(0, 0.0, 0, 0), (1, af, 10, 0), (2, None, 10, 0)])
+    df = spark.createDataFrame(
+        [row(1, [], 0.2), row(2, None, 0.2), row(3, ["AC0"], 0.2), row(4, [], 0.001), row(5, [], None)],
+        f"contig string, position int, ref string, alt string, filters array<string>, gnomad_freq array<{CALL_STATS}>",
+    )
+    sites = extract.extract_sites(df, meta, POPS, "chr1", 0.01).orderBy("position").collect()
+    assert [r["position"] for r in sites] == [1, 2] and sites[0]["pop_freqs"][1]["AF"] == 0.2
+    assert extract.extract_sites(df, meta, POPS, "chr1", 0.0).count() == 3  # a site without any frequency goes
+    best = F.struct(F.lit(1).alias("AC"), F.lit(0.2).alias("AF"), F.lit(10).alias("AN"), F.lit("eas").alias("pop"))
+    table = df.withColumn("freq", F.col("gnomad_freq")).withColumn("popmax", best)
+    release = extract.RELEASES["genomes"]
+    singles = extract.extract_single(table, meta, release, POPS, "chr1")
+    assert singles.count() == 4 and extract.extract_single(table, meta, release, POPS, "chr1", apply_filters=False).count() == 5
+    assert extract.single_tsv(singles, POPS).orderBy("variant").first()["variant"] == "chr1:1:A:T"
+
+
+def test_stratified_sample(spark):
+    df = spark.createDataFrame([(f"s{k}", "afr", "XX" if k % 2 else "XY") for k in range(10)], "s string, pop string, sex_karyotype string")
+    picked = extract.stratified_sample(df, {("afr", "XX"): 3, ("afr", "XY"): 1}, seed=4)
+    assert {r["sex_karyotype"]: r["count"] for r in picked.groupBy("sex_karyotype").count().collect()} == {"XX": 3, "XY": 1}
+    with pytest.raises(ValueError, match="too few"):
+        extract.stratified_sample(df, {("afr", "XX"): 6})
+
+
+def test_threshold_edge(spark):
+    parents = spark.createDataFrame([([1, 2, 3],), ([1, 2, 3, 4],), ([2, 1, 3],)], "parent array<bigint>")
+    out = {tuple(r["haplotype"]): r["n_blocks"] for r in compare.threshold_edge(parents, [1, 2]).collect()}
+    assert out == {(1, 2, 3): 2, (1, 2, 3, 4): 1}
+
+
+def test_session_stream_equals_batch(spark, tmp_path):
+    from conftest import SF
+
+    from phaseloom.streaming.sessions import sessions
+
+    batch = {tuple(r) for r in sessions(spark.read.parquet(f"{SF}/events.parquet"), "1 hour").collect()}
+    (tmp_path / "in").mkdir()
+    spark.read.parquet(f"{SF}/events.parquet").repartition(2).write.parquet(str(tmp_path / "in" / "a"))
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+    stream = sessions(spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "a")), "1 hour", "3650 days")
+    q = stream.writeStream.format("memory").queryName("sess").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert {tuple(r) for r in spark.table("sess").collect()} == batch
