@@ -17,6 +17,8 @@ from phaseloom.llm.tokens import blocks
 
 #: Node ids up to this many (8 bytes each) are broadcast to find their texts; beyond it the join is shuffled.
 BROADCAST_NODES = 2_000_000
+BLOCK = 1 << 20  # bytes of text that are shingled at a time
+SKETCH = 1 << 20  # counters of the shingle frequencies that order the prefix filter
 
 
 @dataclass(frozen=True)
@@ -56,7 +58,7 @@ def signed(docs: DataFrame, near: Near) -> DataFrame:
     """doc_id, n_shingles, set_digest, bands and signature (8 bits a value) of every whole text; nulls where the set is empty."""
 
     def sign(batches):
-        for b in blocks(batches, "text"):
+        for b in blocks(batches, "text", BLOCK):
             sets = shingle_sets(b.column("text"), near.width)
             full = [k for k, s in enumerate(sets) if len(s)]
             keys: list = [None] * len(sets)
@@ -104,7 +106,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
     """Shingle sets of the wanted nodes (a column doc_id), from their whole texts."""
 
     def sets(batches):
-        for b in blocks(batches, "text"):
+        for b in blocks(batches, "text", BLOCK):
             own = shingle_sets(b.column("text"), near.width)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.tobytes() for s in own], pa.binary())], ["node", "shingles"])
 
@@ -132,6 +134,53 @@ def _linked(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     return both.mapInArrow(confirm, "a long, b long")
 
 
+def _by_prefix(labelled: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """All pairs (a, b) of nodes with different labels that can be linked, by their rarest shingles: none is missed.
+
+    Sets are sorted by one order of shingles, rare ones first (as a sketch of fixed size counts them; any order is
+    right). Linked sets of n shingles share one among the first n - ceil(n * s) + 1, and its places leave room for
+    the overlap that is needed. Of a shingle's nodes those of its most frequent label only meet the others.
+    """
+    shift = np.uint64(64 - SKETCH.bit_length() + 1)
+
+    def counted(batches):
+        for b in batches:
+            at = np.frombuffer(b"".join(b.column("shingles").to_pylist()), np.uint64) >> shift
+            slot, n = np.unique(at.astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n.astype(np.int64))], ["slot", "n"])
+
+    sums = sets.select("shingles").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SKETCH, np.int64)
+    counts[sums["slot"].to_numpy()] = sums["n"].to_numpy()
+    rarity = labelled.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
+
+    def prefixes(batches):
+        for b in batches:
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for node, label, data in zip(*(b.column(c).to_pylist() for c in ("node", "label", "shingles")), strict=True):
+                own = np.frombuffer(data, np.uint64)
+                n = len(own)
+                first = n + (-near.percent * n // 100) + 1
+                own = own[np.lexsort((own, rarity.value[(own >> shift).astype(np.int64)]))[:first]].astype(np.int64)
+                for col, v in zip(out, (own, np.full(first, node), np.full(first, label), np.full(first, n), np.arange(first)), strict=True):
+                    col.append(v)
+            cols = [pa.array(np.concatenate([*c, np.zeros(0, np.int64)]).astype(np.int64)) for c in out]
+            yield pa.RecordBatch.from_arrays(cols, ["shingle", "node", "label", "n", "pos"])
+
+    rows = labelled.join(sets, "node").mapInArrow(prefixes, "shingle long, node long, label long, n long, pos long")
+    rows = stored(rows, "near-prefixes")
+    sizes = rows.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("shingle").agg(F.max(F.struct("k", "label")).alias("m"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    main = main.select("shingle", F.col("m.label").alias("main"))
+    met = stored(rows.join(main, "shingle"), "near-met")
+    x = met.where("label <> main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "pos")])
+    y = met.select(F.col("shingle").alias("y_shingle"), *[F.col(c).alias(f"y_{c}") for c in ("node", "label", "n", "pos")])
+    room = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos")) * (100 + near.percent)
+    fits = (F.col("x_label") != F.col("y_label")) & (room >= near.percent * (F.col("x_n") + F.col("y_n")))
+    pairs = x.join(y, (F.col("shingle") == F.col("y_shingle")) & fits)
+    return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
     """The links among candidate pairs (a, b), stored."""
     likely = stored(_likely(pairs, nodes, near), "near-likely")
@@ -144,9 +193,10 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
 
     Rows with equal shingle sets are one class, named by its smallest doc_id, so copies make no pairs. Classes that
     share a band's key are candidates. In each such bucket all classes are first compared to its smallest and its
-    largest member; what is linked by then needs no more comparing. Buckets whose members are still in several
-    components give the pairs between components, within the sizes that the threshold allows. Every pair goes
-    through Bayesian pruning by signature batches, and the survivors' full sets decide.
+    largest member; what is linked by then needs no more comparing. Where a bucket's members are still in several
+    components, the pairs between components come from an exact prefix filter over the members' rarest shingles
+    instead of all pairs of the bucket. Every pair goes through Bayesian pruning by signature batches, and the
+    survivors' full sets decide.
 
     A null or empty text, or one without words, has an empty set and is linked with nothing. Rows of one doc_id
     count as linked when any of them is; a null doc_id is named by its class, and kept only if its class has no
@@ -172,15 +222,13 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     tried = stored(star[0].unionByName(star[1]).distinct(), "near-stars")
     links = confirmed(tried, nodes, docs, near)
     labels = components(links)
-    seen = shared.select("key", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    seen = shared.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     seen = stored(seen, "near-labelled")
     open_ = seen.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    rest = stored(seen.join(open_, "key", "left_semi"), "near-open")
-    x = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    y = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    cross = x.join(y, (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fits(F.col("na"), F.col("nb")))
-    more = stored(cross.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "near-cross")
-    if not more.isEmpty():
+    rest = stored(seen.join(open_, "key", "left_semi").select("node", "label").distinct(), "near-open")
+    if not rest.isEmpty():
+        sets = _sets_of(docs, rest.select(F.col("node").alias("doc_id")), near)
+        more = stored(_by_prefix(rest, sets, near).join(tried, ["a", "b"], "left_anti"), "near-cross")
         links = links.unionByName(confirmed(more, nodes, docs, near))
         labels = components(links)
     named = classes.select("set_digest", F.col("doc_id").alias("node")).join(labels, "node", "left")
