@@ -45,6 +45,7 @@ def _hashes(key: Column) -> Column:
 
 @dataclass(frozen=True)
 class Level:
+    number: int  # each level hashes in its own way, or what one lets through the next might again
     bits: int
     probes: int
     data: bytes
@@ -52,13 +53,15 @@ class Level:
     def has(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         words = np.frombuffer(self.data, np.uint8)
         found = np.ones(len(h1), bool)
-        for at in _places(h1, h2, self.bits, self.probes):
+        for at in _places(h1, h2, self.number, self.bits, self.probes):
             found &= (words[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         return found
 
 
-def _places(h1: np.ndarray, h2: np.ndarray, bits: int, probes: int):
-    a, b = h1.astype(np.int64).view(np.uint64), h2.astype(np.int64).view(np.uint64) | np.uint64(1)
+def _places(h1: np.ndarray, h2: np.ndarray, number: int, bits: int, probes: int):
+    salt = np.uint64(0x9E3779B97F4A7C15 * (number + 1) & (2**64 - 1))
+    a, b = ((h.astype(np.int64).view(np.uint64) ^ salt) * np.uint64(0xBF58476D1CE4E5B9) for h in (h1, h2))
+    a, b = a ^ (a >> np.uint64(31)), (b ^ (b >> np.uint64(29))) | np.uint64(1)
     for k in range(probes):
         yield ((a + np.uint64(k) * b) % np.uint64(bits)).astype(np.int64)
 
@@ -74,14 +77,14 @@ def cascade_has(levels: list[Level], h1: np.ndarray, h2: np.ndarray) -> np.ndarr
     return answer
 
 
-def _encode(keys: DataFrame, n: int, per_key: int) -> Level:
+def _encode(keys: DataFrame, number: int, n: int, per_key: int) -> Level:
     """A Bloom filter of n keys (h1, h2): tasks emit the distinct bytes that they set, which are or-ed by place."""
     bits = max(64, n * per_key)
     probes = max(1, round(per_key * 0.7))
 
     def places(batches):
         for pdf in batches:
-            at = np.concatenate(list(_places(pdf["h1"].to_numpy(), pdf["h2"].to_numpy(), bits, probes))) if len(pdf) else np.zeros(0, np.int64)
+            at = np.concatenate(list(_places(pdf["h1"].to_numpy(), pdf["h2"].to_numpy(), number, bits, probes))) if len(pdf) else np.zeros(0, np.int64)
             at = np.unique(at)
             byte, value = at >> 3, (1 << (at & 7)).astype(np.int64)
             starts = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]])) if len(byte) else byte
@@ -90,7 +93,7 @@ def _encode(keys: DataFrame, n: int, per_key: int) -> Level:
     found = keys.mapInPandas(places, "at long, v long").groupBy("at").agg(F.bit_or("v").alias("v")).toPandas()
     data = np.zeros((bits + 7) // 8, np.uint8)
     data[found["at"].to_numpy(np.int64)] = found["v"].to_numpy(np.int64).astype(np.uint8)
-    return Level(bits, probes, data.tobytes())
+    return Level(number, bits, probes, data.tobytes())
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, most_bits: int = MOST_BITS) -> list[Level] | None:
@@ -109,7 +112,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, most_bits: int = MOST_
         per_key = BITS_PER_KEY[bool(levels)]
         if n * per_key > most_bits:
             return None
-        level = _encode(now, n, per_key)
+        level = _encode(now, len(levels), n, per_key)
         levels.append(level)
 
         def through(batches, level=level):
