@@ -119,23 +119,22 @@ def _with_next(docs: DataFrame) -> DataFrame:
     each part's first row goes to the part before it (that of the first part to the last).
     """
     n = shuffle_partitions(docs.sparkSession)
-    marks = docs.select(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 10_000)).first()[0] if n > 1 else []
+    docs = docs.withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
+    marks = docs.select(F.percentile_approx("_at", [k / n for k in range(1, n)], 10_000)).first()[0] if n > 1 else []
     bounds = np.unique(np.array(marks or [], np.int64))
 
     @F.pandas_udf(T.IntegerType())
-    def part_of(ids: pd.Series) -> pd.Series:
-        at = np.searchsorted(bounds, ids.fillna(0).astype("int64").to_numpy(), side="right")
-        return pd.Series(np.where(ids.isna(), 0, at).astype("int32"))
+    def part_of(at: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, at.to_numpy(np.int64), side="right").astype("int32"))
 
-    heads = docs.select("doc_id").withColumn("_part", part_of("doc_id")).groupBy("_part").agg(F.min("doc_id").alias("head")).orderBy("_part").collect()
-    parts = [r["_part"] for r in heads]
-    back = {h["head"]: parts[k - 1] for k, h in enumerate(heads) if h["head"] is not None}
+    heads = docs.select("_at").withColumn("_part", part_of("_at")).groupBy("_part").agg(F.min("_at").alias("head")).orderBy("_part").collect()
+    back = {h["head"]: heads[k - 1]["_part"] for k, h in enumerate(heads)}
 
     @F.pandas_udf(T.IntegerType())
-    def before(ids: pd.Series) -> pd.Series:
-        return ids.map(back, na_action="ignore").astype("Int32")
+    def before(at: pd.Series) -> pd.Series:
+        return at.map(back).astype("Int32")
 
-    placed = docs.withColumn("_part", part_of("doc_id")).withColumn("_back", before("doc_id"))
+    placed = docs.withColumn("_part", part_of("_at")).withColumn("_back", before("_at"))
     both = F.array_compact(
         F.array(
             F.struct(F.col("_part").alias("part"), F.lit(0).alias("tail")),
