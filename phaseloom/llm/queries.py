@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from phaseloom.llm import chat, exact_dedup, fingerprints, mixing, near_dedup, packing, sharding, token_store, toxicity, url_filter
+from phaseloom.llm import chat, exact_dedup, fingerprints, mixing, near_dedup, packing, sharding, sql, token_store, toxicity, url_filter
 from phaseloom.llm.common import new_path
 
 
@@ -88,4 +87,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {}
+#: The others need checksums, tokenizers, sketches or models that SQL lacks.
+SQL: dict[str, str] = {
+    "op2_exact_dedup": sql.OP2,
+    "op3_chat": sql.op3(),
+    "op5_mixing": sql.op5(mixing.PRODUCTION),
+    "op7_url_filter": sql.op7(RULES),
+}
