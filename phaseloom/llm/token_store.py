@@ -103,7 +103,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 1
                     own = data[size * at : size * end]
                     digests.append(chunk_digest(own))
                     if digests[-1] not in sent:
-                        if len(sent) >= 500_000:
+                        if len(sent) >= 100_000:
                             sent.clear()
                         sent.add(digests[-1])
                         keys.append(digests[-1])

@@ -11,7 +11,8 @@ import pyarrow.compute as pc
 # Every character that some definition counts as white space.
 _SPACE = "[\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _UNSAFE = f"{_SPACE}{{3,}}|{_SPACE}{{2,}}$|\\x00"
-_STOP = "([A-Za-zÀ-ÖØ-öø-ɏ])([.,;:!?])"
+# A mark after a letter begins another word; not after U+0130, whose lower case ends in a combining mark.
+_STOP = "([A-Za-zÀ-ÖØ-öø-įı-ɏ])([.,;:!?])"
 
 
 class WordEncoder:
@@ -19,18 +20,24 @@ class WordEncoder:
 
     Byte-level BPE (GPT-2's pattern, no prefix space) never joins a character with white space after it, and the
     lower-casing word BPE drops white space, so texts are cut there, each distinct word of a batch is encoded once
-    and ids are put together by index. Words are kept between batches, at most `keep` of them. Texts with runs of
-    white space that the byte-level pattern reads as one token, and tokenizers of any other kind, are encoded whole.
+    and ids are put together by index. Texts with runs of white space that the byte-level pattern reads as one token,
+    and tokenizers of any other kind, are encoded whole. Words are kept between batches; when there are more than
+    `keep`, those of the last texts stay.
     """
 
-    def __init__(self, path: str, keep: int = 700_000):
+    def __init__(self, path: str, keep: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind = self._kind(json.loads(self.tokenizer.to_str()))
         self.keep = keep
-        self._forget()
+        self.slots: dict[str, int] = {}
+        self._empty()
+        size = self.tokenizer.get_vocab_size()
+        self.edge = np.zeros(size, bool)  # ids that begin (bytes) or end (words) a word of letters
+        for token, k in self.tokenizer.get_vocab().items():
+            self.edge[k] = token.startswith("Ġ") if self.kind == "bytes" else token.endswith("</w>")
 
     @staticmethod
     def _kind(spec: dict) -> str:
@@ -43,16 +50,13 @@ class WordEncoder:
             return "words"
         return "whole"
 
-    def _forget(self) -> None:
-        self.slots: dict[str, int] = {}
+    def _empty(self) -> None:
+        self.slots = {}
         self.starts = np.zeros(1 << 16, np.int64)
         self.pool = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
-    def _learn(self, words: list[str]) -> None:
-        got = self.tokenizer.encode_batch([words], is_pretokenized=True, add_special_tokens=False)[0]
-        ids = np.array(got.ids, np.uint32)
-        counts = np.bincount(np.array(got.word_ids, np.int64), minlength=len(words)) if len(ids) else np.zeros(len(words), np.int64)
+    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         k, end = len(self.slots), self.used + len(ids)
         while end > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
@@ -63,6 +67,42 @@ class WordEncoder:
         self.used = end
         self.slots.update(zip(words, range(k, k + len(words)), strict=True))
 
+    def _ids_of(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words in these slots, one after the other, and how many each has."""
+        first, length = self.starts[slot], self.starts[slot + 1] - self.starts[slot]
+        ends = np.cumsum(length)
+        return self.pool[np.repeat(first - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)], length
+
+    def _forget(self, words: list[str]) -> None:
+        """Keeps of the known words only these."""
+        known = [w for w in words if w in self.slots]
+        ids, counts = self._ids_of(np.fromiter(map(self.slots.__getitem__, known), np.int64, len(known)))
+        self._empty()
+        self._add(known, ids, counts)
+
+    def _learn(self, words: list[str]) -> None:
+        """Encodes new words; those of letters only are joined to one text, as their ids show where each begins or ends."""
+        letters = pc.match_substring_regex(pa.array(words), "^ \\pL+$" if self.kind == "bytes" else "^\\pL+$").to_numpy(zero_copy_only=False)
+        plain = [w for w, ok in zip(words, letters.tolist(), strict=True) if ok]
+        other = [w for w, ok in zip(words, letters.tolist(), strict=True) if not ok]
+        for k in range(0, len(plain), 20_000):
+            part = plain[k : k + 20_000]
+            text = "".join(part) if self.kind == "bytes" else " ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            edges = np.flatnonzero(self.edge[ids])
+            if len(edges) != len(part):
+                other.extend(part)
+            elif self.kind == "bytes":
+                self._add(part, ids, np.diff(edges, append=len(ids)))
+            else:
+                self._add(part, ids, np.diff(edges, prepend=-1))
+        for k in range(0, len(other), 20_000):
+            part = other[k : k + 20_000]
+            got = self.tokenizer.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
+            ids = np.array(got.ids, np.uint32)
+            owner = np.array(got.word_ids, np.int64)
+            self._add(part, ids, np.bincount(owner, minlength=len(part)) if len(ids) else np.zeros(len(part), np.int64))
+
     def _by_word(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.kind == "words":
             texts = pc.ascii_lower(pc.replace_substring_regex(texts, _STOP, "\\1 \\2"))
@@ -72,17 +112,14 @@ class WordEncoder:
             texts = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
             cut = pc.split_pattern(texts, "\0")
         coded = cut.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.slots) > self.keep or self.used > 8 * self.keep:
-            self._forget()
+            self._forget(words)
         if new := [w for w in words if w not in self.slots]:
             self._learn(new)
         slot = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
-        at = coded.indices.to_numpy()
-        first = self.starts[slot][at]
-        length = (self.starts[slot + 1] - self.starts[slot])[at]
+        ids, length = self._ids_of(slot[coded.indices.to_numpy()])
         ends = np.concatenate([[0], np.cumsum(length)])
-        ids = self.pool[np.repeat(first - ends[:-1], length) + np.arange(ends[-1])]
         return ids, ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:

@@ -57,11 +57,11 @@ def frequencies(text: Column) -> Column:
     return F.transform(F.split(text, ","), lambda t: F.when(t.isin("null", "NA", ""), 0.0).otherwise(t.cast("double")))
 
 
-def remap(hits: DataFrame, sequences: DataFrame, window: int, pops: list[str], genome: str = "GRCh38") -> DataFrame:
+def remap(hits: DataFrame, sequences: DataFrame, window: int, pops: list[str], genome: str = "GRCh38", prefix: str = "index") -> DataFrame:
     """Hits with genome coordinates and what the sequence is made of.
 
     A hit's padding (bases of padded_target but for dashes beyond the unpadded ones) is added at the end on strand
-    '+' and at the start on any other. The sequence's id, start and end go to divref_ columns; a hit on an unknown id raises an error.
+    '+' and at the start on any other. The sequence's id, start and end go to columns with the prefix; a hit on an unknown id raises an error.
     """
     checked(hits, HITS)
     own = hits.withColumn("chromosome", F.col("chromosome").cast("string"))
@@ -89,9 +89,9 @@ def remap(hits: DataFrame, sequences: DataFrame, window: int, pops: list[str], g
         to_reference(F.col("_from"), True, F.col("_vs"), F.col("_spans")).alias("coordinate_start"),
         to_reference(F.col("_to"), False, F.col("_vs"), F.col("_spans")).alias("coordinate_end"),
         *rest,
-        F.col("chromosome").alias("divref_sequence_id"),
-        F.col("coordinate_start").alias("divref_start"),
-        F.col("coordinate_end").alias("divref_end"),
+        F.col("chromosome").alias(f"{prefix}_sequence_id"),
+        F.col("coordinate_start").alias(f"{prefix}_start"),
+        F.col("coordinate_end").alias(f"{prefix}_end"),
         F.lit(genome).alias("genome_build"),
         F.col("_names").alias("all_variants"),
         F.array_join("_in", ",").alias("variants_involved"),
