@@ -187,3 +187,13 @@ def test_session_stream_equals_batch(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("sess").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {tuple(r) for r in spark.table("sess").collect()} == batch
+
+
+def test_commands_parse():
+    from phaseloom import cli
+
+    assert len(cli.COMMANDS) == 10
+    a = cli.parser().parse_args(["remap", "--hits", "h", "--out", "o"])
+    assert (a.command, a.separator, a.index, a.driver_gb) == ("remap", "\t", None, 1)
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args(["init-index"])
