@@ -26,7 +26,7 @@ def sha256_digest(text: Column) -> Column:
 def _feed(docs: DataFrame, digest) -> DataFrame:
     """doc_id, row_no, locator and digest of each row. The locator is file and row for tables read from files, else the row_no."""
     try:
-        place = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        place = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
         locator = F.concat_ws("#", "_file", "_row")
     except Exception as why:  # noqa: BLE001 - the analyzer's error classes differ between classic and Connect
         if "_metadata" not in str(why):
@@ -125,9 +125,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """docs without the rows that deduplicate() drops, with all columns."""
     out = deduplicate(docs)
     kept = out.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-    keyed = docs.withColumn("_key", sha256_digest(normalised(F.col("text"))))
-    stay = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_key"] == kept["_digest"]), "left_semi")
+    keyed = docs.withColumn("__dedup_key", sha256_digest(normalised(F.col("text"))))
+    stay = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["__dedup_key"] == kept["_digest"]), "left_semi")
     twice = out.groupBy("doc_id", "text_sha256").count().where("count > 1")
     if not twice.isEmpty():  # the same row more than once
-        stay = stay.dropDuplicates(["doc_id", "_key"])
-    return stay.drop("_key")
+        stay = stay.dropDuplicates(["doc_id", "__dedup_key"])
+    return stay.drop("__dedup_key")

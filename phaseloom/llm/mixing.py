@@ -167,7 +167,7 @@ def mixed_documents(docs: DataFrame, mixture: Mixture) -> DataFrame:
     """docs, all columns, each as often as it is drawn; texts are not shuffled."""
     cuts = leaf_cuts(stored(leaves_of(docs, mixture), "mix-rows"), mixture)
     own = [f"_c{k}" for k in range(len(docs.columns))]
-    kept = docs.select(F.struct(*[F.col(c).alias(o) for c, o in zip(docs.columns, own, strict=True)]).alias("_row"), "*")
+    kept = docs.select(F.struct(*[F.col(c).alias(o) for c, o in zip(docs.columns, own, strict=True)]).alias("_row"), "doc_id", "source", "lang")
     rows = kept.select(
         "_row",
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -27,7 +27,7 @@ ROWS = [
 ]
 SCHEMA = "doc_id long, text string, lang string, source string"
 #: Columns with names that operators use themselves.
-CLASHES = ["size", "shard", "key", "n", "digest", "label", "node", "part", "rank", "score", "_pos", "_range", "_tie", "start", "length", "bucket", "domain", "tokens"]
+CLASHES = ["size", "shard", "key", "n", "digest", "label", "node", "part", "rank", "score", "_pos", "_range", "_tie", "start", "length", "bucket", "domain", "tokens", "_row", "_file", "_key", "_id"]
 BYTES, WORDS = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
 
 
