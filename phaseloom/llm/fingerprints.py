@@ -18,7 +18,7 @@ from phaseloom.llm.common import shuffle_partitions
 from phaseloom.llm.tokens import blocks
 
 #: A paragraph's vector: 1, DENSE lanes modulo 2^16, and one lane of LEVELS x LANES modulo 2^8.
-DENSE, LEVELS, LANES = 28, 6, 64
+DENSE, LEVELS, LANES = 28, 32, 64
 BYTES = 8 + 2 * DENSE + LEVELS * LANES
 _CUT = re.compile(r"\n|(?<=[.!?])[ \t]")
 UNIT = 64
@@ -40,7 +40,9 @@ def sums_of(texts: list[str]) -> np.ndarray:
     """The fingerprint of each text as a row of BYTES bytes: the lane-wise sum of its paragraphs' vectors modulo 2^64, 2^16 and 2^8.
 
     The dense lanes tell whether two multisets are equal. Of the sparse lanes a paragraph adds to one only, at a
-    level that half of the paragraphs of the level before reach, so differing lanes count differing paragraphs.
+    level that half of the paragraphs of the level before reach, so differing lanes count differing paragraphs (each
+    once, however often it is repeated). LEVELS are enough for some 2^38 of them. Level, lane and value come from
+    bits of their own: 31, 6 and 24.
     Sums do not depend on order, and a paragraph can be added or taken away without the others.
     """
     units = [paragraphs(t) for t in texts]
@@ -58,11 +60,10 @@ def sums_of(texts: list[str]) -> np.ndarray:
     level = np.zeros(len(pick), np.int64)
     for k in range(1, LEVELS):
         level += (pick & np.uint64((1 << k) - 1)) == 0
-    lane = (pick >> np.uint64(8)).astype(np.int64) % LANES
-    value = (pick >> np.uint64(32)).astype(np.int64) % 255 + 1
-    at = np.repeat(np.arange(len(texts)), counts) * (LEVELS * LANES) + level * LANES + lane
-    sparse = np.bincount(at, weights=value, minlength=len(texts) * LEVELS * LANES).astype(np.int64) & 255
-    out[:, 8 + 2 * DENSE :] = sparse.astype(np.uint8).reshape(len(texts), -1)
+    lane = (pick >> np.uint64(LEVELS - 1)).astype(np.int64) % LANES
+    value = ((pick >> np.uint64(40)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    at = np.repeat(np.arange(len(texts)), counts) * BYTES + 8 + 2 * DENSE + level * LANES + lane
+    np.add.at(out.reshape(-1), at, value)  # modulo 2^8
     return out
 
 
@@ -79,7 +80,11 @@ def changed(row: np.ndarray, removed: list[str], added: list[str]) -> np.ndarray
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated share of paragraphs that two fingerprints have in common, from 0 to 1; equal ones have 1."""
+    """Estimated share of paragraphs that two fingerprints have in common, from 0 to 1; equal ones have 1.
+
+    Differing paragraphs are counted from the first level whose lanes are not nearly all taken, so texts may have
+    any length. A paragraph repeated within a text counts each time in the whole but once among the differing ones.
+    """
     if (a == b).all():
         return 1.0
     total = int(a[:8].view("<u8")[0]) + int(b[:8].view("<u8")[0])
@@ -94,11 +99,12 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def text_of(row: np.ndarray) -> str:
-    return base64.b64encode(row.tobytes()).decode()
+    """The fingerprint in base64, without the zero bytes at its end, which levels that a short text does not reach have."""
+    return base64.b64encode(row.tobytes().rstrip(b"\0")).decode()
 
 
 def row_of(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), np.uint8)
+    return np.frombuffer(base64.b64decode(text).ljust(BYTES, b"\0"), np.uint8)
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:

@@ -237,6 +237,14 @@ def test_likeness_follows_the_share_in_common():
             assert abs(fingerprints.likeness(x, y) - share) < 0.2
 
 
+@pytest.mark.parametrize(("n", "m", "common"), [(50_000, 50_000, 0), (50_000, 50_000, 25_000), (50_000, 30, 0), (50_000, 30, 30), (300_000, 300_000, 0)])
+def test_likeness_of_very_long_texts(n, m, common):
+    x, y = ["\n".join([f"shared {k}" for k in range(common)] + [f"{mark} {k}" for k in range(size - common)]) for mark, size in (("left", n), ("right", m))]
+    a, b = fingerprints.sums_of([x, y])
+    assert abs(fingerprints.likeness(a, b) - 2 * common / (n + m)) < 0.2
+    assert (fingerprints.row_of(fingerprints.text_of(a)) == a).all()
+
+
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/")]
 URLS = [None, "", "no scheme", "http://A.Example.COM/en/x?q#f", "x://www.example.com/en/", "http://example.com", "http://com/", "http://xexample.com/en/", "http://b.net/es/\n/x", "http://net", "http://a.b.c.d.example.com/en/", "http:///p", "a://b://example.com/en/"]
 
