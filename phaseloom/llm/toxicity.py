@@ -56,14 +56,19 @@ def _beginnings(words: pa.Array, n: int) -> tuple[np.ndarray, pa.Array]:
     return pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False), coded.dictionary
 
 
-def _sample(labels: DataFrame, weak: Weak) -> DataFrame:
-    """doc_id and toxic of labelled rows that are not held out, thinned by a hash of doc_id to half of `sample` in each class."""
+def _sample(labels: DataFrame, weak: Weak) -> tuple[DataFrame, dict[int, float]]:
+    """doc_id and toxic of labelled rows that are not held out, thinned by a hash of doc_id to half of `sample` in each class.
+
+    Also each class's weight, the number of labelled rows that a row of the sample stands for.
+    """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    share = lambda k: int(10_000 * min(1, weak.sample / 2 / max(1, sizes.get(k, 0))))
-    place = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(10_000))
-    return stored(known.where(place < F.when(F.col("toxic") == 1, share(1)).otherwise(share(0))), "toxic-sample")
+    share = {k: min(1, weak.sample / 2 / max(1, sizes.get(k, 0))) for k in (0, 1)}
+    place = F.xxhash64(F.lit(3), "doc_id")
+    inside = lambda k: F.lit(True) if share[k] == 1 else place < F.lit(int(share[k] * 2**64) - 2**63).cast("long")
+    thinned = known.where(F.when(F.col("toxic") == 1, inside(1)).otherwise(inside(0)))
+    return stored(thinned, "toxic-sample"), {k: 1 / max(share[k], 2**-64) for k in share}
 
 
 def _mine(sample_texts: DataFrame, weak: Weak) -> list[str]:
@@ -159,8 +164,8 @@ class LabelModel:
 def fit_label_model(votes: np.ndarray, counts: np.ndarray, toxic: np.ndarray, clean: np.ndarray, weak: Weak) -> LabelModel:
     """EM for voters' rates in two hidden classes, from distinct vote patterns with the number of rows that have each.
 
-    counts: all rows; toxic and clean: those of them that are labelled so, which also give the start. A voter's
-    accuracy is its rate in either class. Pairs of voters that agree more often within the classes than their
+    counts: all rows; toxic and clean: those of them that are labelled so (estimates from a sample may exceed a
+    pattern's rows; they also give the start). A voter's accuracy is its rate in either class. Pairs of voters that agree more often within the classes than their
     rates explain are correlated: their weights are divided by one plus the sum of the excess correlations.
     """
     m, n = votes.shape[1], counts.astype(float)
@@ -168,6 +173,8 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, toxic: np.ndarray, cl
     prior = (toxic.sum() + 1) / (toxic.sum() + clean.sum() + 2) if labelled else 0.1
     rate = (toxic @ votes + 0.5) / (toxic.sum() + 5) if labelled else np.full(m, 0.3)
     other = (clean @ votes + 0.5) / (clean.sum() + 50) if labelled else np.full(m, 0.02)
+    most = np.minimum(1, n / np.maximum(toxic + clean, 1))
+    toxic, clean = toxic * most, clean * most
     free = np.maximum(n - toxic - clean, 0)
     anchor = np.log(weak.label_accuracy / (1 - weak.label_accuracy))
     for _ in range(weak.rounds):
@@ -189,13 +196,19 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, toxic: np.ndarray, cl
     return LabelModel(float(np.log(prior / (1 - prior))), yes / share, no / share, rate, other)
 
 
-def fit_linear(rows: np.ndarray, cols: np.ndarray, target: np.ndarray, width: int, l2: float = 1e-4, steps: int = 400) -> np.ndarray:
-    """Weights and, last, the bias of a logistic regression on 0/1 features at (rows, cols) to target probabilities."""
+def fit_linear(
+    rows: np.ndarray, cols: np.ndarray, target: np.ndarray, width: int, weight: np.ndarray | None = None, l2: float = 1e-4, steps: int = 400
+) -> np.ndarray:
+    """Weights and, last, the bias of a logistic regression on 0/1 features at (rows, cols) to target probabilities.
+
+    weight: what each row counts for (1 without it).
+    """
     w, m, v = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
-    n = max(1, len(target))
+    weight = np.ones(len(target)) if weight is None else weight
+    n = max(1, weight.sum())
     for k in range(1, steps + 1):
         z = w[-1] + np.bincount(rows, weights=w[cols], minlength=len(target)) if len(rows) else np.full(len(target), w[-1])
-        r = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
+        r = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target)
         g = np.append(np.bincount(cols, weights=r[rows], minlength=width)[:width] if len(rows) else np.zeros(width), r.sum()) / n
         g[:-1] += l2 * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -209,14 +222,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, weak: Weak = Weak()) -> D
     Voters are lexicons of four languages, six sets of words and word beginnings found in a bounded sample of
     labelled rows (Weak.sample), and two patterns. All rows vote with their whole texts; the distinct patterns of
     votes (at most 2^12) with their counts over all rows fit the label model. Its posterior labels on the sample
-    train a linear classifier on the found features and the votes, which scores every row. Rows held out are
-    never in the sample nor among the labels that the model sees; lang, source, labels and doc_id are no inputs.
+    train a linear classifier on the found features and the votes, which scores every row. Label model and classifier
+    weight the sample's rows by the inverse of their class's sampling rate, so that thinning does not shift the
+    classes' shares. Rows held out are never in the sample nor among the labels that the model sees; lang, source, labels and doc_id are no inputs.
 
     Null and empty texts get the score of a text without any vote. Without labels of both classes the lexicons
     alone decide. Repeated rows are scored each; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    sample = _sample(labels, weak)
+    sample, counts_for = _sample(labels, weak)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     features = _mine(texts.join(F.broadcast(sample), "doc_id"), weak)  # at most about Weak.sample rows of 12 bytes
     hits = _hits(docs, features)
@@ -227,7 +241,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, weak: Weak = Weak()) -> D
     patterns = hits.groupBy("votes").count().join(known, "votes", "left").fillna(0, ["t", "k"]).orderBy("votes").collect()
     column = lambda name: np.array([r[name] for r in patterns], float)
     t, k = column("t"), column("k")
-    model = fit_label_model(bits([r["votes"] for r in patterns]), column("count"), t, k - t, weak)
+    toxic_rows, clean_rows = t * counts_for[1], (k - t) * counts_for[0]
+    model = fit_label_model(bits([r["votes"] for r in patterns]), column("count"), toxic_rows, clean_rows, weak)
     anchor = np.log(weak.label_accuracy / (1 - weak.label_accuracy))
     rows = told.select("found", "votes", "toxic").toArrow()
     votes = bits(rows["votes"].to_numpy()) if len(rows) else np.zeros((0, m), np.int64)
@@ -239,7 +254,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, weak: Weak = Weak()) -> D
         vr, vc = np.nonzero(votes)
         at = np.concatenate([np.repeat(np.arange(len(rows)), sizes), vr])
         cols = np.concatenate([pc.list_flatten(rows["found"]).to_numpy().astype(np.int64), vc + len(features)])
-        weights = fit_linear(at, cols, target, width)
+        weights = fit_linear(at, cols, target, width, np.where(toxic == 1, counts_for[1], counts_for[0]))
     else:  # no classes to learn from
         weights = np.concatenate([np.zeros(len(features)), model.yes - model.no, [model.prior + model.no.sum()]])
     sent = spark.sparkContext.broadcast(weights)

@@ -355,3 +355,19 @@ def test_toxicity_without_labels(spark):
     df = spark.createDataFrame([(1, "you idiot, you pathetic worthless moron"), (2, "a fine day")], "doc_id long, text string")
     out = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(df, spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect()}
     assert out[1] > out[2]
+
+
+def test_toxicity_does_not_depend_on_the_sample(spark):
+    """One toxic row in eight; a sample of 600 has both classes in equal parts."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(6000):
+        toxic = int(k % 8 == 0)
+        mark = ["zorkish"] if rng.random() < (0.5 if toxic else 0.05) else []
+        rows.append((k, " ".join([*(f"w{chr(97 + a)}{chr(97 + b)}" for a, b in rng.integers(0, 26, (12, 2))), *mark]), toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4).cache()
+    full, thin = (
+        {r["doc_id"]: (r["score"], r["predicted"]) for r in toxicity.score_toxicity(df, df, toxicity.Weak(sample=n)).collect()} for n in (24_000, 600)
+    )
+    assert np.mean([full[k][1] == thin[k][1] for k in full]) > 0.98
+    assert abs(np.mean([full[k][0] - thin[k][0] for k in full])) < 0.03
