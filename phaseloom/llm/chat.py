@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,13 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit(MARK + "1"), F.lit("")), F.lit(MARK + "0"), F.lit(MARK))
 
 
+def as_parts(text: Column) -> Column:
+    """A text as the array of typed parts that it is: one text part."""
+    kinds = dict(x.split(":") for x in PART[len("struct<") : -1].split(","))
+    own = {"type": F.lit("text"), "text": F.coalesce(text.cast("string"), F.lit(""))}
+    return F.array(F.struct(*[own.get(n, F.lit(None).cast(t)).alias(n) for n, t in kinds.items()]))
+
+
 def expanded_tokens(part: Column) -> Column:
     """Tokens that an attachment takes in the model's input: 14-pixel patches, seconds of audio, pages; unknown sizes count as one unit."""
     side = lambda n: F.ceil(F.coalesce(part[n], F.lit(PATCH)) / PATCH)
@@ -55,10 +62,11 @@ def _attachment(part: Column, turn: Column) -> Column:
 def format_conversations(turns: DataFrame, content: str = "text") -> DataFrame:
     """One formatted string a conversation from rows (conv_id, turn, role, content).
 
-    content is a string, or an array of typed parts (PART), which are flattened in order into text and one
-    placeholder each; attachments holds their turn, type, uri and expanded token count in that order. Assistant
-    turns read <s>text</s>, all others [INST]role, newline, text[/INST]; control strings inside texts and roles
-    are escaped reversibly. loss_spans are the start (code points from 0) and length of each assistant text.
+    content is a string, which counts as one text part, or an array of typed parts (PART). A visitor flattens the
+    parts in order into text and one placeholder each; attachments holds their turn, type, uri and expanded token
+    count in that order. Assistant turns read <s>text</s>, all others [INST]role, newline, text[/INST]; control
+    strings inside texts and roles are escaped reversibly. loss_spans are the start (code points from 0) and length
+    of each assistant text, from a running sum over the turns.
 
     Rows go by turn, nulls first; equal turns by role, then content. Null text or role counts as empty, rows of a null conv_id
     are one conversation. An empty table gives no rows. Other columns of turns are ignored. A conversation becomes
@@ -67,47 +75,44 @@ def format_conversations(turns: DataFrame, content: str = "text") -> DataFrame:
     """
     parts = F.col(content)
     if not isinstance(turns.schema[content].dataType, T.ArrayType):
-        text = F.coalesce(parts.cast("string"), F.lit(""))
-        body, attached = escape(text), F.array().cast("array<struct<turn:bigint,type:string,uri:string,tokens:bigint>>")
-    else:
-        parts = F.coalesce(parts.cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>"))
-        body = F.array_join(F.transform(parts, _visit), "")
-        kept = F.filter(parts, lambda p: p["type"].isin("image", "audio", "document"))
-        attached = F.transform(kept, lambda p: _attachment(p, F.col("turn").cast("long")))
+        parts = as_parts(parts)
+    parts = F.coalesce(parts.cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>"))
+    kept = F.filter(parts, lambda p: p["type"].isin("image", "audio", "document"))
     role = F.coalesce(F.col("role"), F.lit(""))
-    head = F.replace(escape(role), F.lit("\n"), F.lit(MARK + "2"))
-    ours = role == "assistant"
-    row = F.struct(
-        F.col("turn").cast("long").alias("turn"),
-        role.alias("role"),
-        body.alias("body"),
-        F.when(ours, F.concat(F.lit("<s>"), body, F.lit("</s>")))
-        .otherwise(F.concat(F.lit("[INST]"), head, F.lit("\n"), body, F.lit("[/INST]")))
-        .alias("out"),
-        ours.alias("ours"),
-        F.length(body).cast("long").alias("chars"),
-        attached.alias("attached"),
+    flat = turns.select(
+        "conv_id",
+        F.col("turn").cast("long").alias("_turn"),
+        role.alias("_role"),
+        F.array_join(F.transform(parts, _visit), "").alias("_body"),
+        F.transform(kept, lambda p: _attachment(p, F.col("turn").cast("long"))).alias("_attached"),
+    )
+    head = F.replace(escape(F.col("_role")), F.lit("\n"), F.lit(MARK + "2"))
+    ours = F.col("_role") == "assistant"
+    out = F.when(ours, F.concat(F.lit("<s>"), F.col("_body"), F.lit("</s>"))).otherwise(
+        F.concat(F.lit("[INST]"), head, F.lit("\n"), F.col("_body"), F.lit("[/INST]"))
+    )
+    lines = flat.select("conv_id", "_turn", "_role", "_body", "_attached", out.alias("_out"), ours.alias("_ours"))
+    order = Window.partitionBy("conv_id").orderBy("_turn", "_role", "_body", "_attached")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    placed = lines.select(
+        "conv_id",
+        F.row_number().over(order).alias("nth"),
+        F.coalesce(F.sum(F.length("_out").cast("long")).over(earlier), F.lit(0)).alias("at"),
+        F.length("_body").cast("long").alias("chars"),
+        "_out",
+        "_ours",
+        "_attached",
     )
-    grouped = turns.select("conv_id", row.alias("row")).groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("rows"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-    walked = F.aggregate(
-        "rows",
-        start,
-        lambda acc, r: F.struct(
-            (acc["at"] + F.length(r["out"])).alias("at"),
-            F.when(
-                r["ours"],
-                F.concat(acc["spans"], F.array(F.struct((acc["at"] + 3).alias("start"), r["chars"].alias("length")))),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
+    row = F.struct("nth", "_out", "_ours", "at", "chars", "_attached")
+    grouped = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    spans = F.transform(
+        F.filter("rows", lambda r: r["_ours"]), lambda r: F.struct((r["at"] + 3).alias("start"), r["chars"].alias("length"))
     )
     return grouped.select(
         "conv_id",
-        F.array_join(F.transform("rows", lambda r: r["out"]), "").alias("formatted"),
-        walked["spans"].alias("loss_spans"),
-        F.flatten(F.transform("rows", lambda r: r["attached"])).alias("attachments"),
+        F.array_join(F.transform("rows", lambda r: r["_out"]), "").alias("formatted"),
+        spans.alias("loss_spans"),
+        F.flatten(F.transform("rows", lambda r: r["_attached"])).alias("attachments"),
         F.size("rows").cast("long").alias("n_turns"),
     ).withColumn(
         "expanded_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda acc, a: acc + F.coalesce(a["tokens"], F.lit(0)))
@@ -132,20 +137,25 @@ def parsed_turns(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped."""
-    cut = lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))
-    return F.array_join(F.transform(spans, cut), "")
+    """All text under the loss mask, unescaped. Four bytes a code point, so that each span is cut at its place without counting from the start."""
+    wide = F.array(F.struct(F.encode(formatted, "UTF-32").alias("bytes"), spans.alias("spans")))
+    cut = lambda x, s: F.decode(F.substring(x["bytes"], (4 * s["start"] + 1).cast("int"), (4 * s["length"]).cast("int")), "UTF-32")
+    pieces = F.transform(wide, lambda x: F.transform(x["spans"], lambda s: unescape(cut(x, s))))
+    return F.array_join(F.get(pieces, F.lit(0)), "")
 
 
 def formatted_digest(turns: DataFrame) -> DataFrame:
-    """Formats conversations and returns, from the output alone, each one's turns and loss text as lengths and digests."""
+    """Formats conversations and returns, from the output alone, each one's turns and loss text as lengths and digests, with its attachments' counts."""
     out = format_conversations(turns)
     lines = F.transform(parsed_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    return out.select("conv_id", "formatted", lines.alias("lines"), loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).select(
+    read = out.select("conv_id", "formatted", lines.alias("lines"), loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"), "attachments", "expanded_tokens")
+    return read.select(
         "conv_id",
         F.size("lines").cast("long").alias("n_turns"),
         F.sha2(F.array_join("lines", ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"),
+        "expanded_tokens",
     )

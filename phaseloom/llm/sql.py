@@ -17,7 +17,7 @@ UNION ALL SELECT -1, k, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'),
 t AS (SELECT *, CASE WHEN role = 'assistant' THEN 7 + length({escaped.format("text")}) ELSE 14 + length({escaped.format("role")}) + length({escaped.format("text")}) END AS n FROM r)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(n) AS BIGINT) AS formatted_chars FROM t GROUP BY conv_id"""
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, CAST(sum(n) AS BIGINT) AS formatted_chars, CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS expanded_tokens FROM t GROUP BY conv_id"""
 
 
 def _cases(column: str, weights: dict[str, int]) -> str:
