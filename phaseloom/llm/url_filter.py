@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil, log, log2
 
 import numpy as np
 import pandas as pd
@@ -12,9 +13,7 @@ from pyspark.sql import types as T
 
 from phaseloom.llm.common import stored
 
-#: Bits of a cascade's largest level above which rules are joined instead (32 MB).
-MOST_BITS = 1 << 28
-BITS_PER_KEY = (12, 3)  # of the first and of later levels
+LATER_BITS = 3  # bits a key in all levels but the first
 
 
 def host_of(url: Column) -> Column:
@@ -77,8 +76,16 @@ def cascade_has(levels: list[Level], h1: np.ndarray, h2: np.ndarray) -> np.ndarr
     return answer
 
 
+def first_bits(listed: int, others: int) -> int:
+    """Bits a key in the first level, such that of the other keys about as many are let through as are listed.
+
+    So all levels together take some 1.44 log2(others / listed) + 8 bits a listed key, however large the universe.
+    """
+    return max(LATER_BITS, ceil(log2(max(2.0, others / max(1, listed))) / log(2)))
+
+
 def _encode(keys: DataFrame, number: int, n: int, per_key: int) -> Level:
-    """A Bloom filter of n keys (h1, h2): tasks emit the distinct bytes that they set, which are or-ed by place."""
+    """A Bloom filter of n keys (h1, h2): tasks emit the distinct 64-bit words that they set, which are or-ed by place."""
     bits = max(64, n * per_key)
     probes = max(1, round(per_key * 0.7))
 
@@ -86,22 +93,22 @@ def _encode(keys: DataFrame, number: int, n: int, per_key: int) -> Level:
         for pdf in batches:
             at = np.concatenate(list(_places(pdf["h1"].to_numpy(), pdf["h2"].to_numpy(), number, bits, probes))) if len(pdf) else np.zeros(0, np.int64)
             at = np.unique(at)
-            byte, value = at >> 3, (1 << (at & 7)).astype(np.int64)
-            starts = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]])) if len(byte) else byte
-            yield pd.DataFrame({"at": byte[starts], "v": np.bitwise_or.reduceat(value, starts) if len(byte) else value})
+            word, value = at >> 6, np.uint64(1) << (at & 63).astype(np.uint64)
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else word
+            yield pd.DataFrame({"at": word[starts], "v": (np.bitwise_or.reduceat(value, starts) if len(word) else value).astype(np.int64)})
 
-    found = keys.mapInPandas(places, "at long, v long").groupBy("at").agg(F.bit_or("v").alias("v")).toPandas()
-    data = np.zeros((bits + 7) // 8, np.uint8)
-    data[found["at"].to_numpy(np.int64)] = found["v"].to_numpy(np.int64).astype(np.uint8)
-    return Level(number, bits, probes, data.tobytes())
+    found = keys.mapInPandas(places, "at long, v long").groupBy("at").agg(F.bit_or("v").alias("v")).toArrow()
+    data = np.zeros((bits + 63) // 64, np.int64)
+    data[found["at"].to_numpy()] = found["v"].to_numpy()
+    return Level(number, bits, probes, data.astype("<i8").tobytes())
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, most_bits: int = MOST_BITS) -> list[Level] | None:
+def build_cascade(listed: DataFrame, universe: DataFrame) -> list[Level]:
     """Levels over listed keys and all keys of the universe (column key, distinct).
 
     Level 1 holds the listed keys, level 2 the other keys that level 1 lets through, level 3 the listed keys that
     level 2 lets through, and so on until nothing is let through. Only what a level lets through is looked at again.
-    None if a level would exceed most_bits.
+    No level has many more keys than are listed (first_bits), whatever the size of the universe.
     """
     inside = stored(listed.select("key").distinct().select("key", _hashes(F.col("key")).alias("h")).select("key", "h.*"), "cascade-listed")
     outside = universe.select("key").join(inside.select("key"), "key", "left_anti")
@@ -109,10 +116,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, most_bits: int = MOST_
     levels: list[Level] = []
     now, other = inside, outside
     while n := now.count():
-        per_key = BITS_PER_KEY[bool(levels)]
-        if n * per_key > most_bits:
-            return None
-        level = _encode(now, len(levels), n, per_key)
+        level = _encode(now, len(levels), n, LATER_BITS if levels else first_bits(n, outside.count()))
         levels.append(level)
 
         def through(batches, level=level):
@@ -123,14 +127,14 @@ def build_cascade(listed: DataFrame, universe: DataFrame, most_bits: int = MOST_
     return levels
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow", most_bits: int = MOST_BITS) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow") -> DataFrame:
     """page_id, host, path, rule and verdict of every page by rules (verdict, host, path), verdicts 'allow' and 'block'.
 
     A rule fits its host and all subdomains of it where the path starts with the rule's; of several the longest
     (host and path together) wins. Each verdict's rules make one cascade over all keys that any page of the corpus
     could match, so membership is exact and is decided without joins, by two hashes of each candidate key. Pages
-    that no key decides get the method's verdict, `default`: they are on no list. A cascade's size follows the
-    rules, not the pages; rules too many for it (most_bits) are joined by key instead.
+    that no key decides get the method's verdict, `default`: they are on no list. What is broadcast are the cascades:
+    a few bytes a rule at any number of pages, far less than the list of rules that the caller holds.
 
     Null urls and those without :// have empty host and path and fit no rule. Repeated rows and page_ids are judged
     each; an empty table gives no rows. Other columns of pages are ignored. One key with both verdicts is an error.
@@ -148,9 +152,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str
     cascades: dict[str, list[Level]] = {}
     for verdict in ("allow", "block"):
         listed = spark.createDataFrame([(k,) for k, v in by_key.items() if v == verdict], "key string")
-        if (levels := build_cascade(listed, universe, most_bits)) is None:
-            return _joined(keyed, by_key, default)
-        cascades[verdict] = levels
+        cascades[verdict] = build_cascade(listed, universe)
     sent = spark.sparkContext.broadcast(cascades)
 
     @F.pandas_udf(T.ArrayType(T.ByteType()))
@@ -171,13 +173,3 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str
     verdict = F.when(F.col("best.codes") == 1, "allow").when(F.col("best.codes") == 2, "block").otherwise(default)
     return found.withColumn("best", best).select("page_id", "host", "path", F.col("best.keys").alias("rule"), verdict.alias("verdict"))
 
-
-def _joined(keyed: DataFrame, by_key: dict[str, str], default: str) -> DataFrame:
-    """The same by a join on the keys, for rule lists beyond the cascade's bound."""
-    rules = keyed.sparkSession.createDataFrame(list(by_key.items()), "rule string, verdict string")
-    rows = keyed.withColumn("_row", F.monotonically_increasing_id())
-    rows = stored(rows, "url-rows")
-    hits = rows.select("_row", F.explode("keys").alias("rule")).join(rules, "rule")
-    best = hits.groupBy("_row").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("b"))
-    out = rows.join(best, "_row", "left")
-    return out.select("page_id", "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
