@@ -63,10 +63,15 @@ def compose(vs: Column, flank: int, base: Column, base_start: Column) -> Column:
     """The sequence of a haplotype with flanks; `base` holds the reference from 1-based position base_start on.
 
     Variants go by position, then length of ref and of alt. Between them the reference is copied from where the
-    last one ended; of an alternate allele whose start is already covered the covered bases are left out.
+    last one ended; of an alternate allele whose start is already covered the covered bases are left out. A flank
+    ends where the base does.
     """
     ordered = by_position(vs, lambda v: F.length(v["alt"]).alias("a"))
-    ref = lambda at, n: F.substring(base, (at - base_start + 1).cast("int"), F.greatest(n, F.lit(0)).cast("int"))
+
+    def ref(at: Column, n: Column) -> Column:
+        before = F.greatest(base_start - at, F.lit(0))
+        return F.substring(base, (at + before - base_start + 1).cast("int"), F.greatest(n - before, F.lit(0)).cast("int"))
+
     first = F.element_at(ordered, 1)["position"]
     start = F.struct(ref(first - flank, F.lit(flank)).alias("seq"), first.alias("at"))
 
@@ -120,6 +125,15 @@ def conflicts(ordered: Column) -> Column:
     return F.filter(F.flatten(pairs), lambda r: r.isNotNull())
 
 
+def overlapping(ordered: Column) -> Column:
+    """Whether any two of the position-sorted variants overlap: one starts before the furthest end so far."""
+    start = F.struct(F.lit(0).alias("reach"), F.lit(False).alias("met"))
+    step = lambda acc, v: F.struct(
+        F.greatest(acc["reach"], v["position"] + F.length(v["ref"])).alias("reach"), (acc["met"] | (v["position"] < acc["reach"])).alias("met")
+    )
+    return F.aggregate(ordered, start, step, lambda acc: acc["met"])
+
+
 def end_extends(vs: Column) -> Column:
     """Whether a variant reaches farther than the rightmost one (greatest position, then longest ref)."""
     last = F.array_max(F.transform(vs, lambda v: F.struct(v["position"].alias("p"), F.length(v["ref"]).alias("n"))))

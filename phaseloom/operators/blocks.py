@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from phaseloom.operators.ordering import in_ranges, with_earlier
 
 def _islands(rows: DataFrame, keys: list[str], window: int, name: str) -> DataFrame:
     """Numbers the runs of each key's rows by (position, ref_len, row_idx): a row opens a run if it starts `window` or more after all earlier ends."""
@@ -16,8 +17,21 @@ def _islands(rows: DataFrame, keys: list[str], window: int, name: str) -> DataFr
 
 
 def locus_groups(variants: DataFrame, window: int) -> DataFrame:
-    """variants with locus_group, numbered from 1 in each contig; no haplotype spans two groups."""
-    return _islands(variants, ["contig"], window, "locus_group")
+    """variants with locus_group, numbered from 1 in each contig; no haplotype spans two groups.
+
+    Contigs are cut into ranges of positions. The furthest end and the number of groups before a range come from one
+    row a range, so a contig of any length is spread over tasks.
+    """
+    keys = ["position", "ref_len", "row_idx"]
+    end = F.col("position") + F.col("ref_len")
+    ranged = with_earlier(in_ranges(variants, ["contig", *keys], "loci"), ["contig"], _end_max=F.max(end))
+    here = Window.partitionBy("contig", "_range").orderBy(*keys)
+    reach = F.greatest(F.max(end).over(here.rowsBetween(Window.unboundedPreceding, -1)), F.col("_end_max"))
+    opens = F.coalesce(F.col("position") - F.col("_reach") >= window, F.lit(True)).cast("long")
+    marked = ranged.withColumn("_reach", reach).withColumn("_opens", opens).drop("_end_max", "_reach")
+    placed = with_earlier(marked, ["contig"], _groups=F.sum("_opens"))
+    own = F.sum("_opens").over(here.rowsBetween(Window.unboundedPreceding, 0))
+    return placed.withColumn("locus_group", own + F.coalesce(F.col("_groups"), F.lit(0))).drop("_range", "_opens", "_groups")
 
 
 def multi_member_groups(grouped: DataFrame) -> DataFrame:

@@ -28,10 +28,6 @@ def passes_both(exome_filters: Column, genome_filters: Column) -> Column:
     return passes(genome_filters) & F.coalesce(F.size(others) == 0, F.lit(True))
 
 
-def carries_alt(gt: Column) -> Column:
-    return F.coalesce(gt["a"] != 0, F.lit(False)) | F.coalesce(gt["b"] != 0, F.lit(False))
-
-
 def in_x_nonpar(contig: Column, position: Column) -> Column:
     return (contig == "chrX") & (position > PAR1_END) & (position < PAR2_START)
 

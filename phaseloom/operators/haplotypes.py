@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phaseloom.operators.blocks import slices
+from phaseloom.operators.ordering import numbered
 
 
 def containment_ac(fragments: DataFrame, n_pops: int) -> DataFrame:
@@ -23,18 +24,28 @@ def component_metrics(haplotypes: DataFrame, stats: DataFrame, sites: DataFrame)
     without statistics are skipped, and what would divide by nothing is null. max_pop is the population with the
     greatest empirical AF, the first of equal ones.
     """
-    members = haplotypes.select("haplotype", F.explode(F.array_distinct("haplotype")).alias("row_idx"))
-    pops = haplotypes.select("haplotype", F.posexplode("per_pop_AC").alias("pop", "empirical_AC"))
-    local = members.join(stats, "row_idx").groupBy("haplotype", "pop").agg(F.min("AN").alias("min_AN"), F.min("AF").alias("min_AF"))
-    known = members.join(sites, "row_idx").groupBy("haplotype", "pop").agg(F.min("af").alias("min_site"))
-    long = pops.join(local, ["haplotype", "pop"], "left").join(known, ["haplotype", "pop"], "left")
-    ratio = lambda x, y: F.when(F.col(y) > 0, F.col(x).cast("double") / F.col(y))
-    long = (
-        long.withColumn("empirical_AF", ratio("empirical_AC", "min_AN"))
-        .withColumn("fraction_phased", ratio("empirical_AF", "min_AF"))
-        .withColumn("estimated_gnomad_AF", F.col("min_site") * F.col("fraction_phased"))
+    cells = stats.select("row_idx", "pop", "AN", "AF").join(sites.select("row_idx", "pop", "af"), ["row_idx", "pop"], "full")
+    cells = cells.toDF("row_idx", "pop", "AN", "local_AF", "site_af")
+    members = haplotypes.select("haplotype", "per_pop_AC", F.explode(F.array_distinct("haplotype")).alias("row_idx"))
+    least = members.join(cells, "row_idx", "left").groupBy("haplotype", "per_pop_AC", "pop").agg(
+        F.min("AN").alias("min_AN"), F.min("local_AF").alias("min_AF"), F.min("site_af").alias("min_site")
     )
-    entry = F.struct("pop", "empirical_AC", "empirical_AF", "fraction_phased", "estimated_gnomad_AF", F.col("min_AF").alias("min_variant_frequency"))
+    found = least.groupBy("haplotype", "per_pop_AC").agg(F.collect_list(F.struct("pop", "min_AN", "min_AF", "min_site")).alias("c"))
+    ratio = lambda x, y: F.when(y > 0, x.cast("double") / y)
+
+    def by_pop(ac, p):
+        own = F.get(F.filter("c", lambda x: x["pop"] == p), F.lit(0))
+        af = ratio(ac, own["min_AN"])
+        phased = ratio(af, own["min_AF"])
+        return F.struct(
+            p.alias("pop"),
+            ac.alias("empirical_AC"),
+            af.alias("empirical_AF"),
+            phased.alias("fraction_phased"),
+            (own["min_site"] * phased).alias("estimated_gnomad_AF"),
+            own["min_AF"].alias("min_variant_frequency"),
+        )
+
     better = (  # empirical AF down, missing last, then population
         lambda x, y: F.when(x["empirical_AF"].isNull() & y["empirical_AF"].isNull(), x["pop"] - y["pop"])
         .when(x["empirical_AF"].isNull(), 1)
@@ -43,9 +54,9 @@ def component_metrics(haplotypes: DataFrame, stats: DataFrame, sites: DataFrame)
         .when(x["empirical_AF"] < y["empirical_AF"], 1)
         .otherwise(x["pop"] - y["pop"])
     )
-    listed = long.groupBy("haplotype").agg(F.array_sort(F.collect_list(entry), better).alias("freqs"))
+    listed = found.select("haplotype", "per_pop_AC", F.array_sort(F.transform("per_pop_AC", by_pop), better).alias("freqs"))
     best = F.when(F.get("freqs", F.lit(0))["empirical_AF"].isNotNull(), F.get("freqs", F.lit(0)))
-    out = haplotypes.join(listed, "haplotype").withColumn("best", best)
+    out = listed.withColumn("best", best)
     return out.select(
         "haplotype",
         "per_pop_AC",
@@ -76,9 +87,5 @@ def without_contained(haplotypes: DataFrame) -> DataFrame:
 
 
 def numbered_variants(variants: DataFrame) -> DataFrame:
-    """variants with row_idx from 0 in order of (contig, position, ref, alt): per-contig numbers on top of the contigs' counts."""
-    sizes = variants.groupBy("contig").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("contig").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("contig", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_o"))
-    own = Window.partitionBy("contig").orderBy("position", "ref", "alt")
-    return variants.withColumn("_k", F.row_number().over(own)).join(offsets, "contig").withColumn("row_idx", F.col("_o") + F.col("_k") - 1).drop("_o", "_k")
+    """variants with row_idx from 0 in order of (contig, position, ref, alt)."""
+    return numbered(variants, ["contig", "position", "ref", "alt"], "row_idx")

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from phaseloom import legends
 from phaseloom.functions import variants as V
 from phaseloom.operators import blocks, filters, genotypes, haplotypes
-from phaseloom.plans import compare, discovery, index, model, remap
+from phaseloom.operators.ordering import numbered
+from phaseloom.plans import cohort, compare, discovery, extract, index, model, remap
 from phaseloom.plans.model import VT, WINDOW, table
+from phaseloom.sources.tables import in_interval
+from phaseloom.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,21 +35,22 @@ def _text(array: str) -> Column:
     return F.array_join(F.transform(array, lambda x: x.cast("string")), "-")
 
 
-#: The model of model.py as CTEs.
-BASE = f"""
+#: The model of model.py as CTEs; CHAIN goes from carriers, stats and af to haplotypes.
+MODEL = f"""
 v AS (SELECT v, 'chr' || (1 + v % 2) AS contig, CAST(100 + (v // 2) * 10 AS INT) AS pos, CAST(1 + v % 4 AS INT) AS ref_len FROM range(200) t(v)),
 af AS (SELECT v, CAST(p AS INT) AS p, CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100 AS af FROM range(200) t(v), range(5) u(p)),
 samples AS (SELECT c_custkey AS s, n_regionkey AS p FROM customer JOIN nation ON c_nationkey = n_nationkey),
 entries AS (SELECT DISTINCT o_custkey AS s, l_linenumber % 2 AS strand, l_partkey % 200 AS v FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 carriers AS (SELECT e.s, x.p, e.strand, v.* FROM entries e JOIN samples x ON e.s = x.s JOIN af ON af.v = e.v AND af.p = x.p AND af.af >= {VT} JOIN v ON v.v = e.v),
+sizes AS (SELECT p, 2 * count(*) AS an FROM samples GROUP BY p),
+stats AS (SELECT af.v, af.p, sizes.an, CAST(count(c.s) AS DOUBLE) / sizes.an AS laf FROM af JOIN sizes ON sizes.p = af.p LEFT JOIN carriers c ON c.v = af.v AND c.p = af.p WHERE af.af >= {VT} GROUP BY af.v, af.p, sizes.an)"""
+CHAIN = f"""
 reach AS (SELECT *, max(pos + ref_len) OVER (PARTITION BY s, strand, contig ORDER BY pos, ref_len, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM carriers),
 runs AS (SELECT *, CAST(sum(CASE WHEN r IS NULL OR pos - r >= {WINDOW} THEN 1 ELSE 0 END) OVER (PARTITION BY s, strand, contig ORDER BY pos, ref_len, v ROWS UNBOUNDED PRECEDING) AS BIGINT) AS block FROM reach),
 parents AS (SELECT s, p, strand, contig, block, list(v ORDER BY pos, ref_len, v) AS parent FROM runs GROUP BY ALL HAVING count(*) > 1),
 ends AS (SELECT *, unnest(range(2, len(parent) + 1)) AS j FROM parents),
 frags AS (SELECT s, p, strand, contig, parent[i:j] AS h FROM (SELECT *, unnest(range(1, j)) AS i FROM ends)),
 haps AS (SELECT h, [count(*) FILTER (WHERE p = 0), count(*) FILTER (WHERE p = 1), count(*) FILTER (WHERE p = 2), count(*) FILTER (WHERE p = 3), count(*) FILTER (WHERE p = 4)] AS ac FROM frags GROUP BY h),
-sizes AS (SELECT p, 2 * count(*) AS an FROM samples GROUP BY p),
-stats AS (SELECT af.v, af.p, sizes.an, CAST(count(c.s) AS DOUBLE) / sizes.an AS laf FROM af JOIN sizes ON sizes.p = af.p LEFT JOIN carriers c ON c.v = af.v AND c.p = af.p WHERE af.af >= {VT} GROUP BY af.v, af.p, sizes.an),
 members AS (SELECT h, ac, unnest(h) AS v FROM haps),
 long AS (SELECT m.h, m.ac, g.p, m.ac[g.p + 1] AS eac, min(st.an) AS an, min(st.laf) AS laf, min(g.af) AS site FROM members m JOIN af g ON g.v = m.v LEFT JOIN stats st ON st.v = m.v AND st.p = g.p GROUP BY m.h, m.ac, g.p),
 long1 AS (SELECT *, CASE WHEN an > 0 THEN CAST(eac AS DOUBLE) / an END AS eaf FROM long),
@@ -57,17 +61,24 @@ kept AS (SELECT * FROM metrics WHERE laf > 0 AND est >= 0),
 texts AS (SELECT *, '-' || array_to_string(h, '-') || '-' AS t FROM kept),
 final AS (SELECT a.* FROM texts a WHERE NOT EXISTS (SELECT 1 FROM texts b WHERE b.ac = a.ac AND len(b.h) > len(a.h) AND contains(b.t, a.t)))
 """
+BASE = f"{MODEL},{CHAIN}"
 WITH = f"WITH {BASE}"
 METRIC_COLUMNS = "array_to_string(h, '-') AS haplotype, array_to_string(ac, '-') AS per_pop_ac, max_pop, eaf AS empirical_af, eac AS empirical_ac, laf AS min_variant_frequency, fp AS fraction_phased, est AS estimated_af"
 
 
-def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parents = blocks.parent_blocks(model.carriers(spark, sf_dir), WINDOW)
+def _counted(carriers: DataFrame) -> DataFrame:
+    parents = blocks.parent_blocks(carriers, WINDOW)
     return haplotypes.containment_ac(blocks.subfragments(parents), len(model.POPS))
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return haplotypes.component_metrics(_counted(spark, sf_dir), model.stats(spark, sf_dir), model.sites(spark))
+    carriers = stored(model.carriers(spark, sf_dir), "carriers")
+    return haplotypes.component_metrics(_counted(carriers), model.stats(spark, sf_dir, carriers), model.sites(spark))
+
+
+def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    carriers = stored(model.carriers(spark, sf_dir), "carriers")
+    return discovery.from_carriers(carriers, model.stats(spark, sf_dir, carriers), model.sites(spark), len(model.POPS), WINDOW, 0.0)
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -86,8 +97,7 @@ def _shown(df: DataFrame) -> DataFrame:
 @query(f"{WITH} SELECT {METRIC_COLUMNS} FROM final")
 def hap_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks, fragments, counts, metrics, threshold and redundancy in one plan."""
-    found = discovery.from_carriers(model.carriers(spark, sf_dir), model.stats(spark, sf_dir), model.sites(spark), len(model.POPS), WINDOW, 0.0)
-    return _shown(found)
+    return _shown(_found(spark, sf_dir))
 
 
 @query(f"{WITH} SELECT {METRIC_COLUMNS} FROM metrics WHERE laf > 0 AND est >= 0.005")
@@ -108,13 +118,12 @@ def max_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH v AS (SELECT v, 'chr' || (1 + v % 2) AS contig, CAST(100 + (v // 2) * 10 + (v % 7) * 9 AS INT) AS pos, CAST(1 + v % 4 AS INT) AS ref_len FROM range(200) t(v)),
+    f"""WITH v AS (SELECT v, 'chr' || (1 + v % 2) AS contig, CAST(100 + (v // 2) * 10 + (v % 7) * 9 AS INT) AS pos, CAST(1 + v % 4 AS INT) AS ref_len FROM (SELECT p_partkey AS v FROM part) t),
 r AS (SELECT *, max(pos + ref_len) OVER (PARTITION BY contig ORDER BY pos, ref_len, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM v)
 SELECT v AS row_idx, contig, pos AS position, CAST(sum(CASE WHEN r IS NULL OR pos - r >= 8 THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY pos, ref_len, v ROWS UNBOUNDED PRECEDING) AS BIGINT) AS locus_group FROM r"""
 )
 def locus_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spread = model.variants(spark).withColumn("position", (F.col("position") + (F.col("row_idx") % 7) * 9).cast("int"))
-    return blocks.locus_groups(spread, 8).select("row_idx", "contig", "position", "locus_group")
+    return blocks.locus_groups(model.part_variants(spark, sf_dir), 8).select("row_idx", "contig", "position", "locus_group")
 
 
 @query(f"SELECT * FROM ({SQL['locus_groups']}) x WHERE (SELECT 1) = 1 QUALIFY count(*) OVER (PARTITION BY contig, locus_group) > 1")
@@ -136,7 +145,7 @@ def subfragments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{WITH} SELECT array_to_string(h, '-') AS haplotype, array_to_string(ac, '-') AS per_pop_ac FROM haps")
 def containment_ac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _counted(spark, sf_dir).select(_text("haplotype").alias("haplotype"), _text("per_pop_AC").alias("per_pop_ac"))
+    return _counted(model.carriers(spark, sf_dir)).select(_text("haplotype").alias("haplotype"), _text("per_pop_AC").alias("per_pop_ac"))
 
 
 @query(
@@ -144,7 +153,7 @@ def containment_ac(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT array_to_string(a.h, '-') AS haplotype, array_to_string(a.ac, '-') AS per_pop_ac FROM t a WHERE NOT EXISTS (SELECT 1 FROM t b WHERE b.ac = a.ac AND len(b.h) > len(a.h) AND contains(b.t, a.t))"""
 )
 def containment_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = haplotypes.without_contained(_counted(spark, sf_dir))
+    found = haplotypes.without_contained(stored(_counted(model.carriers(spark, sf_dir)), "counted"))
     return found.select(_text("haplotype").alias("haplotype"), _text("per_pop_AC").alias("per_pop_ac"))
 
 
@@ -189,25 +198,15 @@ def two_callset_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _filter_sets(spark, sf_dir).where(filters.passes_both(F.col("exomes"), F.col("genomes"))).select("p_partkey")
 
 
-@query("SELECT v AS row_idx FROM (SELECT v, max(CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100) AS m FROM range(200) t(v), range(5) u(p) GROUP BY v) WHERE m >= 0.45")
+@query("SELECT v AS row_idx FROM (SELECT v, max(CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100) AS m FROM (SELECT p_partkey AS v FROM part) t, range(5) u(p) GROUP BY v) WHERE m >= 0.45")
 def max_population_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    freqs = model.sites(spark).groupBy("row_idx").agg(F.collect_list(F.struct(F.col("af").alias("AF"))).alias("f"))
+    freqs = model.part_sites(spark, sf_dir).groupBy("row_idx").agg(F.collect_list(F.struct(F.col("af").alias("AF"))).alias("f"))
     return freqs.where(filters.max_population_at(F.col("f"), 0.45)).select("row_idx")
 
 
-#: Haplotypes of three alleles in a row, in both dialects.
-ALLELES_SQL = "a AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in model.ALLELES.items()) + " FROM range(200) t(v))"
-
-
-def _triples(spark: SparkSession, n: int = 3) -> DataFrame:
-    rows = model.alleles(spark)
-    order = Window.orderBy("row_idx")  # 200 rows
-    vs = [F.lead(F.struct("contig", "position", "ref", "alt"), k).over(order) for k in range(n)]
-    return rows.select("row_idx", F.array_compact(F.array(*vs)).alias("vs"))
-
-
-TRIPLES = f"""WITH {ALLELES_SQL},
-t AS (SELECT x.row_idx, y.row_idx AS k, y.position AS pos, y.ref, y.alt FROM a x JOIN a y ON y.row_idx BETWEEN x.row_idx AND x.row_idx + 2)"""
+#: Haplotypes of the alleles of three numbers in a row, in both dialects.
+TRIPLES = f"""WITH a AS (SELECT base, k, {", ".join(f"{e} AS {n}" for n, e in model.ALLELES.items())} FROM (SELECT p_partkey AS base, k, p_partkey + k AS v FROM part, range(3) r(k)) x),
+t AS (SELECT base AS row_idx, k, position AS pos, ref, alt, row_number() OVER (PARTITION BY base ORDER BY position, length(ref), k) AS o FROM a)"""
 
 
 @query(
@@ -215,55 +214,63 @@ t AS (SELECT x.row_idx, y.row_idx AS k, y.position AS pos, y.ref, y.alt FROM a x
 )
 def haplo_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = V.coordinates(F.col("vs"), WINDOW)
-    return _triples(spark).select("row_idx", start.alias("start"), end.alias("end"))
+    return model.alleles(spark, sf_dir, 3).select("row_idx", start.alias("start"), end.alias("end"))
 
 
-@query(f"WITH {ALLELES_SQL} SELECT x.row_idx, CAST(y.position - x.position - length(x.ref) AS INT) AS distance FROM a x JOIN a y ON y.row_idx = x.row_idx + 1")
+@query(f"{TRIPLES} SELECT x.row_idx, CAST(y.pos - x.pos - length(x.ref) AS INT) AS distance FROM t x JOIN t y ON y.row_idx = x.row_idx AND x.k = 0 AND y.k = 1")
 def variant_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _triples(spark, 2).where("size(vs) = 2")
-    return pairs.select("row_idx", V.distance(F.element_at("vs", 1), F.element_at("vs", 2)).alias("distance"))
+    return model.alleles(spark, sf_dir, 2).select("row_idx", V.distance(F.element_at("vs", 1), F.element_at("vs", 2)).alias("distance"))
 
 
 KIND = "CASE WHEN length({0}.ref) > length({0}.alt) THEN 'deletion' WHEN length({0}.ref) < length({0}.alt) THEN 'insertion' WHEN length({0}.ref) = 1 THEN 'snp' ELSE 'mnv' END"
+LOST, GAINED = "substr({0}.ref, length({0}.alt) + 1)", "substr({0}.alt, length({0}.ref) + 1)"
 PAIR_REASONS = f"""{TRIPLES},
-p AS (SELECT x.row_idx, {KIND.format("x")} AS ka, {KIND.format("y")} AS kb FROM t x JOIN t y ON x.row_idx = y.row_idx AND x.k < y.k WHERE y.pos < x.pos + length(x.ref)),
-r AS (SELECT row_idx, CASE WHEN ka = 'deletion' THEN CASE kb WHEN 'snp' THEN 'snp_in_deletion' WHEN 'deletion' THEN 'overlapping_deletions' WHEN 'insertion' THEN 'insertion_in_deletion' ELSE 'other_overlap' END
+p AS (SELECT x.row_idx, x.pos = y.pos AS here, {KIND.format("x")} AS ka, {KIND.format("y")} AS kb, {LOST.format("x")} AS xl, {GAINED.format("x")} AS xg, {LOST.format("y")} AS yl, {GAINED.format("y")} AS yg
+  FROM t x JOIN t y ON x.row_idx = y.row_idx AND x.o < y.o WHERE y.pos < x.pos + length(x.ref)),
+r AS (SELECT row_idx, CASE
+  WHEN here THEN CASE
+    WHEN (ka = 'snp' AND kb IN ('insertion', 'deletion')) OR (kb = 'snp' AND ka IN ('insertion', 'deletion')) THEN NULL
+    WHEN ka = 'deletion' AND kb = 'insertion' THEN CASE WHEN xl = yg THEN 'same_position_reciprocal_insertion_deletion' ELSE 'same_position_insertion_deletion' END
+    WHEN ka = 'insertion' AND kb = 'deletion' THEN CASE WHEN yl = xg THEN 'same_position_reciprocal_insertion_deletion' ELSE 'same_position_insertion_deletion' END
+    WHEN ka = kb AND ka <> 'mnv' THEN 'same_position_' || ka ELSE 'same_position_other' END
+  WHEN ka = 'deletion' THEN CASE kb WHEN 'snp' THEN 'snp_in_deletion' WHEN 'deletion' THEN 'overlapping_deletions' WHEN 'insertion' THEN 'insertion_in_deletion' ELSE 'other_overlap' END
   WHEN ka = 'insertion' THEN 'insertion_anchor_conflict' ELSE 'other_overlap' END AS reason FROM p)"""
-EXTENDS = "SELECT row_idx, 'end_extends_past_rightmost_variant' AS reason FROM t GROUP BY row_idx HAVING max(pos + length(ref)) > max_by(pos + length(ref), pos)"
+EXTENDS = "SELECT row_idx, 'end_extends_past_rightmost_variant' AS reason FROM t GROUP BY row_idx HAVING max(pos + length(ref)) > max_by(pos + length(ref), pos * 1000 + length(ref))"
 
 
 @query(
-    f"""{PAIR_REASONS}, f AS (SELECT * FROM r UNION {EXTENDS}), g AS (SELECT row_idx, string_agg(reason, ';' ORDER BY reason) AS s FROM (SELECT DISTINCT row_idx, reason FROM f) GROUP BY row_idx)
-SELECT a.row_idx, coalesce(g.s, 'PASS') AS haplotype_filter FROM a LEFT JOIN g ON g.row_idx = a.row_idx"""
+    f"""{PAIR_REASONS}, f AS (SELECT * FROM r WHERE reason IS NOT NULL UNION {EXTENDS}), g AS (SELECT row_idx, string_agg(reason, ';' ORDER BY reason) AS s FROM (SELECT DISTINCT row_idx, reason FROM f) GROUP BY row_idx)
+SELECT p_partkey AS row_idx, coalesce(g.s, 'PASS') AS haplotype_filter FROM part LEFT JOIN g ON g.row_idx = p_partkey"""
 )
 def compat_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _triples(spark).select("row_idx", V.haplotype_filter(F.col("vs")).alias("haplotype_filter"))
+    return model.alleles(spark, sf_dir, 3).select("row_idx", V.haplotype_filter(F.col("vs")).alias("haplotype_filter"))
 
 
-@query(f"{TRIPLES} SELECT row_idx, max(pos + length(ref)) > max_by(pos + length(ref), pos) AS extends FROM t GROUP BY row_idx")
+@query(f"{TRIPLES} SELECT row_idx, max(pos + length(ref)) > max_by(pos + length(ref), pos * 1000 + length(ref)) AS extends FROM t GROUP BY row_idx")
 def end_extends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _triples(spark).select("row_idx", V.end_extends(F.col("vs")).alias("extends"))
+    return model.alleles(spark, sf_dir, 3).select("row_idx", V.end_extends(F.col("vs")).alias("extends"))
 
 
 @query(
-    """WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 80)
-SELECT doc_id, substr(text, 10, 10) || 'T' || substr(text, 21, 9) || 'GG' || substr(text, 33, 17) || 'A' || substr(text, 50, 10) AS sequence FROM d"""
+    """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+p AS (SELECT *, 1 + n // 4 AS a, 3 + n // 2 AS b, 7 + 3 * n // 4 AS c FROM d)
+SELECT doc_id, substr(t, greatest(a - 10, 1), CAST(least(10, a - 1) AS BIGINT)) || 'T' || substr(t, a + 1, b - a - 1) || 'GG' || substr(t, b + 3, c - b - 3) || substr(t, c, 1) || 'A' || substr(t, c + 1, 10) AS sequence FROM p"""
 )
 def haplo_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each long text as a reference: a substitution at 20, a deletion of one base at 30 and an insertion before 50, flanks of 10."""
-    docs = table(spark, sf_dir, "documents").where(F.length("text") >= 80)
-    at = lambda p, n: F.substring("text", p, n)
-    vs = F.array(
-        V.variant(F.lit("c"), F.lit(20), at(20, 1), F.lit("T")),
-        V.variant(F.lit("c"), F.lit(30), at(30, 3), F.lit("GG")),
-        V.variant(F.lit("c"), F.lit(50), F.lit(""), F.lit("A")),
-    )
+    """Each text as a reference, with a substitution at a quarter of it, a deletion at a half and an insertion at three quarters, flanks of 10."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("n", F.length("text"))
+    a, b, c = F.expr("cast(1 + n div 4 as int)"), F.expr("cast(3 + n div 2 as int)"), F.expr("cast(7 + 3 * n div 4 as int)")
+    at = lambda p, n: F.substring(F.col("text"), p, F.lit(n))
+    place = lambda p, ref, alt: V.variant(F.lit("c"), p, ref, alt)
+    three = F.rpad(at(b, 3), 3, "-")  # a text's end may fall inside the deletion
+    one = F.rpad(at(c, 1), 1, "-")
+    vs = F.array(place(a, F.rpad(at(a, 1), 1, "-"), F.lit("T")), place(b, three, F.lit("GG")), place(c, one, F.concat(at(c, 1), F.lit("A"))))
     return docs.select("doc_id", V.compose(vs, 10, F.col("text"), F.lit(1)).alias("sequence"))
 
 
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Haplotypes of the pipeline and single sites as index entries."""
-    found = discovery.from_carriers(model.carriers(spark, sf_dir), model.stats(spark, sf_dir), model.sites(spark), len(model.POPS), WINDOW, 0.0)
+    found = stored(_found(spark, sf_dir), "found")
     freqs = model.sites(spark).groupBy("row_idx").agg(F.array_sort(F.collect_list(F.struct("pop", "af"))).alias("f"))
     site = model.variants(spark).join(freqs, "row_idx").select(
         "row_idx",
@@ -304,26 +311,24 @@ def sequences_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""{ENTRIES} SELECT variants, 'DR-2.0-' || (row_number() OVER (PARTITION BY contig ORDER BY pos, source, variants) - 1) AS sequence_id FROM ent"""
 )
 def sequence_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from phaseloom.sources.fasta import row_numbers
-
     named = _entries(spark, sf_dir).select(
         "source",
         F.element_at("variants", 1)["contig"].alias("contig"),
         F.array_min(F.transform("variants", lambda v: v["position"])).alias("first"),
         V.render_all(F.col("variants")).alias("variants"),
     )
-    numbered = row_numbers(named, ["first", "source", "variants"])
-    return numbered.select("variants", F.concat(F.lit("DR-2.0-"), F.col("idx").cast("string")).alias("sequence_id"))
+    rows = numbered(named, ["first", "source", "variants"], by=("contig",))
+    return rows.select("variants", F.concat(F.lit("DR-2.0-"), F.col("idx").cast("string")).alias("sequence_id"))
 
 
 @query(
     """SELECT v AS row_idx, """
     + ", ".join(f"max(CASE WHEN p = {k} THEN CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100 END) AS af_{p}" for k, p in enumerate(model.POPS))
-    + " FROM range(200) t(v), range(5) u(p) GROUP BY v"
+    + " FROM (SELECT p_partkey AS v FROM part) t, range(5) u(p) GROUP BY v"
 )
 def per_pop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A positional array spread into a column for each population of the legend."""
-    freqs = model.sites(spark).groupBy("row_idx").agg(F.array_sort(F.collect_list(F.struct("pop", "af"))).alias("f"))
+    freqs = model.part_sites(spark, sf_dir).groupBy("row_idx").agg(F.array_sort(F.collect_list(F.struct("pop", "af"))).alias("f"))
     return freqs.select("row_idx", *[F.get("f", F.lit(k))["af"].alias(f"af_{p}") for k, p in enumerate(model.POPS)])
 
 
@@ -340,13 +345,14 @@ def joint_legend_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Sequences of two variants each, for hits made from events: A>T at 500 + 10 k, CC>G five bases on; window 10.
 @query(
     """WITH s AS (SELECT k, 'S' || k AS id, 500 + 10 * k AS p1, 505 + 10 * k AS p2 FROM range(20) t(k)),
-h AS (SELECT event_id, user_id % 20 AS k, CAST(event_id % 22 AS INT) AS a, CAST(event_id % 22 + 1 + user_id % 4 AS INT) AS b FROM events),
+g AS (SELECT event_id, user_id % 20 AS k, event_id % 22 AS a, event_id % 22 + 1 + user_id % 4 AS b, event_id % 3 AS pad, user_id % 2 = 0 AS plus FROM events),
+h AS (SELECT event_id, k, CAST(a - CASE WHEN plus THEN 0 ELSE pad END AS INT) AS a, CAST(b + CASE WHEN plus THEN pad ELSE 0 END AS INT) AS b FROM g),
 j AS (SELECT event_id, p1, p2, a, b, a < 11 AND 10 < b AS m1, a < 16 AND 15 < b AS m2 FROM h JOIN s ON s.k = h.k)
 SELECT event_id,
   CAST(CASE WHEN a < 10 THEN p1 - 10 + a WHEN a < 11 THEN p1 WHEN a < 15 THEN p1 + 1 + a - 11 WHEN a < 16 THEN p2 ELSE p2 + 2 + a - 16 END AS BIGINT) AS ref_start,
   CAST(CASE WHEN b - 1 < 10 THEN p1 - 10 + b WHEN b < 11 THEN p1 + 1 WHEN b < 15 THEN p1 + 1 + b - 11 WHEN b < 16 THEN p2 + 2 ELSE p2 + 2 + b - 16 END AS BIGINT) AS ref_end,
   CASE WHEN m1 AND m2 THEN 'chr1:' || p1 || ':A:T,chr1:' || p2 || ':CC:G' WHEN m1 THEN 'chr1:' || p1 || ':A:T' WHEN m2 THEN 'chr1:' || p2 || ':CC:G' ELSE '' END AS variants_involved,
-  CAST(m1 AS INT) + CAST(m2 AS INT) AS n_variants_involved FROM j"""
+  CAST(m1 AS INT) + CAST(m2 AS INT) AS n_variants_involved, 'S' || (p1 - 500) // 10 AS index_sequence_id, '0.' || (p1 - 500) // 10 || '0000,NA' AS "gnomAD_AF_x", CAST((p1 - 500) // 10 AS DOUBLE) / 100 AS estimated_af_x FROM j"""
 )
 def remap_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = 500 + 10 * F.col("id")
@@ -358,6 +364,8 @@ def remap_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).cast("long").alias("popmax_empirical_AC"),
         F.lit("a").alias("max_pop"),
         F.lit("x").alias("source"),
+        F.concat(F.lit("0."), F.col("id").cast("string"), F.lit("0000,NA")).alias("gnomAD_AF_x"),
+        (F.col("id").cast("double") / 100).alias("estimated_gnomAD_haplotype_AF_x"),
     )
     at = (F.col("event_id") % 22).cast("int")
     hits = table(spark, sf_dir, "events").select(
@@ -365,12 +373,13 @@ def remap_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), (F.col("user_id") % 20).cast("string")).alias("chromosome"),
         at.alias("coordinate_start"),
         (at + 1 + F.col("user_id") % 4).cast("int").alias("coordinate_end"),
-        F.lit("+").alias("strand"),
-        F.lit("ACG-T").alias("padded_target"),
+        F.when(F.col("user_id") % 2 == 0, "+").otherwise("-").alias("strand"),
+        F.concat(F.lit("ACG-T"), F.repeat(F.lit("A"), (F.col("event_id") % 3).cast("int"))).alias("padded_target"),
         F.lit("ACGT").alias("unpadded_target_sequence"),
     )
-    out = remap.remap(hits, seqs, 10, [])
-    return out.select("event_id", F.col("coordinate_start").alias("ref_start"), F.col("coordinate_end").alias("ref_end"), "variants_involved", "n_variants_involved")
+    out = remap.remap(hits, seqs, 10, ["x"])
+    shown = ["variants_involved", "n_variants_involved", "index_sequence_id", "gnomAD_AF_x"]
+    return out.select("event_id", F.col("coordinate_start").alias("ref_start"), F.col("coordinate_end").alias("ref_end"), *shown, F.col("estimated_gnomAD_haplotype_AF_x").alias("estimated_af_x"))
 
 
 @query("SELECT p_partkey, p_brand FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
@@ -379,9 +388,9 @@ def semi_join_referenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", "p_brand").join(used, "p_partkey", "left_semi")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)")
 def anti_join_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    orders = table(spark, sf_dir, "orders").where("o_totalprice > 200000").select(F.col("o_custkey").alias("c_custkey"))
     return table(spark, sf_dir, "customer").select("c_custkey", "c_name").join(orders, "c_custkey", "left_anti")
 
 
@@ -392,8 +401,8 @@ def left_join_release(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two catalogs: haplotypes at 0 and at 0.002, the latter without those of population 4; counts are those of the best population."""
-    rows = _metrics(spark, sf_dir).where("min_variant_frequency > 0").select("haplotype", F.col("max_empirical_AC").alias("n"), "max_pop", "estimated_gnomad_AF")
+    """Two catalogs: haplotypes at 0 and at 0.002, the former without those of population 4; counts are those of the best population."""
+    rows = stored(_metrics(spark, sf_dir).where("min_variant_frequency > 0").select("haplotype", F.col("max_empirical_AC").alias("n"), "max_pop", "estimated_gnomad_AF"), "catalogs")
     old = rows.where("max_pop <> 4 AND estimated_gnomad_AF >= 0").select("haplotype", "n")
     new = rows.where("estimated_gnomad_AF >= 0.002D").select("haplotype", (F.col("n") + F.size("haplotype") % 3 - 1).alias("n"))
     return old, new
@@ -447,31 +456,68 @@ def old_only_enclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH f AS (SELECT v, p, CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100 AS a, CAST((v * 7 + p * 13 + v % 3) % 50 AS DOUBLE) / 100 AS b FROM range(200) t(v), range(5) u(p))
+    """WITH f AS (SELECT v, p, CAST((v * 7 + p * 13) % 50 AS DOUBLE) / 100 AS a, CAST((v * 7 + p * 13 + v % 3) % 50 AS DOUBLE) / 100 AS b FROM (SELECT p_partkey AS v FROM part) t, range(5) u(p))
 SELECT v AS row_idx, CASE p WHEN 0 THEN 'africa' WHEN 1 THEN 'america' WHEN 2 THEN 'asia' WHEN 3 THEN 'europe' ELSE 'mideast' END AS pop, a AS old_af, b AS new_af FROM f WHERE abs(b - a) >= 0.001"""
 )
 def release_af_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     af = lambda k, more: ((F.col("id") * 7 + k * 13 + more) % 50).cast("double") / 100
-    release = lambda more: spark.range(200).select(F.col("id").alias("row_idx"), *[af(k, more).alias(f"af_{p}") for k, p in enumerate(model.POPS)])
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("id"))
+    release = lambda more: parts.select(F.col("id").alias("row_idx"), *[af(k, more).alias(f"af_{p}") for k, p in enumerate(model.POPS)])
     return compare.frequency_changes(release(F.lit(0)), release(F.col("id") % 3), "row_idx", model.POPS)
 
 
+#: Line items as variants that a release may lack: present, both filter sets, two populations' frequencies and an allele number.
+EXPLAINED = """WITH e AS (SELECT NOT (l_returnflag = 'N' AND l_linenumber > 5) AS present,
+  CASE l_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN [] WHEN 2 THEN ['AC0'] ELSE ['AS_VQSR', 'AC0'] END AS ex,
+  CASE l_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ['AS_VQSR'] ELSE [] END AS ge,
+  CASE WHEN l_suppkey % 7 > 0 THEN l_discount END AS fa, CASE WHEN l_suppkey % 5 > 0 THEN l_tax END AS fb, CAST(floor(l_extendedprice) AS BIGINT) * CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE 1 END AS an FROM lineitem),
+x AS (SELECT *, CASE WHEN NOT present THEN 'absent_from_v41' WHEN greatest(coalesce(fa, 0), coalesce(fb, 0)) < 0.045 THEN 'below_af_threshold' WHEN coalesce(len(ex), 0) > 0 AND coalesce(len(ge), 0) > 0 THEN 'both_filters_nonempty'
+  WHEN coalesce(len(ex), 0) > 0 THEN 'exome_filter_only' WHEN coalesce(len(ge), 0) > 0 THEN 'genome_filter_only' ELSE 'unexpected_pass' END AS bucket FROM e)"""
+
+
+def _explained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    none, sets = F.array().cast("array<string>"), lambda *x: F.array(*[F.lit(v) for v in x])
+    k, g = F.col("l_orderkey") % 4, F.col("l_partkey") % 5
+    rows = table(spark, sf_dir, "lineitem").select(
+        (~((F.col("l_returnflag") == "N") & (F.col("l_linenumber") > 5))).alias("present"),
+        F.when(k == 1, none).when(k == 2, sets("AC0")).when(k == 3, sets("AS_VQSR", "AC0")).alias("exome_filters"),
+        F.when(g == 1, sets("AS_VQSR")).when(g > 1, none).alias("genome_filters"),
+        F.when(F.col("l_suppkey") % 7 > 0, F.col("l_discount").cast("double")).alias("af_a"),
+        F.when(F.col("l_suppkey") % 5 > 0, F.col("l_tax").cast("double")).alias("af_b"),
+        (F.floor("l_extendedprice").cast("long") * F.when(F.col("l_linenumber") % 3 == 0, 0).otherwise(1)).alias("exome_AN"),
+    )
+    bucket = compare.exclusion_bucket(F.col("present"), F.col("exome_filters"), F.col("genome_filters"), F.greatest("af_a", "af_b"), 0.045)
+    return rows.withColumn("bucket", bucket)
+
+
+@query(f"{EXPLAINED} SELECT bucket, count(*) AS n FROM x GROUP BY 1")
+def exclusion_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _explained(spark, sf_dir).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
-    """SELECT CASE WHEN l_returnflag = 'N' AND l_linenumber > 5 THEN 'not in release' WHEN CAST(l_quantity AS INT) % 10 = 0 THEN 'AC is 0' WHEN l_linestatus = 'O' AND l_linenumber = 2 THEN 'filtered'
-  WHEN l_discount < 0.03 THEN 'below threshold' ELSE 'unexpected pass' END AS bucket, count(*) AS n FROM lineitem GROUP BY 1"""
+    f"""{EXPLAINED}, c AS (SELECT bucket, array_to_string(list_sort(coalesce(ex, [])), ',') AS exomes, array_to_string(list_sort(coalesce(ge, [])), ',') AS genomes, count(*) AS n FROM x WHERE bucket NOT IN ('absent_from_v41', 'unexpected_pass') GROUP BY 1, 2, 3)
+SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY n DESC, exomes, genomes) <= 3"""
 )
-def exclusion_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 2), F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
-    bucket = compare.exclusion_bucket(
-        ~((F.col("l_returnflag") == "N") & (F.col("l_linenumber") > 5)), F.col("l_quantity").cast("int") % 10, flags, F.col("l_discount"), 0.03
-    )
-    return table(spark, sf_dir, "lineitem").groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+def exclusion_filter_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.filter_codes(_explained(spark, sf_dir), 3)
+
+
+@query(
+    f"""{EXPLAINED}, l AS (SELECT bucket, 'a' AS pop, CAST(coalesce(fa, 0) AS DOUBLE) AS af FROM x UNION ALL SELECT bucket, 'b', CAST(coalesce(fb, 0) AS DOUBLE) FROM x),
+s AS (SELECT bucket, pop, list(af ORDER BY af) AS q FROM l WHERE bucket NOT IN ('absent_from_v41', 'unexpected_pass') GROUP BY 1, 2)
+SELECT bucket, pop, CAST(len(q) AS BIGINT) AS n, q[1] AS least, q[-1] AS greatest, q[len(q) // 10 + 1] AS p10, q[len(q) // 2 + 1] AS p50, q[least(len(q) - 1, len(q) * 9 // 10) + 1] AS p90 FROM s"""
+)
+def exclusion_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.bucket_quantiles(_explained(spark, sf_dir), ["a", "b"])
 
 
-@query("SELECT count(*) FILTER (WHERE l_quantity < 10) AS low, count(*) FILTER (WHERE l_quantity >= 10 AND l_quantity < 30) AS middle, count(*) FILTER (WHERE l_quantity >= 30) AS high FROM lineitem")
+@query(
+    f"""{EXPLAINED} SELECT CASE WHEN an = 0 THEN '0' WHEN an < 100 THEN '1-99' WHEN an < 10000 THEN '100-9999' WHEN an < 100000 THEN '10000-99999' ELSE '100000+' END AS band, count(*) AS n
+FROM x WHERE list_contains(ex, 'AC0') AND coalesce(len(ge), 0) = 0 GROUP BY 1"""
+)
 def an_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = F.col("l_quantity")
-    return table(spark, sf_dir, "lineitem").agg(F.count_if(q < 10).alias("low"), F.count_if((q >= 10) & (q < 30)).alias("middle"), F.count_if(q >= 30).alias("high"))
+    return compare.ac0_coverage(_explained(spark, sf_dir))
 
 
 @query(
@@ -482,15 +528,16 @@ def nearest_rank_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.nearest_rank(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_quantity")
 
 
-@query("SELECT p AS pop, CAST(af // 0.1 AS INT) AS bin, count(*) AS n FROM (SELECT v, CAST(p AS INT) AS p, CAST((v * 7 + p * 13) % 50 AS INT) AS af FROM range(200) t(v), range(5) u(p)) GROUP BY 1, 2".replace("CAST(af // 0.1 AS INT)", "CAST(af // 10 + 1 AS INT)"))
+@query("SELECT p AS pop, CAST(af // 0.1 AS INT) AS bin, count(*) AS n FROM (SELECT v, CAST(p AS INT) AS p, CAST((v * 7 + p * 13) % 50 AS INT) AS af FROM (SELECT p_partkey AS v FROM part) t, range(5) u(p)) GROUP BY 1, 2".replace("CAST(af // 0.1 AS INT)", "CAST(af // 10 + 1 AS INT)"))
 def histogram_af(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = model.sites(spark).withColumn("af", F.round(F.col("af") * 100))
+    whole = model.part_sites(spark, sf_dir).withColumn("af", F.round(F.col("af") * 100))
     return compare.histogram(whole, ["pop"], "af", 0, 50, 5).select("pop", F.col("bin").cast("int").alias("bin"), "n")
 
 
-@query("SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_returnflag NOT IN ('A') GROUP BY 1")
+@query("WITH x AS (SELECT nullif(l_returnflag, 'R') AS l_returnflag FROM lineitem) SELECT l_returnflag, count(*) AS n FROM x WHERE l_returnflag NOT IN ('A') OR l_returnflag IS NULL GROUP BY 1")
 def not_in_keeping_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = table(spark, sf_dir, "lineitem").where(filters.not_in(F.col("l_returnflag"), ["A"]))
+    rows = table(spark, sf_dir, "lineitem").select(F.nullif("l_returnflag", F.lit("R")).alias("l_returnflag"))
+    kept = rows.where(filters.not_in(F.col("l_returnflag"), ["A"]))
     return kept.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -556,3 +603,178 @@ def session_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = sessions(table(spark, sf_dir, "events"), "1 hour")
     return out.select("user_id", "n", F.unix_seconds("first_ts").alias("first_s"), F.unix_seconds("last_ts").alias("last_s"))
+
+
+#: The cohort of cohort.py as CTEs.
+COHORT = f"""pv AS (SELECT p, {", ".join(f"{e} AS {n}" for n, e in cohort.VARIANT.items())} FROM (SELECT CAST(p_partkey AS BIGINT) AS p FROM part) x),
+ps AS (SELECT * FROM pv WHERE p % 9 > 1 AND p % 13 > 0),
+pf AS (SELECT p, k, {cohort.AF} AS af FROM ps, range(5) r(k)),
+known AS (SELECT *, row_number() OVER (ORDER BY contig, position, ref, alt) - 1 AS v FROM ps WHERE p IN (SELECT p FROM pf WHERE af >= {cohort.THRESHOLD})),
+af AS (SELECT v, CAST(k AS INT) AS p, af FROM known JOIN pf ON pf.p = known.p),
+cells AS (SELECT DISTINCT l_partkey AS q, c_nationkey AS n, l_linenumber % 2 AS strand FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_quantity > 25),
+calls AS (SELECT known.*, n_nationkey AS s, n_regionkey AS k, CAST(c0.q IS NOT NULL AS INT) AS a, CASE WHEN (known.p + n_nationkey) % 17 = 0 OR (contig = 'chrX' AND n_nationkey % 2 = 1) THEN NULL ELSE CAST(c1.q IS NOT NULL AS INT) END AS b
+  FROM known JOIN nation ON true JOIN af ON af.v = known.v AND af.p = n_regionkey AND af.af >= {cohort.THRESHOLD}
+  LEFT JOIN cells c0 ON c0.q = known.p AND c0.n = n_nationkey AND c0.strand = 0 LEFT JOIN cells c1 ON c1.q = known.p AND c1.n = n_nationkey AND c1.strand = 1),
+stats AS (SELECT v, k AS p, count(a) + count(b) AS an, CAST(coalesce(sum(a), 0) + coalesce(sum(b), 0) AS DOUBLE) / (count(a) + count(b)) AS laf FROM calls GROUP BY v, k),
+carriers AS (SELECT s, k AS p, 0 AS strand, v, contig, position AS pos, length(ref) AS ref_len FROM calls WHERE a = 1 UNION ALL SELECT s, k, 1, v, contig, position, length(ref) FROM calls WHERE b = 1),
+{CHAIN}"""
+NAME = "contig || ':' || position || ':' || ref || ':' || alt"
+
+
+@query(
+    f"""WITH {COHORT}, m AS (SELECT h, unnest(h) AS v, generate_subscripts(h, 1) AS k FROM final), nm AS (SELECT h, string_agg({NAME}, ',' ORDER BY m.k) AS variants FROM m JOIN known ON known.v = m.v GROUP BY h)
+SELECT nm.variants, {METRIC_COLUMNS.replace("array_to_string(h, '-') AS haplotype, ", "").replace("array_to_string(ac", "array_to_string(final.ac")} FROM final JOIN nm ON nm.h = final.h"""
+)
+def vcf_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzipped VCF files to haplotypes: parsing, site join, ploidy, locus groups, blocks, counts, metrics and redundancy."""
+    found = cohort.catalog(spark, sf_dir)
+    return _shown(found.withColumn("haplotype", F.array(V.render_all(F.col("variants"))))).withColumnRenamed("haplotype", "variants")
+
+
+@query(
+    f"""WITH {COHORT}, rows_ AS (SELECT contig, count(*) AS sites, sum(CAST(p IN (SELECT p FROM known) AS INT)) AS common FROM ps GROUP BY contig)
+SELECT contig, sites, CAST(common AS BIGINT) AS common FROM rows_"""
+)
+def cohort_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cohort.sites(spark, sf_dir).withColumn("common", F.coalesce(filters.any_population_at(F.col("pop_freqs"), cohort.THRESHOLD), F.lit(False)))
+    return rows.groupBy("contig").agg(F.count(F.lit(1)).alias("sites"), F.count_if("common").alias("common"))
+
+
+def _index(spark: SparkSession, sf_dir: str) -> index.Index:
+    """An index of the cohort's haplotypes and sites on chr1."""
+    from phaseloom.sources.fasta import read_fasta
+    from phaseloom.storage import new_path
+
+    ix = index.Index(spark, new_path(spark, "index"))
+    ix.create("2.0", WINDOW, {"chr1": model.POPS}, {"chr1": model.POPS})
+    found = cohort.catalog(spark, sf_dir).where(F.col("variants")[0]["contig"] == "chr1")
+    joint = ix.legend("joint_pops_legend")
+    sites = index.single_entries(cohort.sites(spark, sf_dir).where(in_interval("chr1")), model.POPS, joint)
+    entries = index.haplotype_entries(found, model.POPS, model.POPS, joint).unionByName(sites)
+    ix.append("chr1", entries, read_fasta(spark, cohort.write_fasta(spark, sf_dir), 500), WINDOW, model.POPS, model.POPS, chunk=500)
+    ix.finalize()
+    return ix
+
+
+_TEXT_AF = "coalesce(string_agg(CASE WHEN g.af IS NULL THEN 'NA' ELSE printf('%.5f', g.af) END, ',' ORDER BY x.k), '')"
+INDEX = f"""WITH {COHORT},
+refs AS (SELECT string_agg(substr('ACGTTGCAACGTGATTACA', CAST(1 + (i * i + i // 5) % 19 AS INT), 1), '' ORDER BY i) AS r FROM range((SELECT CAST(ceil(((max(p_partkey) // 2) * 10 + 300) / 60.0) AS BIGINT) * 60 FROM part)) t(i)),
+pk AS (SELECT ps.*, pf.k, pf.af FROM ps JOIN pf ON pf.p = ps.p WHERE contig = 'chr1'),
+best AS (SELECT p, arg_max(k, af * 1000 - k * 0.0001) AS mk, max(af) AS maf FROM pk GROUP BY p),
+hk AS (SELECT h AS e, unnest(h) AS v, generate_subscripts(h, 1) AS k FROM final),
+mem AS (SELECT 'HGDP_haplotype' AS source, hk.e, hk.k, known.p, known.position, known.ref, known.alt, {NAME} AS name FROM hk JOIN known ON known.v = hk.v WHERE contig = 'chr1'
+  UNION ALL SELECT 'gnomAD_variant', [-1 - p], 1, p, position, ref, alt, {NAME} FROM ps WHERE contig = 'chr1'),
+nxt AS (SELECT *, lead(position) OVER (PARTITION BY source, e ORDER BY k) AS following FROM mem),
+ent AS (SELECT source, e, min(position) AS first, max(position - 1 + length(ref)) AS last, count(*) AS n, string_agg(name, ',' ORDER BY k) AS variants,
+  (SELECT substr(r, min(position) - 25, 25) FROM refs) || string_agg(alt || substr((SELECT r FROM refs), position + length(ref), coalesce(following - position - length(ref), 25)), '' ORDER BY k) AS sequence FROM nxt GROUP BY source, e),
+freqs AS (SELECT x.source, x.e, {", ".join(f"string_agg(CASE WHEN g{k}.af IS NULL THEN 'NA' ELSE printf('%.5f', g{k}.af) END, ',' ORDER BY x.k) AS t{k}" for k in range(5))} FROM mem x {" ".join(f"LEFT JOIN pk g{k} ON g{k}.p = x.p AND g{k}.k = {k}" for k in range(5))} GROUP BY x.source, x.e),
+pops AS (SELECT h AS e, {", ".join(f"max(CASE WHEN p = {k} THEN {c} END) AS {n}{k}" for k in range(5) for n, c in (("ac", "eac"), ("ef", "eaf"), ("fp", "fp"), ("es", "est")))} FROM long3 GROUP BY h
+  UNION ALL SELECT [-1 - p], {", ".join(f"{c} AS {n}{k}" for k in range(5) for n, c in (("ac", "max(p % 100)"), ("ef", f"max(CASE WHEN k = {k} THEN af END)"), ("fp", "1.0"), ("es", f"max(CASE WHEN k = {k} THEN af END)")))} FROM pk GROUP BY p),
+ids AS (SELECT *, row_number() OVER (ORDER BY first, source, variants) - 1 AS id FROM ent),
+idx AS (SELECT ids.sequence, CAST(length(ids.sequence) AS BIGINT) AS sequence_length, 'DR-2.0-' || id AS sequence_id, CAST(n AS BIGINT) AS n_variants, 'chr1' AS contig, CAST(first - 26 AS BIGINT) AS start, CAST(last + 25 AS BIGINT) AS "end",
+  CASE WHEN final.h IS NULL THEN best.maf ELSE final.eaf END AS popmax_empirical_AF, CAST(CASE WHEN final.h IS NULL THEN CASE WHEN best.mk IS NOT NULL THEN (-1 - ids.e[1]) % 100 END ELSE final.eac END AS BIGINT) AS popmax_empirical_AC, ids.source,
+  CASE WHEN final.h IS NULL THEN best.maf ELSE final.est END AS "popmax_estimated_gnomad_AF", CASE WHEN final.h IS NULL THEN 1.0 ELSE final.fp END AS popmax_fraction_phased,
+  list_extract({model.POPS}, CAST(coalesce(final.max_pop, best.mk) AS INT) + 1) AS max_pop, ids.variants, {", ".join(f'freqs.t{k} AS "gnomAD_AF_{p}"' for k, p in enumerate(model.POPS))},
+  {", ".join(f'CAST(pops.ac{k} AS BIGINT) AS "empirical_AC_{p}", pops.ef{k} AS "empirical_AF_{p}", pops.fp{k} AS "fraction_phased_{p}", pops.es{k} AS "estimated_gnomAD_haplotype_AF_{p}"' for k, p in enumerate(model.POPS))}, 'PASS' AS haplotype_filter
+  FROM ids JOIN freqs ON freqs.source = ids.source AND freqs.e = ids.e LEFT JOIN pops ON pops.e = ids.e LEFT JOIN final ON final.h = ids.e LEFT JOIN best ON best.p = -1 - ids.e[1] AND ids.source = 'gnomAD_variant')"""
+
+
+@query(f"{INDEX} SELECT * FROM idx")
+def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of an index built from VCF, sites and FASTA files, read back from it."""
+    return _index(spark, sf_dir).sequences()
+
+
+@query(f"{INDEX} SELECT sequence_id, sequence_length, variants, popmax_empirical_AF, max_pop, \"gnomAD_AF_africa\", \"empirical_AC_asia\", haplotype_filter FROM idx")
+def index_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index's table as tab-separated text, read again with its types."""
+    from phaseloom.schemas import sequences
+    from phaseloom.sources.tables import read_tsv
+    from phaseloom.storage import new_path
+
+    path = new_path(spark, "index-tsv")
+    _index(spark, sf_dir).export_tsv("chr1", path)
+    texts = tuple(f"gnomAD_AF_{p}" for p in model.POPS)
+    out = read_tsv(spark, path, sequences(model.POPS), keep_na=texts)
+    return out.select("sequence_id", "sequence_length", "variants", "popmax_empirical_AF", "max_pop", "gnomAD_AF_africa", "empirical_AC_asia", "haplotype_filter")
+
+
+@query(f"{INDEX} SELECT '>' || sequence_id || chr(10) || sequence AS record FROM idx")
+def index_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index's FASTA parts, read again as records."""
+    from phaseloom.storage import new_path
+
+    base = new_path(spark, "index-fasta")
+    path = _index(spark, sf_dir).export_fasta(["chr1"], base, one_file=False)[0]
+    text = spark.read.option("lineSep", ">").text(path).where("value <> ''")
+    return text.select(F.concat(F.lit(">"), F.regexp_replace("value", "\n$", "")).alias("record"))
+
+
+#: The catalogs with sequences: those of haplotypes whose size is a multiple of 3 differ; members four apart with long references overlap.
+SUMMARY = f"""{CATALOGS}, ov AS (SELECT h, bool_or(nx IS NOT NULL AND 5 * nx < 5 * v + 1 + v % 14) AS met FROM (SELECT h, v, lead(v) OVER (PARTITION BY h ORDER BY v) AS nx FROM (SELECT h, unnest(h) AS v FROM w)) GROUP BY h),
+sh AS (SELECT cmp.h, len(cmp.h) % 3 > 0 AS same, met FROM cmp JOIN ov ON ov.h = cmp.h WHERE a IS NOT NULL AND b IS NOT NULL),
+m AS (SELECT DISTINCT unnest(h) AS v FROM o), nn AS (SELECT h, unnest(h) AS v FROM w WHERE h NOT IN (SELECT h FROM o)),
+made AS (SELECT nn.h, count(m.v) AS k, count(*) AS c FROM nn LEFT JOIN m ON m.v = nn.v GROUP BY nn.h),
+t AS (SELECT '-' || array_to_string(w.h, '-') || '-' AS t, len(w.h) AS n, o.h IS NOT NULL AS in_old FROM w LEFT JOIN o ON o.h = w.h),
+enc AS (SELECT q.h, coalesce(bool_or(t.in_old), false) AS x, coalesce(bool_or(NOT t.in_old), false) AS y FROM (SELECT h, '-' || array_to_string(h, '-') || '-' AS t FROM o WHERE h NOT IN (SELECT h FROM w)) q LEFT JOIN t ON t.n > len(q.h) AND contains(t.t, q.t) GROUP BY q.h),
+one AS (SELECT (SELECT count(*) FROM sh) AS shared, (SELECT count(*) FROM cmp WHERE b IS NULL) AS old_only, (SELECT count(*) FROM cmp WHERE a IS NULL) AS new_only,
+  (SELECT count(*) FROM cmp WHERE a = b) AS shared_same_ac, (SELECT count(*) FROM cmp WHERE b > a) AS shared_new_higher_ac, (SELECT count(*) FROM cmp WHERE b < a) AS shared_old_higher_ac,
+  (SELECT count(*) FROM enc WHERE x OR y) AS old_only_subfragment_of_new, (SELECT count(*) FROM enc WHERE x) AS old_only_subfragment_both_have_longer,
+  (SELECT count(*) FROM enc WHERE y AND NOT x) AS old_only_subfragment_only_new_has_longer, (SELECT count(*) FROM enc WHERE NOT x AND NOT y) AS old_only_not_subfragment,
+  (SELECT count(*) FROM made WHERE k = c) AS new_only_all_variants_in_old, (SELECT count(*) FROM made WHERE k > 0 AND k < c) AS new_only_mixed_variants, (SELECT count(*) FROM made WHERE k = 0) AS new_only_all_novel,
+  (SELECT count(*) FROM made WHERE k = 0 AND len(h) = 2) AS new_only_all_novel_length_2, (SELECT CAST(coalesce(max(len(h)), 0) AS BIGINT) FROM made WHERE k = 0) AS new_only_all_novel_max_length,
+  (SELECT count(*) FROM sh WHERE same AND NOT met) AS shared_independent_seq_match, (SELECT count(*) FROM sh WHERE NOT same AND NOT met) AS shared_independent_seq_mismatch,
+  (SELECT count(*) FROM sh WHERE same AND met) AS shared_overlapping_seq_match, (SELECT count(*) FROM sh WHERE NOT same AND met) AS shared_overlapping_seq_differ)"""
+
+
+@query(f"{SUMMARY} UNPIVOT one ON * INTO NAME metric VALUE value")
+def catalog_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All comparisons of two catalogs as metrics."""
+    old, new = _catalogs(spark, sf_dir)
+    text = F.array_join(F.transform("haplotype", lambda v: v.cast("string")), "")
+    placed = F.transform("haplotype", lambda v: F.struct((5 * v).cast("int").alias("position"), F.repeat(F.lit("A"), (1 + v % 14).cast("int")).alias("ref")))
+    ours = old.withColumn("sequence", text)
+    theirs = new.withColumn("sequence", F.when(F.size("haplotype") % 3 > 0, text).otherwise("x")).withColumn("overlaps", V.overlapping(V.by_position(placed)))
+    return compare.summary(ours, theirs, old.select(F.explode("haplotype").alias("member")))
+
+
+#: Parts as single variants of two releases; the second lacks some, and has missing frequencies and other populations.
+RELEASES = f"""WITH a AS (SELECT p_partkey AS v, {", ".join(f"coalesce(CASE WHEN (p_partkey + {k}) % 7 > 0 THEN CAST((p_partkey * 7 + {k} * 13) % 50 AS DOUBLE) / 100 END, 0) AS a{k}" for k in range(5))}, CAST(p_size AS DOUBLE) / 50 AS pf, p_partkey % 10 AS pc, list_extract({model.POPS}, CAST(p_partkey % 5 + 1 AS INT)) AS mp FROM part),
+r AS (SELECT p_partkey AS v, {", ".join(f"coalesce(CASE WHEN (p_partkey + {k}) % 5 > 0 THEN CAST((p_partkey * 7 + {k} * 13 + p_partkey % 2) % 50 AS DOUBLE) / 100 END, 0) AS n{k}" for k in range(5))}, 100 + p_size AS an, CASE WHEN p_partkey % 11 = 0 THEN 'other' ELSE list_extract({model.POPS}, CAST((p_partkey + CAST(p_partkey % 3 = 0 AS INT)) % 5 + 1 AS INT)) END AS np FROM part WHERE p_partkey % 4 > 0)"""
+
+
+def _releases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("p_partkey").cast("long")
+    pops = F.array(*[F.lit(p) for p in model.POPS])
+    af = lambda k, m, more: F.when((v + k) % m > 0, ((v * 7 + k * 13 + more) % 50).cast("double") / 100)
+    parts = table(spark, sf_dir, "part")
+    ours = parts.select(
+        v.alias("v"),
+        *[af(k, 7, 0).alias(f"af_{p}") for k, p in enumerate(model.POPS)],
+        (F.col("p_size").cast("double") / 50).alias("popmax_AF"),
+        (v % 10).alias("popmax_AC"),
+        F.get(pops, (v % 5).cast("int")).alias("maxpop"),
+    )
+    moved = ((v + (v % 3 == 0).cast("int")) % 5).cast("int")
+    theirs = parts.where(v % 4 > 0).select(
+        v.alias("v"),
+        *[af(k, 5, v % 2).alias(f"new_{p}") for k, p in enumerate(model.POPS)],
+        (100 + F.col("p_size")).cast("long").alias("new_popmax_AN"),
+        F.when(v % 11 == 0, "other").otherwise(F.get(pops, moved)).alias("new_maxpop"),
+    )
+    return compare.release_join(ours, theirs, "v", model.POPS)
+
+
+@query(f"{RELEASES} SELECT CASE WHEN r.v IS NULL THEN 'not_in_release' ELSE 'in_release' END AS status, count(*) AS n FROM a LEFT JOIN r ON r.v = a.v GROUP BY 1")
+def release_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _releases(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"""{RELEASES} SELECT a.v, CASE WHEN NOT list_contains({model.POPS}, np) THEN 'other' WHEN mp = np THEN 'same' ELSE 'differs' END AS maxpop_status,
+CASE WHEN list_contains({model.POPS}, np) AND mp = np AND pf > 0 THEN CAST(an - ceil(pc / pf) AS BIGINT) END AS an_change,
+concat_ws(',', {", ".join(f"CASE WHEN abs(n{k} - a{k}) >= 0.001 THEN '{p}' END" for k, p in enumerate(model.POPS))}) AS large_af FROM a JOIN r ON r.v = a.v"""
+)
+def release_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greatest population, allele number and large frequency differences of variants in both releases."""
+    return compare.release_changes(_releases(spark, sf_dir), "v", model.POPS)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from phaseloom.operators.blocks import slices
 
-#: Buckets of an absent variant, in order of precedence.
-BUCKETS = ("not in release", "AC is 0", "filtered", "below threshold", "no frequency", "unexpected pass")
+#: Why a release lacks a variant.
+BUCKETS = ("absent_from_v41", "below_af_threshold", "exome_filter_only", "genome_filter_only", "both_filters_nonempty", "unexpected_pass")
 
 
 def catalog(df: DataFrame, key: str, count: str) -> DataFrame:
@@ -63,6 +63,84 @@ def composition(new_only: DataFrame, old_members: DataFrame, haplotype: str = "h
     return by.select(haplotype, kind.alias("composition"), F.size(haplotype).alias("length"))
 
 
+def shared_sequences(old: DataFrame, new: DataFrame, haplotype: str = "haplotype") -> DataFrame:
+    """metric, value: shared haplotypes by whether their variants overlap (column overlaps of new) and their sequences (column sequence) are the same.
+
+    Without overlap the sequences must be equal; with one, other ways to compose may differ.
+    """
+    both = old.select(haplotype, F.col("sequence").alias("_old")).join(new.select(haplotype, "sequence", "overlaps"), haplotype)
+    same, over = F.col("sequence").eqNullSafe(F.col("_old")), F.col("overlaps")
+    cells = {
+        "shared_independent_seq_match": ~over & same,
+        "shared_independent_seq_mismatch": ~over & ~same,
+        "shared_overlapping_seq_match": over & same,
+        "shared_overlapping_seq_differ": over & ~same,
+    }
+    return both.agg(*[F.count_if(c).alias(k) for k, c in cells.items()]).unpivot([], list(cells), "metric", "value")
+
+
+def summary(old: DataFrame, new: DataFrame, members: DataFrame, haplotype: str = "haplotype", count: str = "n") -> DataFrame:
+    """metric, value of all comparisons of two catalogs; members: the old catalog's variants (column member)."""
+    compared = overlap(old, new, haplotype, count)
+    names = {"count_same": "shared_same_ac", "new_higher": "shared_new_higher_ac", "new_lower": "shared_old_higher_ac"}
+    counts = count_changes(compared).replace(names, subset="metric")
+    only = lambda side, other: side.join(other.select(haplotype), haplotype, "left_anti")
+    a, b = F.col("in_both"), F.col("in_new_only")
+    within = enclosed(only(old, new), old, new, haplotype).agg(
+        F.count_if(a | b).alias("old_only_subfragment_of_new"),
+        F.count_if(a).alias("old_only_subfragment_both_have_longer"),
+        F.count_if(b & ~a).alias("old_only_subfragment_only_new_has_longer"),
+        F.count_if(~a & ~b).alias("old_only_not_subfragment"),
+    )
+    kind, length = F.col("composition"), F.col("length")
+    made = composition(only(new, old), members, haplotype).agg(
+        F.count_if(kind == "all_in_old").alias("new_only_all_variants_in_old"),
+        F.count_if(kind == "mixed").alias("new_only_mixed_variants"),
+        F.count_if(kind == "novel").alias("new_only_all_novel"),
+        F.count_if((kind == "novel") & (length == 2)).alias("new_only_all_novel_length_2"),
+        F.coalesce(F.max(F.when(kind == "novel", length)), F.lit(0)).cast("long").alias("new_only_all_novel_max_length"),
+    )
+    tall = lambda one: one.unpivot([], one.columns, "metric", "value")
+    return counts.unionByName(tall(within)).unionByName(tall(made)).unionByName(shared_sequences(old, new, haplotype))
+
+
+def novel_lengths(new_only: DataFrame) -> DataFrame:
+    """length, n of haplotypes without a known variant, from composition()."""
+    return new_only.where("composition = 'novel'").groupBy("length").agg(F.count(F.lit(1)).alias("n"))
+
+
+def release_join(ours: DataFrame, release: DataFrame, key: str, pops: list[str]) -> DataFrame:
+    """ours with the release's columns and status: 'in_release' unless all of the release's frequencies (new_<pop>) are missing.
+
+    ours has af_<pop>, popmax_AF, popmax_AC and maxpop; the release new_<pop>, new_popmax_AN and new_maxpop. Missing
+    frequencies of either table are 0, those of variants that it lacks stay missing.
+    """
+    zero = lambda df, names: df.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in names})
+    both = zero(ours, [f"af_{p}" for p in pops]).join(zero(release, [f"new_{p}" for p in pops]), key, "left")
+    none = F.lit(True)
+    for p in pops:
+        none = none & F.col(f"new_{p}").isNull()
+    return both.withColumn("status", F.when(none, "not_in_release").otherwise("in_release"))
+
+
+def release_changes(joined: DataFrame, key: str, pops: list[str], least: float = 0.001) -> DataFrame:
+    """key, maxpop_status, an_change and large_af of variants in the release.
+
+    maxpop_status: 'other' where the release's greatest population is none of pops (or missing), else 'same' or
+    'differs'. an_change, for the same population only, is its allele number less ours, which is the ceiling of AC by AF.
+    large_af: populations whose frequencies differ by `least` or more, joined by commas.
+    """
+    far = [F.when(F.abs(F.col(f"new_{p}") - F.col(f"af_{p}")) >= least, F.lit(p)) for p in pops]
+    status = F.when(~F.coalesce(F.col("new_maxpop").isin(pops), F.lit(False)), "other").when(F.col("maxpop") == F.col("new_maxpop"), "same").otherwise("differs")
+    own = F.when(F.col("popmax_AF") > 0, F.ceil(F.col("popmax_AC") / F.col("popmax_AF")))
+    return joined.where("status = 'in_release'").select(
+        key,
+        status.alias("maxpop_status"),
+        F.when(status == "same", F.col("new_popmax_AN") - own).cast("long").alias("an_change"),
+        F.array_join(F.array_compact(F.array(*far)), ",").alias("large_af"),
+    )
+
+
 def frequency_changes(old: DataFrame, new: DataFrame, key: str, pops: list[str], least: float = 0.001) -> DataFrame:
     """key, pop, old_af, new_af of frequencies (columns af_<pop>) that differ by `least` or more."""
     long = lambda df, name: df.unpivot([key], [f"af_{p}" for p in pops], "pop", name)
@@ -70,13 +148,54 @@ def frequency_changes(old: DataFrame, new: DataFrame, key: str, pops: list[str],
     return both.where(F.abs(F.col("new_af") - F.col("old_af")) >= least).withColumn("pop", F.expr("substring(pop, 4)"))
 
 
-def exclusion_bucket(present: Column, ac: Column, filters: Column, af: Column, threshold: float) -> Column:
-    """Why a release lacks a variant; the first reason that holds."""
-    tests = [~present, ac == 0, F.size(filters) > 0, af < threshold, af.isNull()]
-    out = F.when(F.coalesce(tests[0], F.lit(False)), BUCKETS[0])
-    for test, name in zip(tests[1:], BUCKETS[1:], strict=False):
-        out = out.when(F.coalesce(test, F.lit(False)), name)
-    return out.otherwise(BUCKETS[-1])
+def exclusion_bucket(present: Column, exome_filters: Column, genome_filters: Column, max_af: Column, threshold: float) -> Column:
+    """Why a release lacks a variant. A frequency below the threshold comes before any filter; missing sets are empty, a missing frequency is 0."""
+    some = lambda c: F.coalesce(F.size(c) > 0, F.lit(False))
+    exomes, genomes, rare = some(exome_filters), some(genome_filters), F.coalesce(max_af, F.lit(0.0)) < threshold
+    named = dict(zip(("absent", "rare", "exomes", "genomes", "both", "none"), BUCKETS, strict=True))
+    return (
+        F.when(~F.coalesce(present, F.lit(False)), named["absent"])
+        .when(rare, named["rare"])
+        .when(exomes & genomes, named["both"])
+        .when(exomes, named["exomes"])
+        .when(genomes, named["genomes"])
+        .otherwise(named["none"])
+    )
+
+
+def filter_codes(explained: DataFrame, top: int = 15) -> DataFrame:
+    """bucket, exomes, genomes and n: the most common pairs of filter sets (sorted, joined by commas) of each bucket with filters or rarity."""
+    text = lambda c: F.array_join(F.array_sort(F.coalesce(F.col(c), F.array().cast("array<string>"))), ",")
+    rows = explained.where(~F.col("bucket").isin(BUCKETS[0], BUCKETS[-1]))
+    counts = rows.groupBy("bucket", text("exome_filters").alias("exomes"), text("genome_filters").alias("genomes")).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("bucket").orderBy(F.desc("n"), "exomes", "genomes")
+    return counts.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= top).drop("_k")
+
+
+#: Lower bounds of the bands of allele numbers.
+AN_BANDS = {"0": 0, "1-99": 1, "100-9999": 100, "10000-99999": 10_000, "100000+": 100_000}
+
+
+def an_band(an: Column) -> Column:
+    """The band of an allele number; a missing one is 0."""
+    out = F.lit(next(iter(AN_BANDS)))
+    for name, low in list(AN_BANDS.items())[1:]:
+        out = F.when(F.coalesce(an, F.lit(0)) >= low, name).otherwise(out)
+    return out
+
+
+def ac0_coverage(explained: DataFrame) -> DataFrame:
+    """band, n: exome allele numbers of variants that exomes flag with AC0 and genomes pass."""
+    ac0 = F.coalesce(F.array_contains("exome_filters", "AC0"), F.lit(False)) & F.coalesce(F.size("genome_filters") == 0, F.lit(True))
+    return explained.where(ac0).groupBy(an_band(F.col("exome_AN")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def bucket_quantiles(explained: DataFrame, pops: list[str]) -> DataFrame:
+    """bucket, pop, n, least, p10, p50, p90 and greatest of the populations' frequencies (columns af_<pop>, missing is 0), for buckets of present variants."""
+    rows = explained.where(~F.col("bucket").isin(BUCKETS[0], BUCKETS[-1])).select("bucket", *[f"af_{p}" for p in pops])
+    long = rows.unpivot(["bucket"], [f"af_{p}" for p in pops], "pop", "af").select("bucket", F.expr("substring(pop, 4)").alias("pop"), F.coalesce("af", F.lit(0.0)).alias("af"))
+    ends = long.groupBy("bucket", "pop").agg(F.count(F.lit(1)).alias("n"), F.min("af").alias("least"), F.max("af").alias("greatest"))
+    return ends.join(nearest_rank(long, ["bucket", "pop"], "af"), ["bucket", "pop"])
 
 
 def nearest_rank(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from phaseloom import legends, schemas
 from phaseloom.functions.variants import coordinates, compose, haplotype_filter, render, render_all
-from phaseloom.sources.fasta import CHUNK, row_numbers, with_bases, write_fasta
+from phaseloom.operators.ordering import numbered
+from phaseloom.sources.fasta import CHUNK, with_bases, write_fasta, write_fasta_parts
+from phaseloom.sources.tables import write_tsv
 
 HAPLOTYPE, SINGLE = "HGDP_haplotype", "gnomAD_variant"
 LEGENDS = ("hgdp_haplotype_pops_legend", "gnomad_variant_pops_legend", "joint_pops_legend")
@@ -83,9 +85,9 @@ def sequences(entries: DataFrame, reference: DataFrame, joint: list[str], window
     """The index rows of one contig: total order (first position, source, variants), ids from offset, sequence, window and flags."""
     named = entries.withColumn("contig", F.element_at("variants", 1)["contig"]).withColumn("_names", render_all(F.col("variants")))
     first = F.array_min(F.transform("variants", lambda v: v["position"]))
-    numbered = row_numbers(named.withColumn("_first", first), ["_first", "source", "_names"], offset)
+    rows = numbered(named.withColumn("_first", first), ["_first", "source", "_names"], "idx", offset, by=("contig",))
     start, end = coordinates(F.col("variants"), window)
-    placed = numbered.withColumn("start", start).withColumn("end", end).withColumn("row_id", F.col("idx"))
+    placed = rows.withColumn("start", start).withColumn("end", end).withColumn("row_id", F.col("idx"))
     based = with_bases(placed.withColumn("_from", F.col("start") + 1).withColumn("_to", F.col("end")), reference, "_from", "_to", chunk)
     by_pop = F.map_from_entries(F.transform("all_pop_freqs", lambda f: F.struct(f["pop"], f)))
     rows = based.withColumn("sequence", compose(F.col("variants"), window, F.col("base"), F.col("base_start"))).withColumn("_by", by_pop)
@@ -178,7 +180,8 @@ class Index:
     def sequences(self) -> DataFrame:
         if not self.exists():
             raise ValueError(f"no sequences in {self.path}")
-        return self.spark.read.schema(schemas.sequences(self.legend("joint_pops_legend"))).parquet(f"{self.path}/sequences")
+        schema = self.spark.createDataFrame([], schemas.sequences(self.legend("joint_pops_legend"))).schema
+        return self.spark.read.schema(schema).parquet(f"{self.path}/sequences").select(schema.names)
 
     def count(self) -> int:
         return self.sequences().count() if self.exists() else 0
@@ -215,18 +218,31 @@ class Index:
         fs, p = self._fs("FINALIZED")
         fs.create(p, True).close()
 
-    def export_fasta(self, contigs: list[str], base: str) -> list[Path]:
+    def _contig(self, contig: str) -> DataFrame:
+        rows = self.sequences().where(F.col("contig") == contig)
+        if rows.isEmpty():
+            warnings.warn(f"no sequences on {contig}", stacklevel=3)
+        return rows
+
+    def export_fasta(self, contigs: list[str], base: str, one_file: bool = True) -> list[Path | str]:
+        """FASTA files of contigs: base.<contig>.fasta, each one local file through the driver, or a folder of parts that tasks write to any store."""
         if not contigs:
             raise ValueError("no contigs")
-        rows = self.sequences()
-        out = []
+        out: list[Path | str] = []
         for contig in contigs:
-            path = Path(f"{base}.{contig}.fasta")
-            if not write_fasta(rows.where(F.col("contig") == contig), path):
-                warnings.warn(f"no sequences on {contig}", stacklevel=2)
-            out.append(path)
+            path = f"{base}.{contig}.fasta"
+            if one_file:
+                write_fasta(self._contig(contig), Path(path))
+            else:
+                write_fasta_parts(self._contig(contig), path)
+            out.append(Path(path) if one_file else path)
         return out
 
+    def export_tsv(self, contig: str, path: str) -> None:
+        """All columns of a contig's sequences as a tab-separated folder in id order, missing values NA."""
+        number = F.regexp_extract("sequence_id", "(\\d+)$", 1).cast("long")
+        write_tsv(self._contig(contig).orderBy(number), path, one_file=False)
+
 
 def find_index(root: str = ".") -> str:
     """The first index folder below root, in sorted order."""

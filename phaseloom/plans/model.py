@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,23 +52,52 @@ def carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common.join(variants(spark), "row_idx").select("s", "pop", "strand", "contig", "position", "ref_len", "row_idx")
 
 
-def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """row_idx, pop, AN (two alleles a sample) and AF of variants that reach VT in the population."""
+def stats(spark: SparkSession, sf_dir: str, carried: DataFrame | None = None) -> DataFrame:
+    """row_idx, pop, AN (two alleles a sample) and AF of variants that reach VT in the population, from the carriers."""
+    carried = carriers(spark, sf_dir) if carried is None else carried
     size = samples(spark, sf_dir).groupBy("pop").agg((2 * F.count(F.lit(1))).alias("AN"))
-    ac = carriers(spark, sf_dir).groupBy("row_idx", "pop").agg(F.count(F.lit(1)).alias("AC"))
+    ac = carried.groupBy("row_idx", "pop").agg(F.count(F.lit(1)).alias("AC"))
     cells = sites(spark).where(F.col("af") >= VT).select("row_idx", "pop").join(size, "pop").join(ac, ["row_idx", "pop"], "left")
     return cells.select("row_idx", "pop", "AN", (F.coalesce("AC", F.lit(0)).cast("double") / F.col("AN")).alias("AF"))
 
 
-#: Alleles for the queries on composition and conflicts, in both dialects: overlapping references of 1 to 14 bases.
+#: Alleles for the queries on composition and conflicts, in both dialects: one for each part, some at one position, overlapping references of 1 to 14 bases.
+_PAIRS = {0: ("CA", "C"), 1: ("C", "CA"), 3: ("C", "CA"), 4: ("C", "CGG"), 6: ("C", "A"), 7: ("C", "G"), 9: ("CAA", "C"), 10: ("CA", "C"), 12: ("AT", "GC"), 13: ("AT", "CG"), 15: ("CA", "C"), 16: ("C", "CGG")}
+
+
+def _allele(side: int, other: str) -> str:
+    return f"CASE v % 42 {' '.join(f"WHEN {k} THEN '{x[side]}'" for k, x in _PAIRS.items())} ELSE {other} END"
+
+
 ALLELES = {
     "row_idx": "v",
     "contig": "'chr1'",
-    "position": "CAST(100 + v * 3 AS INT)",
-    "ref": "substr('ACGTTGCAACGTGA', 1, CAST(1 + (v * 5) % 14 AS INT))",
-    "alt": "substr('ACGTTGCAACGTGA', CAST(1 + v % 3 AS INT), CAST(1 + (v * 3) % 5 AS INT))",
+    "position": "CAST(100 + 3 * (v - CASE WHEN v % 3 = 1 THEN 1 ELSE 0 END) AS INT)",
+    "ref": _allele(0, "substr('ACGTTGCAACGTGA', 1, CAST(1 + (v * 5) % 14 AS INT))"),
+    "alt": _allele(1, "substr('ACGTTGCAACGTGA', CAST(1 + v % 3 AS INT), CAST(1 + (v * 3) % 5 AS INT))"),
 }
 
 
-def alleles(spark: SparkSession) -> DataFrame:
-    return spark.range(N_VARIANTS).toDF("v").selectExpr(*[f"{e} AS {n}" for n, e in ALLELES.items()])
+def alleles(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """row_idx of every part, and as vs the alleles of it and the n - 1 numbers after it."""
+    fields = ", ".join(f"{re.sub(r'\bv\b', '(row_idx + k)', ALLELES[c])} AS {c}" for c in ("contig", "position", "ref", "alt"))
+    keys = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("row_idx"))
+    return keys.select("row_idx", F.expr(f"transform(sequence(0, {n - 1}), k -> struct({fields}))").alias("vs"))
+
+
+def part_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A variant for each part."""
+    v = F.col("p_partkey").cast("long")
+    return table(spark, sf_dir, "part").select(
+        v.alias("row_idx"),
+        F.concat(F.lit("chr"), (1 + v % 2).cast("string")).alias("contig"),
+        (100 + F.expr("cast(p_partkey as bigint) div 2") * 10 + (v % 7) * 9).cast("int").alias("position"),
+        (1 + v % 4).cast("int").alias("ref_len"),
+    )
+
+
+def part_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """row_idx, pop, af for every part and population."""
+    pops = F.explode(F.array(*[F.lit(p) for p in range(len(POPS))])).alias("pop")
+    af = ((F.col("row_idx") * 7 + F.col("pop") * 13) % 50).cast("double") / 100
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("row_idx"), pops).withColumn("af", af)

@@ -12,16 +12,40 @@ CHUNK = 10_000
 
 
 def read_fasta(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
-    """contig, chunk (from 0) and seq, `chunk` bases each, of a FASTA file.
+    """contig, chunk (from 0) and seq, `chunk` bases each, of FASTA files.
 
-    Records are split at '>' by the text reader, so a contig is read by one task and no more of it than a record is held.
+    Lines are read by file block (a compressed file is one). What a block adds to its contig is summed up block by
+    block, so each line knows its place, and lines meet by chunk: the work is linear and a contig is spread over tasks.
     """
-    records = spark.read.option("lineSep", ">").text(path).where(F.length(F.trim("value")) > 0)
-    name = F.regexp_extract("value", "^(\\S+)", 1)
-    body = F.upper(F.regexp_replace(F.regexp_replace("value", "^[^\n]*\n", ""), "\\s", ""))
-    whole = records.select(name.alias("contig"), body.alias("seq")).where("length(seq) > 0")
-    pieces = F.transform(F.sequence(F.lit(0), ((F.length("seq") - 1) / chunk).cast("int")), lambda k: F.substring(F.col("seq"), k * chunk + 1, F.lit(chunk)))
-    return whole.select("contig", F.posexplode(pieces).alias("chunk", "seq"))
+    block = ["_file", "_block"]
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"), "value"
+    )
+    head = F.when(F.col("value").startswith(">"), F.regexp_extract("value", "^>\\s*(\\S+)", 1))
+    bases = F.when(head.isNull(), F.upper(F.regexp_replace("value", "\\s", ""))).otherwise("")
+    lines = raw.select(*block, "_line", head.alias("_head"), bases.alias("_seq")).withColumn("_n", F.length("_seq").cast("long"))
+    here = Window.partitionBy(*block).orderBy("_line").rowsBetween(Window.unboundedPreceding, 0)
+    run = lines.withColumn("_upto", F.sum("_n").over(here)).withColumn("_mark", F.when(F.col("_head").isNotNull(), F.struct("_head", "_upto")))
+    run = run.withColumn("_last", F.last("_mark", ignorenulls=True).over(here))
+    sums = run.groupBy(*block).agg(F.sum("_n").alias("_n"), F.max_by("_last", "_line").alias("_last"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    opened = F.when(F.col("_last").isNotNull(), F.struct(F.col("_last._head").alias("_head"), (F.col("_before") + F.col("_last._upto")).alias("_at")))
+    carried = before.withColumn("_open", F.last(opened, ignorenulls=True).over(earlier))
+    carried = carried.select(*block, F.col("_open._head").alias("_contig"), (F.col("_before") - F.col("_open._at")).alias("_done"))
+    placed = run.where("_n > 0").join(F.broadcast(carried), block).select(  # a row a file block
+        F.coalesce("_last._head", "_contig").alias("contig"),
+        (F.col("_upto") - F.col("_n") + F.coalesce(-F.col("_last._upto"), F.col("_done"))).alias("_at"),
+        "_seq",
+        "_n",
+    )
+    first, last = F.expr(f"_at div {chunk}"), F.expr(f"(_at + _n - 1) div {chunk}")
+    parts = placed.select("contig", "_at", "_seq", F.explode(F.sequence(first, last)).alias("chunk"))
+    start = F.greatest(F.col("chunk") * chunk - F.col("_at"), F.lit(0))
+    stop = (F.col("chunk") + 1) * chunk - F.col("_at")
+    piece = F.substring(F.col("_seq"), (start + 1).cast("int"), (stop - start).cast("int"))
+    met = parts.select("contig", F.col("chunk").cast("int").alias("chunk"), F.struct("_at", piece.alias("s")).alias("p")).groupBy("contig", "chunk").agg(F.array_sort(F.collect_list("p")).alias("ps"))
+    return met.select("contig", "chunk", F.array_join(F.transform("ps", lambda x: x["s"]), "").alias("seq"))
 
 
 def with_bases(rows: DataFrame, reference: DataFrame, start: str, end: str, chunk: int = CHUNK) -> DataFrame:
@@ -55,25 +79,3 @@ def write_fasta(sequences: DataFrame, path: Path) -> int:
 def write_fasta_parts(sequences: DataFrame, path: str) -> None:
     """The same records as a folder of text files in order, for volumes that no single file should hold."""
     records(sequences).withColumn("_o", F.monotonically_increasing_id()).sortWithinPartitions("_o").select("record").write.text(path)
-
-
-def index_of(path: Path) -> list[tuple[str, int, int, int, int]]:
-    """Rows of a .fai file: contig, length, offset, bases and bytes a line."""
-    rows: list[list] = []
-    at = 0
-    with path.open("rb") as lines:
-        for line in lines:
-            if line.startswith(b">"):
-                rows.append([line[1:].split()[0].decode(), 0, at + len(line), 0, 0])
-            elif rows:
-                bases = len(line.strip())
-                rows[-1][1] += bases
-                if not rows[-1][3]:
-                    rows[-1][3:] = [bases, len(line)]
-            at += len(line)
-    return [tuple(r) for r in rows]
-
-
-def row_numbers(rows: DataFrame, order: list[str], offset: int = 0) -> DataFrame:
-    """rows of one contig with idx from `offset` in a total order."""
-    return rows.withColumn("idx", F.row_number().over(Window.partitionBy("contig").orderBy(*order)) - 1 + offset)

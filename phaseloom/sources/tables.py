@@ -24,8 +24,8 @@ def read_tsv(spark: SparkSession, path: str, schema: str, keep_na: tuple[str, ..
     return raw.select([cell(f) for f in typed])
 
 
-def write_tsv(df: DataFrame, path: str, one_file: bool = True) -> None:
-    """A tab-separated folder with headers; missing values are NA."""
+def write_tsv(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """A tab-separated folder with headers, a file a task (or one for all, by one task); missing values are NA."""
     out = df.coalesce(1) if one_file else df
     out.write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", NA).option("emptyValue", "").option("quote", "").csv(path)
 

@@ -2,10 +2,11 @@
 
 import gzip
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from phaseloom import legends, session
+from phaseloom import legends, schemas, session, storage
 from phaseloom.plans import compare, extract, index
 from phaseloom.plans.discovery import discover
 from phaseloom.schemas import CALL_STATS, VARIANT
@@ -44,13 +45,32 @@ def test_fasta(spark, reference):
     path, seq, ref = reference
     assert ref.where("contig = 'chr2'").select("chunk", "seq").collect() == [(0, "ACGT")]
     assert "".join(r["seq"] for r in ref.where("contig = 'chr1'").orderBy("chunk").collect()) == seq
-    assert fasta.index_of(path) == [("chr1", 300, 10, 70, 71), ("chr2", 4, 321, 4, 5)]
     rows = spark.createDataFrame([(0, "chr1", 30, 70), (1, "chr1", 1, 5)], "row_id long, contig string, a int, b int")
     out = {r["row_id"]: r for r in fasta.with_bases(rows, ref, "a", "b", 32).collect()}
     assert seq[29:70] in out[0]["base"] and out[0]["base_start"] == 1
     assert out[1]["base"] == seq[:32]
 
 
+def test_fasta_over_blocks_and_files(spark, tmp_path):
+    """Contigs that begin and end anywhere in a file's blocks, in plain and compressed files."""
+    rng = np.random.default_rng(4)
+    contigs = {f"c{k}": "".join(rng.choice(list("ACGTacgt"), n)) for k, n in enumerate([5000, 1, 40, 20_000, 333])}
+    text = "".join(f">{name} of test\n" + "\n".join(seq[j : j + 50] for j in range(0, len(seq), 50)) + "\n" for name, seq in contigs.items())
+    (tmp_path / "a.fa").write_text(text)
+    (tmp_path / "b.fa.gz").write_bytes(gzip.compress(text.replace(">c", ">z").encode()))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        rows = fasta.read_fasta(spark, str(tmp_path), chunk=700).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    for name, seq in contigs.items():
+        for mark in "cz":
+            own = sorted((r["chunk"], r["seq"]) for r in rows if r["contig"] == name.replace("c", mark))
+            assert [k for k, _ in own] == list(range(-(-len(seq) // 700)))
+            assert "".join(x for _, x in own) == seq.upper() and all(len(x) == 700 for _, x in own[:-1])
+
+
 def _entries(spark):
     stats = lambda ac, af: (ac, af, 100, 0)
     sites = spark.createDataFrame([("chr1", 100, "A", "T", [stats(5, 0.05), stats(7, 0.07)]), ("chr1", 140, "C", "G", [stats(4, 0.04), None])], SITE)
@@ -98,6 +118,11 @@ def test_index(spark, reference, tmp_path):
     assert rows[2]["gnomAD_AF_eas"] == "NA" and rows[1]["max_pop"] == "eas" and rows[1]["popmax_empirical_AC"] == 7
     ix.finalize()
     ix.finalize()
+    ix.export_tsv("chr1", str(tmp_path / "tsv"))
+    back = tables.read_tsv(spark, str(tmp_path / "tsv"), schemas.sequences(["eas", "afr"]), keep_na=("gnomAD_AF_eas", "gnomAD_AF_afr"))
+    assert sorted(back.collect()) == sorted(ix.sequences().collect())
+    parts = ix.export_fasta(["chr1"], f"file://{tmp_path}/parts", one_file=False)
+    assert spark.read.text(parts[0]).count() == 6
     files = ix.export_fasta(["chr1"], str(tmp_path / "out"))
     assert files[0].read_text().splitlines()[:2] == [">DR-2.0-0", hap["sequence"]]
     with pytest.warns(UserWarning, match="chr9"):
@@ -121,6 +146,28 @@ def test_vcf_to_haplotypes(spark, tmp_path):
     assert [(list(r["haplotype"]), list(r["per_pop_AC"])) for r in found] == [([0, 1], [2])]
 
 
+def test_block_gzip_and_headers(spark, tmp_path):
+    head = "##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts0\n"
+    lines = [f"chr1\t{k}\t.\tA\tT\t.\t.\t.\tGT\t0|{k % 2}\n" for k in range(1, 4000)]
+    text = (head + "".join(lines)).encode()
+    members = [gzip.compress(text[k : k + 777]) for k in range(0, len(text), 777)]  # members end inside lines
+    (tmp_path / "a.vcf.bgz").write_bytes(b"".join(members) + gzip.compress(b""))
+    rows, samples = vcf.read_vcf(spark, f"{tmp_path}/*.bgz", 3)
+    assert [(r["position"], r["gt"][0]["b"]) for r in rows.orderBy("position").collect()] == [(k, k % 2) for k in range(1, 4000)]
+    assert [tuple(r) for r in samples.collect()] == [(0, "s0")]
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p" / "a.vcf").write_text(head + lines[0])
+    (tmp_path / "p" / "b.vcf").write_text(head.replace("s0", "s1") + lines[1])
+    with pytest.raises(Exception, match="different headers"):
+        vcf.read_vcf(spark, f"{tmp_path}/p", 2)[0].collect()
+    (tmp_path / "p" / "b.vcf").write_text(head + lines[1].replace("\t0|0", ""))
+    with pytest.raises(Exception, match="wrong number of fields"):
+        vcf.read_vcf(spark, f"{tmp_path}/p", 2)[0].collect()
+    (tmp_path / "none.vcf").write_text("##x\n")
+    with pytest.raises(ValueError, match="no header"):
+        vcf.read_vcf(spark, f"{tmp_path}/none.vcf")
+
+
 def test_tsv(spark, tmp_path):
     df = spark.createDataFrame([(1, "0.04000,NA", None), (2, None, 3)], "k long, af string, n int")
     tables.write_tsv(df, str(tmp_path / "t"))
@@ -134,6 +181,16 @@ def test_tsv(spark, tmp_path):
         tables.checked(df, ["x"])
 
 
+def test_stage_tables_are_cleared(spark):
+    df = storage.stored(spark.range(5).toDF("k"), "five")
+    assert df.count() == 5 and storage.own_dir(spark) in df.inputFiles()[0].replace("file:///", "file:/").replace("file:/", "file:///")
+    path = storage.new_path(spark, "gone")
+    storage.stored(df, "gone", path)
+    storage.delete(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_interval(spark):
     df = spark.createDataFrame([("chr1", 5), ("chr1", 9), ("chr2", 5)], "contig string, position int")
     assert df.where(tables.in_interval("chr1")).count() == 2
