@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phaseloom.llm.common import delete, new_path, stored
+from phaseloom.llm.common import delete, join_spread, new_path, stored
 
 #: State is kept in RocksDB; a store is closed when its task has committed, so that open stores do not pile up on disk.
 STATE_CONF = {
@@ -90,7 +90,8 @@ def deduplicate(docs: DataFrame, digest=sha256_digest, files_per_batch: int = 51
     feed_path = new_path(spark, "dedup-feed")
     feed = stored(_feed(docs, digest), "dedup-feed", feed_path)
     state = keyed_state(feed, feed_path, files_per_batch)
-    hits = feed.join(state.where("n > 1").select("digest"), "digest").select(F.col("doc_id").alias("_id")).distinct()
+    rows = stored(join_spread(feed, state, "digest", counts=state.select("digest", F.col("n").alias("_n"))), "dedup-rows")
+    hits = rows.where("n > 1").select(F.col("doc_id").alias("_id")).distinct()
     texts = docs.select("doc_id", normalised(F.col("text")).alias("_text")).withColumn("digest", digest(F.col("_text")))
     spread = (
         texts.join(hits, texts["doc_id"].eqNullSafe(hits["_id"]), "left_semi")
@@ -100,7 +101,6 @@ def deduplicate(docs: DataFrame, digest=sha256_digest, files_per_batch: int = 51
         .select("digest")
     )
     clashes = stored(spread, "dedup-clashes")
-    rows = feed.join(state, "digest")
     if not clashes.isEmpty():
         first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no", "locator")
         split = (
@@ -122,12 +122,14 @@ def deduplicate(docs: DataFrame, digest=sha256_digest, files_per_batch: int = 51
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs without the rows that deduplicate() drops, with all columns."""
+    """docs without the rows that deduplicate() drops, with all columns, whatever their names."""
     out = deduplicate(docs)
     kept = out.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-    keyed = docs.withColumn("__dedup_key", sha256_digest(normalised(F.col("text"))))
-    stay = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["__dedup_key"] == kept["_digest"]), "left_semi")
+    own = [f"_c{k}" for k in range(len(docs.columns))]
+    row = F.struct(*[F.col(c).alias(o) for c, o in zip(docs.columns, own, strict=True)])
+    keyed = docs.select(row.alias("_row"), F.col("doc_id").alias("_doc"), sha256_digest(normalised(F.col("text"))).alias("_key"))
+    stay = keyed.join(kept, keyed["_doc"].eqNullSafe(kept["_id"]) & (keyed["_key"] == kept["_digest"]), "left_semi")
     twice = out.groupBy("doc_id", "text_sha256").count().where("count > 1")
     if not twice.isEmpty():  # the same row more than once
-        stay = stay.dropDuplicates(["doc_id", "__dedup_key"])
-    return stay.drop("__dedup_key")
+        stay = stay.dropDuplicates(["_doc", "_key"])
+    return stay.select(*[F.col("_row")[o].alias(c) for c, o in zip(docs.columns, own, strict=True)])
