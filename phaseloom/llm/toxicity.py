@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phaseloom.llm.common import stored
-from phaseloom.llm.tokens import blocks
+from phaseloom.llm.tokens import blocks, tidy
 
 #: General insults, a voter for each language.
 LEXICONS = {
@@ -25,13 +26,19 @@ PREFIXES = (4, 5, 6)
 MINED_VOTERS = 6
 
 
+REPEATS = (1, 2)  # a feature is a word or beginning that a text has so many times at least
+#: Where no labels tell otherwise: the toxic share, and how often lexicons and patterns vote in toxic and in clean texts.
+PRIOR, LEXICON_RATES, PATTERN_RATES = 0.1, (0.4, 0.005), (0.3, 0.05)
+
+
 @dataclass(frozen=True)
 class Weak:
-    sample: int = 24_000  # about so many labelled rows at most, half of each class, are used to find words and to fit
-    features: int = 1_024  # words and word beginnings found in them, at most
+    sample: int = 24_000  # about so many labelled rows at most, half of each class, are used to find words and to fit; about as many unlabelled ones to fit
     least_ratio: float = 8.0  # of a found feature's share of toxic rows to its share of others
     label_accuracy: float = 0.95  # of a given label, as one more voter on its own row
+    unlabelled: float = 0.5  # what all unlabelled rows count for in the fit beside all labelled ones
     rounds: int = 30
+    pseudo: float = 50.0  # toxic rows that the assumed rates count for where there are no labels
     correlated: float = 0.1  # excess correlation within a class above which two voters share weight
     threshold: float = 0.3
 
@@ -72,7 +79,10 @@ def _sample(labels: DataFrame, weak: Weak) -> tuple[DataFrame, dict[int, float]]
 
 
 def _mine(sample_texts: DataFrame, weak: Weak) -> list[str]:
-    """Words ('w:...') and word beginnings ('p:...') that toxic rows of the sample have more often than others, most certain first."""
+    """Features that toxic rows of the sample have more often than others, most certain first.
+
+    A feature is a word ('1w:...') or a word's beginning ('1p:...'), or that it comes twice or more ('2w:...', '2p:...').
+    """
 
     def count(batches):
         for b in blocks(batches, "text"):
@@ -81,11 +91,15 @@ def _mine(sample_texts: DataFrame, weak: Weak) -> list[str]:
             maps = [("w:", np.arange(len(words)), words), *(("p:", *_beginnings(words, n)) for n in PREFIXES)]
             for mark, of, names in maps:
                 number = of[word] if len(word) else word
-                pairs = np.unique(owner[number >= 0].astype(np.int64) * len(words) * 2 + number[number >= 0])
-                doc, k = pairs // max(1, 2 * len(words)), pairs % max(1, 2 * len(words))
-                n = np.bincount(k, minlength=len(names))
-                t = np.bincount(k, weights=toxic[doc], minlength=len(names)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(mark, names.cast(pa.string()), ""), pa.array(t), pa.array(n - t)], ["feature", "t", "c"])
+                width = max(1, 2 * len(words))
+                pairs, times = np.unique(owner[number >= 0].astype(np.int64) * width + number[number >= 0], return_counts=True)
+                for least in REPEATS:
+                    doc, k = pairs[times >= least] // width, pairs[times >= least] % width
+                    n = np.bincount(k, minlength=len(names))
+                    t = np.bincount(k, weights=toxic[doc], minlength=len(names)).astype(np.int64)
+                    met = np.flatnonzero(n)
+                    own = pc.binary_join_element_wise(f"{least}{mark}", names.cast(pa.string()).take(pa.array(met)), "")
+                    yield pa.RecordBatch.from_arrays([own, pa.array(t[met]), pa.array((n - t)[met])], ["feature", "t", "c"])
             total = np.array([toxic.sum()], np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array(total), pa.array(len(toxic) - total)], ["feature", "t", "c"])
 
@@ -97,7 +111,7 @@ def _mine(sample_texts: DataFrame, weak: Weak) -> list[str]:
     if whole is None or not whole["t"] or not whole["c"]:
         return []
     p = whole["t"] / (whole["t"] + whole["c"])
-    sums = sums.where("length(feature) > 2 and t + c > 2")
+    sums = sums.where("length(feature) > 3 and t + c > 2")
     least_g = 2 * np.log(max(2, sums.count()))  # about one feature passes by chance
     ratio = (F.col("t") / whole["t"]) / ((F.col("c") + 0.5) / whole["c"])
     part = lambda k, q: F.when(F.col(k) > 0, F.col(k) * F.log(F.col(k) / (F.col("t") + F.col("c")) / q)).otherwise(0.0)
@@ -106,45 +120,72 @@ def _mine(sample_texts: DataFrame, weak: Weak) -> list[str]:
         .withColumn("g", 2 * (part("t", p) + part("c", 1 - p)))
         .where(F.col("g") >= float(least_g))
     )
-    return [r["feature"] for r in found.orderBy(F.desc("g"), "feature").limit(weak.features).collect()]
+    return [r["feature"] for r in found.orderBy(F.desc("g"), "feature").collect()]  # no more than a bounded sample can single out
 
 
-def _hits(docs: DataFrame, features: list[str]) -> DataFrame:
-    """doc_id, features found in the whole text, and its votes as bits: lexicons, found features dealt out in turn, patterns."""
-    number = {f: k for k, f in enumerate(features)}
-    lexicon: dict[str, int] = {}
-    for k, words in enumerate(LEXICONS.values()):
-        for w in words:
-            lexicon[w] = lexicon.get(w, 0) | 1 << k
-    base = len(LEXICONS)
+N_VOTERS = len(LEXICONS) + MINED_VOTERS + len(PATTERNS)
 
-    def find(batches):
-        for b in blocks(batches, "text"):
-            owner, word, words = _words(b.column("text"))
-            votes = np.zeros(b.num_rows, np.int64)
-            known: list[tuple[int, list[int], int]] = []
+
+@dataclass(frozen=True)
+class Voters:
+    """What is looked for in a text: lexicons, found features (dealt out to MINED_VOTERS sets in turn), patterns."""
+
+    features: list[str]
+
+    def look(self):
+        """A function from a text array to each text's found features (a list) and votes (bits)."""
+        number = {f: k for k, f in enumerate(self.features)}
+        lexicon: dict[str, int] = {}
+        for k, words in enumerate(LEXICONS.values()):
+            for w in words:
+                lexicon[w] = lexicon.get(w, 0) | 1 << k
+        base = len(LEXICONS)
+        least = {name: [(n, number[f"{n}{name}"]) for n in REPEATS if f"{n}{name}" in number] for name in {f[1:] for f in self.features}}
+
+        def find(texts: pa.Array) -> tuple[list[list[int]], np.ndarray]:
+            owner, word, words = _words(texts)
+            votes = np.zeros(len(texts), np.int64)
+            known: list[tuple[int, list[str], int]] = []
             for k, w in enumerate(words.to_pylist()):
-                own = [number[f] for f in (f"w:{w}", *(f"p:{w[:n]}" for n in PREFIXES if len(w) >= n)) if f in number]
+                own = [f for f in (f"w:{w}", *(f"p:{w[:n]}" for n in PREFIXES if len(w) >= n)) if f in least]
                 if own or w in lexicon:
-                    known.append((k, own, lexicon.get(w, 0) | sum({1 << (base + f % MINED_VOTERS) for f in own})))
+                    known.append((k, own, lexicon.get(w, 0)))
             slot = np.full(len(words), -1, np.int64)
             slot[[k for k, _, _ in known]] = np.arange(len(known))
             at = slot[word] if len(word) else word
-            pairs = np.unique(owner[at >= 0].astype(np.int64) * max(1, len(known)) + at[at >= 0])
-            found: list[set] = [set() for _ in range(b.num_rows)]
-            for p in pairs.tolist():
+            pairs, times = np.unique(owner[at >= 0].astype(np.int64) * max(1, len(known)) + at[at >= 0], return_counts=True)
+            counts: dict[int, dict[str, int]] = {}
+            for p, n in zip(pairs.tolist(), times.tolist(), strict=True):
                 doc, k = divmod(p, len(known))
-                found[doc].update(known[k][1])
                 votes[doc] |= known[k][2]
-            texts = pc.fill_null(b.column("text").cast(pa.string()), "")
+                of = counts.setdefault(doc, {})
+                for name in known[k][1]:
+                    of[name] = of.get(name, 0) + n
+            found: list[list[int]] = [[] for _ in range(len(texts))]
+            for doc, of in counts.items():
+                found[doc] = sorted(k for name, n in of.items() for m, k in least[name] if n >= m)
+                for k in found[doc]:
+                    votes[doc] |= 1 << (base + k % MINED_VOTERS)
+            texts = pc.fill_null(texts.cast(pa.string()), "")
             for k, pattern in enumerate(PATTERNS):
                 votes |= pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False).astype(np.int64) << (base + MINED_VOTERS + k)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([sorted(f) for f in found], pa.list_(pa.int32())), pa.array(votes)], ["doc_id", "found", "votes"]
-            )
+            return found, votes
+
+        return find
+
+
+def _hits(docs: DataFrame, voters: Voters) -> DataFrame:
+    """doc_id, features found in the whole text, and its votes as bits; stored."""
+
+    def run(batches):
+        find = voters.look()
+        for b in blocks(batches, "text"):
+            found, votes = find(b.column("text"))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.list_(pa.int32())), pa.array(votes)], ["doc_id", "found", "votes"])
+        tidy()
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return stored(source.mapInArrow(find, "doc_id long, found array<int>, votes long"), "toxic-hits")
+    return stored(source.mapInArrow(run, "doc_id long, found array<int>, votes long"), "toxic-hits")
 
 
 @dataclass
@@ -168,11 +209,16 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, toxic: np.ndarray, cl
     pattern's rows; they also give the start). A voter's accuracy is its rate in either class. Pairs of voters that agree more often within the classes than their
     rates explain are correlated: their weights are divided by one plus the sum of the excess correlations.
     """
-    m, n = votes.shape[1], counts.astype(float)
-    labelled = toxic.sum() and clean.sum()
-    prior = (toxic.sum() + 1) / (toxic.sum() + clean.sum() + 2) if labelled else 0.1
-    rate = (toxic @ votes + 0.5) / (toxic.sum() + 5) if labelled else np.full(m, 0.3)
-    other = (clean @ votes + 0.5) / (clean.sum() + 50) if labelled else np.full(m, 0.02)
+    n = counts.astype(float)
+    if toxic.sum() and clean.sum():
+        prior = (toxic.sum() + 1) / (toxic.sum() + clean.sum() + 2)
+        rate, other = (toxic @ votes + 0.5) / (toxic.sum() + 5), (clean @ votes + 0.5) / (clean.sum() + 50)
+        (t1, t0), (c1, c0), (p1, p0) = (0.5, 5), (0.5, 50), (1, 2)
+    else:  # assumed rates, which count for some rows beside those that there are
+        kinds = [LEXICON_RATES] * len(LEXICONS) + [(0.01, 0.01)] * MINED_VOTERS + [PATTERN_RATES] * len(PATTERNS)  # nothing is found
+        prior, rate, other = PRIOR, np.array([k[0] for k in kinds])[: votes.shape[1]], np.array([k[1] for k in kinds])[: votes.shape[1]]
+        t0, c0 = weak.pseudo, weak.pseudo / PRIOR
+        t1, c1, p1, p0 = t0 * rate, c0 * other, t0, t0 + c0
     most = np.minimum(1, n / np.maximum(toxic + clean, 1))
     toxic, clean = toxic * most, clean * most
     free = np.maximum(n - toxic - clean, 0)
@@ -184,11 +230,11 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, toxic: np.ndarray, cl
         p = [1 / (1 + np.exp(-np.clip(base + s, -30, 30))) for s in (0, anchor, -anchor)]
         t = free * p[0] + toxic * p[1] + clean * p[2]
         c = n - t
-        prior = (t.sum() + 1) / (n.sum() + 2)
-        rate, other = (t @ votes + 0.5) / (t.sum() + 5), (c @ votes + 0.5) / (c.sum() + 50)
-    excess = np.zeros((m, m))
-    for weight, q in ((t, rate), (c, other)):
-        joint = (votes * weight[:, None]).T @ votes / max(weight.sum(), 1)
+        prior = (t.sum() + p1) / (n.sum() + p0)
+        rate, other = (t @ votes + t1) / (t.sum() + t0), (c @ votes + c1) / (c.sum() + c0)
+    excess = np.zeros((votes.shape[1],) * 2)
+    for weight, q, own in ((t, rate, t0), (c, other, c0)):
+        joint = ((votes * weight[:, None]).T @ votes + own * np.outer(q, q)) / (weight.sum() + own)
         spread = np.sqrt(np.maximum(q * (1 - q), 1e-9))
         excess = np.maximum(excess, (joint - np.outer(q, q)) / np.outer(spread, spread))
     np.fill_diagonal(excess, 0)
@@ -216,64 +262,104 @@ def fit_linear(
     return w
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, weak: Weak = Weak()) -> DataFrame:
-    """doc_id, held_out, score (0 to 1) and predicted (score >= threshold) of every row of docs.
+def _bits(votes) -> np.ndarray:
+    return (np.asarray(votes, np.int64)[:, None] >> np.arange(N_VOTERS)) & 1
 
-    Voters are lexicons of four languages, six sets of words and word beginnings found in a bounded sample of
-    labelled rows (Weak.sample), and two patterns. All rows vote with their whole texts; the distinct patterns of
-    votes (at most 2^12) with their counts over all rows fit the label model. Its posterior labels on the sample
-    train a linear classifier on the found features and the votes, which scores every row. Label model and classifier
-    weight the sample's rows by the inverse of their class's sampling rate, so that thinning does not shift the
-    classes' shares. Rows held out are never in the sample nor among the labels that the model sees; lang, source, labels and doc_id are no inputs.
 
-    Null and empty texts get the score of a text without any vote. Without labels of both classes the lexicons
-    alone decide. Repeated rows are scored each; an empty table gives no rows; other columns are ignored.
+@dataclass(frozen=True)
+class Toxicity:
+    """A fitted scorer: voters and the weights of their features, their votes, and the bias."""
+
+    voters: Voters
+    weights: np.ndarray
+
+    def score(self, found: pa.Array, votes: np.ndarray) -> np.ndarray:
+        sizes = pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
+        own = np.bincount(np.repeat(np.arange(len(found)), sizes), weights=self.weights[found.flatten().to_numpy()], minlength=len(found))
+        z = self.weights[-1] + own + _bits(votes) @ self.weights[len(self.voters.features) : -1]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, weak: Weak = Weak()) -> tuple[Toxicity, DataFrame]:
+    """The scorer for docs, and the stored votes of all rows.
+
+    Voters are lexicons of four languages, six sets of features found in a bounded sample of labelled rows
+    (Weak.sample), and two patterns. All rows vote with their whole texts; the distinct patterns of votes (at most
+    2^12) with their counts over all rows fit the label model. Its posterior labels, on the labelled sample and on a
+    sample of unlabelled rows, train a linear classifier on the found features and the votes. Label model and
+    classifier weight the sample's rows by the inverse of their class's sampling rate, so that thinning does not
+    shift the classes' shares. Rows held out are in no sample, nor are their labels among those that the model sees.
+
+    Without labels of both classes, lexicons and patterns decide by assumed rates, which the texts' own votes move
+    the more the more texts there are.
     """
-    spark = docs.sparkSession
     sample, counts_for = _sample(labels, weak)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    features = _mine(texts.join(F.broadcast(sample), "doc_id"), weak)  # at most about Weak.sample rows of 12 bytes
-    hits = _hits(docs, features)
-    m = len(LEXICONS) + MINED_VOTERS + len(PATTERNS)
-    bits = lambda v: (np.asarray(v, np.int64)[:, None] >> np.arange(m)) & 1
+    voters = Voters(_mine(texts.join(F.broadcast(sample), "doc_id"), weak))  # at most about Weak.sample rows of 12 bytes
+    hits = _hits(docs, voters)
     told = hits.join(F.broadcast(sample), "doc_id")
     known = told.groupBy("votes").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("k"))
     patterns = hits.groupBy("votes").count().join(known, "votes", "left").fillna(0, ["t", "k"]).orderBy("votes").collect()
     column = lambda name: np.array([r[name] for r in patterns], float)
     t, k = column("t"), column("k")
-    toxic_rows, clean_rows = t * counts_for[1], (k - t) * counts_for[0]
-    model = fit_label_model(bits([r["votes"] for r in patterns]), column("count"), toxic_rows, clean_rows, weak)
+    model = fit_label_model(_bits([r["votes"] for r in patterns]), column("count"), t * counts_for[1], (k - t) * counts_for[0], weak)
+    n_features = len(voters.features)
+    if not (t.sum() and (k - t).sum()):
+        return Toxicity(voters, np.concatenate([np.zeros(n_features), model.yes - model.no, [model.prior + model.no.sum()]])), hits
     anchor = np.log(weak.label_accuracy / (1 - weak.label_accuracy))
     rows = told.select("found", "votes", "toxic").toArrow()
-    votes = bits(rows["votes"].to_numpy()) if len(rows) else np.zeros((0, m), np.int64)
-    width = len(features) + m
-    if t.sum() and (k - t).sum():
-        toxic = rows["toxic"].to_numpy()
-        target = 1 / (1 + np.exp(-np.clip(model.log_odds(votes) + np.where(toxic == 1, anchor, -anchor), -30, 30)))
-        sizes = pc.list_value_length(rows["found"]).to_numpy()
-        vr, vc = np.nonzero(votes)
-        at = np.concatenate([np.repeat(np.arange(len(rows)), sizes), vr])
-        cols = np.concatenate([pc.list_flatten(rows["found"]).to_numpy().astype(np.int64), vc + len(features)])
-        weights = fit_linear(at, cols, target, width, np.where(toxic == 1, counts_for[1], counts_for[0]))
-    else:  # no classes to learn from
-        weights = np.concatenate([np.zeros(len(features)), model.yes - model.no, [model.prior + model.no.sum()]])
-    sent = spark.sparkContext.broadcast(weights)
+    toxic = rows["toxic"].to_numpy()
+    free = hits.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).join(F.broadcast(sample), "doc_id", "left_anti")
+    share = min(1.0, weak.sample / max(1.0, float(column("count").sum())))
+    free = free.where(F.xxhash64(F.lit(5), "doc_id") <= F.lit(min(2**63 - 1, int(share * 2**64) - 2**63)).cast("long")).select("found", "votes").toArrow()
+    found = pa.chunked_array([*rows["found"].chunks, *free["found"].chunks], pa.list_(pa.int32())).combine_chunks()
+    votes = _bits(np.concatenate([rows["votes"].to_numpy(), free["votes"].to_numpy()]))
+    odds = model.log_odds(votes)
+    odds[: len(rows)] += np.where(toxic == 1, anchor, -anchor)
+    weight = np.where(toxic == 1, counts_for[1], counts_for[0])
+    weight = np.concatenate([weight, np.full(len(free), weak.unlabelled * weight.sum() / max(1, len(free)))])
+    sizes = pc.list_value_length(found).to_numpy(zero_copy_only=False)
+    vr, vc = np.nonzero(votes)
+    at = np.concatenate([np.repeat(np.arange(len(votes)), sizes), vr])
+    cols = np.concatenate([found.flatten().to_numpy().astype(np.int64), vc + n_features])
+    target = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+    return Toxicity(voters, fit_linear(at, cols, target, n_features + N_VOTERS, weight)), hits
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, weak: Weak = Weak()) -> DataFrame:
+    """doc_id, held_out, score (0 to 1) and predicted (score >= threshold) of every row of docs, by fit().
+
+    Only texts are inputs of a score; lang, source, labels and doc_id are not. Null and empty texts get the score of a
+    text without any vote. Repeated rows are scored each; an empty table gives no rows; other columns are ignored.
+    """
+    model, hits = fit(docs, labels, weak)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
-        w = sent.value
         for b in batches:
-            votes = bits(b.column("votes").to_numpy())
-            found = b.column("found")
-            sizes = pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
-            own = np.bincount(np.repeat(np.arange(b.num_rows), sizes), weights=w[found.flatten().to_numpy()], minlength=b.num_rows)
-            z = w[-1] + own + votes @ w[len(w) - 1 - m : -1]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["doc_id", "score"])
+            scores = sent.value.score(b.column("found"), b.column("votes").to_numpy())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
     out = hits.mapInArrow(score, "doc_id long, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= weak.threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, weak: Weak = Weak()) -> DataFrame:
-    """docs, all columns, without the rows whose doc_id is predicted toxic."""
-    bad = score_toxicity(docs, labels, weak).where("predicted = 1").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["_id"], "left_anti")
+    """docs, all columns, without the rows that are predicted toxic.
+
+    The fitted scorer judges each row by its own text where it lies, so rows without a doc_id or with a repeated one
+    are judged like all others and no text is shuffled.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, weak)[0])
+
+    @F.arrow_udf("boolean")
+    def toxic(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        find = sent.value.voters.look()
+        for own in texts:
+            parts = [pa.array([], pa.bool_())]
+            for b in blocks([pa.RecordBatch.from_arrays([own], ["text"])], "text"):
+                found, votes = find(b.column("text"))
+                parts.append(pa.array(sent.value.score(pa.array(found, pa.list_(pa.int32())), votes) >= weak.threshold))
+            yield pa.concat_arrays(parts)
+
+    return docs.where(~toxic(F.col("text").cast("string")))
