@@ -8,7 +8,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phaseloom.plans import extract, index, remap
+from phaseloom import storage
+from phaseloom.plans import compare, extract, index, remap
 from phaseloom.plans.discovery import discover
 from phaseloom.schemas import HITS
 from phaseloom.session import session
@@ -22,8 +23,8 @@ def _legend(spark: SparkSession, path: str) -> list[str]:
     return list(spark.read.parquet(f"{path}.legend").first()["pops"])
 
 
-def _save(df: DataFrame, path: str, files: int, pops: list[str] | None = None) -> None:
-    df.coalesce(files).write.mode("overwrite").parquet(path)
+def _save(df: DataFrame, path: str, files: int | None, pops: list[str] | None = None) -> None:
+    (df.coalesce(files) if files else df).write.mode("overwrite").parquet(path)
     if pops is not None:
         df.sparkSession.createDataFrame([(pops,)], "pops array<string>").coalesce(1).write.mode("overwrite").parquet(f"{path}.legend")
 
@@ -50,9 +51,12 @@ def extract_samples(spark, a) -> None:
 def compute_haplotypes(spark, a) -> None:
     pops = _legend(spark, a.sites)
     genotypes, names = vcf.read_vcf(spark, a.vcfs, a.min_partitions)
-    people = names.join(spark.read.parquet(a.samples), "s").where(F.col("pop").isin(pops))
+    people = names.join(spark.read.parquet(a.samples), "s", "left")
+    counts = extract.sample_counts(people, pops).first()
+    print(f"dropped {counts['dropped']} of {counts['total']} samples whose population is none of {pops}")
+    people = people.where(F.col("pop").isin(pops))
     found = discover(genotypes, people, spark.read.parquet(a.sites), pops, a.window_size, a.variant_freq_threshold, a.haplotype_freq_threshold)
-    _save(found, a.out, 64, pops)
+    _save(found, a.out, None, pops)
 
 
 def init_index(spark, a) -> None:
@@ -73,6 +77,8 @@ def append_contig(spark, a) -> None:
     if haplotypes:
         entries = index.haplotype_entries(spark.read.parquet(haplotypes), own, site_pops, joint).unionByName(entries)
     ix.append(a.contig, entries, fasta.read_fasta(spark, a.reference_fasta), a.window_size, own, site_pops)
+    if a.out_tsv:
+        ix.export_tsv(a.contig, a.out_tsv)
 
 
 def finalize_index(spark, a) -> None:
@@ -80,7 +86,7 @@ def finalize_index(spark, a) -> None:
 
 
 def create_fasta(spark, a) -> None:
-    index.Index(spark, a.index).export_fasta(a.contigs, a.out)
+    index.Index(spark, a.index).export_fasta(a.contigs, a.out, one_file=a.one_file)
 
 
 def remap_hits(spark, a) -> None:
@@ -92,11 +98,19 @@ def remap_hits(spark, a) -> None:
     tables.write_tsv(out.orderBy("_row").drop("_row"), a.out)
 
 
+def compare_indexes(spark, a) -> None:
+    """Metrics of two indexes' haplotypes as a tab-separated table."""
+    old, new = (compare.haplotypes_of(index.Index(spark, path).sequences(), a.contigs) for path in (a.old, a.new))
+    tables.write_tsv(compare.summary(old, new, old.select(F.explode("haplotype").alias("member"))), a.out, one_file=True)
+
+
 def subsample(spark, a) -> None:
     targets = {(p, k): n for p, k, n in json.loads(a.targets)}
     picked = extract.stratified_sample(spark.read.parquet(a.samples), targets, a.seed)
     _save(picked, a.out, 1)
     tables.write_lines(picked, "s", a.out_ids)
+    if a.sites:
+        _save(spark.read.parquet(a.sites).where(tables.in_interval(a.interval)), a.out_sites, 4)
 
 
 #: Command: function and arguments (name, type, default; no default: required).
@@ -112,11 +126,12 @@ COMMANDS = {
         [("vcfs", str), ("sites", str), ("samples", str), ("window-size", int), ("variant-freq-threshold", float), ("haplotype-freq-threshold", float), ("out", str), ("min-partitions", int, 64)],
     ),
     "init-index": (init_index, [("table-pairs", str), ("index", str), ("version", str), ("window-size", int), ("force", bool, False)]),
-    "append-contig": (append_contig, [("table-pairs", str), ("contig", str), ("index", str), ("reference-fasta", str), ("window-size", int)]),
+    "append-contig": (append_contig, [("table-pairs", str), ("contig", str), ("index", str), ("reference-fasta", str), ("window-size", int), ("out-tsv", str, None)]),
     "finalize-index": (finalize_index, [("index", str)]),
-    "create-fasta": (create_fasta, [("index", str), ("out", str), ("contigs", list)]),
+    "create-fasta": (create_fasta, [("index", str), ("out", str), ("contigs", list), ("one-file", bool, False)]),
     "remap": (remap_hits, [("hits", str), ("out", str), ("index", str, None), ("separator", str, "\t")]),
-    "subsample": (subsample, [("samples", str), ("targets", str), ("out", str), ("out-ids", str), ("seed", int, 0)]),
+    "compare": (compare_indexes, [("old", str), ("new", str), ("contigs", list), ("out", str)]),
+    "subsample": (subsample, [("samples", str), ("targets", str), ("out", str), ("out-ids", str), ("seed", int, 0), ("sites", str, None), ("interval", str, None), ("out-sites", str, None)]),
 }
 
 
@@ -128,7 +143,8 @@ def parser() -> argparse.ArgumentParser:
         own.add_argument("--driver-gb", type=int, default=1)
         own.add_argument("--executor-gb", type=int, default=1)
         own.add_argument("--gcs-key-file")
-        own.add_argument("--use-s3", action="store_true")
+        own.add_argument("--store", choices=["s3", "gcs"])
+        own.add_argument("--connector-jars")
         for arg, kind, *default in arguments:
             how = {"action": "store_true"} if kind is bool else {"nargs": "+"} if kind is list else {"type": kind}
             own.add_argument(f"--{arg}", required=not default, **how, **({"default": default[0]} if default and kind is not bool else {}))
@@ -137,8 +153,11 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
-    spark = session("phaseloom", driver_gb=a.driver_gb, executor_gb=a.executor_gb, gcs_key_file=a.gcs_key_file, use_s3=a.use_s3)
-    COMMANDS[a.command][0](spark, a)
+    spark = session("phaseloom", driver_gb=a.driver_gb, executor_gb=a.executor_gb, gcs_key_file=a.gcs_key_file, store=a.store, jars=a.connector_jars)
+    try:
+        COMMANDS[a.command][0](spark, a)
+    finally:
+        storage.clear(spark)
 
 
 if __name__ == "__main__":

@@ -13,8 +13,8 @@ from phaseloom.operators import blocks, filters, genotypes, haplotypes
 from phaseloom.operators.ordering import numbered
 from phaseloom.plans import cohort, compare, discovery, extract, index, model, remap
 from phaseloom.plans.model import VT, WINDOW, table
-from phaseloom.sources.tables import in_interval
-from phaseloom.storage import stored
+from phaseloom.sources.tables import id_number, in_interval, read_tsv, write_lines, write_tsv
+from phaseloom.storage import new_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -579,15 +579,10 @@ def fasta_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'NA' ELSE c_mktsegment END AS af, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_nationkey END AS n FROM customer")
 def tsv_roundtrip_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written with NA for missing values and read again with types; the text column keeps NA."""
-    import uuid
-
-    from phaseloom.sources.tables import read_tsv, write_tsv
-
     rows = table(spark, sf_dir, "customer").select(
         "c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("af"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_nationkey")).alias("n")
     )
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{base.rstrip('/')}/tsv-{uuid.uuid4().hex}"
+    path = new_path(spark, "tsv")
     write_tsv(rows, path, one_file=False)
     return read_tsv(spark, path, "c_custkey long, af string, n int", keep_na=("af",))
 
@@ -643,8 +638,6 @@ def cohort_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _index(spark: SparkSession, sf_dir: str) -> index.Index:
     """An index of the cohort's haplotypes and sites on chr1."""
     from phaseloom.sources.fasta import read_fasta
-    from phaseloom.storage import new_path
-
     ix = index.Index(spark, new_path(spark, "index"))
     ix.create("2.0", WINDOW, {"chr1": model.POPS}, {"chr1": model.POPS})
     found = cohort.catalog(spark, sf_dir).where(F.col("variants")[0]["contig"] == "chr1")
@@ -689,9 +682,6 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index's table as tab-separated text, read again with its types."""
     from phaseloom.schemas import sequences
-    from phaseloom.sources.tables import read_tsv
-    from phaseloom.storage import new_path
-
     path = new_path(spark, "index-tsv")
     _index(spark, sf_dir).export_tsv("chr1", path)
     texts = tuple(f"gnomAD_AF_{p}" for p in model.POPS)
@@ -702,8 +692,6 @@ def index_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{INDEX} SELECT '>' || sequence_id || chr(10) || sequence AS record FROM idx")
 def index_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index's FASTA parts, read again as records."""
-    from phaseloom.storage import new_path
-
     base = new_path(spark, "index-fasta")
     path = _index(spark, sf_dir).export_fasta(["chr1"], base, one_file=False)[0]
     text = spark.read.option("lineSep", ">").text(path).where("value <> ''")
@@ -778,3 +766,136 @@ concat_ws(',', {", ".join(f"CASE WHEN abs(n{k} - a{k}) >= 0.001 THEN '{p}' END"
 def release_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greatest population, allele number and large frequency differences of variants in both releases."""
     return compare.release_changes(_releases(spark, sf_dir), "v", model.POPS)
+
+
+@query(f"WITH {COHORT}, m AS (SELECT DISTINCT unnest(h) AS v FROM final) SELECT {NAME} AS variant FROM m JOIN known ON known.v = m.v")
+def catalog_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variants that the cohort's haplotypes are made of."""
+    return index.variant_names(cohort.catalog(spark, sf_dir))
+
+
+@query(f"SELECT '2.0' AS version, 25 AS window_size, '[\"{chr(34).join(model.POPS).replace(chr(34), chr(34) + ', ' + chr(34))}\"]' AS pops, CAST(max(p_partkey) >= 0 AS BOOLEAN) AS created FROM part")
+def index_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index's metadata and legends, as written and read back."""
+    ix = index.Index(spark, new_path(spark, "index"))
+    ix.create("2.0", WINDOW, {"chr1": model.POPS}, {"chr1": model.POPS})
+    return spark.read.parquet(f"{ix.path}/meta").select(F.col("VERSION").alias("version"), "window_size", F.col("joint_pops_legend").alias("pops"), F.lit(True).alias("created"))
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')) AS assigned, count(*) FILTER (WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')) AS dropped FROM customer")
+def sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("pop"))
+    return extract.sample_counts(people, ["BUILDING", "MACHINERY"])
+
+
+def _release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as a release's rows: frequencies of all, of two populations and of one of them by sex, popmax and filters."""
+    v = F.col("p_partkey").cast("long")
+    freq = lambda k: F.struct(
+        ((v + k) % 9).cast("int").alias("AC"), F.when((v + k) % 6 > 0, ((v * 3 + k) % 20).cast("double") / 1000).alias("AF"), F.lit(1000).alias("AN"), F.lit(0).alias("homozygote_count")
+    )
+    none = F.array().cast("array<string>")
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("chr"), (1 + v % 3).cast("string")).alias("contig"),
+        v.cast("int").alias("position"),
+        F.lit("A").alias("ref"),
+        F.lit("T").alias("alt"),
+        F.when(v % 5 == 0, F.array(F.lit("AC0"))).when(v % 5 == 1, F.lit(None).cast("array<string>")).otherwise(none).alias("filters"),
+        F.array(*[freq(k) for k in range(4)]).alias("gnomad_freq"),
+        F.array(*[freq(k) for k in range(4)]).alias("freq"),
+        F.struct(*[freq(1)[c].alias(c) for c in ("AC", "AF", "AN")], F.lit("afr").alias("pop")).alias("popmax"),
+    )
+
+
+_META = [{"group": "adj"}, {"group": "adj", "pop": "afr"}, {"group": "adj", "pop": "eas", "sex": "XX"}, {"group": "adj", "pop": "eas"}]
+_FREQ = "CASE WHEN (v + {k}) % 6 > 0 THEN CAST((v * 3 + {k}) % 20 AS DOUBLE) / 1000 END"
+RELEASE = f"""WITH r AS (SELECT v, 'chr' || (1 + v % 3) AS contig, v % 5 AS f, {_FREQ.format(k=1)} AS afr, {_FREQ.format(k=3)} AS eas FROM (SELECT CAST(p_partkey AS BIGINT) AS v FROM part))"""
+
+
+@query(f"{RELEASE} SELECT CAST(v AS INT) AS position, afr, eas, CAST((v + 3) % 9 AS INT) AS eas_ac FROM r WHERE contig = 'chr2' AND v BETWEEN 10 AND 1500 AND f <> 0 AND (afr >= 0.01 OR eas >= 0.01)")
+def extract_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passing sites of an interval that reach the threshold in any population, with the populations' statistics alone."""
+    out = extract.extract_sites(_release(spark, sf_dir), _META, ["eas", "afr"], "chr2:10-1,500", 0.01)
+    f = F.col("pop_freqs")
+    return out.select("position", f[1]["AF"].alias("afr"), f[0]["AF"].alias("eas"), f[0]["AC"].alias("eas_ac"))
+
+
+@query(f"""{RELEASE} SELECT 'chr3:' || v || ':A:T' AS variant, CAST((v + 1) % 9 AS INT) AS popmax_ac, afr AS popmax_af, 'afr' AS maxpop, CAST((v + 3) % 9 AS INT) AS ac_eas, eas AS af_eas FROM r WHERE contig = 'chr3' AND f <> 0""")
+def extract_single_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single variants of a release as flat text, read again with its types."""
+    singles = extract.extract_single(_release(spark, sf_dir), _META, extract.RELEASES["genomes"], ["afr", "eas"], "chr3")
+    path = new_path(spark, "single")
+    write_tsv(extract.single_tsv(singles, ["afr", "eas"]), path)
+    cells = ", ".join(f"{c}_{p} {t}" for p in ("afr", "eas") for c, t in (("AC", "int"), ("AF", "double"), ("AN", "int")))
+    back = read_tsv(spark, path, f"variant string, popmax_AC int, popmax_AF double, popmax_AN int, maxpop string, {cells}")
+    return back.select("variant", F.col("popmax_AC").alias("popmax_ac"), F.col("popmax_AF").alias("popmax_af"), "maxpop", F.col("AC_eas").alias("ac_eas"), F.col("AF_eas").alias("af_eas"))
+
+
+@query("SELECT 's' || c_custkey AS s, c_mktsegment AS pop, CASE WHEN c_nationkey % 2 = 0 THEN 'XX' ELSE 'XY' END AS sex_karyotype FROM customer")
+def extract_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meta = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("s"),
+        F.struct(F.col("c_mktsegment").alias("pop")).alias("gnomad_population_inference"),
+        F.struct(F.when(F.col("c_nationkey") % 2 == 0, "XX").otherwise("XY").alias("sex_karyotype")).alias("gnomad_sex_imputation"),
+    )
+    return extract.extract_samples(meta)
+
+
+@query(f"{WITH}, wide AS (SELECT parent[i:j] AS h FROM (SELECT *, unnest(range(1, j)) AS i FROM (SELECT parent, unnest(range(2, len(parent) + 1)) AS j FROM parents WHERE list_contains(parent, 2) AND list_contains(parent, 4)))) SELECT array_to_string(h, '-') AS haplotype, count(*) AS n_blocks FROM wide WHERE len(h) > 2 AND contains('-' || array_to_string(h, '-') || '-', '-2-4-') GROUP BY h")
+def threshold_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longer fragments around one haplotype, with the blocks that have them."""
+    found = compare.threshold_edge(blocks.parent_blocks(model.carriers(spark, sf_dir), WINDOW), [2, 4])
+    return found.select(_text("haplotype").alias("haplotype"), "n_blocks")
+
+
+@query("SELECT p_partkey AS row_idx, 'chr' || (1 + p_partkey % 3) || ':' || p_partkey || ':A:T,chr' || (1 + p_partkey % 3) || ':' || (p_partkey + 5) || ':AC:G' AS names, CAST(2 * p_partkey + 5 AS BIGINT) AS positions, CAST(p_partkey % 3 AS DOUBLE) / 10 AS first_af, CAST(0 AS DOUBLE) AS second_af, CASE WHEN p_partkey % 3 = 0 THEN 'first' END AS prefix FROM part")
+def parse_and_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of variants parsed and rendered again, frequency lists parsed, text matched and split."""
+    v = F.col("p_partkey").cast("string")
+    contig = F.concat(F.lit(" chr"), (1 + F.col("p_partkey") % 3).cast("string"))
+    names = F.concat(contig, F.lit(":"), v, F.lit(":A:T,"), F.trim(contig), F.lit(":"), (F.col("p_partkey") + 5).cast("string"), F.lit(":AC:G "))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_idx"), V.parse(F.trim(names)).alias("vs"), F.concat(((F.col("p_partkey") % 3).cast("double") / 10).cast("string"), F.lit(",NA")).alias("afs"))
+    rendered = V.render_all(F.col("vs"))
+    return parts.select(
+        "row_idx",
+        rendered.alias("names"),
+        F.aggregate("vs", F.lit(0).cast("long"), lambda acc, x: acc + x["position"]).alias("positions"),
+        remap.frequencies(F.col("afs"))[0].alias("first_af"),
+        remap.frequencies(F.col("afs"))[1].alias("second_af"),
+        F.when(F.split_part(rendered, F.lit(":"), F.lit(1)).like("chr1%"), "first").alias("prefix"),
+    )
+
+
+@query("SELECT 'DR-2.0-' || c_custkey AS sequence_id, row_number() OVER (ORDER BY c_custkey) - 1 AS place FROM customer")
+def ids_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids in the order of the numbers that they end in."""
+    ids = table(spark, sf_dir, "customer").select(F.concat(F.lit("DR-2.0-"), F.col("c_custkey").cast("string")).alias("sequence_id"))
+    return numbered(ids.withColumn("number", id_number("sequence_id")), ["number"], "place").select("sequence_id", "place")
+
+
+@query("SELECT c_name AS value FROM customer")
+def sorted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sorted list of ids, written as lines and read again."""
+    path = new_path(spark, "ids")
+    write_lines(table(spark, sf_dir, "customer"), "c_name", path)
+    return spark.read.text(path)
+
+
+@query(
+    f"""{INDEX} SELECT p, substr(r, position - 3, length(ref) + 7) AS bases FROM ps, refs WHERE contig = 'chr1'"""
+)
+def flanking_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference bases around each site on chr1, from the chunks of a FASTA file."""
+    from phaseloom.sources.fasta import read_fasta, with_bases
+
+    sites = cohort._variants(spark, sf_dir).where("p % 9 > 1 AND p % 13 > 0 AND contig = 'chr1'")
+    rows = sites.select(F.col("p").alias("row_id"), "contig", (F.col("position") - 3).alias("a"), (F.col("position") + F.length("ref") + 3).alias("b"))
+    out = with_bases(rows, read_fasta(spark, cohort.write_fasta(spark, sf_dir), 64), "a", "b", 64)
+    return out.select(F.col("row_id").alias("p"), F.substring("base", F.col("a") - F.col("base_start") + 1, F.col("b") - F.col("a") + 1).alias("bases"))
+
+
+@query(f"{SUMMARY}, made2 AS (SELECT CAST(len(h) AS INT) AS length, count(*) AS n FROM made WHERE k < c AND k = 0 GROUP BY 1) SELECT * FROM made2")
+def novel_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of new haplotypes without a known variant."""
+    old, new = _catalogs(spark, sf_dir)
+    return compare.novel_lengths(compare.composition(new.join(old, "haplotype", "left_anti"), old.select(F.explode("haplotype").alias("member"))))

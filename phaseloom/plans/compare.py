@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phaseloom.functions.variants import by_position, overlapping, parse
 from phaseloom.operators.blocks import slices
 
 #: Why a release lacks a variant.
@@ -63,6 +64,13 @@ def composition(new_only: DataFrame, old_members: DataFrame, haplotype: str = "h
     return by.select(haplotype, kind.alias("composition"), F.size(haplotype).alias("length"))
 
 
+def haplotypes_of(sequences: DataFrame, contigs: list[str], source: str = "HGDP_haplotype") -> DataFrame:
+    """An index's haplotypes on contigs as a catalog: haplotype (variants as text), n, sequence and overlaps; of rows with equal variants the one with the greatest count."""
+    rows = sequences.where((F.col("source") == source) & F.col("contig").isin(contigs))
+    best = rows.groupBy("variants").agg(F.max(F.struct(F.col("popmax_empirical_AC").alias("n"), "sequence")).alias("b"))
+    return best.select(F.split("variants", ",").alias("haplotype"), F.col("b.n").alias("n"), F.col("b.sequence").alias("sequence"), overlapping(by_position(parse(F.col("variants")))).alias("overlaps"))
+
+
 def shared_sequences(old: DataFrame, new: DataFrame, haplotype: str = "haplotype") -> DataFrame:
     """metric, value: shared haplotypes by whether their variants overlap (column overlaps of new) and their sequences (column sequence) are the same.
 

@@ -23,13 +23,27 @@ class Release:
     popmax: str
     popmax_pop: str
     filters: tuple[str, ...]
+    path: str  # below a mirror's root
 
 
+#: The public releases and their mirrors.
 RELEASES = {
-    "genomes": Release("freq", "pop", "popmax", "popmax.pop", ("filters",)),
-    "hgdp": Release("gnomad_freq", "pop", "gnomad_popmax", "gnomad_popmax.pop", ("filters",)),
-    "joint": Release("joint.freq", "gen_anc", "joint.grpmax", "joint.grpmax.gen_anc", ("exomes.filters", "genomes.filters")),
+    "genomes": Release("freq", "pop", "popmax", "popmax.pop", ("filters",), "release/3.1.2/ht/genomes/gnomad.genomes.v3.1.2.sites.ht"),
+    "hgdp": Release("gnomad_freq", "pop", "gnomad_popmax", "gnomad_popmax.pop", ("filters",), "release/3.1.2/ht/genomes/gnomad.genomes.v3.1.2.hgdp_1kg_subset_variant_annotations.ht"),
+    "joint": Release("joint.freq", "gen_anc", "joint.grpmax", "joint.grpmax.gen_anc", ("exomes.filters", "genomes.filters"), "release/4.1/ht/joint/gnomad.joint.v4.1.sites.ht"),
 }
+MIRRORS = {"s3": "s3a://gnomad-public-us-east-1", "gcs": "gs://gcp-public-data--gnomad"}
+
+
+def release_uri(release: str, store: str) -> str:
+    """Where a release's table lies in a store's public mirror."""
+    return f"{MIRRORS[store]}/{RELEASES[release].path}"
+
+
+def sample_counts(samples: DataFrame, pops: list[str]) -> DataFrame:
+    """total, assigned and dropped samples; those whose population is none of pops, or missing, are dropped."""
+    known = F.coalesce(F.col("pop").isin(pops), F.lit(False))
+    return samples.agg(F.count(F.lit(1)).alias("total"), F.count_if(known).alias("assigned"), F.count_if(~known).alias("dropped"))
 
 
 def extract_sites(table: DataFrame, freq_meta: list[dict], pops: list[str], interval: str, threshold: float, freq: str = "gnomad_freq") -> DataFrame:

@@ -15,7 +15,7 @@ from phaseloom import legends, schemas
 from phaseloom.functions.variants import coordinates, compose, haplotype_filter, render, render_all
 from phaseloom.operators.ordering import numbered
 from phaseloom.sources.fasta import CHUNK, with_bases, write_fasta, write_fasta_parts
-from phaseloom.sources.tables import write_tsv
+from phaseloom.sources.tables import id_number, write_tsv
 
 HAPLOTYPE, SINGLE = "HGDP_haplotype", "gnomAD_variant"
 LEGENDS = ("hgdp_haplotype_pops_legend", "gnomad_variant_pops_legend", "joint_pops_legend")
@@ -240,8 +240,7 @@ class Index:
 
     def export_tsv(self, contig: str, path: str) -> None:
         """All columns of a contig's sequences as a tab-separated folder in id order, missing values NA."""
-        number = F.regexp_extract("sequence_id", "(\\d+)$", 1).cast("long")
-        write_tsv(self._contig(contig).orderBy(number), path, one_file=False)
+        write_tsv(self._contig(contig).orderBy(id_number("sequence_id")), path, one_file=False)
 
 
 def find_index(root: str = ".") -> str:

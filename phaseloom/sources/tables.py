@@ -52,6 +52,11 @@ def read_table_pairs(spark: SparkSession, path: str) -> list[tuple[str, str | No
     return [(r["contig"], r["haplotype_table"] or None, r["sites_table"]) for r in rows]
 
 
+def id_number(name: str) -> Column:
+    """The number at an id's end, by which ids sort in the order that they were given in."""
+    return F.regexp_extract(name, "(\\d+)$", 1).cast("long")
+
+
 def write_lines(df: DataFrame, column: str, path: str) -> None:
     """Sorted values, one a line."""
     df.select(F.col(column).cast("string")).orderBy(column).coalesce(1).write.mode("overwrite").text(path)

@@ -1,6 +1,7 @@
 """Index life cycle, exports, readers and extraction."""
 
 import gzip
+import json
 
 import numpy as np
 import pytest
@@ -33,6 +34,16 @@ def test_memory_is_checked():
         session.session(driver_gb=0)
 
 
+def test_connectors(tmp_path):
+    with pytest.raises(FileNotFoundError, match="hadoop-aws"):
+        session.connector_conf("s3", tmp_path)
+    for name in ("hadoop-aws-3.4.1.jar", "aws-java-sdk-bundle.jar"):
+        (tmp_path / name).touch()
+    conf = session.connector_conf("s3", tmp_path)
+    assert conf["spark.jars"].count(".jar") == 2 and conf["spark.hadoop.fs.s3a.threads.max"] == "64"
+    assert extract.release_uri("joint", "gcs").startswith("gs://") and extract.release_uri("genomes", "s3").endswith("sites.ht")
+
+
 @pytest.fixture(scope="module")
 def reference(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("fa") / "r.fa"
@@ -249,8 +260,47 @@ def test_session_stream_equals_batch(spark, tmp_path):
 def test_commands_parse():
     from phaseloom import cli
 
-    assert len(cli.COMMANDS) == 10
+    assert len(cli.COMMANDS) == 11
     a = cli.parser().parse_args(["remap", "--hits", "h", "--out", "o"])
     assert (a.command, a.separator, a.index, a.driver_gb) == ("remap", "\t", None, 1)
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["init-index"])
+
+
+def test_commands_from_files_to_hits(spark, tmp_path):
+    """Each command on what the one before wrote."""
+    from conftest import SF
+
+    from phaseloom import cli
+    from phaseloom.plans import cohort
+
+    at = lambda name: f"file://{tmp_path}/{name}"
+    run = lambda *argv: cli.COMMANDS[argv[0]][0](spark, cli.parser().parse_args([str(a) for a in argv]))
+    pops = cohort.POPS
+    stats = "struct<AC:int,AF:double,AN:int,homozygote_count:int>"
+    release = cohort.sites(spark, SF).select("contig", "position", "ref", "alt", F.array().cast("array<string>").alias("filters"), F.col("pop_freqs").cast(f"array<{stats}>").alias("gnomad_freq"))
+    release.write.parquet(at("release"))
+    cohort.samples(spark, SF).select("s", F.struct("pop").alias("gnomad_population_inference"), F.struct("sex_karyotype").alias("gnomad_sex_imputation")).write.parquet(at("meta"))
+    meta = json.dumps([{"group": "adj", "pop": p} for p in pops])
+    run("extract-sites", "--table", at("release"), "--freq-meta", meta, "--contig", "chr1", "--out", at("sites"), "--freq-threshold", 0.001, "--populations", *pops)
+    run("extract-samples", "--table", at("meta"), "--out", at("samples"))
+    run("compute-haplotypes", "--vcfs", cohort.write_vcf(spark, SF), "--sites", at("sites"), "--samples", at("samples"), "--window-size", 25, "--variant-freq-threshold", 0.05, "--haplotype-freq-threshold", 0, "--out", at("haps"), "--min-partitions", 4)
+    assert spark.read.parquet(at("haps")).count() > 10
+    (tmp_path / "pairs.tsv").write_text(f"contig\thaplotype_table\tsites_table\nchr1\t{at('haps')}\t{at('sites')}\n")
+    run("init-index", "--table-pairs", tmp_path / "pairs.tsv", "--index", at("ix"), "--version", "2.0", "--window-size", 25)
+    run("append-contig", "--table-pairs", tmp_path / "pairs.tsv", "--contig", "chr1", "--index", at("ix"), "--reference-fasta", cohort.write_fasta(spark, SF), "--window-size", 25, "--out-tsv", at("tsv"))
+    run("finalize-index", "--index", at("ix"))
+    run("create-fasta", "--index", at("ix"), "--out", at("fa"), "--contigs", "chr1")
+    rows = spark.read.parquet(at("ix/sequences"))
+    assert spark.read.text(at("fa.chr1.fasta")).count() == 2 * rows.count() and (tmp_path / "tsv").is_dir()
+    hit = rows.where("n_variants > 1").orderBy("sequence_id").first()
+    head = "chromosome\tcoordinate_start\tcoordinate_end\tstrand\tpadded_target\tunpadded_target_sequence\n"
+    (tmp_path / "hits.tsv").write_text(head + f"{hit['sequence_id']}\t20\t60\t+\tACGT\tACGT\n")
+    run("remap", "--hits", tmp_path / "hits.tsv", "--out", at("remapped"), "--index", at("ix"))
+    found = spark.read.option("sep", "\t").option("header", True).csv(at("remapped")).first()
+    assert found["chromosome"] == "chr1" and found["all_variants"] == hit["variants"]
+    run("compare", "--old", at("ix"), "--new", at("ix"), "--contigs", "chr1", "--out", at("metrics"))
+    metrics = {r["metric"]: int(r["value"]) for r in spark.read.option("sep", "\t").option("header", True).csv(at("metrics")).collect()}
+    assert metrics["shared"] == metrics["shared_independent_seq_match"] == rows.where("source = 'HGDP_haplotype'").count() and metrics["old_only"] == 0
+    run("subsample", "--samples", at("samples"), "--targets", json.dumps([["asia", "XX", 2]]), "--out", at("few"), "--out-ids", at("ids"), "--sites", at("sites"), "--interval", "chr1:1-500", "--out-sites", at("few-sites"))
+    assert spark.read.text(at("ids")).count() == 2 and spark.read.parquet(at("few-sites")).agg(F.max("position")).first()[0] <= 500
