@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phaseloom.llm.common import stored
+from phaseloom.llm.common import join_spread, stored
 from phaseloom.llm.components import components
 from phaseloom.llm.shingles import band_keys, digest, shingle_sets, signatures
 from phaseloom.llm.tokens import blocks
@@ -209,9 +209,10 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     nodes = classes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", "sig")
     rows = nodes.select(F.explode("bands").alias("key"), "node", "n")
     ends = rows.groupBy("key").agg(
-        F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")
+        F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi"), F.count(F.lit(1)).alias("_n")
     ).where("lo.node < hi.node")
-    shared = stored(rows.join(ends, "key"), "near-buckets")
+    ends = stored(ends, "near-ends")
+    shared = stored(join_spread(rows, ends.drop("_n"), "key", counts=ends.select("key", "_n")), "near-buckets")
     fits = lambda x, y: 100 * F.least(x, y) >= near.percent * F.greatest(x, y)
     star = [
         shared.where((F.col("node") != F.col(f"{e}.node")) & fits(F.col("n"), F.col(f"{e}.n"))).select(
@@ -232,8 +233,8 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
         links = links.unionByName(confirmed(more, nodes, docs, near))
         labels = components(links)
     named = classes.select("set_digest", F.col("doc_id").alias("node")).join(labels, "node", "left")
-    named = named.select("set_digest", F.coalesce("label", "node").alias("label"))
-    out = table.select("doc_id", "n_shingles", "set_digest").join(named, "set_digest", "left")
+    named = stored(named.select("set_digest", F.coalesce("label", "node").alias("label")), "near-named")
+    out = join_spread(table.select("doc_id", "n_shingles", "set_digest"), named, "set_digest", "left")
     return out.select(
         "doc_id",
         "n_shingles",
