@@ -118,29 +118,53 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fingerprint string")
 
 
-def _with_next(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) in partitions sorted by (_part, _tail, doc_id), each part followed by the first row after it, marked _tail.
+def _parts(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Cuts docs (_at, text) by _at into at most n parts of about equal bytes: bounds of 16 n ranges by quantile, each one's part, each part's first _at.
 
-    Parts are ranges of doc_id between quantiles, at most one a shuffle partition. Texts are shuffled once; besides,
-    each part's first row goes to the part before it (that of the first part to the last).
+    Bytes are summed up by range, one row a range comes to the driver, and neighbouring ranges are put together.
     """
-    n = shuffle_partitions(docs.sparkSession)
-    docs = docs.withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
-    marks = docs.select(F.percentile_approx("_at", [k / n for k in range(1, n)], 10_000)).first()[0] if n > 1 else []
+    fine = 16 * n
+    marks = docs.select(F.percentile_approx("_at", [k / fine for k in range(1, fine)], 50 * fine)).first()[0]
     bounds = np.unique(np.array(marks or [], np.int64))
-
+    place = _places(bounds)
+    sized = docs.select("_at", place("_at").alias("range"), (F.octet_length("text") + 64).alias("bytes"))
+    ranges = sized.groupBy("range").agg(F.sum("bytes").alias("bytes"), F.min("_at").alias("head")).orderBy("range").collect()
+    part_of = np.zeros(len(bounds) + 1, np.int32)
+    heads: list[int] = []
+    at, last, whole = 0, -1, sum(r["bytes"] for r in ranges)
+    for r in ranges:
+        if (own := at * n // whole) > last:
+            last = own
+            heads.append(r["head"])
+        part_of[r["range"]] = len(heads) - 1
+        at += r["bytes"]
+    return bounds, part_of, heads
+
+
+def _places(bounds: np.ndarray, of: np.ndarray | None = None):
     @F.pandas_udf(T.IntegerType())
-    def part_of(at: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, at.to_numpy(np.int64), side="right").astype("int32"))
+    def place(at: pd.Series) -> pd.Series:
+        found = np.searchsorted(bounds, at.to_numpy(np.int64), side="right")
+        return pd.Series((found if of is None else of[found]).astype("int32"))
+
+    return place
+
 
-    heads = docs.select("_at").withColumn("_part", part_of("_at")).groupBy("_part").agg(F.min("_at").alias("head")).orderBy("_part").collect()
-    back = {h["head"]: heads[k - 1]["_part"] for k, h in enumerate(heads)}
+def _with_next(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) in one partition a part, sorted by (_tail, doc_id), with the first row after the part, marked _tail.
+
+    Texts are shuffled once; besides, each part's first row goes to the part before it (that of the first part to the last).
+    """
+    n = shuffle_partitions(docs.sparkSession)
+    docs = docs.withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
+    bounds, part_of, heads = _parts(docs, n)
+    back = {head: (k - 1) % len(heads) for k, head in enumerate(heads)}
 
     @F.pandas_udf(T.IntegerType())
     def before(at: pd.Series) -> pd.Series:
         return at.map(back).astype("Int32")
 
-    placed = docs.withColumn("_part", part_of("_at")).withColumn("_back", before("_at"))
+    placed = docs.withColumn("_part", _places(bounds, part_of)("_at")).withColumn("_back", before("_at"))
     both = F.array_compact(
         F.array(
             F.struct(F.col("_part").alias("part"), F.lit(0).alias("tail")),
@@ -148,7 +172,7 @@ def _with_next(docs: DataFrame) -> DataFrame:
         )
     )
     out = placed.withColumn("_to", F.explode(both)).select("doc_id", "text", F.col("_to.part").alias("_part"), F.col("_to.tail").alias("_tail"))
-    return out.repartition(n, "_part").sortWithinPartitions("_part", "_tail", "doc_id", "text")
+    return out.repartitionById(n, F.col("_part")).sortWithinPartitions("_part", "_tail", "doc_id", "text")
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
