@@ -1,51 +1,13 @@
-"""Shared folder, stored tables and ordered prefix sums used by the operators of this package."""
+"""Ordered prefix sums and joins that spread hot keys, used by the operators of this package."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_local_dir: str | None = None
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir where it is set.
-
-    Unset, a local master gets a temporary folder of its own and any other master a folder in the warehouse.
-    """
-    global _local_dir
-    if at := spark.conf.get("spark.checkpoint.dir", None):
-        return at.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_phaseloom"
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="phaseloom-")
-        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
-    return f"file://{_local_dir}"
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts lineage, fixes what is not repeatable, survives lost executors."""
-    spark = df.sparkSession
-    path = path or new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+from phaseloom.storage import delete, new_path, stored
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Removes a path of any store that Spark knows."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+__all__ = ["delete", "in_order", "join_spread", "new_path", "shuffle_partitions", "stored", "with_prefix"]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
