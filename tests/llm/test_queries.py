@@ -153,6 +153,15 @@ def test_op10_on_held_out_labels(spark):
     assert np.mean([r["predicted"] for r in clean]) < 0.05 and np.mean([r["predicted"] for r in toxic]) > 0.5
 
 
+def test_op10_with_more_labels(spark):
+    """At sf0.1 most languages have enough labels to learn from."""
+    path = SF.replace("sf0.001", "sf0.1")
+    labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{path}/labels.parquet").to_pylist()}
+    rows = [r for r in QUERIES["op10_toxicity"](spark, path).collect() if r["held_out"]]
+    assert np.mean([r["predicted"] for r in rows if labels.get(r["doc_id"]) == 1]) >= 0.9
+    assert np.mean([r["predicted"] for r in rows if labels.get(r["doc_id"]) == 0]) < 0.01
+
+
 PIECES = [" ", "  ", "\n", "\n\n", "\t", "a", "B", "é", "ß", ".", ",", "!", "1", "23", "'s", "'", "　", "\xa0", "\x1c", "́", "漢字", "한", "\U0001f600", "Ǆ", "İ", "\r\n", "x", "-", "foo", "The", "\0", "​", "№", "²", "ﬁ"]
 
 

@@ -27,7 +27,7 @@ ROWS = [
 ]
 SCHEMA = "doc_id long, text string, lang string, source string"
 #: Columns with names that operators use themselves.
-CLASHES = ["size", "shard", "key", "n", "digest", "label", "node", "part", "rank", "score", "_pos", "_range", "_tie", "start", "length", "bucket", "domain", "tokens", "_row", "_file", "_key", "_id"]
+CLASHES = ["size", "shard", "key", "n", "digest", "label", "node", "part", "rank", "score", "_pos", "_range", "_tie", "start", "length", "bucket", "domain", "tokens", "_row", "_file", "_key", "_id", "_doc", "__dedup_key", "_digest", "votes"]
 BYTES, WORDS = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
 
 
@@ -256,25 +256,34 @@ def _verdict(url):
     return (host, path, *(max(fits)[1:] if fits else (None, "allow")))
 
 
-@pytest.mark.parametrize("most_bits", [url_filter.MOST_BITS, 1])
-def test_url_rules(spark, most_bits):
+def test_url_rules(spark):
     df = spark.createDataFrame([(k, u, "x") for k, u in enumerate([*URLS, URLS[3]])], "page_id long, url string, host string")
-    out = {r["page_id"]: r for r in url_filter.judge_urls(df, RULES, most_bits=most_bits).collect()}
+    out = {r["page_id"]: r for r in url_filter.judge_urls(df, RULES).collect()}
     assert [tuple(out[k][1:]) for k in range(len(URLS))] == [_verdict(u) for u in URLS]
     assert tuple(out[len(URLS)][1:]) == _verdict(URLS[3])
-    assert url_filter.judge_urls(df.limit(0), RULES, most_bits=most_bits).count() == 0
+    assert url_filter.judge_urls(df.limit(0), RULES).count() == 0
     with pytest.raises(ValueError, match="one verdict"):
         url_filter.judge_urls(df, [*RULES, ("block", "com", "/")])
 
 
-def test_cascade_is_exact_on_its_universe(spark):
+def test_many_rules_go_through_the_cascades(spark):
+    rules = [("block" if k % 3 else "allow", f"h{k}.org", "/a/" if k % 2 else "/") for k in range(4000)]
+    df = spark.range(9000).select(F.col("id").alias("page_id"), F.format_string("http://x.h%d.org/a/%d", F.col("id") % 6000, "id").alias("url"))
+    out = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge_urls(df, rules).collect()}
+    by_host = {h: (h + p, v) for v, h, p in rules}
+    assert out == {k: by_host.get(f"h{k % 6000}.org", (None, "allow")) for k in range(9000)}
+
+
+@pytest.mark.parametrize("share", [7, 2000])
+def test_cascade_is_exact_on_its_universe(spark, share):
     universe = spark.range(20_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
-    listed = universe.where("substring(key, 2) % 7 = 0")
+    listed = universe.where(f"substring(key, 2) % {share} = 0")
     levels = url_filter.build_cascade(listed, universe)
-    assert len(levels) > 1
+    assert len(levels) > 1 or share > 7
+    assert sum(x.bits for x in levels) < (url_filter.first_bits(1, share) + 16) * 20_000 / share + 640
     keys = universe.select("key", url_filter._hashes(F.col("key")).alias("h")).select("key", "h.*").toPandas()
     found = url_filter.cascade_has(levels, keys["h1"].to_numpy(), keys["h2"].to_numpy())
-    assert (found == (keys["key"].str[1:].astype(int) % 7 == 0).to_numpy()).all()
+    assert (found == (keys["key"].str[1:].astype(int) % share == 0).to_numpy()).all()
 
 
 def test_near_dedup(spark, docs, none):
@@ -300,27 +309,66 @@ def test_token_store(spark, docs, none):
         r = by_start[at]
         assert (r["doc_id"], r["n_tokens"], r["ids_crc32"]) == (doc_id, len(ids), _crc(ids))
         at += len(ids)
-    parts = spark.read.parquet(f"{path}/parts").where("chunk = 'true'")
-    assert parts.count() == parts.select("digest").distinct().count()
-    assert len(token_store.store_root(spark, path)) == 64
+    whole = {r["start"]: r for r in token_store.read_ids(spark, path).collect()}
+    assert {k: (r["doc_id"], r["n_tokens"]) for k, r in whole.items()} == {k: (r["doc_id"], r["n_tokens"]) for k, r in by_start.items()}
+    assert all(zlib.crc32(r["ids"]) == by_start[k]["ids_crc32"] for k, r in whole.items())
+    some = token_store.read_ids(spark, path, wanted=spark.createDataFrame([(9,), (77,)], "doc_id long")).collect()
+    assert [bytes(r["ids"]) for r in some] == [np.array(_ids(WORDS, LONG), "<u4").tobytes()]
+    chunks = spark.read.parquet(f"{path}/parts")
+    assert chunks.count() == chunks.select("digest").distinct().count()
+    root = token_store.store_root(spark, path)
+    assert len(root) == 64 and token_store.read_store(spark, path, root).count() == len(ROWS)
+    with pytest.raises(ValueError, match="another root"):
+        token_store.read_store(spark, path, "0" * 64)
     empty = common.new_path(spark, "store")
     token_store.write_store(none, WORDS, empty)
-    assert token_store.read_store(spark, empty).count() == 0
+    assert token_store.read_store(spark, empty).count() == 0 and token_store.read_ids(spark, empty).count() == 0
+    assert len(token_store.store_root(spark, empty)) == 64
 
 
-def test_damaged_store_is_told(spark):
-    path = common.new_path(spark, "store")
+def _pieces(spark):
     df = spark.createDataFrame([(k, " ".join(f"word{j * k}" for j in range(900))) for k in range(5)], "doc_id long, text string")
+    path = common.new_path(spark, "store")
     token_store.write_store(df, WORDS, path)
-    parts = spark.read.parquet(f"{path}/parts").withColumn("chunk", F.col("chunk").cast("boolean"))
-    whole = common.stored(parts, "copy")
-    missing = whole.where("chunk").limit(1).select("digest").first()[0]
-    whole.where(~(F.col("chunk") & (F.col("digest") == missing))).write.mode("overwrite").partitionBy("chunk").parquet(f"{path}/parts")
-    with pytest.raises(Exception, match="a chunk is missing"):
-        token_store.read_store(spark, path).collect()
-    whole.withColumn("ids", F.when(F.col("digest") == missing, F.lit(b"\0\0")).otherwise(F.col("ids"))).write.mode("overwrite").partitionBy("chunk").parquet(f"{path}/parts")
-    with pytest.raises(Exception, match="damaged"):
-        token_store.read_store(spark, path).collect()
+    return path
+
+
+def test_damaged_store_is_told(spark):
+    path = _pieces(spark)
+    whole = common.stored(spark.read.parquet(f"{path}/parts").withColumn("chunk", F.lit(True)), "copy")
+    digest = whole.limit(1).select("digest").first()[0]
+    put = lambda df: df.write.mode("overwrite").partitionBy("chunk").parquet(f"{path}/parts")
+    put(whole.where(F.col("digest") != digest))
+    for read in (token_store.read_store, token_store.read_ids):
+        with pytest.raises(Exception, match="a chunk is missing"):
+            read(spark, path).collect()
+    put(whole.withColumn("ids", F.when(F.col("digest") == digest, F.lit(b"\0\0")).otherwise(F.col("ids"))))
+    for read in (token_store.read_store, token_store.read_ids):
+        with pytest.raises(Exception, match="damaged"):
+            read(spark, path).collect()
+
+
+def test_tree_tells_missing_and_swapped_recipes(spark):
+    path = _pieces(spark)
+    recipes = common.stored(spark.read.parquet(f"{path}/recipes"), "copy")
+    swapped = recipes.withColumn("doc_id", F.when(F.col("doc_id") == 1, 2).when(F.col("doc_id") == 2, 1).otherwise(F.col("doc_id")))
+    for broken in (recipes.where("doc_id <> 3"), swapped):
+        broken.write.mode("overwrite").parquet(f"{path}/recipes")
+        with pytest.raises(ValueError, match="do not fit the manifest"):
+            token_store.read_store(spark, path)
+
+
+def test_tree_has_levels(spark):
+    rows = spark.range(70_000).select(F.col("id").alias("_pos"), F.col("id").alias("doc_id"), F.col("id").alias("start"), F.lit(1).alias("n_tokens"), F.lit(b"x").alias("root"))
+    levels = {r["level"]: (r["n"], r["below"]) for r in token_store.merkle_tree(rows).groupBy("level").agg(F.count("*").alias("n"), F.sum("below").alias("below")).collect()}
+    assert levels == {1: (274, 70_000), 2: (2, 274), 3: (1, 2)}
+
+
+def test_join_spread_splits_hot_keys(spark):
+    rows = common.stored(spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 7 == 1, None).otherwise(F.col("id")).alias("k"), "id"), "rows")
+    side = spark.range(0, 1000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        assert sorted(common.join_spread(rows, side, "k", how).select("id", "v").collect()) == sorted(rows.join(side, "k", how).select("id", "v").collect())
 
 
 def test_chunks_move_little_when_ids_are_inserted():
@@ -349,12 +397,47 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score_toxicity(none, labels).count() == 0
     kept = toxicity.without_toxic(docs, labels)
     assert kept.columns == docs.columns
+    bad = sum(r["predicted"] for r in out)
+    assert kept.count() == len(ROWS) - bad
 
 
 def test_toxicity_without_labels(spark):
     df = spark.createDataFrame([(1, "you idiot, you pathetic worthless moron"), (2, "a fine day")], "doc_id long, text string")
     out = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(df, spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect()}
-    assert out[1] > out[2]
+    assert out[1] >= 0.3 > out[2]
+
+
+def test_rows_without_doc_id_are_judged_by_their_texts(spark):
+    insult = "you idiot, you pathetic worthless moron"
+    df = spark.createDataFrame([(None, insult), (None, "a fine day"), (4, insult), (4, "another fine day"), (None, None)], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert sorted(toxicity.without_toxic(df, none).select("text").collect(), key=str) == sorted([("a fine day",), ("another fine day",), (None,)], key=str)
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_pipeline_stages_on_edge_cases(spark, docs, none, stage):
+    import corpus_pipeline
+    from conftest import SF
+
+    name, f = corpus_pipeline.STAGES[stage]
+    out = f(spark, common.stored(docs, "docs"), SF)
+    assert f(spark, none, SF).count() == 0
+    if name != "packing":
+        assert out.columns == docs.columns and 0 < out.count() <= len(ROWS)
+        assert {r["doc_id"] for r in out.select("doc_id").collect()} <= {r[0] for r in ROWS}
+    else:
+        assert {r["doc_id"] for r in out.collect()} == {r[0] for r in ROWS}
+
+
+def test_pipeline_runs_on_an_empty_table_and_on_edge_cases(spark, docs, none, tmp_path):
+    import corpus_pipeline
+
+    labels = spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int")
+    for name, df in (("none", none), ("edge", docs)):
+        df.write.parquet(f"file://{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"file://{tmp_path}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}/none").count() == 0
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, f"file://{tmp_path}/edge").collect()} <= {r[0] for r in ROWS}
 
 
 def test_toxicity_does_not_depend_on_the_sample(spark):
