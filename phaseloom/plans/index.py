@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-import uuid
 import warnings
 from dataclasses import dataclass
 from pathlib import Path
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,9 +125,10 @@ def sequences(entries: DataFrame, reference: DataFrame, joint: list[str], window
 
 @dataclass(frozen=True)
 class Index:
-    """A folder: meta (one row), sequences/contig=..., and FINALIZED once it is complete.
+    """A folder: meta (one row), sequences/contig=..., committed/<contig> and FINALIZED once it is complete.
 
-    A contig is written beside the others and renamed into place, so that it is there whole or not at all.
+    A contig counts once its marker is there, which is made after its rows are written, so that it is read whole or
+    not at all in any store; what a broken run has left is overwritten by the next.
     """
 
     spark: SparkSession
@@ -141,31 +142,31 @@ class Index:
         fs, p = self._fs(at)
         return fs.exists(p)
 
-    def _rename(self, of: str, to: str) -> None:
-        fs, p = self._fs(of)
-        _, q = self._fs(to)
-        fs.mkdirs(q.getParent())
-        if not fs.rename(p, q):
-            raise OSError(f"cannot move {p} to {q}")
+    def _mark(self, at: str) -> None:
+        fs, p = self._fs(at)
+        fs.create(p, True).close()
+
+    def contigs(self) -> list[str]:
+        """The contigs that are in the index."""
+        fs, p = self._fs("committed")
+        return sorted(unquote(x.getPath().getName()) for x in fs.listStatus(p)) if fs.exists(p) else []
 
     def _drop(self, at: str) -> None:
         fs, p = self._fs(at)
         fs.delete(p, True)
 
     def create(self, version: str, window: int, haplotype_pops: dict[str, list[str] | None], site_pops: dict[str, list[str] | None], force: bool = False) -> None:
-        if self._there("meta"):
-            if not force:
-                raise FileExistsError(self.path)
-            self._drop("")
+        if self._there("meta/_SUCCESS") and not force:
+            raise FileExistsError(self.path)
+        for own in ("FINALIZED", "committed", "sequences", "meta"):  # nothing else that lies there
+            self._drop(own)
         ours, theirs = legends.agreed(haplotype_pops), legends.agreed(site_pops)
         values = [json.dumps(x) for x in (ours, theirs, legends.joint(ours, theirs))]
         row = self.spark.createDataFrame([(version, window, *values)], "VERSION string, window_size int, " + ", ".join(f"{x} string" for x in LEGENDS))
-        staged = f"_staging-{uuid.uuid4().hex}"
-        row.coalesce(1).write.parquet(f"{self.path}/{staged}")
-        self._rename(staged, "meta")
+        row.coalesce(1).write.parquet(f"{self.path}/meta")
 
     def meta(self) -> dict:
-        if not self._there("meta"):
+        if not self._there("meta/_SUCCESS"):
             raise RuntimeError(f"no index metadata in {self.path}")
         return self.spark.read.parquet(f"{self.path}/meta").first().asDict()
 
@@ -175,13 +176,13 @@ class Index:
         return json.loads(self.meta()[name])
 
     def exists(self) -> bool:
-        return self._there("sequences")
+        return bool(self.contigs())
 
     def sequences(self) -> DataFrame:
         if not self.exists():
             raise ValueError(f"no sequences in {self.path}")
         schema = self.spark.createDataFrame([], schemas.sequences(self.legend("joint_pops_legend"))).schema
-        return self.spark.read.schema(schema).parquet(f"{self.path}/sequences").select(schema.names)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/sequences").where(F.col("contig").isin(self.contigs())).select(schema.names)
 
     def count(self) -> int:
         return self.sequences().count() if self.exists() else 0
@@ -193,20 +194,15 @@ class Index:
             raise ValueError(f"the index has window size {meta['window_size']}, not {window}")
         for name, own in zip(LEGENDS[:2], (haplotype_pops, site_pops), strict=True):
             legends.agreed({contig: own}, json.loads(meta[name]))
-        if self._there(f"sequences/contig={contig}"):
+        if contig in self.contigs():
             raise ValueError(f"{contig} is in the index already")
         joint = json.loads(meta["joint_pops_legend"])
         offset = self.count()
         rows = sequences(entries, reference, joint, window, meta["VERSION"], offset, chunk).select(
             [F.col(f.name).cast(f.dataType) for f in self.spark.createDataFrame([], schemas.sequences(joint)).schema]
         )
-        staged = f"_staging-{uuid.uuid4().hex}"
-        try:
-            rows.drop("contig").sortWithinPartitions("sequence_id").write.parquet(f"{self.path}/{staged}")
-            self._rename(staged, f"sequences/contig={contig}")
-        except Exception:
-            self._drop(staged)
-            raise
+        rows.drop("contig").sortWithinPartitions("sequence_id").write.mode("overwrite").parquet(f"{self.path}/sequences/contig={quote(contig, safe='')}")
+        self._mark(f"committed/{quote(contig, safe='')}")
         return self.count()
 
     def finalize(self) -> None:
@@ -215,8 +211,7 @@ class Index:
             raise ValueError(f"no sequences in {self.path}")
         if not self.count():
             warnings.warn(f"{self.path} has no rows", stacklevel=2)
-        fs, p = self._fs("FINALIZED")
-        fs.create(p, True).close()
+        self._mark("FINALIZED")
 
     def _contig(self, contig: str) -> DataFrame:
         rows = self.sequences().where(F.col("contig") == contig)

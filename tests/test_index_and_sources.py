@@ -115,6 +115,8 @@ def test_index(spark, reference, tmp_path):
     broken = _entries(spark).withColumn("max_pop", F.raise_error(F.lit("no")).cast("int"))
     with pytest.raises(Exception, match="no"):
         ix.append("chr1", broken, ref, 5, chunk=32)
+    assert ix.count() == 0 and not ix.contigs()
+    spark.range(3).write.parquet(f"file://{tmp_path / 'ix'}/sequences/contig=chr1")  # left by a broken run
     assert ix.count() == 0
     assert ix.append("chr1", _entries(spark), ref, 5, ["eas"], POPS, chunk=32) == 3
     with pytest.raises(ValueError, match="already"):
