@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from phaseloom.llm import chat, exact_dedup, fingerprints, mixing, near_dedup, packing, sharding, sql, token_store, toxicity, url_filter
 from phaseloom.llm.common import new_path
@@ -26,10 +27,8 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    planted = spark.createDataFrame(
-        [(-1, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))],
-        "conv_id long, turn long, role string, text string",
-    )
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     return chat.formatted_digest(turns.unionByName(planted))
 
 
