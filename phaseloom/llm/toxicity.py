@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phaseloom.llm.common import stored
+from phaseloom.llm.shingles import shingle_sets
 from phaseloom.llm.tokens import blocks, tidy
 
 #: General insults, a voter for each language.
@@ -78,6 +79,22 @@ def _sample(labels: DataFrame, weak: Weak) -> tuple[DataFrame, dict[int, float]]
     return stored(thinned, "toxic-sample"), {k: 1 / max(share[k], 2**-64) for k in share}
 
 
+def _one_a_family(sample_texts: DataFrame) -> DataFrame:
+    """doc_id of one row of each family of near copies in the sample: rows with one least shingle hash.
+
+    A text that was copied often would make its rare words look like marks of its class.
+    """
+
+    def least(batches):
+        for b in blocks(batches, "text"):
+            own = [int(s[0].astype(np.int64)) if len(s) else None for s in shingle_sets(b.column("text"), 5)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(own, pa.int64())], ["doc_id", "family"])
+        tidy()
+
+    families = sample_texts.select("doc_id", "text").mapInArrow(least, "doc_id long, family long")
+    return stored(families.groupBy("family").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "toxic-families")
+
+
 def _mine(sample_texts: DataFrame, weak: Weak) -> list[str]:
     """Features that toxic rows of the sample have more often than others, most certain first.
 
@@ -284,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, weak: Weak = Weak()) -> tuple[Toxici
     """The scorer for docs, and the stored votes of all rows.
 
     Voters are lexicons of four languages, six sets of features found in a bounded sample of labelled rows
-    (Weak.sample), and two patterns. All rows vote with their whole texts; the distinct patterns of votes (at most
+    (Weak.sample, one row of each family of near copies), and two patterns. All rows vote with their whole texts; the distinct patterns of votes (at most
     2^12) with their counts over all rows fit the label model. Its posterior labels, on the labelled sample and on a
     sample of unlabelled rows, train a linear classifier on the found features and the votes. Label model and
     classifier weight the sample's rows by the inverse of their class's sampling rate, so that thinning does not
@@ -295,7 +312,8 @@ def fit(docs: DataFrame, labels: DataFrame, weak: Weak = Weak()) -> tuple[Toxici
     """
     sample, counts_for = _sample(labels, weak)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    voters = Voters(_mine(texts.join(F.broadcast(sample), "doc_id"), weak))  # at most about Weak.sample rows of 12 bytes
+    told = texts.join(F.broadcast(sample), "doc_id")  # at most about Weak.sample rows of 12 bytes
+    voters = Voters(_mine(told.join(F.broadcast(_one_a_family(told)), "doc_id", "left_semi"), weak))
     hits = _hits(docs, voters)
     told = hits.join(F.broadcast(sample), "doc_id")
     known = told.groupBy("votes").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("k"))

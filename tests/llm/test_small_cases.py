@@ -454,3 +454,14 @@ def test_toxicity_does_not_depend_on_the_sample(spark):
     )
     assert np.mean([full[k][1] == thin[k][1] for k in full]) > 0.98
     assert abs(np.mean([full[k][0] - thin[k][0] for k in full])) < 0.03
+
+
+def test_copies_do_not_make_marks_of_their_words(spark):
+    """One toxic text that was copied forty times has a rare word, which clean texts have as well."""
+    rng = np.random.default_rng(9)
+    text = lambda *more: " ".join([*(f"w{chr(97 + a)}{chr(97 + b)}" for a, b in rng.integers(0, 26, (30, 2))), *more])
+    copied = text("zorkish", "plimvort")
+    rows = [(text(), 0) for _ in range(400)] + [(text("zorkish"), 1) for _ in range(60)] + [(copied, 1)] * 40 + [(text("plimvort"), None) for _ in range(20)]
+    df = spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(rows)], "doc_id long, text string, toxic int")
+    out = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(df, df).collect()}
+    assert not any(out[k] for k in range(500, 520)) and all(out[k] for k in range(400, 500))
