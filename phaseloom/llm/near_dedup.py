@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from phaseloom.llm.common import join_spread, stored
 from phaseloom.llm.components import components
 from phaseloom.llm.shingles import band_keys, digest, shingle_sets, signatures
-from phaseloom.llm.tokens import blocks
+from phaseloom.llm.tokens import blocks, tidy
 
 #: Node ids up to this many (8 bytes each) are broadcast to find their texts; beyond it the join is shuffled.
 BROADCAST_NODES = 2_000_000
@@ -77,6 +77,7 @@ def signed(docs: DataFrame, near: Near) -> DataFrame:
                 ],
                 ["doc_id", "n_shingles", "set_digest", "bands", "sig"],
             )
+        tidy()
 
     schema = "doc_id long, n_shingles long, set_digest binary, bands array<long>, sig binary"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sign, schema)
@@ -109,6 +110,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
         for b in blocks(batches, "text", BLOCK):
             own = shingle_sets(b.column("text"), near.width)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.tobytes() for s in own], pa.binary())], ["node", "shingles"])
+        tidy()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
@@ -129,6 +131,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
                     keep.append(k)
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("a").take(at), b.column("b").take(at)], ["a", "b"])
+        tidy()
 
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     return both.mapInArrow(confirm, "a long, b long")
@@ -166,6 +169,7 @@ def _by_prefix(labelled: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
                     col.append(v)
             cols = [pa.array(np.concatenate([*c, np.zeros(0, np.int64)]).astype(np.int64)) for c in out]
             yield pa.RecordBatch.from_arrays(cols, ["shingle", "node", "label", "n", "pos"])
+        tidy()
 
     rows = labelled.join(sets, "node").mapInArrow(prefixes, "shingle long, node long, label long, n long, pos long")
     rows = stored(rows, "near-prefixes")
