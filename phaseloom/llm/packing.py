@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phaseloom.llm.common import stored
-from phaseloom.llm.tokens import blocks, encoder
+from phaseloom.llm.tokens import blocks, encoder, tidy
 
 PIECE = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, part int, nth long"
 
@@ -40,6 +40,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: in
             cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(raw, pa.binary())] if with_ids else []), names + (["ids"] if with_ids else []))
+        tidy()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
 
