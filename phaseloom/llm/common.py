@@ -55,13 +55,13 @@ def join_spread(rows: DataFrame, side: DataFrame, key: str, how: str = "inner",
 
     Keys with more rows than a shuffle partition's fair share are fewer than the partitions; their rows of side are
     broadcast, all others are shuffled. Null keys match nothing and are not shuffled. rows is read several times and
-    should be a stored table. counts: keys with their number of rows (_n), where it is known; keys without match nothing.
+    should be a stored table. counts: keys with their number of rows (_n), where it is known (others count as few).
     """
     fair = rows.count() // shuffle_partitions(rows.sparkSession)
     if counts is None:
         counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(stored(counts.where(F.col("_n") > fair).select(key), "hot-keys"))
-    there = rows.join(F.broadcast(side.join(hot, key, "left_semi")), key)
+    there = rows.join(hot, key, "left_semi").join(F.broadcast(side.join(hot, key, "left_semi")), key, how)
     rest = rows.where(F.col(key).isNotNull()).join(hot, key, "left_anti").join(side, key, how)
     out = there.unionByName(rest)
     return out.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True) if how == "left" else out

@@ -7,7 +7,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phaseloom.llm.common import join_spread, stored
@@ -54,6 +54,25 @@ def least_matches(near: Near) -> list[tuple[int, int]]:
     return out
 
 
+#: Rows without doc_id are told by their texts: ids from here on are made of 62 bits of a text's hash.
+MADE_IDS = 1 << 62
+
+
+def _id(docs: DataFrame) -> Column:
+    made = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).bitwiseAND(F.lit(MADE_IDS - 1)) + F.lit(MADE_IDS)
+    return F.coalesce(docs["doc_id"].cast("long"), made)
+
+
+def _identified(docs: DataFrame) -> DataFrame:
+    """doc_id, made from the text where it is null, and text."""
+    return docs.select(_id(docs).alias("doc_id"), docs["text"].cast("string").alias("text"))
+
+
+def _given(doc_id: str) -> Column:
+    """An id, null if it was made."""
+    return F.when(F.col(doc_id) < MADE_IDS, F.col(doc_id))
+
+
 def signed(docs: DataFrame, near: Near) -> DataFrame:
     """doc_id, n_shingles, set_digest, bands and signature (8 bits a value) of every whole text; nulls where the set is empty."""
 
@@ -80,7 +99,7 @@ def signed(docs: DataFrame, near: Near) -> DataFrame:
         tidy()
 
     schema = "doc_id long, n_shingles long, set_digest binary, bands array<long>, sig binary"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sign, schema)
+    return docs.mapInArrow(sign, schema)
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, near: Near) -> DataFrame:
@@ -112,9 +131,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.tobytes() for s in own], pa.binary())], ["node", "shingles"])
         tidy()
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
-    found = texts.join(wanted, "doc_id", "left_semi").mapInArrow(sets, "node long, shingles binary")
+    found = docs.join(wanted, "doc_id", "left_semi").mapInArrow(sets, "node long, shingles binary")
     return stored(found, "near-sets")
 
 
@@ -203,12 +221,19 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     survivors' full sets decide.
 
     A null or empty text, or one without words, has an empty set and is linked with nothing. Rows of one doc_id
-    count as linked when any of them is; a null doc_id is named by its class, and kept only if its class has no
-    doc_id. An empty table gives no rows. Other columns of docs are ignored.
+    count as linked when any of them is. Rows without doc_id are told by their texts: they are linked like others
+    and named by the smallest doc_id of their component; where it has none, component_id is null and the rows of one of its
+    texts are kept. doc_ids are to be below 2^62. An empty table gives no rows. Other columns of docs are ignored.
     """
+    out = _components_of(_identified(docs), near)
+    return out.select(_given("doc_id").alias("doc_id"), "n_shingles", _given("component_id").alias("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def _components_of(docs: DataFrame, near: Near) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest id of its component, for docs with an id in each row."""
     table = stored(signed(docs, near), "near-signed")
     first = F.min(F.struct("doc_id", "n_shingles", "bands", "sig"))
-    named = table.where("set_digest is not null and doc_id is not null")
+    named = table.where("set_digest is not null")
     classes = stored(named.groupBy("set_digest").agg(first.alias("c")).select("set_digest", "c.*"), "near-classes")
     nodes = classes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", "sig")
     rows = nodes.select(F.explode("bands").alias("key"), "node", "n")
@@ -239,15 +264,11 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     named = classes.select("set_digest", F.col("doc_id").alias("node")).join(labels, "node", "left")
     named = stored(named.select("set_digest", F.coalesce("label", "node").alias("label")), "near-named")
     out = join_spread(table.select("doc_id", "n_shingles", "set_digest"), named, "set_digest", "left")
-    return out.select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("label", "doc_id").alias("component_id"),
-        F.col("doc_id").eqNullSafe(F.coalesce("label", "doc_id")).alias("kept"),
-    )
+    return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, near: Near = Near()) -> DataFrame:
-    """docs without the rows that near_duplicates() does not keep, all columns; rows of a kept doc_id stay together."""
-    kept = near_duplicates(docs, near).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_id"]), "left_semi")
+    """docs without the rows that near_duplicates() does not keep, all columns; rows of a kept doc_id, or without one of a kept text, stay together."""
+    own = _identified(docs)
+    kept = _components_of(own, near).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, _id(docs) == kept["_id"], "left_semi")

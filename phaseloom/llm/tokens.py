@@ -21,8 +21,9 @@ class WordEncoder:
 
     Byte-level BPE (GPT-2's pattern, no prefix space) never joins a character with white space after it, and the
     lower-casing word BPE drops white space, so texts are cut there, each distinct word of a batch is encoded once
-    and ids are put together by index. Texts with runs of white space that the byte-level pattern reads as one token,
-    and tokenizers of any other kind, are encoded whole. Words are kept between batches; when there are more than
+    and ids are put together by index. Texts with runs of white space that the byte-level pattern reads as one token
+    or with the string of an added token, which the library makes that token, and tokenizers of any other kind, are
+    encoded whole. Words are kept between batches; when there are more than
     `keep`, those of the last texts stay.
     """
 
@@ -30,8 +31,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.kind = self._kind(json.loads(self.tokenizer.to_str()))
+        self.plain = Tokenizer.from_file(path)  # for words: those that only lower-casing makes an added token's string are none
+        self.plain.encode_special_tokens = True
+        spec = json.loads(self.tokenizer.to_str())
+        self.kind = self._kind(spec)
+        added = "|".join(f"\\Q{t['content']}\\E" for t in spec.get("added_tokens") or [])
+        unsafe = [_UNSAFE] if self.kind == "bytes" else []
+        self.unsafe = "|".join(unsafe + ([added] if added else [])) or "[^\\s\\S]"
         self.keep = keep
         self.slots: dict[str, int] = {}
         self._empty()
@@ -43,6 +49,8 @@ class WordEncoder:
     @staticmethod
     def _kind(spec: dict) -> str:
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
+        if any(t.get("normalized") or t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens") or []):
+            return "whole"
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
             return "bytes"
         first = (pre.get("pretokenizers") or [{}])[0]
@@ -89,7 +97,7 @@ class WordEncoder:
         for k in range(0, len(plain), 20_000):
             part = plain[k : k + 20_000]
             text = "".join(part) if self.kind == "bytes" else " ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ids = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             edges = np.flatnonzero(self.edge[ids])
             if len(edges) != len(part):
                 other.extend(part)
@@ -99,7 +107,7 @@ class WordEncoder:
                 self._add(part, ids, np.diff(edges, prepend=-1))
         for k in range(0, len(other), 20_000):
             part = other[k : k + 20_000]
-            got = self.tokenizer.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
+            got = self.plain.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
             ids = np.array(got.ids, np.uint32)
             owner = np.array(got.word_ids, np.int64)
             self._add(part, ids, np.bincount(owner, minlength=len(part)) if len(ids) else np.zeros(len(part), np.int64))
@@ -135,10 +143,9 @@ class WordEncoder:
             return self._whole(texts.to_pylist())
         ids, bounds = self._by_word(texts)
         out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        if self.kind == "bytes":
-            odd = np.flatnonzero(pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False))
-            for k, own in zip(odd.tolist(), self._whole(texts.take(pa.array(odd)).to_pylist()), strict=True):
-                out[k] = own
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.unsafe).to_numpy(zero_copy_only=False))
+        for k, own in zip(odd.tolist(), self._whole(texts.take(pa.array(odd)).to_pylist()), strict=True):
+            out[k] = own
         return out
 
 

@@ -24,6 +24,7 @@ ROWS = [
     (10, "   \n\t ", "fr", "src13"),
     (11, "ümläut \u241b İ. 漢字\u3000x", "xx", "other"),
     (12, "two words", "en", "src0"),
+    (13, "end <|endoftext|> start <|startoftext|>x", "en", "src0"),
 ]
 SCHEMA = "doc_id long, text string, lang string, source string"
 #: Columns with names that operators use themselves.
@@ -91,7 +92,7 @@ def test_exact_dedup(spark, docs, none):
     assert exact_dedup.deduplicate(none).count() == 0
     kept = exact_dedup.keep_first(docs)
     assert kept.columns == docs.columns
-    assert sorted(r[0] for r in kept.where("doc_id is not null").select("doc_id").collect()) == [3, 7, 9, 10, 11, 12]
+    assert sorted(r[0] for r in kept.where("doc_id is not null").select("doc_id").collect()) == [3, 7, 9, 10, 11, 12, 13]
 
 
 def test_colliding_digests_are_split_by_full_texts(spark):
@@ -139,7 +140,6 @@ def test_chat_parts(spark):
 
 def _ids(path, text):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -291,12 +291,31 @@ def test_near_dedup(spark, docs, none):
     assert sum(map(len, out.values())) == len(ROWS)
     assert {r["component_id"] for r in out[7] + out[8]} == {7} and not out[8][0]["kept"]
     assert [(out[k][0]["n_shingles"], out[k][0]["component_id"]) for k in (3, 5, 10, 12)] == [(0, 3), (0, 5), (0, 10), (1, 12)]
-    assert out[None][0]["kept"] and out[None][0]["n_shingles"] == 3
+    assert out[None][0]["kept"] and out[None][0]["n_shingles"] == 3 and out[None][0]["component_id"] is None
     assert near_dedup.near_duplicates(none).count() == 0
     kept = near_dedup.keep_one(docs)
     assert kept.columns == docs.columns and kept.where("doc_id = 8").count() == 0
 
 
+@pytest.mark.parametrize("rows", [1, 3, 151])
+def test_near_dedup_of_rows_without_ids(spark, rows):
+    """One row a row on tables of any size; near copies without ids are linked with each other and with others."""
+    base = [f"w{k}" for k in range(100)]
+    near = lambda k: " ".join(base[:k] + ["x"] + base[k + 1 :])
+    texts = [(None, near(1)), (None, near(50)), (None, "one of its own kind, with no copy")] + [(k, "the same text in all of these rows") for k in range(50)] + [(None, "the same text in all of these rows")] * 48
+    texts += [(None, "k")] * 20 + [(100 + k, near(3) if k == 0 else f"other {k} text {k} of {k} five {k}") for k in range(29)]
+    df = spark.createDataFrame(texts[:rows], "doc_id long, text string")
+    out = near_dedup.near_duplicates(df).collect()
+    assert len(out) == min(rows, len(texts))
+    kept = [r["text"] for r in near_dedup.keep_one(df).collect()]
+    if rows == 3:
+        assert {r["component_id"] for r in out} == {None} and len(kept) == 2 and sum(r["kept"] for r in out) == 2
+    if rows == 151:
+        found = {(r["doc_id"], r["n_shingles"]): r for r in out}
+        assert found[None, 96]["component_id"] == 100 and not found[None, 96]["kept"] and found[100, 96]["kept"]
+        assert kept.count("the same text in all of these rows") == 1 and kept.count("k") == 20 and near(1) not in kept
+
+
 def test_token_store(spark, docs, none):
     path = common.new_path(spark, "store")
     token_store.write_store(docs, WORDS, path)
@@ -371,6 +390,15 @@ def test_join_spread_splits_hot_keys(spark):
         assert sorted(common.join_spread(rows, side, "k", how).select("id", "v").collect()) == sorted(rows.join(side, "k", how).select("id", "v").collect())
 
 
+@pytest.mark.parametrize(("keys", "there"), [(["a"] * 20 + ["b"], ["b"]), (["a", None, "b"], ["b"]), (["a"], []), ([], ["a"]), ([None] * 9, ["a"]), (["a"] * 20 + ["b"], ["a"])])
+def test_join_spread_keeps_rows_of_hot_keys_without_match(spark, keys, there):
+    rows = common.stored(spark.createDataFrame(list(enumerate(keys)), "id int, k string"), "rows")
+    side = spark.createDataFrame([(k, 1) for k in there], "k string, v int")
+    for how in ("inner", "left"):
+        got = common.join_spread(rows, side, "k", how).select("id", "k", "v").collect()
+        assert sorted(map(str, got)) == sorted(map(str, rows.join(side, "k", how).select("id", "k", "v").collect()))
+
+
 def test_chunks_move_little_when_ids_are_inserted():
     ids = np.random.default_rng(5).integers(0, 49_000, 20_000).astype(np.uint32)
     more = np.concatenate([ids[:7000], ids[:10], ids[7000:]])
