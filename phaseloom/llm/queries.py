@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phaseloom.llm import chat, exact_dedup, fingerprints, mixing, near_dedup, packing, sharding, sql, token_store, toxicity, url_filter
+from phaseloom.llm import chat, exact_dedup, fim, fingerprints, html_text, mixing, near_dedup, packing, sharding, sql, token_store, toxicity, url_filter, whitening
 from phaseloom.llm.common import new_path
 
 
@@ -73,6 +73,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op2_exact_dedup": op2_exact_dedup,
@@ -84,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_store": op9_token_store,
     "op10_toxicity": op10_toxicity,
+    "op11_html_text": op11_html_text,
+    "op12_whitening": op12_whitening,
+    "op13_fim": op13_fim,
 }
 
 #: The others need checksums, tokenizers, sketches or models that SQL lacks.
@@ -92,4 +107,5 @@ SQL: dict[str, str] = {
     "op3_chat": sql.op3(),
     "op5_mixing": sql.op5(mixing.PRODUCTION),
     "op7_url_filter": sql.op7(RULES),
+    "op13_fim": sql.op13(fim.Fim()),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from phaseloom.llm import chat, mixing
+from phaseloom.llm import chat, fim, mixing
 
 OP2 = r"""WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM t WINDOW w AS (PARTITION BY t)"""
@@ -57,3 +57,15 @@ def op7(rules: list[tuple[str, str, str]]) -> str:
 r AS (SELECT * FROM (VALUES {values}) t(verdict, h, p)),
 m AS (SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(r.verdict, length(h || p)) AS verdict FROM u JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
 SELECT u.page_id, host, path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM u LEFT JOIN m ON m.page_id = u.page_id"""
+
+
+def op13(f: fim.Fim) -> str:
+    marked = " OR ".join(f"contains(text, '{m}')" for m in (f.prefix, f.suffix, f.middle))
+    part = lambda a, b: f"array_to_string(list_slice(u, {a} + 1, {b}), '')"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('{f.seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u, {", ".join(f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))} FROM d),
+n AS (SELECT *, len(u) AS n, CASE WHEN text = '' OR {marked} OR h3 % 100 >= {f.percent} THEN 'plain' WHEN h4 % 100 < {f.spm_percent} THEN 'spm' ELSE 'psm' END AS form FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM n),
+p AS (SELECT *, {part("0", "a")} AS p, {part("a", "b")} AS m, {part("b", "n")} AS s FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '{f.prefix}' || p || '{f.suffix}' || s || '{f.middle}' || m ELSE '{f.suffix}' || s || '{f.prefix}' || p || '{f.middle}' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
