@@ -288,11 +288,18 @@ def extract(pages: DataFrame, e: Extraction = Extraction()) -> DataFrame:
     places = join_spread(runs, again, "run").select(F.explode("places").alias("p"))
     covered = places.groupBy("p.row").agg(F.collect_list("p.at").alias("covered"))
 
+    def pack(batches):
+        """Pages are shuffled once, compressed by pages' own bytes better than shuffles are."""
+        for b in batches:
+            raw = [x.encode("utf-8", "surrogatepass") for x in b.column("html").to_pylist()]
+            packed = [pa.compress(x, codec="zstd", asbytes=True) for x in raw]
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("page_id"), b.column("url"), pa.array(packed, pa.binary()), pa.array([len(x) for x in raw], pa.int64())], ["row", "page_id", "url", "packed", "size"])
+
     def decide(batches):
-        for b in blocks(batches, "html"):
+        for b in blocks(batches, "packed", 1 << 20):
             out, n_covered, n_marked = [], [], []
-            for page, at in zip(b.column("html").to_pylist(), b.column("covered").to_pylist(), strict=True):
-                texts = page_texts(page)
+            for packed, size, at in zip(*(b.column(c).to_pylist() for c in ("packed", "size", "covered")), strict=True):
+                texts = page_texts(pa.decompress(packed, size, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass"))
                 ids, owner = stream(texts, {}) if at else (np.zeros(0, np.int64), np.zeros(0, np.int64))
                 hit = np.zeros(len(ids) + 1, np.int64)
                 for k in set(at or []):
@@ -307,7 +314,8 @@ def extract(pages: DataFrame, e: Extraction = Extraction()) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string()), pa.array(n_covered, pa.int64()), pa.array(n_marked, pa.int64())], ["page_id", "url", "text", "n_covered", "n_marked"])
         tidy()
 
-    joined = full.join(covered, "row", "left").select("page_id", "url", "html", "covered")
+    thin = full.mapInArrow(pack, "row binary, page_id long, url string, packed binary, size long")
+    joined = thin.join(covered, "row", "left").select("page_id", "url", "packed", "size", "covered")
     found = joined.mapInArrow(decide, "page_id long, url string, text string, n_covered long, n_marked long")
     none = F.lit(0).cast("long")
     empty = rows.where("html = ''").select("page_id", "url", F.lit("").alias("text"), none.alias("n_covered"), none.alias("n_marked"))
