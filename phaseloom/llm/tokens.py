@@ -35,9 +35,7 @@ class WordEncoder:
         self.plain.encode_special_tokens = True
         spec = json.loads(self.tokenizer.to_str())
         self.kind = self._kind(spec)
-        added = "|".join(f"\\Q{t['content']}\\E" for t in spec.get("added_tokens") or [])
-        unsafe = [_UNSAFE] if self.kind == "bytes" else []
-        self.unsafe = "|".join(unsafe + ([added] if added else [])) or "[^\\s\\S]"
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.keep = keep
         self.slots: dict[str, int] = {}
         self._empty()
@@ -143,7 +141,10 @@ class WordEncoder:
             return self._whole(texts.to_pylist())
         ids, bounds = self._by_word(texts)
         out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        odd = np.flatnonzero(pc.match_substring_regex(texts, self.unsafe).to_numpy(zero_copy_only=False))
+        unsafe = [pc.match_substring(texts, a) for a in self.added]
+        if self.kind == "bytes":
+            unsafe.append(pc.match_substring_regex(texts, _UNSAFE))
+        odd = np.flatnonzero(np.any([u.to_numpy(zero_copy_only=False) for u in unsafe], axis=0)) if unsafe else np.zeros(0, np.int64)
         for k, own in zip(odd.tolist(), self._whole(texts.take(pa.array(odd)).to_pylist()), strict=True):
             out[k] = own
         return out
