@@ -50,12 +50,16 @@ def extract_samples(spark, a) -> None:
 
 def compute_haplotypes(spark, a) -> None:
     pops = _legend(spark, a.sites)
-    genotypes, names = vcf.read_vcf(spark, a.vcfs, a.min_partitions)
+    genotypes, names = vcf.read_vcf(spark, a.vcfs, a.min_partitions, a.block_gzip or None)
     people = names.join(spark.read.parquet(a.samples), "s", "left")
     counts = extract.sample_counts(people, pops).first()
     print(f"dropped {counts['dropped']} of {counts['total']} samples whose population is none of {pops}")
     people = people.where(F.col("pop").isin(pops))
-    found = discover(genotypes, people, spark.read.parquet(a.sites), pops, a.window_size, a.variant_freq_threshold, a.haplotype_freq_threshold)
+    stage = storage.unnamed
+    if a.stages:  # these stay, so that a run that broke goes on
+        settings = [pops, a.window_size, a.variant_freq_threshold, a.haplotype_freq_threshold]
+        stage = storage.Stages(spark, a.stages, storage.inputs_key(spark, [a.vcfs, a.sites, a.samples], {"settings": settings}))
+    found = discover(genotypes, people, spark.read.parquet(a.sites), pops, a.window_size, a.variant_freq_threshold, a.haplotype_freq_threshold, stage)
     _save(found, a.out, None, pops)
 
 
@@ -75,8 +79,8 @@ def append_contig(spark, a) -> None:
     entries = index.single_entries(spark.read.parquet(sites).where(F.col("contig") == a.contig), site_pops, joint)
     own = _legend(spark, haplotypes) if haplotypes else None
     if haplotypes:
-        entries = index.haplotype_entries(spark.read.parquet(haplotypes), own, site_pops, joint).unionByName(entries)
-    ix.append(a.contig, entries, fasta.read_fasta(spark, a.reference_fasta), a.window_size, own, site_pops)
+        entries = index.haplotype_entries(spark.read.parquet(haplotypes), own, joint).unionByName(entries)
+    ix.append(a.contig, entries, fasta.Reference(spark, a.reference_fasta), a.window_size, own, site_pops)
     if a.out_tsv:
         ix.export_tsv(a.contig, a.out_tsv)
 
@@ -86,7 +90,7 @@ def finalize_index(spark, a) -> None:
 
 
 def create_fasta(spark, a) -> None:
-    index.Index(spark, a.index).export_fasta(a.contigs, a.out, one_file=a.one_file)
+    index.Index(spark, a.index).export_fasta(a.contigs, a.out, a.how)
 
 
 def remap_hits(spark, a) -> None:
@@ -94,7 +98,7 @@ def remap_hits(spark, a) -> None:
     hits = spark.read.option("sep", a.separator).option("header", True).csv(a.hits)
     numbered = tables.checked(hits, HITS).withColumn("_row", F.monotonically_increasing_id())
     meta = ix.meta()
-    out = remap.remap(numbered, ix.sequences(), meta["window_size"], json.loads(meta["joint_pops_legend"]))
+    out = remap.remap(numbered, ix.lookup(numbered, "chromosome"), meta["window_size"], json.loads(meta["joint_pops_legend"]))
     tables.write_tsv(out.orderBy("_row").drop("_row"), a.out)
 
 
@@ -123,12 +127,12 @@ COMMANDS = {
     "extract-samples": (extract_samples, [("table", str), ("out", str)]),
     "compute-haplotypes": (
         compute_haplotypes,
-        [("vcfs", str), ("sites", str), ("samples", str), ("window-size", int), ("variant-freq-threshold", float), ("haplotype-freq-threshold", float), ("out", str), ("min-partitions", int, 64)],
+        [("vcfs", str), ("sites", str), ("samples", str), ("window-size", int), ("variant-freq-threshold", float), ("haplotype-freq-threshold", float), ("out", str), ("min-partitions", int, 64), ("block-gzip", bool, False), ("stages", str, None)],
     ),
     "init-index": (init_index, [("table-pairs", str), ("index", str), ("version", str), ("window-size", int), ("force", bool, False)]),
     "append-contig": (append_contig, [("table-pairs", str), ("contig", str), ("index", str), ("reference-fasta", str), ("window-size", int), ("out-tsv", str, None)]),
     "finalize-index": (finalize_index, [("index", str)]),
-    "create-fasta": (create_fasta, [("index", str), ("out", str), ("contigs", list), ("one-file", bool, False)]),
+    "create-fasta": (create_fasta, [("index", str), ("out", str), ("contigs", list), ("how", str, "parts")]),
     "remap": (remap_hits, [("hits", str), ("out", str), ("index", str, None), ("separator", str, "\t")]),
     "compare": (compare_indexes, [("old", str), ("new", str), ("contigs", list), ("out", str)]),
     "subsample": (subsample, [("samples", str), ("targets", str), ("out", str), ("out-ids", str), ("seed", int, 0), ("sites", str, None), ("interval", str, None), ("out-sites", str, None)]),

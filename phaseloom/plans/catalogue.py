@@ -284,7 +284,7 @@ def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = members.groupBy("haplotype").agg(F.array_sort(F.collect_list(F.struct("k", F.struct("contig", "position", "ref", "alt").alias("v"), "pop_freqs"))).alias("m"))
     full = found.join(listed, "haplotype").withColumn("variants", F.transform("m", lambda x: x["v"])).withColumn("gnomad_freqs", F.transform("m", lambda x: x["pop_freqs"]))
     joint = legends.joint(model.POPS[:3], model.POPS)
-    ours = index.haplotype_entries(full, model.POPS, model.POPS, joint)
+    ours = index.haplotype_entries(full, model.POPS, joint)
     return ours.unionByName(index.single_entries(site, model.POPS, joint))
 
 
@@ -643,7 +643,7 @@ def _index(spark: SparkSession, sf_dir: str) -> index.Index:
     found = cohort.catalog(spark, sf_dir).where(F.col("variants")[0]["contig"] == "chr1")
     joint = ix.legend("joint_pops_legend")
     sites = index.single_entries(cohort.sites(spark, sf_dir).where(in_interval("chr1")), model.POPS, joint)
-    entries = index.haplotype_entries(found, model.POPS, model.POPS, joint).unionByName(sites)
+    entries = index.haplotype_entries(found, model.POPS, joint).unionByName(sites)
     ix.append("chr1", entries, read_fasta(spark, cohort.write_fasta(spark, sf_dir), 500), WINDOW, model.POPS, model.POPS, chunk=500)
     ix.finalize()
     return ix
@@ -693,7 +693,7 @@ def index_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index's FASTA parts, read again as records."""
     base = new_path(spark, "index-fasta")
-    path = _index(spark, sf_dir).export_fasta(["chr1"], base, one_file=False)[0]
+    path = _index(spark, sf_dir).export_fasta(["chr1"], base)[0]
     text = spark.read.option("lineSep", ">").text(path).where("value <> ''")
     return text.select(F.concat(F.lit(">"), F.regexp_replace("value", "\n$", "")).alias("record"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from phaseloom.plans.discovery import discover
 from phaseloom.plans.model import POPS, WINDOW, table
+from phaseloom.sources import bgzf
 from phaseloom.sources.vcf import read_vcf
 from phaseloom.storage import new_path, stored
 
@@ -42,7 +43,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_vcf(spark: SparkSession, sf_dir: str) -> str:
-    """Gzipped VCF files, each with its header, of what nations' customers ordered: large line items are alternate alleles. Returns their glob."""
+    """Block-gzipped VCF files, each with its header, of what nations' customers ordered: large line items are alternate alleles. Returns their glob."""
     lines = table(spark, sf_dir, "lineitem").where("l_quantity > 25").select("l_orderkey", F.col("l_partkey").cast("long").alias("p"), (F.col("l_linenumber") % 2).cast("int").alias("strand"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     people = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("int").alias("n"))
@@ -54,17 +55,16 @@ def write_vcf(spark: SparkSession, sf_dir: str) -> str:
     dot = F.lit(".")
     alt = F.when(F.col("p") % 13 == 0, "C,G").otherwise(F.col("alt"))
     row = F.concat_ws("\t", "contig", F.col("position").cast("string"), dot, "ref", alt, dot, dot, dot, F.lit("GT"), *calls)
-    rows = _variants(spark, sf_dir).join(sets, "p", "left").select((F.col("p") % 4).cast("int").alias("file"), F.lit(1).alias("order"), F.col("p").alias("at"), row.alias("value"))
+    rows = _variants(spark, sf_dir).join(sets, "p", "left").select((F.col("p") % 4).cast("int").alias("file"), F.col("p").alias("at"), row.alias("value"))
     head = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *[f"s{n}" for n in range(N_SAMPLES)]])
-    heads = spark.range(4).select(F.col("id").cast("int").alias("file"), F.lit(0).alias("order"), F.lit(0).cast("long").alias("at"), F.lit("##fileformat=VCFv4.2\n" + head).alias("value"))
     path = new_path(spark, "vcf")
-    rows.unionByName(heads).repartitionById(4, F.col("file")).sortWithinPartitions("order", "at").select("value").write.option("compression", "gzip").text(path)
-    return f"{path}/part-*.gz"
+    bgzf.write_lines(rows.repartitionById(4, F.col("file")).sortWithinPartitions("at"), "value", path, "##fileformat=VCFv4.2\n" + head)
+    return f"{path}/part-*"
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Haplotypes found in the VCF files, stored."""
-    genotypes, names = read_vcf(spark, write_vcf(spark, sf_dir), 8)
+    genotypes, names = read_vcf(spark, write_vcf(spark, sf_dir), block_gzip=True)
     people = names.join(samples(spark, sf_dir), "s")
     return stored(discover(genotypes, people, sites(spark, sf_dir), POPS, WINDOW, THRESHOLD, 0.0), "catalog")
 

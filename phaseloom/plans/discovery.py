@@ -9,35 +9,39 @@ from phaseloom.operators.blocks import locus_groups, multi_member_groups, parent
 from phaseloom.operators.genotypes import call_stats, entries, strands
 from phaseloom.operators.haplotypes import at_threshold, component_metrics, containment_ac, numbered_variants, without_contained
 from phaseloom.operators.filters import max_population_at
-from phaseloom.storage import stored
+from phaseloom.storage import unnamed
 
 
-def from_carriers(carriers: DataFrame, stats: DataFrame, sites: DataFrame, n_pops: int, window: int, threshold: float) -> DataFrame:
+def from_carriers(carriers: DataFrame, stats: DataFrame, sites: DataFrame, n_pops: int, window: int, threshold: float, stage=unnamed) -> DataFrame:
     """Haplotypes with metrics at the threshold, without those contained in longer ones of equal counts.
 
     Counts and metrics are stage tables: later steps read them again instead of computing them anew.
     """
-    counted = stored(containment_ac(subfragments(parent_blocks(carriers, window)), n_pops), "counted")
-    return without_contained(stored(at_threshold(component_metrics(counted, stats, sites), threshold), "metrics"))
+    counted = stage(lambda: containment_ac(subfragments(parent_blocks(carriers, window)), n_pops), "counted")
+    return without_contained(stage(lambda: at_threshold(component_metrics(counted, stats, sites), threshold), "metrics"))
 
 
-def discover(genotypes: DataFrame, samples: DataFrame, sites: DataFrame, pops: list[str], window: int, variant_threshold: float, threshold: float) -> DataFrame:
+def discover(genotypes: DataFrame, samples: DataFrame, sites: DataFrame, pops: list[str], window: int, variant_threshold: float, threshold: float, stage=unnamed) -> DataFrame:
     """Haplotypes of phased genotypes: genotypes (contig, position, ref, alt, gt), samples (ordinal, s, pop, sex_karyotype), sites (with pop_freqs in the order of pops).
 
-    A call counts only where the variant reaches variant_threshold in the sample's own population.
+    A call counts only where the variant reaches variant_threshold in the sample's own population. Stage tables are
+    variants, calls, carriers, counted and metrics; with storage.Stages they stay, and a run that broke goes on from them.
     """
     common = sites.where(max_population_at(F.col("pop_freqs"), variant_threshold))
-    known = stored(numbered_variants(genotypes.join(common, ["contig", "position", "ref", "alt"])), "variants")
+    known = stage(lambda: numbered_variants(genotypes.join(common, ["contig", "position", "ref", "alt"])), "variants")
     if known.isEmpty():
         raise ValueError(f"no variants at {variant_threshold}")
     legend = samples.sparkSession.createDataFrame(list(enumerate(pops)), "pop_int int, pop string")
     people = samples.join(F.broadcast(legend), "pop").drop("pop").withColumnRenamed("pop_int", "pop")
-    grouped = multi_member_groups(locus_groups(known.withColumn("ref_len", F.length("ref")), window))
     freqs = known.select("row_idx", F.posexplode("pop_freqs").alias("pop", "f")).select("row_idx", "pop", F.col("f.AF").alias("af"))
     calls = entries(known.select("row_idx", "contig", "position", "ref", "alt", "gt"), people).join(freqs.where(F.col("af") >= variant_threshold), ["row_idx", "pop"])
-    stats = call_stats(calls, ["row_idx", "pop"]).select("row_idx", "pop", "AN", "AF")
-    placed = stored(strands(calls).join(grouped.select("row_idx", "locus_group"), "row_idx"), "carriers")
-    found = from_carriers(placed, stats, freqs, len(pops), window, threshold)
+    stats = stage(lambda: call_stats(calls, ["row_idx", "pop"]).select("row_idx", "pop", "AN", "AF"), "calls")
+
+    def carriers() -> DataFrame:
+        grouped = multi_member_groups(locus_groups(known.withColumn("ref_len", F.length("ref")), window))
+        return strands(calls).join(grouped.select("row_idx", "locus_group"), "row_idx")
+
+    found = stage(lambda: from_carriers(stage(carriers, "carriers"), stats, freqs, len(pops), window, threshold, stage), "found")
     members = found.select("haplotype", F.posexplode("haplotype").alias("k", "row_idx")).join(
         known.select("row_idx", F.struct("contig", "position", "ref", "alt").alias("v"), "pop_freqs"), "row_idx"
     )

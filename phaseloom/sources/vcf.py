@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import zlib
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phaseloom.sources import bgzf
+
 FIXED = 9  # columns before the samples
 
 
@@ -18,37 +17,16 @@ def _call(field: Column) -> Column:
     return F.struct(allele(0).alias("a"), allele(1).alias("b"))
 
 
-def _block_gzip_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of block-gzipped files with the suffix .bgz, which the text reader takes for plain text: members are inflated one after the other."""
-
-    def inflate(batches):
-        for b in batches:
-            for data in b.column("content"):
-                view, at, tail = memoryview(data.as_buffer()), 0, b""
-                while at < len(view):
-                    member = zlib.decompressobj(31)
-                    while not member.eof and at < len(view):
-                        piece = view[at : at + (1 << 16)]
-                        tail += member.decompress(piece)
-                        at += len(piece) - len(member.unused_data)
-                    if len(tail) > 1 << 22 or at == len(view):
-                        *lines, tail = tail.split(b"\n")
-                        if at == len(view) and tail:
-                            lines.append(tail)
-                        yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in lines], pa.string())], ["value"])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(inflate, "value string")
-
-
-def read_vcf(spark: SparkSession, path: str, min_partitions: int = 64) -> tuple[DataFrame, DataFrame]:
+def read_vcf(spark: SparkSession, path: str, min_partitions: int = 64, block_gzip: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """Genotypes (contig, position, ref, alt, gt in sample order) and samples (ordinal, s) of VCF files, gzipped (.gz, .bgz) or not.
 
     path may be a glob of files with the same samples in the same order. The samples come from the first header;
     another one, or a line of another width, is an error when it is met. Sites with several alternate alleles give no
-    row. A compressed file is read and parsed by one task; parsed calls, which are smaller than their text, are then
-    spread over min_partitions.
+    row. Block-gzipped files (suffix .bgz, or block_gzip) are read and parsed in splits and stay as they are spread.
+    Of other files, a .gz one is read by one task, so parsed calls, which are smaller than their text, are spread over min_partitions.
     """
-    lines = _block_gzip_lines(spark, path) if path.endswith(".bgz") else spark.read.text(path)
+    block_gzip = path.endswith(".bgz") if block_gzip is None else block_gzip
+    lines = bgzf.read_lines(spark, path) if block_gzip else spark.read.text(path)
     header = lines.where(F.col("value").startswith("#CHROM")).first()
     if header is None:
         raise ValueError(f"no header in {path}")
@@ -66,4 +44,5 @@ def read_vcf(spark: SparkSession, path: str, min_partitions: int = 64) -> tuple[
         F.get("f", F.lit(4)).alias("alt"),
         F.transform(F.slice("f", FIXED + 1, F.size("f")), _call).alias("gt"),
     )
-    return parsed.where(~F.col("alt").contains(",") & (F.col("alt") != ".")).repartition(min_partitions), samples
+    kept = parsed.where(~F.col("alt").contains(",") & (F.col("alt") != "."))
+    return (kept if block_gzip else kept.repartition(min_partitions)), samples

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from phaseloom import legends, schemas, session, storage
 from phaseloom.plans import compare, extract, index
 from phaseloom.plans.discovery import discover
 from phaseloom.schemas import CALL_STATS, VARIANT
-from phaseloom.sources import fasta, tables, vcf
+from phaseloom.sources import bgzf, fasta, tables, vcf
 
 POPS = ["afr", "eas"]
 SITE = f"contig string, position int, ref string, alt string, pop_freqs array<{CALL_STATS}>"
@@ -86,12 +87,12 @@ def _entries(spark):
     stats = lambda ac, af: (ac, af, 100, 0)
     sites = spark.createDataFrame([("chr1", 100, "A", "T", [stats(5, 0.05), stats(7, 0.07)]), ("chr1", 140, "C", "G", [stats(4, 0.04), None])], SITE)
     haps = spark.createDataFrame(
-        [([("chr1", 100, "A", "T"), ("chr1", 110, "AC", "A")], [[stats(5, 0.05), stats(7, 0.07)], [stats(4, 0.04), None]], 0, 0.03, 3, 0.6, 0.02, [(0, 3, 0.03, 0.6, 0.02)])],
+        [([("chr1", 100, "A", "T"), ("chr1", 110, "AC", "A")], [[stats(7, 0.07)], [None]], 0, 0.03, 3, 0.6, 0.02, [(0, 3, 0.03, 0.6, 0.02)])],
         f"variants array<{VARIANT}>, gnomad_freqs array<array<{CALL_STATS}>>, max_pop int, max_empirical_AF double, max_empirical_AC bigint, fraction_phased double, "
         "estimated_gnomad_AF double, all_pop_freqs array<struct<pop:int,empirical_AC:bigint,empirical_AF:double,fraction_phased:double,estimated_gnomad_AF:double>>",
     )
-    joint = legends.joint(["eas"], POPS)
-    return index.haplotype_entries(haps, ["eas"], POPS, joint).unionByName(index.single_entries(sites, POPS, joint))
+    joint = legends.joint(POPS, ["eas"])
+    return index.haplotype_entries(haps, ["eas"], joint).unionByName(index.single_entries(sites, POPS, joint))
 
 
 def test_index(spark, reference, tmp_path):
@@ -103,7 +104,7 @@ def test_index(spark, reference, tmp_path):
     with pytest.raises(FileExistsError):
         ix.create("2.0", 5, {"chr1": ["eas"]}, {"chr1": POPS})
     ix.create("2.0", 5, {"chr1": ["eas"]}, {"chr1": POPS}, force=True)
-    assert ix.legend("joint_pops_legend") == ["eas", "afr"]
+    assert ix.legend("joint_pops_legend") == ["afr", "eas"]
     with pytest.raises(ValueError, match="no legend"):
         ix.legend("window_size")
     with pytest.raises(ValueError, match="no sequences"):
@@ -126,20 +127,23 @@ def test_index(spark, reference, tmp_path):
     hap = rows[0]
     assert (hap["start"], hap["end"], hap["max_pop"], hap["variants"]) == (94, 116, "eas", "chr1:100:A:T,chr1:110:AC:A")
     assert hap["sequence"] == seq[94:99] + "T" + seq[100:109] + "A" + seq[111:116]
-    assert (hap["gnomAD_AF_afr"], hap["gnomAD_AF_eas"]) == ("0.05000,0.04000", "0.07000,NA")
+    assert (hap["gnomAD_AF_afr"], hap["gnomAD_AF_eas"]) == ("NA,NA", "0.07000,NA")
     assert hap["empirical_AC_afr"] is None and hap["empirical_AC_eas"] == 3 and hap["haplotype_filter"] == "PASS"
     assert rows[2]["gnomAD_AF_eas"] == "NA" and rows[1]["max_pop"] == "eas" and rows[1]["popmax_empirical_AC"] == 7
     ix.finalize()
     ix.finalize()
     ix.export_tsv("chr1", str(tmp_path / "tsv"))
-    back = tables.read_tsv(spark, str(tmp_path / "tsv"), schemas.sequences(["eas", "afr"]), keep_na=("gnomAD_AF_eas", "gnomAD_AF_afr"))
+    back = tables.read_tsv(spark, str(tmp_path / "tsv"), schemas.sequences(["afr", "eas"]), keep_na=("gnomAD_AF_eas", "gnomAD_AF_afr"))
     assert sorted(back.collect()) == sorted(ix.sequences().collect())
-    parts = ix.export_fasta(["chr1"], f"file://{tmp_path}/parts", one_file=False)
+    parts = ix.export_fasta(["chr1"], f"file://{tmp_path}/parts")
     assert spark.read.text(parts[0]).count() == 6
-    files = ix.export_fasta(["chr1"], str(tmp_path / "out"))
-    assert files[0].read_text().splitlines()[:2] == [">DR-2.0-0", hap["sequence"]]
-    with pytest.warns(UserWarning, match="chr9"):
-        assert ix.export_fasta(["chr9"], str(tmp_path / "out"))[0].read_text() == ""
+    files = ix.export_fasta(["chr1"], str(tmp_path / "out"), "driver")
+    whole = Path(files[0]).read_text()
+    assert whole.splitlines()[:2] == [">DR-2.0-0", hap["sequence"]]
+    for how in ("driver", "file"):
+        with pytest.warns(UserWarning, match="chr9"):
+            assert Path(ix.export_fasta(["chr9"], str(tmp_path / how), how)[0]).read_text() == ""
+    assert Path(ix.export_fasta(["chr1"], str(tmp_path / "tasks"), "file")[0]).read_text() == whole
     with pytest.raises(ValueError, match="no contigs"):
         ix.export_fasta([], str(tmp_path / "out"))
     assert index.find_index(str(tmp_path)) == str(tmp_path / "ix")
@@ -163,8 +167,8 @@ def test_block_gzip_and_headers(spark, tmp_path):
     head = "##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts0\n"
     lines = [f"chr1\t{k}\t.\tA\tT\t.\t.\t.\tGT\t0|{k % 2}\n" for k in range(1, 4000)]
     text = (head + "".join(lines)).encode()
-    members = [gzip.compress(text[k : k + 777]) for k in range(0, len(text), 777)]  # members end inside lines
-    (tmp_path / "a.vcf.bgz").write_bytes(b"".join(members) + gzip.compress(b""))
+    members = [bgzf.member(text[k : k + 777]) for k in range(0, len(text), 777)]  # members end inside lines
+    (tmp_path / "a.vcf.bgz").write_bytes(b"".join(members) + bgzf.EMPTY)
     rows, samples = vcf.read_vcf(spark, f"{tmp_path}/*.bgz", 3)
     assert [(r["position"], r["gt"][0]["b"]) for r in rows.orderBy("position").collect()] == [(k, k % 2) for k in range(1, 4000)]
     assert [tuple(r) for r in samples.collect()] == [(0, "s0")]
@@ -286,7 +290,7 @@ def test_commands_from_files_to_hits(spark, tmp_path):
     meta = json.dumps([{"group": "adj", "pop": p} for p in pops])
     run("extract-sites", "--table", at("release"), "--freq-meta", meta, "--contig", "chr1", "--out", at("sites"), "--freq-threshold", 0.001, "--populations", *pops)
     run("extract-samples", "--table", at("meta"), "--out", at("samples"))
-    run("compute-haplotypes", "--vcfs", cohort.write_vcf(spark, SF), "--sites", at("sites"), "--samples", at("samples"), "--window-size", 25, "--variant-freq-threshold", 0.05, "--haplotype-freq-threshold", 0, "--out", at("haps"), "--min-partitions", 4)
+    run("compute-haplotypes", "--vcfs", cohort.write_vcf(spark, SF), "--sites", at("sites"), "--samples", at("samples"), "--window-size", 25, "--variant-freq-threshold", 0.05, "--haplotype-freq-threshold", 0, "--out", at("haps"), "--min-partitions", 4, "--block-gzip")
     assert spark.read.parquet(at("haps")).count() > 10
     (tmp_path / "pairs.tsv").write_text(f"contig\thaplotype_table\tsites_table\nchr1\t{at('haps')}\t{at('sites')}\n")
     run("init-index", "--table-pairs", tmp_path / "pairs.tsv", "--index", at("ix"), "--version", "2.0", "--window-size", 25)
