@@ -105,7 +105,8 @@ def remap_hits(spark, a) -> None:
 def compare_indexes(spark, a) -> None:
     """Metrics of two indexes' haplotypes as a tab-separated table."""
     old, new = (compare.haplotypes_of(index.Index(spark, path).sequences(), a.contigs) for path in (a.old, a.new))
-    tables.write_tsv(compare.summary(old, new, old.select(F.explode("haplotype").alias("member"))), a.out, one_file=True)
+    on_x = index.Index(spark, a.new).sequences().where((F.col("source") == index.HAPLOTYPE) & (F.col("contig") == "chrX"))
+    tables.write_tsv(compare.summary(old, new, old.select(F.explode("haplotype").alias("member")), new_on_x=on_x), a.out, one_file=True)
 
 
 def subsample(spark, a) -> None:

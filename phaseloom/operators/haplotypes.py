@@ -31,6 +31,11 @@ def component_metrics(haplotypes: DataFrame, stats: DataFrame, sites: DataFrame)
         F.min("AN").alias("min_AN"), F.min("local_AF").alias("min_AF"), F.min("site_af").alias("min_site")
     )
     found = least.groupBy("haplotype", "per_pop_AC").agg(F.collect_list(F.struct("pop", "min_AN", "min_AF", "min_site")).alias("c"))
+    return ranked(found, ["haplotype"])
+
+
+def ranked(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Metrics of rows with keys, per_pop_AC and c, an array of the least AN, AF and site AF (min_AN, min_AF, min_site) by pop."""
     ratio = lambda x, y: F.when(y > 0, x.cast("double") / y)
 
     def by_pop(ac, p):
@@ -54,11 +59,11 @@ def component_metrics(haplotypes: DataFrame, stats: DataFrame, sites: DataFrame)
         .when(x["empirical_AF"] < y["empirical_AF"], 1)
         .otherwise(x["pop"] - y["pop"])
     )
-    listed = found.select("haplotype", "per_pop_AC", F.array_sort(F.transform("per_pop_AC", by_pop), better).alias("freqs"))
+    listed = found.select(*keys, "per_pop_AC", F.array_sort(F.transform("per_pop_AC", by_pop), better).alias("freqs"))
     best = F.when(F.get("freqs", F.lit(0))["empirical_AF"].isNotNull(), F.get("freqs", F.lit(0)))
     out = listed.withColumn("best", best)
     return out.select(
-        "haplotype",
+        *keys,
         "per_pop_AC",
         F.col("best.pop").alias("max_pop"),
         F.col("best.empirical_AF").alias("max_empirical_AF"),

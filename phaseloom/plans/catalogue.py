@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,7 +14,8 @@ from phaseloom.operators import blocks, filters, genotypes, haplotypes
 from phaseloom.operators.ordering import numbered
 from phaseloom.plans import cohort, compare, discovery, extract, index, model, remap
 from phaseloom.plans.model import VT, WINDOW, table
-from phaseloom.sources.tables import id_number, in_interval, read_tsv, write_lines, write_tsv
+from phaseloom.sources.fasta import Reference, masked, with_bases
+from phaseloom.sources.tables import id_number, in_interval, in_intervals, read_tsv, write_lines, write_tsv
 from phaseloom.storage import new_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -401,14 +403,14 @@ def left_join_release(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two catalogs: haplotypes at 0 and at 0.002, the former without those of population 4; counts are those of the best population."""
+    """Two catalogs: haplotypes at 0 and at 0.002, the former without those of population 4 and without variants from 160 on; counts are those of the best population."""
     rows = stored(_metrics(spark, sf_dir).where("min_variant_frequency > 0").select("haplotype", F.col("max_empirical_AC").alias("n"), "max_pop", "estimated_gnomad_AF"), "catalogs")
-    old = rows.where("max_pop <> 4 AND estimated_gnomad_AF >= 0").select("haplotype", "n")
+    old = rows.where("max_pop <> 4 AND estimated_gnomad_AF >= 0 AND array_max(haplotype) < 160").select("haplotype", "n")
     new = rows.where("estimated_gnomad_AF >= 0.002D").select("haplotype", (F.col("n") + F.size("haplotype") % 3 - 1).alias("n"))
     return old, new
 
 
-CATALOGS = f"""{WITH}, o AS (SELECT h, eac AS n FROM metrics WHERE laf > 0 AND max_pop <> 4 AND est >= 0),
+CATALOGS = f"""{WITH}, o AS (SELECT h, eac AS n FROM metrics WHERE laf > 0 AND max_pop <> 4 AND est >= 0 AND list_max(h) < 160),
 w AS (SELECT h, eac + len(h) % 3 - 1 AS n FROM metrics WHERE laf > 0 AND est >= 0.002),
 cmp AS (SELECT coalesce(o.h, w.h) AS h, o.n AS a, w.n AS b FROM o FULL JOIN w ON o.h = w.h)"""
 
@@ -637,14 +639,13 @@ def cohort_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _index(spark: SparkSession, sf_dir: str) -> index.Index:
     """An index of the cohort's haplotypes and sites on chr1."""
-    from phaseloom.sources.fasta import read_fasta
     ix = index.Index(spark, new_path(spark, "index"))
     ix.create("2.0", WINDOW, {"chr1": model.POPS}, {"chr1": model.POPS})
     found = cohort.catalog(spark, sf_dir).where(F.col("variants")[0]["contig"] == "chr1")
     joint = ix.legend("joint_pops_legend")
     sites = index.single_entries(cohort.sites(spark, sf_dir).where(in_interval("chr1")), model.POPS, joint)
     entries = index.haplotype_entries(found, model.POPS, joint).unionByName(sites)
-    ix.append("chr1", entries, read_fasta(spark, cohort.write_fasta(spark, sf_dir), 500), WINDOW, model.POPS, model.POPS, chunk=500)
+    ix.append("chr1", entries, Reference(spark, cohort.write_fasta(spark, sf_dir), 500), WINDOW, model.POPS, model.POPS)
     ix.finalize()
     return ix
 
@@ -712,7 +713,7 @@ one AS (SELECT (SELECT count(*) FROM sh) AS shared, (SELECT count(*) FROM cmp WH
   (SELECT count(*) FROM made WHERE k = c) AS new_only_all_variants_in_old, (SELECT count(*) FROM made WHERE k > 0 AND k < c) AS new_only_mixed_variants, (SELECT count(*) FROM made WHERE k = 0) AS new_only_all_novel,
   (SELECT count(*) FROM made WHERE k = 0 AND len(h) = 2) AS new_only_all_novel_length_2, (SELECT CAST(coalesce(max(len(h)), 0) AS BIGINT) FROM made WHERE k = 0) AS new_only_all_novel_max_length,
   (SELECT count(*) FROM sh WHERE same AND NOT met) AS shared_independent_seq_match, (SELECT count(*) FROM sh WHERE NOT same AND NOT met) AS shared_independent_seq_mismatch,
-  (SELECT count(*) FROM sh WHERE same AND met) AS shared_overlapping_seq_match, (SELECT count(*) FROM sh WHERE NOT same AND met) AS shared_overlapping_seq_differ)"""
+  (SELECT count(*) FROM sh WHERE same AND met) AS shared_overlapping_seq_match, (SELECT count(*) FROM sh WHERE NOT same AND met) AS shared_overlapping_seq_differ, (SELECT count(*) FROM w WHERE h[1] % 2 = 1) AS "new_chrX_haplotypes")"""
 
 
 @query(f"{SUMMARY} UNPIVOT one ON * INTO NAME metric VALUE value")
@@ -723,7 +724,8 @@ def catalog_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = F.transform("haplotype", lambda v: F.struct((5 * v).cast("int").alias("position"), F.repeat(F.lit("A"), (1 + v % 14).cast("int")).alias("ref")))
     ours = old.withColumn("sequence", text)
     theirs = new.withColumn("sequence", F.when(F.size("haplotype") % 3 > 0, text).otherwise("x")).withColumn("overlaps", V.overlapping(V.by_position(placed)))
-    return compare.summary(ours, theirs, old.select(F.explode("haplotype").alias("member")))
+    on_x = theirs.where(F.element_at("haplotype", 1) % 2 == 1)
+    return compare.summary(ours, theirs, old.select(F.explode("haplotype").alias("member")), new_on_x=on_x)
 
 
 #: Parts as single variants of two releases; the second lacks some, and has missing frequencies and other populations.
@@ -774,12 +776,22 @@ def catalog_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.variant_names(cohort.catalog(spark, sf_dir))
 
 
-@query(f"SELECT '2.0' AS version, 25 AS window_size, '[\"{chr(34).join(model.POPS).replace(chr(34), chr(34) + ', ' + chr(34))}\"]' AS pops, CAST(max(p_partkey) >= 0 AS BOOLEAN) AS created FROM part")
+@query(
+    """WITH h AS (SELECT list(n_name ORDER BY n_nationkey) FILTER (WHERE n_nationkey % 2 = 0) AS own, list(n_name ORDER BY n_nationkey DESC) FILTER (WHERE n_nationkey % 3 = 0) AS sites,
+  list(n_name ORDER BY n_nationkey) FILTER (WHERE n_nationkey % 2 = 0 AND n_nationkey % 3 > 0) AS rest FROM nation),
+j AS (SELECT own, sites, list_concat(sites, rest) AS joint FROM h)
+SELECT CAST(count(*) AS VARCHAR) AS version, CAST(max(p_size) AS INT) AS window_size, array_to_string(any_value(own), '|') AS haplotype_pops, array_to_string(any_value(sites), '|') AS site_pops, array_to_string(any_value(joint), '|') AS joint_pops FROM part, j"""
+)
 def index_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An index's metadata and legends, as written and read back."""
+    """An index's version, window and legends, got from tables, as written and read back; the joint legend has the sites' populations first."""
+    nations = [tuple(r) for r in table(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey").collect()]
+    own, sites = [n for k, n in nations if k % 2 == 0], [n for k, n in reversed(nations) if k % 3 == 0]
+    told = table(spark, sf_dir, "part").agg(F.count(F.lit(1)), F.max("p_size")).first()
     ix = index.Index(spark, new_path(spark, "index"))
-    ix.create("2.0", WINDOW, {"chr1": model.POPS}, {"chr1": model.POPS})
-    return spark.read.parquet(f"{ix.path}/meta").select(F.col("VERSION").alias("version"), "window_size", F.col("joint_pops_legend").alias("pops"), F.lit(True).alias("created"))
+    ix.create(str(told[0]), told[1], {"chr1": own}, {"chr1": sites})
+    legend = lambda c: F.array_join(F.from_json(c, "array<string>"), "|")
+    names = {"haplotype_pops": index.LEGENDS[0], "site_pops": index.LEGENDS[1], "joint_pops": index.LEGENDS[2]}
+    return spark.read.parquet(f"{ix.path}/meta").select(F.col("VERSION").alias("version"), "window_size", *[legend(c).alias(n) for n, c in names.items()])
 
 
 @query("SELECT count(*) AS total, count(*) FILTER (WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')) AS assigned, count(*) FILTER (WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')) AS dropped FROM customer")
@@ -848,6 +860,52 @@ def threshold_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(_text("haplotype").alias("haplotype"), "n_blocks")
 
 
+@query(
+    f"""{WITH}, cs AS (SELECT h AS c, '-' || array_to_string(h, '-') || '-' AS t FROM kept WHERE len(h) = 2 AND est BETWEEN 0.015 AND 0.025),
+fr AS (SELECT h, p, count(*) AS n, '-' || array_to_string(h, '-') || '-' AS t FROM frags GROUP BY h, p),
+wide AS (SELECT c, fr.h, fr.p, fr.n FROM cs JOIN fr ON len(fr.h) > 2 AND contains(fr.t, cs.t)),
+acs AS (SELECT d.c, d.h, u.p, coalesce(max(CASE WHEN wide.p = u.p THEN wide.n END), 0) AS ac FROM (SELECT DISTINCT c, h FROM wide) d JOIN range(5) u(p) ON true JOIN wide ON wide.c = d.c AND wide.h = d.h GROUP BY d.c, d.h, u.p),
+mins AS (SELECT a.c, a.h, a.p, a.ac, count(*) AS k, min(st.an) AS an, min(st.laf) AS laf, min(af.af) AS site FROM (SELECT *, unnest(h) AS v FROM acs) a JOIN stats st ON st.v = a.v AND st.p = a.p JOIN af ON af.v = a.v AND af.p = a.p GROUP BY a.c, a.h, a.p, a.ac)
+SELECT array_to_string(c, '-') AS "case", array_to_string(h, '-') AS haplotype, CAST(p AS INT) AS pop, CAST(ac AS BIGINT) AS ac, CAST(ac AS DOUBLE) / an AS empirical_af, CASE WHEN laf > 0 THEN CAST(ac AS DOUBLE) / an / laf END AS fraction_phased,
+CASE WHEN laf > 0 THEN site * (CAST(ac AS DOUBLE) / an / laf) END AS estimated_af FROM mins WHERE k = len(h) AND an > 0"""
+)
+def edge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and metrics of the longer fragments around all pairs whose estimate lies about a threshold of 0.02."""
+    carriers = stored(model.carriers(spark, sf_dir), "carriers")
+    parents = stored(blocks.parent_blocks(carriers, WINDOW), "parents")
+    stats = stored(model.stats(spark, sf_dir, carriers), "stats")
+    counted = haplotypes.containment_ac(blocks.subfragments(parents), len(model.POPS))
+    kept = haplotypes.at_threshold(haplotypes.component_metrics(counted, stats, model.sites(spark)), 0.0)
+    cases = kept.where((F.size("haplotype") == 2) & F.col("estimated_gnomad_AF").between(0.015, 0.025))
+    out = compare.edge_metrics(parents, cases, stats, model.sites(spark), len(model.POPS))
+    return out.select(_text("case").alias("case"), _text("haplotype").alias("haplotype"), "pop", "ac", "empirical_af", "fraction_phased", "estimated_af")
+
+
+_WINDOWS = "SELECT CASE WHEN c_custkey % 3 = 0 THEN 'chrX' ELSE 'chr1' END AS contig, CAST((c_custkey * 37) % 20000 AS BIGINT) AS start, CAST((c_custkey * 37) % 20000 + c_nationkey * 2 - 3 AS BIGINT) AS \"end\" FROM customer"
+
+
+@query(f"WITH w AS ({_WINDOWS}), pv AS (SELECT CAST(p_partkey AS BIGINT) AS p, {", ".join(f"{re.sub(r'\bp\b', 'p_partkey', e)} AS {n}" for n, e in cohort.VARIANT.items())} FROM part) SELECT p FROM pv WHERE EXISTS (SELECT 1 FROM w WHERE w.contig = pv.contig AND pv.position BETWEEN w.start AND w.\"end\")")
+def sites_in_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants of parts within any of the customers' intervals, which overlap, repeat and may be empty."""
+    return in_intervals(cohort._variants(spark, sf_dir), _intervals(spark, sf_dir)).select("p")
+
+
+def _intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey").cast("long")
+    begin = (k * 37) % 20000
+    return table(spark, sf_dir, "customer").select(F.when(k % 3 == 0, "chrX").otherwise("chr1").alias("contig"), begin.alias("start"), (begin + F.col("c_nationkey") * 2 - 3).cast("long").alias("end"))
+
+
+@query(
+    f"""{INDEX}, w AS ({_WINDOWS}), pos AS (SELECT i, i // 60 AS line_no, substr(r, CAST(i + 1 AS INT), 1) AS b FROM refs, range(CAST(length(r) AS BIGINT)) t(i)),
+hit AS (SELECT DISTINCT unnest(range(greatest(start, 1) - 1, "end")) AS i FROM w WHERE contig = 'chr1')
+SELECT 'chr1' AS contig, line_no, string_agg(CASE WHEN hit.i IS NULL THEN 'N' ELSE b END, '' ORDER BY pos.i) AS text FROM pos LEFT JOIN hit ON hit.i = pos.i GROUP BY line_no UNION ALL SELECT 'chrS', 0, 'NNNNN'"""
+)
+def masked_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the made reference with N outside the customers' intervals, read through its .fai."""
+    return masked(Reference(spark, cohort.write_fasta(spark, sf_dir), 600), _intervals(spark, sf_dir))
+
+
 @query("SELECT p_partkey AS row_idx, 'chr' || (1 + p_partkey % 3) || ':' || p_partkey || ':A:T,chr' || (1 + p_partkey % 3) || ':' || (p_partkey + 5) || ':AC:G' AS names, CAST(2 * p_partkey + 5 AS BIGINT) AS positions, CAST(p_partkey % 3 AS DOUBLE) / 10 AS first_af, CAST(0 AS DOUBLE) AS second_af, CASE WHEN p_partkey % 3 = 0 THEN 'first' END AS prefix FROM part")
 def parse_and_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of variants parsed and rendered again, frequency lists parsed, text matched and split."""
@@ -885,12 +943,10 @@ def sorted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""{INDEX} SELECT p, substr(r, position - 3, length(ref) + 7) AS bases FROM ps, refs WHERE contig = 'chr1'"""
 )
 def flanking_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reference bases around each site on chr1, from the chunks of a FASTA file."""
-    from phaseloom.sources.fasta import read_fasta, with_bases
-
+    """Reference bases around each site on chr1, of which a FASTA file's index tells the bytes."""
     sites = cohort._variants(spark, sf_dir).where("p % 9 > 1 AND p % 13 > 0 AND contig = 'chr1'")
     rows = sites.select(F.col("p").alias("row_id"), "contig", (F.col("position") - 3).alias("a"), (F.col("position") + F.length("ref") + 3).alias("b"))
-    out = with_bases(rows, read_fasta(spark, cohort.write_fasta(spark, sf_dir), 64), "a", "b", 64)
+    out = with_bases(rows, Reference(spark, cohort.write_fasta(spark, sf_dir), 64), "a", "b")
     return out.select(F.col("row_id").alias("p"), F.substring("base", F.col("a") - F.col("base_start") + 1, F.col("b") - F.col("a") + 1).alias("bases"))
 
 

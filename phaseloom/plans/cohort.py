@@ -9,7 +9,8 @@ from phaseloom.plans.discovery import discover
 from phaseloom.plans.model import POPS, WINDOW, table
 from phaseloom.sources import bgzf
 from phaseloom.sources.vcf import read_vcf
-from phaseloom.storage import new_path, stored
+from phaseloom.sources.fasta import write_at
+from phaseloom.storage import file_system, listed, new_path, stored, write_text
 
 THRESHOLD, N_SAMPLES = 0.05, 25
 
@@ -74,11 +75,23 @@ BASES, LINE = "CAST(ord(substr('ACGTTGCAACGTGATTACA', CAST(1 + (i * i + i // 5)
 
 
 def write_fasta(spark: SparkSession, sf_dir: str) -> str:
-    """A FASTA file of chr1, long enough for all parts, and a short contig."""
+    """A FASTA file of chr1, long enough for all parts, and a short contig, with its .fai. Tasks write the lines at their places where disks are shared."""
     n = (table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0] // 2) * 10 + 300
+    lines_n = -(-n // LINE)
     line = "array_join(transform(sequence(0, 59), j -> substr('ACGTTGCAACGTGATTACA', cast(1 + ((id * 60 + j) * (id * 60 + j) + (id * 60 + j) div 5) % 19 as int), 1)), '')"
-    lines = spark.range(0, -(-n // LINE), 1, 1).selectExpr("id + 1 AS id", f"{line} AS value")
-    heads = spark.createDataFrame([(0, ">chr1 made"), (1 << 40, ">chrS"), ((1 << 40) + 1, "ACGTN")], "id long, value string")
-    path = new_path(spark, "fasta")
-    lines.unionByName(heads).coalesce(1).sortWithinPartitions("id").select("value").write.text(path)
+    head, after = ">chr1 made\n", len(">chr1 made\n") + lines_n * (LINE + 1)
+    lines = spark.range(0, lines_n).selectExpr(f"{len(head)}L + id * {LINE + 1} AS at", f"concat({line}, '\\n') AS record")
+    heads = spark.createDataFrame([(0, head), (after, ">chrS\nACGTN\n")], "at long, record string")
+    folder = new_path(spark, "fasta")
+    path = f"{folder}/reference.fa"
+    fai = f"chr1\t{lines_n * LINE}\t{len(head)}\t{LINE}\t{LINE + 1}\nchrS\t5\t{after + 6}\t5\t6\n"
+    write_text(spark, f"{path}.fai", fai)
+    fs, at = file_system(spark, path)
+    if fs.getScheme() == "file":
+        write_at(lines.unionByName(heads), "record", after + 12, at.toUri().getPath())
+    else:  # a store without files that tasks share
+        parts = lines.unionByName(heads).orderBy("at").select(F.expr("substring(record, 1, length(record) - 1)"))
+        parts.coalesce(1).write.text(f"{path}.parts")
+        name = next(x for x in listed(spark, f"{path}.parts") if x.startswith("part-"))
+        fs.rename(file_system(spark, f"{path}.parts/{name}")[1], at)
     return path

@@ -44,14 +44,21 @@ def count_changes(compared: DataFrame) -> DataFrame:
 def enclosed(old_only: DataFrame, old: DataFrame, new: DataFrame, haplotype: str = "haplotype") -> DataFrame:
     """For each old-only haplotype whether a longer one that contains it is in both catalogs or in the new one only.
 
-    Longer haplotypes send their proper slices, which are joined by equality.
+    Longer haplotypes are looked up by a haplotype's rarest member: postings (a row a member) meet at that member and the
+    runs around it are compared, so no slices are made. A haplotype with a member that no longer one has meets nothing.
     """
-    longer = new.join(old.select(haplotype).withColumn("_old", F.lit(True)), haplotype, "left")
-    parts = longer.where(F.size(haplotype) > 2).select("_old", F.col(haplotype).alias("_h"), F.explode(slices(F.col(haplotype))).alias(haplotype))
-    parts = parts.where(F.size(haplotype) < F.size("_h")).groupBy(haplotype).agg(
-        F.coalesce(F.bool_or("_old"), F.lit(False)).alias("in_both"), F.bool_or(F.col("_old").isNull()).alias("in_new_only")
-    )
-    found = old_only.select(haplotype).join(parts, haplotype, "left")
+    longer = new.join(old.select(haplotype, F.lit(True).alias("_old")), haplotype, "left").where(F.size(haplotype) > 2)
+    postings = longer.select(F.coalesce("_old", F.lit(False)).alias("_old"), F.col(haplotype).alias("_h"), F.posexplode(haplotype).alias("_place", "_member"))
+    often = postings.groupBy("_member").agg(F.count(F.lit(1)).alias("_n"))
+    asked = old_only.select(haplotype).distinct()
+    own = asked.select(haplotype, F.posexplode(haplotype).alias("_at", "_member")).join(often, "_member", "left")
+    rarest = own.groupBy(haplotype).agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_at").alias("at"), F.col("_member").alias("member"))).alias("_r"))
+    keyed = rarest.where("_r.n > 0").select(haplotype, F.col("_r.at").alias("_at"), F.col("_r.member").alias("_member"))
+    begin = F.col("_place") - F.col("_at")
+    around = F.slice("_h", F.greatest(begin, F.lit(0)) + 1, F.size(haplotype))
+    met = keyed.join(postings, "_member").where((F.size("_h") > F.size(haplotype)) & (begin >= 0) & (around == F.col(haplotype)))
+    parts = met.groupBy(haplotype).agg(F.bool_or("_old").alias("in_both"), F.bool_or(~F.col("_old")).alias("in_new_only"))
+    found = asked.join(parts, haplotype, "left")
     return found.select(haplotype, F.coalesce("in_both", F.lit(False)).alias("in_both"), F.coalesce("in_new_only", F.lit(False)).alias("in_new_only"))
 
 
@@ -87,8 +94,11 @@ def shared_sequences(old: DataFrame, new: DataFrame, haplotype: str = "haplotype
     return both.agg(*[F.count_if(c).alias(k) for k, c in cells.items()]).unpivot([], list(cells), "metric", "value")
 
 
-def summary(old: DataFrame, new: DataFrame, members: DataFrame, haplotype: str = "haplotype", count: str = "n") -> DataFrame:
-    """metric, value of all comparisons of two catalogs; members: the old catalog's variants (column member)."""
+def summary(old: DataFrame, new: DataFrame, members: DataFrame, haplotype: str = "haplotype", count: str = "n", new_on_x: DataFrame | None = None) -> DataFrame:
+    """metric, value of all comparisons of two catalogs; members: the old catalog's variants (column member).
+
+    new_on_x: haplotypes of the new catalog on chrX, which stand beside the comparison and are counted only.
+    """
     compared = overlap(old, new, haplotype, count)
     names = {"count_same": "shared_same_ac", "new_higher": "shared_new_higher_ac", "new_lower": "shared_old_higher_ac"}
     counts = count_changes(compared).replace(names, subset="metric")
@@ -109,7 +119,8 @@ def summary(old: DataFrame, new: DataFrame, members: DataFrame, haplotype: str =
         F.coalesce(F.max(F.when(kind == "novel", length)), F.lit(0)).cast("long").alias("new_only_all_novel_max_length"),
     )
     tall = lambda one: one.unpivot([], one.columns, "metric", "value")
-    return counts.unionByName(tall(within)).unionByName(tall(made)).unionByName(shared_sequences(old, new, haplotype))
+    out = counts.unionByName(tall(within)).unionByName(tall(made)).unionByName(shared_sequences(old, new, haplotype))
+    return out if new_on_x is None else out.unionByName(new_on_x.agg(F.lit("new_chrX_haplotypes").alias("metric"), F.count(F.lit(1)).alias("value")))
 
 
 def novel_lengths(new_only: DataFrame) -> DataFrame:
@@ -230,3 +241,32 @@ def threshold_edge(parents: DataFrame, case: list[int]) -> DataFrame:
     frags = parents.where(F.size(F.array_intersect("parent", wanted)) == len(case)).select(F.explode(slices(F.col("parent"))).alias("haplotype"))
     wider = frags.where((F.size("haplotype") > len(case)) & F.exists(slices(F.col("haplotype"), len(case)), lambda x: x == wanted))
     return wider.groupBy("haplotype").agg(F.count(F.lit(1)).alias("n_blocks"))
+
+
+def edge_metrics(parents: DataFrame, cases: DataFrame, stats: DataFrame, sites: DataFrame, n_pops: int) -> DataFrame:
+    """Metrics by population of the longer fragments around some haplotypes, from their blocks alone: case, haplotype, pop, ac, empirical_af, fraction_phased, estimated_af.
+
+    parents: pop and parent; cases: haplotype, an array of two row_idx or more; stats: row_idx, pop, AN, AF; sites: row_idx, pop, af.
+    A block that has a longer fragment has the case in it, so counts over those blocks are the whole counts. A population
+    counts only where all members have statistics and some called allele; without local frequency the last two are null.
+    Blocks are found by the first member of a case.
+    """
+    asked = cases.select(F.col("haplotype").alias("case")).distinct().withColumn("member", F.element_at("case", 1))
+    placed = parents.select("pop", "parent", F.posexplode("parent").alias("at", "member")).join(asked, "member")
+    size = F.size("case")
+    around = placed.where(F.slice("parent", F.col("at") + 1, size) == F.col("case")).where(F.size("parent") > size)
+    starts = F.sequence(F.lit(0), F.col("at"))
+    stops = F.sequence(F.col("at") + size, F.size("parent"))
+    wider = F.flatten(F.transform(starts, lambda i: F.transform(F.filter(stops, lambda j: j - i > size), lambda j: F.slice("parent", i + 1, j - i))))
+    fragments = around.select("case", "pop", F.explode(wider).alias("haplotype"))
+    counts = [F.count_if(F.col("pop") == p).alias(f"_{p}") for p in range(n_pops)]
+    counted = fragments.groupBy("case", "haplotype").agg(*counts)
+    by_pop = F.explode(F.array(*[F.struct(F.lit(p).alias("pop"), F.col(f"_{p}").alias("ac")) for p in range(n_pops)])).alias("c")
+    cells = counted.select("case", "haplotype", by_pop).select("case", "haplotype", "c.pop", "c.ac", F.explode("haplotype").alias("row_idx"))
+    known = stats.select("row_idx", "pop", "AN", F.col("AF").alias("_local")).join(sites.select("row_idx", "pop", "af"), ["row_idx", "pop"])
+    least = cells.join(known, ["row_idx", "pop"]).groupBy("case", "haplotype", "pop", "ac").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("AN").alias("_an"), F.min("_local").alias("_local"), F.min("af").alias("_af")
+    )
+    own = least.where((F.col("_n") == F.size("haplotype")) & (F.col("_an") > 0)).withColumn("empirical_af", F.col("ac").cast("double") / F.col("_an"))
+    own = own.withColumn("fraction_phased", F.when(F.col("_local") > 0, F.col("empirical_af") / F.col("_local")))
+    return own.select("case", "haplotype", "pop", "ac", "empirical_af", "fraction_phased", (F.col("_af") * F.col("fraction_phased")).alias("estimated_af"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phaseloom.operators.blocks import locus_groups, multi_member_groups, parent_blocks, subfragments
+from phaseloom.operators import fragments
+from phaseloom.operators.blocks import locus_groups, multi_member_groups, parent_blocks
 from phaseloom.operators.genotypes import call_stats, entries, strands
-from phaseloom.operators.haplotypes import at_threshold, component_metrics, containment_ac, numbered_variants, without_contained
+from phaseloom.operators.haplotypes import at_threshold, numbered_variants
 from phaseloom.operators.filters import max_population_at
 from phaseloom.storage import unnamed
 
@@ -15,17 +16,19 @@ from phaseloom.storage import unnamed
 def from_carriers(carriers: DataFrame, stats: DataFrame, sites: DataFrame, n_pops: int, window: int, threshold: float, stage=unnamed) -> DataFrame:
     """Haplotypes with metrics at the threshold, without those contained in longer ones of equal counts.
 
-    Counts and metrics are stage tables: later steps read them again instead of computing them anew.
+    Runs of blocks are counted and measured as keys; members are made for what remains. Blocks and metrics are stage
+    tables: later steps read them again instead of computing them anew.
     """
-    counted = stage(lambda: containment_ac(subfragments(parent_blocks(carriers, window)), n_pops), "counted")
-    return without_contained(stage(lambda: at_threshold(component_metrics(counted, stats, sites), threshold), "metrics"))
+    blocks = stage(lambda: fragments.with_values(fragments.distinct_blocks(parent_blocks(carriers, window), n_pops), stats, sites, n_pops), "blocks")
+    kept = stage(lambda: at_threshold(fragments.metrics(fragments.counted(blocks, n_pops)), threshold), "metrics")
+    return fragments.without_contained(kept, blocks)
 
 
 def discover(genotypes: DataFrame, samples: DataFrame, sites: DataFrame, pops: list[str], window: int, variant_threshold: float, threshold: float, stage=unnamed) -> DataFrame:
     """Haplotypes of phased genotypes: genotypes (contig, position, ref, alt, gt), samples (ordinal, s, pop, sex_karyotype), sites (with pop_freqs in the order of pops).
 
     A call counts only where the variant reaches variant_threshold in the sample's own population. Stage tables are
-    variants, calls, carriers, counted and metrics; with storage.Stages they stay, and a run that broke goes on from them.
+    variants, calls, carriers, blocks, metrics and found; with storage.Stages they stay, and a run that broke goes on from them.
     """
     common = sites.where(max_population_at(F.col("pop_freqs"), variant_threshold))
     known = stage(lambda: numbered_variants(genotypes.join(common, ["contig", "position", "ref", "alt"])), "variants")

@@ -224,3 +224,33 @@ def write_fasta_file(sequences: DataFrame, path: str) -> None:
             delete(spark, parts)
     else:
         raise ValueError(f"no single file can be written by tasks to {fs.getScheme()}: write parts")
+
+
+def masked(reference: Reference, windows: DataFrame, line: int = 60) -> DataFrame:
+    """contig, line_no and text of all contigs of an indexed reference: the bases of windows (contig, start, end; 1-based, both ends included), N elsewhere.
+
+    Contigs are cut into chunks of whole lines. Only the bytes under windows are read; chunks that windows touch are put together
+    from the runs between them, all others are N. Windows may overlap and may go beyond a contig's ends.
+    """
+    spark, chunk = reference.spark, reference.chunk // line * line
+    if not chunk:
+        raise ValueError("a chunk is to hold a line at least")
+    own = Reference(spark, reference.path, chunk)
+    fai = spark.read.schema(FAI).option("sep", "\t").csv(f"{reference.path}.fai").select("contig", "length")
+    pieces = fai.where("length > 0").select("contig", "length", F.explode(F.expr(f"sequence(0, cast((length - 1) div {chunk} as int))")).alias("chunk"))
+    within = windows.join(fai, "contig").select("contig", F.expr("greatest(cast(start as bigint), 1) - 1").alias("a"), F.expr("least(cast(`end` as bigint), length)").alias("b")).where("a < b")
+    cut = within.select("contig", F.explode(F.expr(f"sequence(cast(a div {chunk} as int), cast((b - 1) div {chunk} as int))")).alias("chunk"), "a", "b")
+    placed = cut.select("contig", "chunk", F.struct(F.expr(f"cast(greatest(a - chunk * {chunk}L, 0) as int)").alias("a"), F.expr(f"cast(least(b - chunk * {chunk}L, {chunk}) as int)").alias("b")).alias("w"))
+    spans = placed.groupBy("contig", "chunk").agg(F.array_sort(F.collect_set("w")).alias("ws"))
+    known = spans.join(own.chunks(spans.select("contig", "chunk")), ["contig", "chunk"])
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
+
+    def add(acc, w):
+        begin, end = F.greatest(acc["at"], w["a"]), F.greatest(acc["at"], w["b"])
+        return F.struct(F.concat(acc["text"], F.repeat(F.lit("N"), begin - acc["at"]), F.substring("seq", begin + 1, end - begin)).alias("text"), end.alias("at"))
+
+    shown = known.select("contig", "chunk", F.aggregate("ws", start, add, lambda acc: acc["text"]).alias("shown"))
+    size = F.least(F.col("length") - F.col("chunk").cast("long") * chunk, F.lit(chunk)).cast("int")
+    full = pieces.join(shown, ["contig", "chunk"], "left").select("contig", "chunk", F.rpad(F.coalesce("shown", F.lit("")), size, "N").alias("text"))
+    lines = F.transform(F.expr(f"sequence(0, (length(text) - 1) div {line})"), lambda k: F.substring(F.col("text"), k * line + 1, F.lit(line)))
+    return full.select("contig", "chunk", F.posexplode(lines).alias("k", "text")).select("contig", (F.col("chunk").cast("long") * (chunk // line) + F.col("k")).alias("line_no"), "text")

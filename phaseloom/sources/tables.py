@@ -46,6 +46,35 @@ def in_interval(text: str, contig: str = "contig", position: str = "position") -
     return here & F.col(position).between(int(m[2].replace(",", "")), int(m[3].replace(",", "")))
 
 
+#: Bases that one bin of an interval join spans at least; contigs whose bounds are named to the scan.
+BIN, CONTIGS_NAMED = 1 << 14, 2000
+
+
+def in_intervals(rows: DataFrame, intervals: DataFrame, contig: str = "contig", position: str = "position") -> DataFrame:
+    """rows that lie in any of many intervals (contig, start, end; 1-based, both ends included), each row once.
+
+    Rows and intervals meet by bins, so a row is compared with the intervals of its bin alone. The bins are as wide as
+    the intervals are on average, so intervals fill few of them. Each contig's least start and greatest end are told to the scan,
+    which prunes files and row groups by them. Empty intervals, and those with a null, hold nothing.
+    """
+    real = intervals.select("contig", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).where("start <= `end` AND contig IS NOT NULL").distinct()
+    spans = real.groupBy("contig").agg(F.min("start").alias("low"), F.max("end").alias("high"), F.sum(F.expr("`end` - start + 1")).alias("bases"), F.count(F.lit(1)).alias("n")).limit(CONTIGS_NAMED + 1).collect()
+    if not spans:
+        return rows.limit(0)
+    width = BIN
+    while width * sum(r["n"] for r in spans) < sum(r["bases"] for r in spans):
+        width *= 2
+    if len(spans) <= CONTIGS_NAMED:
+        near = F.lit(False)
+        for r in spans:
+            near = near | ((F.col(contig) == r["contig"]) & F.col(position).between(r["low"], r["high"]))
+        rows = rows.where(near)
+    binned = real.select(F.col("contig").alias("_contig"), F.col("start").alias("_start"), F.col("end").alias("_end"), F.explode(F.expr(f"sequence(start div {width}, `end` div {width})")).alias("_bin"))
+    own = F.expr(f"cast({position} as bigint) div {width}")
+    met = (F.col(contig) == F.col("_contig")) & (own == F.col("_bin")) & F.col(position).between(F.col("_start"), F.col("_end"))
+    return rows.join(binned, met, "left_semi")
+
+
 def read_table_pairs(spark: SparkSession, path: str) -> list[tuple[str, str | None, str]]:
     """(contig, haplotype table or None, sites table) rows of a small tab-separated file."""
     rows = checked(spark.read.option("sep", "\t").option("header", True).csv(path), ["contig", "haplotype_table", "sites_table"]).collect()
@@ -53,8 +82,8 @@ def read_table_pairs(spark: SparkSession, path: str) -> list[tuple[str, str | No
 
 
 def id_number(name: str) -> Column:
-    """The number at an id's end, by which ids sort in the order that they were given in."""
-    return F.regexp_extract(name, "(\\d+)$", 1).cast("long")
+    """The number at an id's end, by which ids sort in the order that they were given in; null without one."""
+    return F.regexp_extract(name, "(\\d+)$", 1).try_cast("long")
 
 
 def write_lines(df: DataFrame, column: str, path: str) -> None:
