@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections import Counter
 from math import log
 
 import numpy as np
@@ -14,12 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phaseloom.llm.common import shuffle_partitions
+from phaseloom.llm.common import in_order, shuffle_partitions, with_prefix
 from phaseloom.llm.tokens import blocks
 
 #: A paragraph's vector: 1, DENSE lanes modulo 2^16, and one lane of LEVELS x LANES modulo 2^8.
-DENSE, LEVELS, LANES = 28, 32, 64
+DENSE, LEVELS, LANES = 28, 32, 256
 BYTES = 8 + 2 * DENSE + LEVELS * LANES
+#: Texts whose sums a task holds at a time.
+ROWS = 1024
 _CUT = re.compile(r"\n|(?<=[.!?])[ \t]")
 UNIT = 64
 
@@ -40,14 +43,37 @@ def sums_of(texts: list[str]) -> np.ndarray:
     """The fingerprint of each text as a row of BYTES bytes: the lane-wise sum of its paragraphs' vectors modulo 2^64, 2^16 and 2^8.
 
     The dense lanes tell whether two multisets are equal. Of the sparse lanes a paragraph adds to one only, at a
-    level that half of the paragraphs of the level before reach, so differing lanes count differing paragraphs (each
-    once, however often it is repeated). LEVELS are enough for some 2^38 of them. Level, lane and value come from
-    bits of their own: 31, 6 and 24.
+    level that half of the paragraphs of the level before reach, so differing lanes count differing paragraphs. There
+    the repeats of a paragraph are numbered and each is a paragraph of its own, so it counts as often as it occurs.
+    LEVELS are enough for some 2^38 of them. Level, lane and value come from bits of their own: 31, 8 and 24.
     Sums do not depend on order, and a paragraph can be added or taken away without the others.
     """
-    units = [paragraphs(t) for t in texts]
+    return _sums([paragraphs(t) for t in texts])
+
+
+def _repeats(units: list[str], before: dict[str, int] | None = None) -> list[int]:
+    """For each paragraph how many equal ones precede it; before: how many there were already."""
+    if not before and len(set(units)) == len(units):
+        return [0] * len(units)
+    seen = dict(before or {})
+    out = []
+    for p in units:
+        out.append(seen.get(p, 0))
+        seen[p] = out[-1] + 1
+    return out
+
+
+def _numbered(pick: np.ndarray, repeat: np.ndarray) -> np.ndarray:
+    """Another 64 bits for each repeat of a paragraph; the first keeps its own."""
+    x = pick + repeat.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return np.where(repeat > 0, x ^ (x >> np.uint64(31)), pick)
+
+
+def _sums(units: list[list[str]], before: list[dict[str, int]] | None = None) -> np.ndarray:
     counts = np.array([len(u) for u in units], np.int64)
-    out = np.zeros((len(texts), BYTES), np.uint8)
+    out = np.zeros((len(units), BYTES), np.uint8)
     out[:, :8] = counts.astype("<u8").view(np.uint8).reshape(-1, 8)
     if not counts.sum():
         return out
@@ -56,13 +82,14 @@ def sums_of(texts: list[str]) -> np.ndarray:
     starts = np.concatenate([[0], np.cumsum(counts[full])[:-1]])
     lanes = np.add.reduceat(raw[:, : 2 * DENSE].copy().view("<u2").astype(np.uint32), starts, axis=0).astype("<u2")
     out[full, 8 : 8 + 2 * DENSE] = lanes.view(np.uint8).reshape(len(full), -1)
-    pick = raw[:, 2 * DENSE :].copy().view("<u8")[:, 0]
+    repeats = np.array([k for j, u in enumerate(units) for k in _repeats(u, before[j] if before else None)], np.int64)
+    pick = _numbered(raw[:, 2 * DENSE :].copy().view("<u8")[:, 0], repeats)
     level = np.zeros(len(pick), np.int64)
     for k in range(1, LEVELS):
         level += (pick & np.uint64((1 << k) - 1)) == 0
     lane = (pick >> np.uint64(LEVELS - 1)).astype(np.int64) % LANES
     value = ((pick >> np.uint64(40)) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
-    at = np.repeat(np.arange(len(texts)), counts) * BYTES + 8 + 2 * DENSE + level * LANES + lane
+    at = np.repeat(np.arange(len(units)), counts) * BYTES + 8 + 2 * DENSE + level * LANES + lane
     np.add.at(out.reshape(-1), at, value)  # modulo 2^8
     return out
 
@@ -72,9 +99,17 @@ def _lanes(row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row[:8].view("<u8"), row[8 : 8 + 2 * DENSE].view("<u2"), row[8 + 2 * DENSE :]
 
 
-def changed(row: np.ndarray, removed: list[str], added: list[str]) -> np.ndarray:
-    """The fingerprint after taking some paragraphs away and adding others."""
-    minus, plus = sums_of(["\n".join(removed)])[0], sums_of(["\n".join(added)])[0]
+def changed(row: np.ndarray, removed: list[str], added: list[str], counts: dict[str, int] | None = None) -> np.ndarray:
+    """The fingerprint after taking some paragraphs away and then adding others.
+
+    counts: how often each of these occurs in the text before; those that are not named occur as often as they are removed.
+    """
+    away = [p for text in removed for p in paragraphs(text)]
+    more = [p for text in added for p in paragraphs(text)]
+    there = Counter(away) | Counter(counts or {})
+    left = there - Counter(away)
+    # the last ones go: their numbers begin where those that stay end
+    minus, plus = _sums([away, more], [dict(left), dict(left)])
     parts = [(a + p) - m for a, p, m in zip(_lanes(row), _lanes(plus), _lanes(minus), strict=True)]
     return np.concatenate([x.view(np.uint8) for x in parts])
 
@@ -83,7 +118,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Estimated share of paragraphs that two fingerprints have in common, from 0 to 1; equal ones have 1.
 
     Differing paragraphs are counted from the first level whose lanes are not nearly all taken, so texts may have
-    any length. A paragraph repeated within a text counts each time in the whole but once among the differing ones.
+    any length; a repeated paragraph counts each time. The standard error is about 0.06 where nothing is common, and less else.
     """
     if (a == b).all():
         return 1.0
@@ -111,41 +146,31 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     """doc_id and fingerprint (base64) of each whole text; a null text counts as empty. Other columns are ignored."""
 
     def run(batches):
-        for b in blocks(batches, "text"):
+        for b in blocks(batches, "text", most_rows=ROWS):
             own = sums_of([t or "" for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([text_of(r) for r in own])], ["doc_id", "fingerprint"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fingerprint string")
 
 
-def _parts(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Cuts docs (_at, text) by _at into at most n parts of about equal bytes: bounds of 16 n ranges by quantile, each one's part, each part's first _at.
+def _heads(docs: DataFrame, n: int) -> list[int]:
+    """The first _at of each of at most n parts of docs (_at, text) of about equal bytes.
 
-    Bytes are summed up by range, one row a range comes to the driver, and neighbouring ranges are put together.
+    Ids and sizes alone are stored in order of the ids, and prefix sums of the sizes, from one total a range, cut them;
+    one row a part comes to the driver.
     """
-    fine = 16 * n
-    marks = docs.select(F.percentile_approx("_at", [k / fine for k in range(1, fine)], 50 * fine)).first()[0]
-    bounds = np.unique(np.array(marks or [], np.int64))
-    place = _places(bounds)
-    sized = docs.select("_at", place("_at").alias("range"), (F.octet_length("text") + 64).alias("bytes"))
-    ranges = sized.groupBy("range").agg(F.sum("bytes").alias("bytes"), F.min("_at").alias("head")).orderBy("range").collect()
-    part_of = np.zeros(len(bounds) + 1, np.int32)
-    heads: list[int] = []
-    at, last, whole = 0, -1, sum(r["bytes"] for r in ranges)
-    for r in ranges:
-        if (own := at * n // whole) > last:
-            last = own
-            heads.append(r["head"])
-        part_of[r["range"]] = len(heads) - 1
-        at += r["bytes"]
-    return bounds, part_of, heads
-
-
-def _places(bounds: np.ndarray, of: np.ndarray | None = None):
+    sizes = in_order(docs.select("_at", (F.octet_length("text") + 64).cast("long").alias("bytes")), "_at", name="ends")
+    whole = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(1))).first()[0]
+    parts = with_prefix(sizes, ["_at"], F.col("bytes")).groupBy(F.expr(f"_before * {n} div {whole}").alias("part")).agg(F.min("_at").alias("head"))
+    return sorted({r["head"] for r in parts.collect()})
+
+
+def _places(heads: list[int]):
+    first = np.array(heads, np.int64)
+
     @F.pandas_udf(T.IntegerType())
     def place(at: pd.Series) -> pd.Series:
-        found = np.searchsorted(bounds, at.to_numpy(np.int64), side="right")
-        return pd.Series((found if of is None else of[found]).astype("int32"))
+        return pd.Series((np.searchsorted(first, at.to_numpy(np.int64), side="right") - 1).astype("int32"))
 
     return place
 
@@ -157,14 +182,14 @@ def _with_next(docs: DataFrame) -> DataFrame:
     """
     n = shuffle_partitions(docs.sparkSession)
     docs = docs.withColumn("_at", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
-    bounds, part_of, heads = _parts(docs, n)
+    heads = _heads(docs, n)
     back = {head: (k - 1) % len(heads) for k, head in enumerate(heads)}
 
     @F.pandas_udf(T.IntegerType())
     def before(at: pd.Series) -> pd.Series:
         return at.map(back).astype("Int32")
 
-    placed = docs.withColumn("_part", _places(bounds, part_of)("_at")).withColumn("_back", before("_at"))
+    placed = docs.withColumn("_part", _places(heads)("_at")).withColumn("_back", before("_at"))
     both = F.array_compact(
         F.array(
             F.struct(F.col("_part").alias("part"), F.lit(0).alias("tail")),
@@ -188,7 +213,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     def pairs(batches):
         """(part, doc_id, text, next text) of each row that has one after it in its part; tails give no row."""
         last = None
-        for b in blocks(batches, "text"):
+        for b in blocks(batches, "text", most_rows=ROWS):
             out = []
             for doc_id, text, part, tail in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "_part", "_tail")), strict=True):
                 if last is not None and last[0] == part:

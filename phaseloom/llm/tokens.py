@@ -170,8 +170,8 @@ def tidy() -> None:
         pass
 
 
-def blocks(batches, column: str, most_bytes: int = 2 << 20):
-    """Slices of the batches whose texts have about most_bytes together (one longer text makes a slice of its own)."""
+def blocks(batches, column: str, most_bytes: int = 2 << 20, most_rows: int = 1 << 30):
+    """Slices of the batches whose texts have about most_bytes together (one longer text makes a slice of its own), of most_rows rows at most."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -179,6 +179,6 @@ def blocks(batches, column: str, most_bytes: int = 2 << 20):
         start = 0
         while start < batch.num_rows:
             base = size[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(size, base + most_bytes, side="right")))
+            stop = max(start + 1, min(start + most_rows, int(np.searchsorted(size, base + most_bytes, side="right"))))
             yield batch.slice(start, stop - start)
             start = stop

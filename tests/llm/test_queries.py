@@ -74,6 +74,27 @@ def test_op6(spark, texts):
     assert np.mean([r["near_edited"] for r in rows.values()]) > 0.3 + np.mean([r["near_next"] for r in rows.values()])
 
 
+def test_op6_likeness_against_the_multisets(spark):
+    """Every row of sf0.01: with its edited text and with the next one, against the true overlap of paragraphs."""
+    from collections import Counter
+
+    from phaseloom.llm.fingerprints import paragraphs
+
+    path = SF.replace("sf0.001", "sf0.01")
+    t = pq.read_table(f"{path}/documents.parquet", columns=["doc_id", "text"])
+    texts = dict(sorted(zip(t["doc_id"].to_pylist(), t["text"].to_pylist(), strict=True)))
+    rows = {r["doc_id"]: r for r in QUERIES["op6_fingerprints"](spark, path).collect()}
+    keys, errors = list(texts), []
+    for k, after in zip(keys, [*keys[1:], keys[0]], strict=True):
+        own, other = texts[k] or "", texts[after] or ""
+        half = len(own) // 2
+        for name, against in (("near_edited", own[: len(own) - half] + other[:half]), ("near_next", other)):
+            a, b = Counter(paragraphs(own)), Counter(paragraphs(against))
+            whole = a.total() + b.total()
+            errors.append(abs(rows[k][name] - (2 * (a & b).total() / whole if whole else 1.0)))
+    assert max(errors) < 0.2 and np.mean(errors) < 0.02
+
+
 def _sets(texts):
     out = {}
     for k, t in texts.items():

@@ -245,6 +245,21 @@ def test_likeness_of_very_long_texts(n, m, common):
     assert (fingerprints.row_of(fingerprints.text_of(a)) == a).all()
 
 
+@pytest.mark.parametrize("n", [1, 2, 255, 256, 1000, 1024])
+def test_likeness_counts_repeats(n):
+    a, b, half = fingerprints.sums_of(["same line\n" * n, "other one\n" * n, "same line\n" * n + "other one\n" * n])
+    assert fingerprints.likeness(a, b) < 0.2
+    assert abs(fingerprints.likeness(a, half) - 2 / 3) < 0.2
+
+
+def test_repeats_are_added_and_taken_away():
+    a, b = "x\nx\ny", "x\nz\nx\nx"
+    fa, fb = fingerprints.sums_of([a, b])
+    assert (fingerprints.changed(fa, ["y"], ["z", "x"], {"x": 2, "y": 1}) == fb).all()
+    assert (fingerprints.changed(fb, ["z", "x"], ["y"], {"x": 3, "z": 1}) == fa).all()
+    assert (fingerprints.changed(fb, ["z"], ["z"]) == fb).all()
+
+
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/")]
 URLS = [None, "", "no scheme", "http://A.Example.COM/en/x?q#f", "x://www.example.com/en/", "http://example.com", "http://com/", "http://xexample.com/en/", "http://b.net/es/\n/x", "http://net", "http://a.b.c.d.example.com/en/", "http:///p", "a://b://example.com/en/"]
 
