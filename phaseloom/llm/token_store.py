@@ -23,19 +23,23 @@ _POLY = np.uint32(0xEDB88320)
 _GEAR = np.random.default_rng(77).integers(0, 2**63, 1 << 16, dtype=np.uint64)
 
 
-def cuts(ids: np.ndarray) -> list[int]:
-    """Ends of an id stream's chunks: a cut follows a window of 16 ids whose rolling hash has its 8 low bits clear.
-
-    The hash is a sum of the window's ids' random numbers, so a cut depends on the 16 ids before it only, and an
-    insertion moves no cut farther on. Chunks have at least 64 ids and at most 1,024.
-    """
-    n = len(ids)
-    if n <= LEAST:
-        return [n] if n else []
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_GEAR[ids & 0xFFFF] * (ids.astype(np.uint64) * np.uint64(2) + np.uint64(1)), dtype=np.uint64)])
+def _marks(ids: np.ndarray) -> np.ndarray:
+    """Places after a window of 16 ids whose rolling hash has its 8 low bits clear; the hash is a sum of the ids' random numbers."""
+    if len(ids) < WINDOW:
+        return np.zeros(0, np.int64)
+    sums = np.zeros(len(ids) + 1, np.uint64)
+    own = ids.astype(np.uint64)
+    own += own
+    own += np.uint64(1)
+    own *= _GEAR[ids & 0xFFFF]
+    np.cumsum(own, out=sums[1:])
     rolled = sums[WINDOW:] - sums[:-WINDOW]
-    rolled = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    marks = (np.flatnonzero((rolled >> np.uint64(40)) & np.uint64(MEAN - 1) == 0) + WINDOW).tolist()
+    rolled ^= rolled >> np.uint64(29)
+    rolled *= np.uint64(0xBF58476D1CE4E5B9)
+    return np.flatnonzero((rolled >> np.uint64(40)) & np.uint64(MEAN - 1) == 0) + WINDOW
+
+
+def _ends(marks: list[int], n: int) -> list[int]:
     ends, at = [], 0
     for m in [*marks, n]:
         while m - at > MOST:
@@ -48,6 +52,27 @@ def cuts(ids: np.ndarray) -> list[int]:
     return ends
 
 
+def cuts(ids: np.ndarray) -> list[int]:
+    """Ends of an id stream's chunks: a cut follows a mark (see _marks), so it depends on the 16 ids before it only.
+
+    An insertion moves no cut farther on. Chunks have at least 64 ids and at most 1,024.
+    """
+    return cuts_of([ids])[0]
+
+
+def cuts_of(streams: list[np.ndarray]) -> list[list[int]]:
+    """cuts() of each of some streams, whose marks are found together."""
+    lengths = np.array([len(s) for s in streams], np.int64)
+    marks = _marks(np.concatenate(streams)) if len(streams) else np.zeros(0, np.int64)
+    stop = np.cumsum(lengths)
+    begin = stop - lengths
+    low, high = np.searchsorted(marks, begin + WINDOW), np.searchsorted(marks, stop, side="right")
+    out = []
+    for n, b, i, j in zip(lengths.tolist(), begin.tolist(), low.tolist(), high.tolist(), strict=True):
+        out.append(([n] if n else []) if n <= LEAST else _ends((marks[i:j] - b).tolist(), n))
+    return out
+
+
 def chunk_digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
@@ -111,12 +136,13 @@ def write_store(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 1
 
     def rows(batches):
         encode, sent, done = encoder(tokenizer_path).encode, set(), 0
-        for b in blocks(batches, "text"):
+        size = np.dtype(kind).itemsize
+        for b in blocks(batches, "text", 4 << 20):
             keys, data_out = [], []
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("text")), strict=True):
-                ids = np.append(ids, np.uint32(end_id))
-                data, size = ids.astype(kind).tobytes(), np.dtype(kind).itemsize
-                digests, ends, at = [], cuts(ids), 0
+            streams = [np.append(ids, np.uint32(end_id)) for ids in encode(b.column("text"))]
+            for doc_id, ids, ends in zip(b.column("doc_id").to_pylist(), streams, cuts_of(streams), strict=True):
+                data = ids.astype(kind).tobytes()
+                digests, at = [], 0
                 for end in ends:
                     own = data[size * at : size * end]
                     digests.append(chunk_digest(own))
