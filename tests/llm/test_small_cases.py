@@ -109,6 +109,35 @@ def test_state_goes_on_over_batches(spark):
     assert {(r["doc_id"], r["keep_id"], r["group_size"]) for r in out.collect()} == {(k, k % 5, 8) for k in range(40)}
 
 
+def test_state_stays_for_later_tables(spark, tmp_path):
+    """A second table is compared with the first: its copies of earlier texts go, whatever their doc_ids, and a repeated call changes nothing."""
+    first = [(10, "a"), (11, "b"), (12, "a"), (13, None), (14, "x  y")]
+    later = [(1, "a"), (2, "c"), (3, "c"), (4, ""), (5, "x\ny"), (6, "d")]
+    frames = []
+    for name, rows in (("one", first), ("two", later)):
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/{name}")
+        frames.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    state = f"file://{tmp_path}/state"
+    run = lambda k, name: {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.deduplicate(frames[k], state=state, batch=name).collect()}
+    one = run(0, "one")
+    assert one == {10: (10, 2, True), 11: (11, 1, True), 12: (10, 2, False), 13: (13, 1, True), 14: (14, 1, True)}
+    two = run(1, "two")
+    assert two == {1: (10, 3, False), 2: (2, 2, True), 3: (2, 2, False), 4: (13, 2, False), 5: (14, 2, False), 6: (6, 1, True)}
+    assert run(1, "two") == two
+    assert run(0, "one")[12] == (10, 3, False)
+    with pytest.raises(ValueError, match="files"):
+        exact_dedup.deduplicate(spark.createDataFrame(first, "doc_id long, text string"), state=state, batch="three")
+
+
+def test_a_state_checks_full_texts_of_earlier_tables(spark, tmp_path):
+    same = lambda t: F.concat(F.lit("same"), F.length(t).cast("string"))
+    for name, text in (("one", "a"), ("two", "b")):
+        spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/{name}")
+    exact_dedup.deduplicate(spark.read.parquet(f"{tmp_path}/one"), same, state=f"{tmp_path}/state", batch="one").collect()
+    with pytest.raises(ValueError, match="differ"):
+        exact_dedup.deduplicate(spark.read.parquet(f"{tmp_path}/two"), same, state=f"{tmp_path}/state", batch="two")
+
+
 def test_chat_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "\u241b1\u241b0<\u241b1s>", "<s><|image|>[/INST]", "", None, "<", "[INST", LONG]
     rows = [(1, k, "assistant" if k % 2 else "user", t, "x") for k, t in enumerate(nasty)] + [(2, 0, "a\nb\u241b</s>", "t", "x"), (2, 0, None, None, "x"), (None, None, "user", "u", "x")]
