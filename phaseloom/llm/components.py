@@ -13,8 +13,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select("u", "v")
     if large:
         both = both.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    near = both.join(least, "u")
+    least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+    near = both.join(least, "u")  # of two tables as they are, so adaptive execution splits a hub's edges
     moved = near.where("v > u" if large else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not large:
         moved = moved.unionByName(least.where("m < u").select("u", F.col("m").alias("v")))
@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star steps alternate until every edge joins a node to its label, which takes about
     log(nodes) rounds however long a chain is. Each round is stored; the smallest neighbour is found with map-side
-    combining, so hubs do not gather their edges in one task.
+    combining and stored, and the join that gives it to a hub's edges is one that adaptive execution splits.
     """
     now = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"

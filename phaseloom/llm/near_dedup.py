@@ -254,7 +254,7 @@ def _components_of(docs: DataFrame, near: Near) -> DataFrame:
     labels = components(links)
     seen = shared.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     seen = stored(seen, "near-labelled")
-    open_ = seen.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+    open_ = stored(seen.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key"), "near-open-keys")
     rest = stored(seen.join(open_, "key", "left_semi").select("node", "label").distinct(), "near-open")
     if not rest.isEmpty():
         sets = _sets_of(docs, rest.select(F.col("node").alias("doc_id")), near)

@@ -12,21 +12,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phaseloom.llm.common import stored
-from phaseloom.llm.shingles import shingle_sets
+from phaseloom.llm.shingles import shingle_sets, signatures
 from phaseloom.llm.tokens import blocks, tidy
 
 #: General insults, a voter for each language.
 LEXICONS = {
-    "en": ["idiot", "moron", "loser", "scum", "stupid", "trash", "worthless", "pathetic", "disgusting", "clown", "dumb", "jerk", "fool", "filthy", "garbage"],
-    "de": ["idiot", "trottel", "abschaum", "dumm", "müll", "wertlos", "erbärmlich", "widerlich", "arschloch", "depp"],
-    "fr": ["idiot", "imbécile", "ordure", "stupide", "minable", "dégoûtant", "crétin", "abruti", "connard", "débile"],
-    "es": ["idiota", "imbécil", "basura", "estúpido", "inútil", "patético", "asqueroso", "escoria", "tonto", "payaso"],
+    "en": "idiot idiots moron morons loser losers scum stupid trash worthless pathetic disgusting clown clowns dumb jerk fool fools filthy garbage bastard bastards asshole bitch cretin imbecile vermin coward cowards liar liars ugly vile rotten freak freaks useless disgrace ignorant braindead degenerate parasite parasites subhuman".split(),
+    "de": "idiot idioten trottel abschaum dumm dumme dummer müll wertlos wertlose erbärmlich erbärmliche widerlich widerliche arschloch depp deppen blöd blöde schwein schweine versager lügner feigling hässlich mistkerl spinner vollidiot dreckig dreck ekelhaft nutzlos nutzlose schwachkopf dummkopf drecksack ungeziefer parasit".split(),
+    "fr": "idiot idiots idiote imbécile imbéciles ordure ordures stupide stupides minable minables dégoûtant dégoûtante crétin crétins abruti abrutis connard connards débile débiles salaud salope merde bouffon raté lâche menteur pourri pourriture déchet racaille vermine parasite inutile ignoble répugnant".split(),
+    "es": "idiota idiotas imbécil imbéciles basura estúpido estúpida estúpidos inútil inútiles patético patética asqueroso asquerosa escoria tonto tonta payaso payasos cobarde mentiroso mierda cabrón gilipollas perdedor cerdo repugnante despreciable parásito ignorante feo fea bobo zorra".split(),
 }
 PATTERNS = ["[!?]{2,}", "\\b[A-Z]{4,}(?:\\W+[A-Z]{3,}){2}"]  # runs of marks; shouting
 PREFIXES = (4, 5, 6)
 MINED_VOTERS = 6
 
 
+#: MinHash values by which rows of the sample are told to be near copies, and the share that must agree.
+FAMILY_VALUES, FAMILY_LIKENESS = 64, 0.7
 REPEATS = (1, 2)  # a feature is a word or beginning that a text has so many times at least
 #: Where no labels tell otherwise: the toxic share, and how often lexicons and patterns vote in toxic and in clean texts.
 PRIOR, LEXICON_RATES, PATTERN_RATES = 0.1, (0.4, 0.005), (0.3, 0.05)
@@ -80,19 +82,26 @@ def _sample(labels: DataFrame, weak: Weak) -> tuple[DataFrame, dict[int, float]]
 
 
 def _one_a_family(sample_texts: DataFrame) -> DataFrame:
-    """doc_id of one row of each family of near copies in the sample: rows with one least shingle hash.
+    """doc_id of the rows of the sample but for near copies of another: rows with the least shingle hash of an earlier one and MinHash values like its.
 
-    A text that was copied often would make its rare words look like marks of its class.
+    A text that was copied often would make its rare words look like marks of its class. A text that has only a common
+    sentence with others differs in most values and stays.
     """
 
     def least(batches):
         for b in blocks(batches, "text"):
-            own = [int(s[0].astype(np.int64)) if len(s) else None for s in shingle_sets(b.column("text"), 5)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(own, pa.int64())], ["doc_id", "family"])
+            sets = shingle_sets(b.column("text"), 5)
+            own = [int(s[0].astype(np.int64)) if len(s) else None for s in sets]
+            values = iter(signatures([s for s in sets if len(s)], FAMILY_VALUES, 5).astype(np.int64).tolist() if any(len(s) for s in sets) else [])
+            sigs = [next(values) if len(s) else [0] * FAMILY_VALUES for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(own, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))], ["doc_id", "family", "sig"])
         tidy()
 
-    families = sample_texts.select("doc_id", "text").mapInArrow(least, "doc_id long, family long")
-    return stored(families.groupBy("family").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "toxic-families")
+    rows = stored(sample_texts.select("doc_id", "text").mapInArrow(least, "doc_id long, family long, sig array<long>"), "toxic-families")
+    heads = rows.groupBy("family").agg(F.min(F.struct("doc_id", "sig")).alias("head"))
+    same = F.size(F.filter(F.zip_with("sig", "head.sig", lambda a, b: a == b), lambda x: x))
+    met = rows.join(heads, rows["family"].eqNullSafe(heads["family"]))
+    return met.where((F.col("doc_id") == F.col("head.doc_id")) | (same < FAMILY_LIKENESS * FAMILY_VALUES)).select("doc_id").distinct()
 
 
 def _mine(sample_texts: DataFrame, weak: Weak) -> list[str]:
