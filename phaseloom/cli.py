@@ -41,7 +41,7 @@ def extract_single(spark, a) -> None:
     if a.out:
         _save(out, a.out, 4, a.populations)
     if a.out_tsv:
-        tables.write_tsv(extract.single_tsv(out, a.populations), a.out_tsv)
+        tables.write_tsv(extract.single_tsv(out, a.populations), a.out_tsv, block_gzip=a.out_tsv.endswith(".bgz"))
 
 
 def extract_samples(spark, a) -> None:
@@ -99,7 +99,7 @@ def remap_hits(spark, a) -> None:
     numbered = tables.checked(hits, HITS).withColumn("_row", F.monotonically_increasing_id())
     meta = ix.meta()
     out = remap.remap(numbered, ix.lookup(numbered, "chromosome"), meta["window_size"], json.loads(meta["joint_pops_legend"]))
-    tables.write_tsv(out.orderBy("_row").drop("_row"), a.out)
+    tables.write_tsv(out.orderBy("_row").drop("_row"), a.out, quoted=True)
 
 
 def compare_indexes(spark, a) -> None:

@@ -522,6 +522,17 @@ def an_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.ac0_coverage(_explained(spark, sf_dir))
 
 
+@query(
+    f"""{EXPLAINED}, b AS (SELECT unnest({list(compare.BUCKETS)}) AS bucket), d AS (SELECT unnest({list(compare.AN_BANDS)}) AS band),
+c AS (SELECT bucket, CASE WHEN an = 0 THEN '0' WHEN an < 100 THEN '1-99' WHEN an < 10000 THEN '100-9999' WHEN an < 100000 THEN '10000-99999' ELSE '100000+' END AS band, count(*) AS n FROM x GROUP BY 1, 2)
+SELECT b.bucket, d.band, CAST(coalesce(n, 0) AS BIGINT) AS n FROM b JOIN d ON true LEFT JOIN c ON c.bucket = b.bucket AND c.band = d.band"""
+)
+def buckets_by_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every bucket and band of allele numbers, those without any too."""
+    counts = _explained(spark, sf_dir).groupBy("bucket", compare.an_band(F.col("exome_AN")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
+    return compare.completed(counts, {"bucket": list(compare.BUCKETS), "band": list(compare.AN_BANDS)}, "n")
+
+
 @query(
     """WITH s AS (SELECT l_returnflag, l_linestatus, list(l_quantity ORDER BY l_quantity) AS q FROM lineitem GROUP BY 1, 2)
 SELECT l_returnflag, l_linestatus, q[len(q) // 10 + 1] AS p10, q[len(q) // 2 + 1] AS p50, q[least(len(q) - 1, len(q) * 9 // 10) + 1] AS p90 FROM s"""

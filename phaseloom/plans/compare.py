@@ -209,6 +209,18 @@ def ac0_coverage(explained: DataFrame) -> DataFrame:
     return explained.where(ac0).groupBy(an_band(F.col("exome_AN")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def completed(counts: DataFrame, levels: dict[str, list[str]], value: str) -> DataFrame:
+    """counts with a row for each combination of the levels of its columns, 0 where there was none; other rows stay.
+
+    levels are lists of names that the caller gives, so the grid is small whatever the data.
+    """
+    grid = counts.sparkSession.range(1)
+    for name, own in levels.items():
+        grid = grid.withColumn(name, F.explode(F.array(*[F.lit(x) for x in own])))
+    both = grid.drop("id").join(counts, list(levels), "full")
+    return both.withColumn(value, F.coalesce(value, F.lit(0).cast("long")))
+
+
 def bucket_quantiles(explained: DataFrame, pops: list[str]) -> DataFrame:
     """bucket, pop, n, least, p10, p50, p90 and greatest of the populations' frequencies (columns af_<pop>, missing is 0), for buckets of present variants."""
     rows = explained.where(~F.col("bucket").isin(BUCKETS[0], BUCKETS[-1])).select("bucket", *[f"af_{p}" for p in pops])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from phaseloom.operators.ordering import in_ranges, with_earlier
-from phaseloom.storage import delete, exists, file_system, listed
+from phaseloom.storage import arrow_batches, delete, exists, file_system, listed
 
 CHUNK = 10_000
 
@@ -144,13 +143,13 @@ def records(sequences: DataFrame) -> DataFrame:
     return sequences.orderBy("start", "sequence_id").select(F.concat(F.lit(">"), "sequence_id", F.lit("\n"), "sequence").alias("record"))
 
 
-def write_fasta(sequences: DataFrame, path: Path) -> int:
-    """Writes the records to one file, a partition's rows in memory at a time; returns how many."""
-    rows: Iterator = records(sequences).toLocalIterator(prefetchPartitions=True)
+def write_fasta(sequences: DataFrame, path: Path, rows: int = 100_000) -> int:
+    """Writes the records to one local file, in Arrow batches of at most so many rows; returns how many there are."""
     n = 0
     with path.open("w") as out:
-        for n, row in enumerate(rows, 1):
-            out.write(row["record"] + "\n")
+        for batch in arrow_batches(records(sequences), rows):
+            out.writelines(f"{r}\n" for r in batch.column("record").to_pylist())
+            n += batch.num_rows
     return n
 
 

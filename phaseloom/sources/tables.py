@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from phaseloom.sources import bgzf
+
 NA = "NA"
 
 
@@ -24,10 +26,20 @@ def read_tsv(spark: SparkSession, path: str, schema: str, keep_na: tuple[str, ..
     return raw.select([cell(f) for f in typed])
 
 
-def write_tsv(df: DataFrame, path: str, one_file: bool = False) -> None:
-    """A tab-separated folder with headers, a file a task (or one for all, by one task); missing values are NA."""
+def write_tsv(df: DataFrame, path: str, one_file: bool = False, quoted: bool = False, block_gzip: bool = False) -> None:
+    """A tab-separated folder with headers, a file a task (or one for all, by one task); missing values are NA.
+
+    quoted: fields with tabs, quotes or line feeds stand in quotes, and quotes in them are doubled; others never do.
+    block_gzip: files are block-gzipped text, without quotes.
+    """
     out = df.coalesce(1) if one_file else df
-    out.write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", NA).option("emptyValue", "").option("quote", "").csv(path)
+    if block_gzip:
+        cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NA)) for c in df.columns]
+        bgzf.write_lines(out.select(F.concat_ws("\t", *cells).alias("line")), "line", path, "\t".join(df.columns))
+        return
+    quotes = {"quote": '"', "escape": '"'} if quoted else {"quote": ""}
+    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # values stay as they are
+    out.write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", NA).option("emptyValue", "").options(**quotes, **plain).csv(path)
 
 
 def checked(df: DataFrame, required: list[str]) -> DataFrame:

@@ -9,9 +9,10 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
@@ -90,6 +91,21 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
 
 
+def arrow_batches(df: DataFrame, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """df in its order as Arrow batches of at most `rows` rows on the driver, which holds one file's rows at a time.
+
+    The rows are stored in files of so many rows, which Spark then hands over one after the other; the files go at the end.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, "batches")
+    df.write.option("maxRecordsPerFile", rows).parquet(path)
+    try:
+        for name in listed(spark, path):
+            if name.startswith("part-"):
+                yield from spark.read.schema(df.schema).parquet(f"{path}/{name}").coalesce(1).toArrow().to_batches(rows)
+    finally:
+        delete(spark, path)
+
+
 def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     """Makes a small file unless it is there; of several sessions that try, one succeeds, and nobody sees half a file.
 

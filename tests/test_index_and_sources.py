@@ -185,6 +185,21 @@ def test_block_gzip_and_headers(spark, tmp_path):
         vcf.read_vcf(spark, f"{tmp_path}/none.vcf")
 
 
+def test_tsv_quotes_only_what_needs_it(spark, tmp_path):
+    import csv
+
+    rows = [(1, "plain"), (2, "a\tb"), (3, 'say "x"'), (4, "two\nlines"), (5, " space "), (6, ""), (7, None), (8, "'")]
+    df = spark.createDataFrame(rows, "k long, v string")
+    tables.write_tsv(df, f"{tmp_path}/q", one_file=True, quoted=True)
+    text = next(p for p in (tmp_path / "q").iterdir() if p.name.startswith("part")).read_text()
+    assert list(csv.reader(text.splitlines(keepends=True), delimiter="\t")) == [["k", "v"], *[[str(k), "NA" if v is None else v] for k, v in rows]]
+    assert text.splitlines()[1] == "1\tplain" and '5\t space \n' in text
+    flat = df.where("k not in (2, 4)")
+    tables.write_tsv(flat, f"{tmp_path}/b", block_gzip=True)
+    lines = sorted(r[0] for r in bgzf.read_lines(spark, f"{tmp_path}/b").collect())
+    assert [x for x in lines if not x.startswith("k")] == sorted(f"{k}\t{'NA' if v is None else v}" for k, v in rows if k not in (2, 4)) and lines.count("k\tv") >= 1
+
+
 def test_tsv(spark, tmp_path):
     df = spark.createDataFrame([(1, "0.04000,NA", None), (2, None, 3)], "k long, af string, n int")
     tables.write_tsv(df, str(tmp_path / "t"))
