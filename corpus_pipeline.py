@@ -15,27 +15,34 @@ MIXTURE = replace(mixing.PRODUCTION, share=(4, 5), max_epochs=1)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10; learns from the labels of the table folder."""
+    """Operator 10: documents that score as toxic go. It learns from the labels of the table folder.
+
+    Null and empty texts have no words and are judged by the rates of the voters alone, so they stay. Rows of one doc_id
+    are judged each by its own text; long texts are read whole. Without labels, lexicons and patterns decide. No rows, no result.
+    """
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2."""
+    """Operator 2: of texts that are equal but for white space the smallest doc_id stays (a null doc_id last; null and empty texts are equal)."""
     return exact_dedup.keep_first(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8."""
+    """Operator 8: of documents that links of 85 % join, however indirectly, the smallest doc_id stays.
+
+    Null and empty texts and those without words are linked with nothing and stay; rows without doc_id are told by their texts.
+    """
     return near_dedup.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5."""
+    """Operator 5: documents are drawn to the target weights of MIXTURE; null language or source is a leaf of its own, null and empty texts have no tokens."""
     return mixing.mixed_documents(docs, MIXTURE)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4."""
+    """Operator 4: pieces of at most 2,048 ids; a null or empty text is its end id alone, a long one is cut at the capacity."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=1)
 
 
