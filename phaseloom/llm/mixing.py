@@ -164,7 +164,11 @@ def mix(docs: DataFrame, mixture: Mixture = PRODUCTION) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, mixture: Mixture) -> DataFrame:
-    """docs, all columns, each as often as it is drawn; texts are not shuffled."""
+    """docs, all columns, each as often as it is drawn; texts are not shuffled.
+
+    A null language or source is a leaf of its own; null and empty texts have no tokens and are drawn with their leaf's whole
+    epochs, or before its cut. Ties in the seeded order (rows of one doc_id) are drawn together. An empty table stays empty.
+    """
     cuts = leaf_cuts(stored(leaves_of(docs, mixture), "mix-rows"), mixture)
     own = [f"_c{k}" for k in range(len(docs.columns))]
     kept = docs.select(F.struct(*[F.col(c).alias(o) for c, o in zip(docs.columns, own, strict=True)]).alias("_row"), "doc_id", "source", "lang")
