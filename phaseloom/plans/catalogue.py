@@ -648,15 +648,20 @@ def cohort_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("contig").agg(F.count(F.lit(1)).alias("sites"), F.count_if("common").alias("common"))
 
 
+#: The index's sites have a legend of their own: the populations in another order.
+SITE_POPS = model.POPS[::-1]
+
+
 def _index(spark: SparkSession, sf_dir: str) -> index.Index:
     """An index of the cohort's haplotypes and sites on chr1."""
     ix = index.Index(spark, new_path(spark, "index"))
-    ix.create("2.0", WINDOW, {"chr1": model.POPS}, {"chr1": model.POPS})
+    ix.create("2.0", WINDOW, {"chr1": model.POPS}, {"chr1": SITE_POPS})
     found = cohort.catalog(spark, sf_dir).where(F.col("variants")[0]["contig"] == "chr1")
     joint = ix.legend("joint_pops_legend")
-    sites = index.single_entries(cohort.sites(spark, sf_dir).where(in_interval("chr1")), model.POPS, joint)
+    turned = cohort.sites(spark, sf_dir).where(in_interval("chr1")).withColumn("pop_freqs", F.reverse("pop_freqs"))
+    sites = index.single_entries(turned, SITE_POPS, joint)
     entries = index.haplotype_entries(found, model.POPS, joint).unionByName(sites)
-    ix.append("chr1", entries, Reference(spark, cohort.write_fasta(spark, sf_dir), 500), WINDOW, model.POPS, model.POPS)
+    ix.append("chr1", entries, Reference(spark, cohort.write_fasta(spark, sf_dir), 500), WINDOW, model.POPS, SITE_POPS)
     ix.finalize()
     return ix
 
@@ -665,7 +670,7 @@ _TEXT_AF = "coalesce(string_agg(CASE WHEN g.af IS NULL THEN 'NA' ELSE printf('%.
 INDEX = f"""WITH {COHORT},
 refs AS (SELECT string_agg(substr('ACGTTGCAACGTGATTACA', CAST(1 + (i * i + i // 5) % 19 AS INT), 1), '' ORDER BY i) AS r FROM range((SELECT CAST(ceil(((max(p_partkey) // 2) * 10 + 300) / 60.0) AS BIGINT) * 60 FROM part)) t(i)),
 pk AS (SELECT ps.*, pf.k, pf.af FROM ps JOIN pf ON pf.p = ps.p WHERE contig = 'chr1'),
-best AS (SELECT p, arg_max(k, af * 1000 - k * 0.0001) AS mk, max(af) AS maf FROM pk GROUP BY p),
+best AS (SELECT p, arg_max(k, af * 1000 + k * 0.0001) AS mk, max(af) AS maf FROM pk GROUP BY p),
 hk AS (SELECT h AS e, unnest(h) AS v, generate_subscripts(h, 1) AS k FROM final),
 mem AS (SELECT 'HGDP_haplotype' AS source, hk.e, hk.k, known.p, known.position, known.ref, known.alt, {NAME} AS name FROM hk JOIN known ON known.v = hk.v WHERE contig = 'chr1'
   UNION ALL SELECT 'gnomAD_variant', [-1 - p], 1, p, position, ref, alt, {NAME} FROM ps WHERE contig = 'chr1'),
@@ -697,7 +702,7 @@ def index_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "index-tsv")
     _index(spark, sf_dir).export_tsv("chr1", path)
     texts = tuple(f"gnomAD_AF_{p}" for p in model.POPS)
-    out = read_tsv(spark, path, sequences(model.POPS), keep_na=texts)
+    out = read_tsv(spark, path, sequences(SITE_POPS), keep_na=texts)
     return out.select("sequence_id", "sequence_length", "variants", "popmax_empirical_AF", "max_pop", "gnomAD_AF_africa", "empirical_AC_asia", "haplotype_filter")
 
 
