@@ -14,5 +14,6 @@ def sessions(events: DataFrame, gap: str, late: str | None = None) -> DataFrame:
     rows = events.select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     if late is not None:
         rows = rows.withWatermark("ts", late)
-    grouped = rows.groupBy("user_id", F.session_window("ts", gap).alias("w"))
+    window = F.session_window("ts", f"{gap} -1 microseconds")  # a window takes in what comes just at its end
+    grouped = rows.groupBy("user_id", window.alias("w"))
     return grouped.agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")).drop("w")
